@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, simhash, token_output
+from assayframe.llm import bpe, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_zip.round_trip(table(spark, sf_dir, "pages"))
+    page, first = (warc_zip.key_of(c).cast("long") for c in ("record_id", "refers_to"))
+    return records.select(page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", first.alias("refers_to"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_path(spark, "tokens")
     token_output.write(table(spark, sf_dir, "documents"), out, TOKENIZER, public_tokenizers.PATTERN)
@@ -36,6 +42,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_zip": op1_warc_zip,
     "op4_token_output": op4_token_output,
     "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,
