@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 #: Rows of a matrix and bytes of a piece in it; longer pieces merge through a heap, with the same result.
 MATRIX_ROWS, MATRIX_BYTES = 50_000, 256
 #: Words whose ids a worker keeps, and their greatest length.
-KEPT_WORDS, KEPT_CHARS = 400_000, 64
+KEPT_WORDS, KEPT_CHARS = 300_000, 64
 NONE = np.int32(2**31 - 1)
 
 _other_space = re.compile(r"[^\S \n]").search
@@ -59,7 +59,6 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.bytes_of = {i: b for b, i in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = {}
         for token, rank in ranks.items():
@@ -67,7 +66,6 @@ class Vocabulary:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = rank
-        self.pairs = pairs
         size = 1 << max(4, (3 * len(pairs)).bit_length())
         self.mask = np.uint64(size - 1)
         self.keys, self.values = np.full(size, -1, np.int64), np.full(size, NONE, np.int32)
@@ -159,20 +157,21 @@ class Vocabulary:
     def _merge_long(self, piece: bytes) -> np.ndarray:
         ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
         after, before = [*range(1, len(ids)), -1], [-1, *range(len(ids) - 1)]
-        get = self.pairs.get
-        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := get(a << 32 | b)) is not None]
+        part, get = {i: bytes([b]) for b, i in enumerate(self.byte_ids.tolist())}, self.ranks.get
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := get(part[a] + part[b])) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
+            part[rank] = part[a] + part[b]
             ids[i], ids[j] = rank, -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y >= 0 and (r := get(ids[x] << 32 | ids[y])) is not None:
+                if x >= 0 and y >= 0 and (r := get(part[ids[x]] + part[ids[y]])) is not None:
                     heapq.heappush(heap, (r, x, ids[x], ids[y]))
         return np.array([x for x in ids if x >= 0], np.int32)
 
@@ -213,11 +212,21 @@ class Encoder:
         return out
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+
+
+@functools.cache
+def token_bytes(ranks_path: str) -> dict[int, bytes]:
+    """The bytes of each id."""
+    return {i: b for b, i in read_ranks(ranks_path).items()}
+
+
 @functools.cache
 def vocabulary(ranks_path: str) -> Vocabulary:
     """The vocabulary of a rank file: a base64 token and its rank a line."""
-    with open(ranks_path, "rb") as f:
-        return Vocabulary({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)})
+    return Vocabulary(read_ranks(ranks_path))
 
 
 @functools.cache
@@ -268,7 +277,7 @@ def decode(ids: Column, ranks_path: str) -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def bpe_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bytes_of = vocabulary(ranks_path).bytes_of.__getitem__
+        bytes_of = token_bytes(ranks_path).__getitem__
         for batch in batches:
             yield pa.array((None if x is None else b"".join(map(bytes_of, x)) for x in batch_values(batch)), pa.binary())
 
