@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assayframe.llm.shared import short_batches
+
 #: Rows of a matrix and bytes of a piece in it; longer pieces merge through a heap, with the same result.
 MATRIX_ROWS, MATRIX_BYTES = 50_000, 256
 #: Words whose ids a worker keeps, and their greatest length.
@@ -293,9 +295,11 @@ def batch_values(batch: pa.ListArray) -> Iterator[list[int] | None]:
 
 def with_tokens(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", to: str = "token_ids") -> DataFrame:
     """``df`` with the token ids of column ``text`` in column ``to``."""
+    short_batches(df.sparkSession)
     return df.withColumn(to, encode(F.col(text), ranks_path, pattern))
 
 
 def with_bytes(df: DataFrame, ranks_path: str, ids: str = "token_ids", to: str = "decoded") -> DataFrame:
     """``df`` with the decoded bytes of column ``ids`` in column ``to``."""
+    short_batches(df.sparkSession)
     return df.withColumn(to, decode(F.col(ids), ranks_path))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, simhash, token_output, warc_zip
+from assayframe.llm import bpe, decontaminate, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +21,11 @@ def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", first.alias("refers_to"))
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_path(spark, "tokens")
     token_output.write(table(spark, sf_dir, "documents"), out, TOKENIZER, public_tokenizers.PATTERN)
@@ -43,6 +48,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_zip": op1_warc_zip,
+    "op3_winnowing": op3_winnowing,
     "op4_token_output": op4_token_output,
     "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,

@@ -42,6 +42,13 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lets at most ``rows`` rows of whole texts pass to Python at once, instead of 10,000; a smaller setting stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= rows:
+        spark.conf.set(setting, rows)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z only; every other character stays."""
     return F.translate(text, UPPER, UPPER.lower())

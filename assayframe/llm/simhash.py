@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from assayframe.llm.bpe import slices
 from assayframe.llm.graph import components
-from assayframe.llm.shared import stored
+from assayframe.llm.shared import short_batches, stored
 
 #: Generator polynomial of the binary Golay code of 23 bits, its length and its message length.
 GOLAY, GOLAY_N, GOLAY_K = 0b101011100011, 23, 12
@@ -147,6 +147,7 @@ def links(prints: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42) -> DataFrame:
     """``key, fp, component_id`` for every row: the smallest key that links of at most two differing bits reach."""
+    short_batches(df.sparkSession)
     docs = stored(df.select(F.col(key), fingerprint(F.col(text), width, seed).alias("fp")), "simhash")
     classes = docs.groupBy("fp").agg(F.min(key).alias("least"))
     roots = components(links(docs.select("fp").distinct()), "a", "b")

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from assayframe.llm.bpe import KEPT_CHARS, KEPT_WORDS, ids_array, slices, words_of
+from assayframe.llm.shared import short_batches
 
 
 def byte_letters() -> dict[int, str]:
@@ -118,6 +119,7 @@ def write(
 
     ``delta``: ids in delta encoding instead of a dictionary.
     """
+    short_batches(df.sparkSession)
     rows = df.select(key, *keep, F.coalesce(text, F.lit("")).alias("__text"))
     rows = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key, "__text")
     rows = rows.withColumn("token_ids", encode(F.col("__text"), tokenizer_path, pattern, end_id)).withColumn("n_tokens", F.size("token_ids").cast("long"))
