@@ -31,6 +31,7 @@ WINDOW, GRAM = 10, 5
 BROADCAST_WINDOWS = 200_000
 #: Characters between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RESULT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
@@ -38,6 +39,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
+def n_words(text: Column) -> Column:
+    """Number of words, which does not depend on case."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN_ANY_CASE), "")).cast("long")
+
+
 def _slide(n: Column, width: int, make) -> Column:
     """``make(i)`` for each start i of a run of ``width`` among ``n``."""
     return F.when(n >= width, F.transform(F.sequence(F.lit(0), n - width), make)).otherwise(F.array().cast("array<bigint>"))
@@ -73,7 +79,7 @@ def item_windows(items: DataFrame, item: str, text: str) -> DataFrame:
     items, met on the least k-gram, the ``at``-th; and the length below that.
     """
     base = window_prints(hashed(items.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item_id"), F.col(text).alias("__text")), "__text").where("__n > 0"))
-    full = base.where(F.col("__n") >= WINDOW).select("item_id", "__words", F.posexplode("__prints").alias("i", "print"))
+    full = base.where(F.col("__n") >= WINDOW).select("item_id", "__words", F.posexplode_outer("__prints").alias("i", "print"))
     full = full.select("item_id", run_of(F.col("i"), F.lit(WINDOW)).alias("window"), F.lit(WINDOW).alias("length"), "print", F.lit(0).alias("at"), F.lit(WINDOW).alias("kind"))
     short = base.where(F.col("__n") < WINDOW)
     least = F.array_min("__grams")
@@ -93,7 +99,8 @@ def item_windows(items: DataFrame, item: str, text: str) -> DataFrame:
 def _hits(docs: DataFrame, prints: Column, windows: DataFrame, small: bool) -> DataFrame:
     """``__id, __text_hash, start, length, window`` of the verified windows that documents hold."""
     wanted = F.broadcast(windows) if small else windows
-    met = docs.select("__id", "__text_hash", "__words", "__n", F.posexplode(prints).alias("i", "print")).join(wanted, "print")
+    # outer, so that no filter on the generated arrays' size is inferred, pushed down and makes them again; a null print meets nothing
+    met = docs.select("__id", "__text_hash", "__words", "__n", F.posexplode_outer(prints).alias("i", "print")).join(wanted, "print")
     start = F.col("i") - F.col("at")
     inside = (start >= 0) & (start + F.col("length") <= F.col("__n"))
     met = met.where(inside).select("__id", "__text_hash", start.alias("start"), "length", "window", run_of(start, F.col("length")).alias("__own"))
@@ -144,7 +151,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     listed = listed.select(*same, F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     marks = covered.join(listed, [covered[c].eqNullSafe(listed[c]) for c in same]).select(covered["__id"], covered["__text_hash"], "n_hit", "n_items", "items_sha256")
 
-    rows = docs.drop(*RESULT).withColumn("__n_words", F.size(words(F.col(text))).cast("long")).withColumn("__hash_of", F.xxhash64(text))
+    rows = docs.drop(*RESULT).withColumn("__n_words", n_words(F.col(text))).withColumn("__hash_of", F.xxhash64(text))
     rows = rows.join(marks, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__hash_of") == F.col("__text_hash")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.select(
