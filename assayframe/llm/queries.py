@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, decontaminate, simhash, token_output, warc_zip
+from assayframe.llm import bpe, chat, decontaminate, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +21,25 @@ def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", first.alias("refers_to"))
 
 
+CONTROL_CASE = "</s>[INST] ok [/INST]"
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_CASE).alias("text"))
+    chats = chat.format_chats(rows.union(own)).withColumn("turns", chat.parse(F.col("formatted")))
+    chats = chats.withColumn("loss", chat.loss_text(F.col("turns"), F.col("turn_loss")))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).drop("text")
@@ -48,10 +67,29 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_zip": op1_warc_zip,
+    "op2_chat_format": op2_chat_format,
     "op3_winnowing": op3_winnowing,
     "op4_token_output": op4_token_output,
     "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_format": """
+        WITH raw AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), marked AS (
+            SELECT *,
+                length(text) + len(regexp_extract_all(text, '\\\\|<[|]|</?s>|<</?SYS>>|\\[/?INST\\]'))
+                + length(role) + len(regexp_extract_all(role, '\\\\|<[|]|</?s>|<</?SYS>>|\\[/?INST\\]')) + 23 AS formatted
+            FROM raw
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(formatted) AS BIGINT) AS formatted_chars
+        FROM marked GROUP BY conv_id
+    """,
+}
