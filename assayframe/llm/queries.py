@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, chat, decontaminate, simhash, token_output, warc_zip
+from assayframe.llm import bpe, chat, decontaminate, permutation_index, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -65,6 +65,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return permutation_index.search(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_zip": op1_warc_zip,
     "op2_chat_format": op2_chat_format,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_output": op4_token_output,
     "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_permutation_index": op10_permutation_index,
 }
 
 ORACLE_SQL: dict[str, str] = {
