@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, chat, decontaminate, permutation_index, simhash, token_output, warc_zip
+from assayframe.llm import bpe, chat, decontaminate, permutation_index, quality, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -65,6 +65,28 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def held_out(key: str) -> Column:
+    """Rows whose labels are never learnt from."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """The quality model of the labelled documents that aren't held out."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled_id"), F.col("quality").alias("label"))
+    rows = docs.select("doc_id", "text").join(labels.where(~held_out("labelled_id")), F.col("doc_id") == F.col("labelled_id"))
+    return quality.fit(rows, label="label")
+
+
+#: Documents of at least this score are predicted to be good.
+ACCEPT = 0.7
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = quality.scored(docs, quality_model(spark, docs, sf_dir))
+    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
 def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return permutation_index.search(rows, F.col("vec_id") % 50 == 0)
@@ -77,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_output": op4_token_output,
     "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality": op9_quality,
     "op10_permutation_index": op10_permutation_index,
 }
 
