@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, chat, decontaminate, permutation_index, quality, simhash, token_output, warc_zip
+from assayframe.llm import bpe, chat, decontaminate, permutation_index, pii, quality, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -57,6 +57,15 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+#: Key of these queries; a real run takes a secret one.
+PSEUDONYM_KEY = "assayframe-demonstration-key"
+
+
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PSEUDONYM_KEY)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = bpe.with_tokens(docs, RANKS, public_tokenizers.PATTERN)
@@ -98,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_winnowing": op3_winnowing,
     "op4_token_output": op4_token_output,
     "op5_simhash": op5_simhash,
+    "op6_pseudonyms": op6_pseudonyms,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_permutation_index": op10_permutation_index,
