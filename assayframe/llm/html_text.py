@@ -277,8 +277,8 @@ def _other(rng: random.Random, kind: str) -> str:
     return _named(rng, tag, names, 0) + inner + f"</{tag}>"
 
 
-def _page(rng: random.Random) -> tuple[str, list[str]]:
-    """A page, and the words of its content in order, marked by \\x01 at the start of each labelled text."""
+def _page(rng: random.Random) -> str:
+    """A page, with the mark \\x01 at the start of each text of its content."""
     mark = lambda s: re.sub(r"(^|>)(?=[^<]*[^<\s])", "\\1\x01", s)
     blocks = [mark(x) for x in _content(rng)]
     for kind in rng.sample(tuple(OTHER_NAMES), rng.randint(0, 2)):
@@ -298,25 +298,24 @@ def _page(rng: random.Random) -> tuple[str, list[str]]:
     if rng.random() < 0.6:
         after = [*after, _other(rng, "footer")]
     head = f"<head><meta charset=utf-8><title>{_words(rng, 2, 9)}</title><style>p{{margin:0}}</style><script>var t=1;</script></head>"
-    return f"<!DOCTYPE html><html>{head}<body>{''.join(before)}<!-- x -->{body}{''.join(after)}" + ("</body></html>" if rng.random() < 0.9 else ""), []
+    return f"<!DOCTYPE html><html>{head}<body>{''.join(before)}<!-- x -->{body}{''.join(after)}" + ("</body></html>" if rng.random() < 0.9 else "")
 
 
 def labelled_pages(n: int, seed: int) -> Iterator[tuple[list[Node], np.ndarray]]:
-    """Parsed pages and the state of each node: 1 for text of the article and for what holds nothing else."""
+    """Parsed pages and the state of each node: 1 for text of the article and for what holds some."""
     rng = random.Random(seed)
     for _ in range(n):
-        nodes = parse(_page(rng)[0])
+        nodes = parse(_page(rng))
         state = np.zeros(len(nodes), int)
-        good, bad = np.zeros(len(nodes), int), np.zeros(len(nodes), int)
+        good = np.zeros(len(nodes), int)
         for i in range(len(nodes) - 1, 0, -1):
             node = nodes[i]
             if node.tag == TEXT:
-                good[i], bad[i] = "\x01" in node.text, "\x01" not in node.text
+                good[i] = "\x01" in node.text
                 node.text = node.text.replace("\x01", "")
-            # an element holds content if most of its texts are content
-            state[i] = good[i] > bad[i]
+            # an element's state tells whether it holds any content, so nothing below a state of 0 is content
+            state[i] = good[i] > 0
             good[node.parent] += good[i]
-            bad[node.parent] += bad[i]
         yield nodes, state
 
 
@@ -352,8 +351,8 @@ class TreeModel:
         return [p[a:b] for a, b in zip(starts, starts[1:])]
 
 
-#: Emissions count for less than in a model of independent features, since they aren't independent.
-DAMPING, SMOOTHING = 0.6, 0.5
+#: Emissions count for less than in a model of independent features, since they aren't independent; names, which are, count for more.
+DAMPING, NAMES, SMOOTHING = 0.15, 2.0, 0.5
 
 
 @functools.cache
@@ -369,7 +368,7 @@ def fit(n_pages: int = 1500, seed: int = 11) -> TreeModel:
                 seen.setdefault(f, np.zeros(2))[state[i]] += 1
             if i:
                 moves.setdefault(nodes[i].tag, np.ones((2, 2)))[state[nodes[i].parent], state[i]] += 1
-    emissions = {f: tuple(DAMPING * np.log((c + SMOOTHING) / (total + 2 * SMOOTHING))) for f, c in seen.items() if c.sum() >= 3}
+    emissions = {f: tuple((NAMES if f.startswith("name ") else DAMPING) * np.log((c + SMOOTHING) / (total + 2 * SMOOTHING))) for f, c in seen.items() if c.sum() >= 3}
     transitions = {tag: np.log(c / c.sum(axis=1, keepdims=True)) for tag, c in moves.items()}
     return TreeModel(emissions, transitions, (0.0, 0.0))
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, chat, decontaminate, permutation_index, pii, quality, simhash, token_output, warc_zip
+from assayframe.llm import bpe, chat, decontaminate, html_text, permutation_index, pii, quality, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -66,6 +66,11 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PSEUDONYM_KEY)
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.with_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = bpe.with_tokens(docs, RANKS, public_tokenizers.PATTERN)
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_output": op4_token_output,
     "op5_simhash": op5_simhash,
     "op6_pseudonyms": op6_pseudonyms,
+    "op7_main_text": op7_main_text,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_permutation_index": op10_permutation_index,
