@@ -41,19 +41,21 @@ _other_space = re.compile(r"[^\S \n]").search
 _cut = re.compile(r"(?<=\S) (?=\S)").split
 
 
-def words_of(text: str) -> list[str]:
-    """``text`` cut at each single space between two characters that aren't space.
+def cut_words(text: str) -> list[str]:
+    """``text`` cut at, and without, each single space between two characters that aren't space.
 
     No pattern of this family lets a piece span such a cut, and the cut-off
     space always opens the next piece, so words encode apart from each other.
     """
-    if "  " in text or " \n" in text or "\n " in text or _other_space(text):
-        words = _cut(text)
-    else:
-        words = text.split(" ")
-        if words[0] == "" or words[-1] == "":
-            words = _cut(text)
-    return [words[0], *map(" ".__add__, words[1:])]
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _other_space(text):
+        return _cut(text)
+    return text.split(" ")
+
+
+def words_of(text: str) -> list[str]:
+    """The words of ``cut_words``, each but the first with its space."""
+    first, *rest = cut_words(text)
+    return [first, *map(" ".__add__, rest)]
 
 
 class Vocabulary:

@@ -18,7 +18,7 @@ from __future__ import annotations
 import functools
 import gc
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,10 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from assayframe.llm.bpe import KEPT_CHARS, KEPT_WORDS, ids_array, slices, words_of
+from assayframe.llm.bpe import KEPT_CHARS, cut_words, ids_array, slices
 from assayframe.llm.shared import short_batches
 
 
+#: Words, and pieces, in a generation that a worker keeps.
+KEPT = 300_000
+
+
 def byte_letters() -> dict[int, str]:
     """The printable stand-in of each byte in byte-level vocabularies: itself if printable, else the next free code point from 256."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -40,6 +44,30 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Kept(dict):
+    """What ``make`` gave for strings met lately.
+
+    Two generations of about ``limit`` strings are held: when the younger is
+    full it becomes the older one, and strings met again come back from there.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= KEPT_CHARS:
+            self[key] = value
+        return value
+
+    def age(self) -> None:
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+
+
 class PieceEncoder:
     """Encodes texts through the library's model, keeping the ids of words and pieces it has met."""
 
@@ -47,38 +75,25 @@ class PieceEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model, self.find, self.letters = tokenizer.model, regex.compile(pattern).findall, byte_letters()
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces, self.words = Kept(self._piece, KEPT), Kept(self._word, KEPT)
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            tokens = self.model.tokenize(piece.encode().decode("latin1").translate(self.letters))
-            ids = np.array([t.id for t in tokens], np.int32).tobytes()
-            if len(piece) <= KEPT_CHARS:
-                if len(self.pieces) >= KEPT_WORDS // 4:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-        return ids
+        tokens = self.model.tokenize(piece.encode().decode("latin1").translate(self.letters))
+        return np.array([t.id for t in tokens], np.int32).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word with a space before it."""
+        return b"".join(map(self.pieces.__getitem__, self.find(f" {word}")))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as int32 in machine order."""
         if not text:
             return b""
-        if len(self.words) > KEPT_WORDS // 2:
-            self.words, self.older = {}, self.words
-        known, older, out = self.words, self.older, []
-        for word in words_of(text):
-            ids = known.get(word)
-            if ids is None:
-                ids = older.get(word)
-                if ids is None:
-                    ids = b"".join(map(self._piece, self.find(word)))
-                if len(word) <= KEPT_CHARS:
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        first, *rest = cut_words(text)
+        ids = b"".join((*map(self.pieces.__getitem__, self.find(first)), *map(self.words.__getitem__, rest)))
+        self.pieces.age()
+        self.words.age()
+        return ids
 
 
 @functools.cache
@@ -87,17 +102,19 @@ def piece_encoder(path: str, pattern: str) -> PieceEncoder:
 
 
 def encode(text: Column, path: str, pattern: str, end_id: int | None = None) -> Column:
-    """Token ids of a text column, array<int>; ``end_id`` is appended to each."""
+    """Struct of the token ids of a text column, array<int>, with ``end_id`` appended, and the number of ids before them in their partition."""
     end = b"" if end_id is None else np.int32(end_id).tobytes()
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    @F.arrow_udf("token_ids array<int>, part_start long")
     def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = piece_encoder(path, pattern)
+        own, done = piece_encoder(path, pattern), 0
         for batch in batches:
             gc.disable()  # no cycles among the kept words, only a long walk over them
             runs = [own.encode(x or "") + end for texts in slices(batch) for x in texts]
             gc.enable()
-            yield ids_array(runs)
+            ends = np.cumsum([done, *(len(r) // 4 for r in runs)])
+            done = int(ends[-1])
+            yield pa.StructArray.from_arrays([ids_array(runs), pa.array(ends[:-1], pa.int64())], ["token_ids", "part_start"])
 
     return token_ids(text)
 
@@ -122,24 +139,14 @@ def write(
     short_batches(df.sparkSession)
     rows = df.select(key, *keep, F.coalesce(text, F.lit("")).alias("__text"))
     rows = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key, "__text")
-    rows = rows.withColumn("token_ids", encode(F.col("__text"), tokenizer_path, pattern, end_id)).withColumn("n_tokens", F.size("token_ids").cast("long"))
-    writer = rows.select(F.spark_partition_id().alias("part"), sum_before("n_tokens").alias("part_start"), key, *keep, "n_tokens", "token_ids").write
+    rows = rows.withColumn("__ids", encode(F.col("__text"), tokenizer_path, pattern, end_id))
+    writer = rows.select(F.spark_partition_id().alias("part"), "__ids.part_start", key, *keep, F.size("__ids.token_ids").cast("long").alias("n_tokens"), "__ids.token_ids").write
     writer = writer.option("compression", "zstd").option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes).option("parquet.dictionary.page.size", 1 << 20)
     if delta:
         writer = writer.option("parquet.writer.version", "PARQUET_2_0").option("parquet.enable.dictionary#token_ids.list.element", "false")
     writer.parquet(out)
 
 
-@F.arrow_udf(T.LongType())
-def sum_before(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Sum of the values of all rows before each in its partition."""
-    done = 0
-    for batch in batches:
-        ends = batch.to_numpy(zero_copy_only=False).cumsum() + done
-        yield pa.array(np.concatenate(([done], ends[:-1]))[: len(batch)], pa.int64())
-        done = int(ends[-1]) if len(batch) else done
-
-
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The documents of ``write``, with ``start``: the number of ids of all documents before each.
 
