@@ -1,16 +1,68 @@
-"""Corpus preparation: each stage applies one operator to what the stage before it kept."""
+"""Corpus preparation: each stage applies one operator to all that the stage before it kept."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
-#: The classifier, the fingerprints, the pseudonyms and the tokenizer have no SQL form.
+from assayframe.llm import bpe, decontaminate, pii, quality, simhash
+from assayframe.llm.queries import ACCEPT, PSEUDONYM_KEY, RANKS, quality_model
+from assayframe.llm.shared import stored, table
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    rows = quality.scored(docs, quality_model(spark, docs, sf_dir), to="__score")
+    return rows.where(F.col("__score") >= ACCEPT).select(COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near duplicates; of rows that share an id, one."""
+    found = simhash.near_duplicates(docs)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id"))
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
+    return kept.dropDuplicates(["doc_id"]).select(COLUMNS)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of words with a benchmark item."""
+    rows = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return rows.where(~F.col("contaminated")).select(COLUMNS)
+
+
+def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by pseudonyms of the same format."""
+    rows = pii.pseudonymise(docs, PSEUDONYM_KEY)
+    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(COLUMNS)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their token ids, and whether these decode to the text's bytes."""
+    rows = bpe.with_bytes(bpe.with_tokens(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    same = F.col("decoded").eqNullSafe(F.col("text").cast("binary"))
+    return rows.select(*COLUMNS, "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), same.alias("decodes"))
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("PII pseudonyms", replace_private),
+    ("byte-level BPE", tokenise),
+]
+
+#: The classifier, the fingerprints' components, the pseudonyms and the merges have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages over ``documents``; what each but the last keeps is written, so later ones don't make it again."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stored(docs, name.replace(" ", "-"))
     return docs
