@@ -8,7 +8,7 @@ its authors propose, and a logistic curve fitted to decision values of folds
 turns values into probabilities.
 
 The fit takes a bounded sample: at most ``MOST_LABELLED`` labelled rows, those
-of least hash of their id, sent to the driver as hashed indicators only.
+of least hash of their id, sent to the driver as packed indicators only.
 Scoring covers every row and whole texts; the weights, of fixed size, go to
 each task.
 
@@ -34,7 +34,7 @@ from assayframe.llm.bpe import slices
 from assayframe.llm.shared import short_batches
 
 N_FEATURES = 1 << 18
-MOST_LABELLED = 6000
+MOST_LABELLED = 4000
 #: Weight of the fitted model against its mean weight, cost of the hinge loss, rounds of descent, folds for the curve.
 MIX, COST, ROUNDS, FOLDS = 0.9, 1.0, 12, 3
 
@@ -84,12 +84,12 @@ def indicators(text: str) -> np.ndarray:
 
 
 def feature_lists(text: Column) -> Column:
-    """``indicators`` of a text column, array<int>."""
+    """``indicators`` of a text column, packed as binary."""
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    @F.arrow_udf(T.BinaryType())
     def places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([indicators(x or "") for texts in slices(batch) for x in texts], pa.list_(pa.int32()))
+            yield pa.array([indicators(x or "").tobytes() for texts in slices(batch) for x in texts], pa.binary())
 
     return places(text)
 
@@ -153,13 +153,24 @@ def fit_curve(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return slope / scale, -beta[1] / slope * scale
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = MOST_LABELLED) -> Model:
-    """A model of ``label`` (0 or 1) from at most ``most`` rows of least hash of their key."""
-    short_batches(labelled.sparkSession)
-    rows = labelled.where(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = rows.orderBy(F.xxhash64("key"), "key", "text").limit(most)
-    found = rows.select("label", feature_lists(F.col("text")).alias("places")).collect()
-    places = [np.array(r["places"], np.int32) for r in found]
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = MOST_LABELLED) -> DataFrame:
+    """``text, label`` of at most ``most`` labelled documents, those of least hash of their key.
+
+    Only keys are shuffled to choose them; the bounded choice is broadcast to
+    the documents, whose texts stay where they are read.
+    """
+    rows = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col(label).cast("int").alias("label"))
+    rows = rows.join(docs.select(F.col(key).alias("__key")), "__key", "left_semi")
+    chosen = rows.orderBy(F.xxhash64("__key"), "__key", "label").limit(most)
+    return docs.join(F.broadcast(chosen), F.col(key) == F.col("__key")).select(F.col("__key").alias("key"), "label", F.coalesce(text, F.lit("")).alias("text"))
+
+
+def fit(sample: DataFrame) -> Model:
+    """A model of the labels of ``labelled_sample``; its rows' packed indicators are all that comes to the driver."""
+    short_batches(sample.sparkSession)
+    found = sample.select("key", "label", feature_lists(F.col("text")).alias("places")).collect()
+    found.sort(key=lambda r: (r["key"], r["label"], bytes(r["places"])))  # the order of rows must not change the model
+    places = [np.frombuffer(r["places"], np.int32) for r in found]
     labels = np.array([r["label"] for r in found], int)
     if len(set(labels.tolist())) < 2:
         share = labels.mean() if len(labels) else 0.5

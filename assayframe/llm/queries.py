@@ -86,9 +86,8 @@ def held_out(key: str) -> Column:
 
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
     """The quality model of the labelled documents that aren't held out."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled_id"), F.col("quality").alias("label"))
-    rows = docs.select("doc_id", "text").join(labels.where(~held_out("labelled_id")), F.col("doc_id") == F.col("labelled_id"))
-    return quality.fit(rows, label="label")
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
+    return quality.fit(quality.labelled_sample(docs, labels))
 
 
 #: Documents of at least this score are predicted to be good.
