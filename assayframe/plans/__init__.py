@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from assayframe.plans import core
+
+QUERIES = {**core.QUERIES}
+ORACLE_SQL = {**core.ORACLE_SQL}
