@@ -47,7 +47,9 @@ def cut_words(text: str) -> list[str]:
     No pattern of this family lets a piece span such a cut, and the cut-off
     space always opens the next piece, so words encode apart from each other.
     """
-    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _other_space(text):
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
+        return _cut(text)
+    if not text.replace("\n", "").isprintable() and _other_space(text):  # no space but " " is printable
         return _cut(text)
     return text.split(" ")
 

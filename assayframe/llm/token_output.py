@@ -33,8 +33,8 @@ from assayframe.llm.bpe import KEPT_CHARS, cut_words, ids_array, slices
 from assayframe.llm.shared import short_batches
 
 
-#: Words, and pieces, in a generation that a worker keeps.
-KEPT = 300_000
+#: Words in a generation that a worker keeps; pieces without a space before them are a tenth of that.
+KEPT = 600_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -75,15 +75,19 @@ class PieceEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model, self.find, self.letters = tokenizer.model, regex.compile(pattern).findall, byte_letters()
-        self.pieces, self.words = Kept(self._piece, KEPT), Kept(self._word, KEPT)
+        self.words, self.pieces = Kept(self._word, KEPT), Kept(self._piece, KEPT // 10)
 
     def _piece(self, piece: str) -> bytes:
         tokens = self.model.tokenize(piece.encode().decode("latin1").translate(self.letters))
         return np.array([t.id for t in tokens], np.int32).tobytes()
 
     def _word(self, word: str) -> bytes:
-        """Ids of a word with a space before it."""
-        return b"".join(map(self.pieces.__getitem__, self.find(f" {word}")))
+        """Ids of a word with a space before it; what punctuation follows leaves its first piece a word of its own."""
+        first, *rest = self.find(f" {word}")
+        if not rest:
+            return self._piece(first)
+        ids = self.words[first[1:]] if first[0] == " " and len(first) > 1 else self.pieces[first]
+        return ids + b"".join(map(self.pieces.__getitem__, rest))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as int32 in machine order."""
