@@ -81,7 +81,7 @@ def one_class(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def pivot_unique(df: DataFrame, label: str, column: str, value: str, names: list[str]) -> DataFrame:
     """One column a name, one row a label; two values for one cell are an error."""
-    one = F.when(F.count("*") > 1, F.raise_error(F.concat(F.lit("several values for "), F.max(F.col(label).cast("string"))))).otherwise(F.max(value))
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit("several values for "), F.max(F.col(label).cast("string"))))).otherwise(F.max(value))
     return df.groupBy(label).pivot(column, names).agg(one)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assayframe.plans import core
+from assayframe.plans import core, pooled
 
-QUERIES = {**core.QUERIES}
-ORACLE_SQL = {**core.ORACLE_SQL}
+QUERIES = {**core.QUERIES, **pooled.QUERIES}
+ORACLE_SQL = {**core.ORACLE_SQL, **pooled.ORACLE_SQL}
