@@ -159,10 +159,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     Only keys are shuffled to choose them; the bounded choice is broadcast to
     the documents, whose texts stay where they are read.
     """
-    rows = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col(label).cast("int").alias("label"))
+    rows = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
     rows = rows.join(docs.select(F.col(key).alias("__key")), "__key", "left_semi")
-    chosen = rows.orderBy(F.xxhash64("__key"), "__key", "label").limit(most)
-    return docs.join(F.broadcast(chosen), F.col(key) == F.col("__key")).select(F.col("__key").alias("key"), "label", F.coalesce(text, F.lit("")).alias("text"))
+    chosen = rows.orderBy(F.xxhash64("__key"), "__key", "__label").limit(most)
+    return docs.join(F.broadcast(chosen), F.col(key) == F.col("__key")).select(F.col("__key").alias("key"), F.col("__label").alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
 def fit(sample: DataFrame) -> Model:

@@ -148,13 +148,14 @@ def links(prints: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42) -> DataFrame:
     """``key, fp, component_id`` for every row: the smallest key that links of at most two differing bits reach."""
     short_batches(df.sparkSession)
-    docs = stored(df.select(F.col(key), fingerprint(F.col(text), width, seed).alias("fp")), "simhash")
-    classes = docs.groupBy("fp").agg(F.min(key).alias("least"))
+    docs = stored(df.select(F.col(key).alias("key"), fingerprint(F.col(text), width, seed).alias("fp")), "simhash")
+    classes = docs.groupBy("fp").agg(F.min("key").alias("least"))
     roots = components(links(docs.select("fp").distinct()), "a", "b")
     linked = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     linked = stored(linked, "simhash-classes")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    return docs.join(linked.join(least, "root").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+    found = docs.join(linked.join(least, "root").select("fp", "component_id"), "fp")
+    return found.select(F.col("key").alias(key), "fp", "component_id")
 
 
 def hex_print(fp: Column) -> Column:

@@ -199,7 +199,7 @@ class Package:
         """Start and size of the central directory."""
         tail_at = max(0, self.size - END_SIZE - FULL16)
         tail = self.range(tail_at, self.size - tail_at)
-        at = tail.rfind(END)
+        at = tail.rfind(END, 0, max(0, len(tail) - END_SIZE + len(END)))
         while at >= 0 and at + END_SIZE + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
             at = tail.rfind(END, 0, at)  # those bytes stood in the comment
         if at < 0:
