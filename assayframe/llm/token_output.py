@@ -18,10 +18,10 @@ from __future__ import annotations
 import functools
 import gc
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 import numpy as np
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,7 +34,7 @@ from assayframe.llm.shared import short_batches
 
 
 #: Words in a generation that a worker keeps; pieces without a space before them are a tenth of that.
-KEPT = 600_000
+KEPT = 700_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -75,14 +75,20 @@ class PieceEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model, self.find, self.letters = tokenizer.model, regex.compile(pattern).findall, byte_letters()
+        self.space = self.letters[32]
         self.words, self.pieces = Kept(self._word, KEPT), Kept(self._piece, KEPT // 10)
 
     def _piece(self, piece: str) -> bytes:
-        tokens = self.model.tokenize(piece.encode().decode("latin1").translate(self.letters))
-        return np.array([t.id for t in tokens], np.int32).tobytes()
+        if piece.isascii() and piece.isprintable():  # of these only the space has another stand-in
+            letters = piece.replace(" ", self.space)
+        else:
+            letters = piece.encode().decode("latin1").translate(self.letters)
+        return array("i", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         """Ids of a word with a space before it; what punctuation follows leaves its first piece a word of its own."""
+        if not word:
+            return b""
         first, *rest = self.find(f" {word}")
         if not rest:
             return self._piece(first)
@@ -93,8 +99,9 @@ class PieceEncoder:
         """The ids of a text as int32 in machine order."""
         if not text:
             return b""
-        first, *rest = cut_words(text)
-        ids = b"".join((*map(self.pieces.__getitem__, self.find(first)), *map(self.words.__getitem__, rest)))
+        words = cut_words(text)
+        first, words[0] = words[0], ""  # the empty word has no ids
+        ids = b"".join(map(self.pieces.__getitem__, self.find(first))) + b"".join(map(self.words.__getitem__, words))
         self.pieces.age()
         self.words.age()
         return ids
@@ -145,7 +152,7 @@ def write(
     rows = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key, "__text")
     rows = rows.withColumn("__ids", encode(F.col("__text"), tokenizer_path, pattern, end_id))
     writer = rows.select(F.spark_partition_id().alias("part"), "__ids.part_start", key, *keep, F.size("__ids.token_ids").cast("long").alias("n_tokens"), "__ids.token_ids").write
-    writer = writer.option("compression", "zstd").option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes).option("parquet.dictionary.page.size", 1 << 20)
+    writer = writer.option("compression", "lz4raw").option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes).option("parquet.dictionary.page.size", 1 << 20)
     if delta:
         writer = writer.option("parquet.writer.version", "PARQUET_2_0").option("parquet.enable.dictionary#token_ids.list.element", "false")
     writer.parquet(out)
@@ -169,6 +176,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def ids_crc32(batch: pa.Array) -> pa.Array:
     """Unsigned crc32 of each list's ids as little-endian unsigned 32-bit integers; null of null."""
     offsets = batch.offsets.to_numpy()
-    raw = pc.cast(batch.values, pa.int64()).to_numpy(zero_copy_only=False).astype("<u4")
-    crcs = [zlib.crc32(raw[offsets[i] : offsets[i + 1]].tobytes()) for i in range(len(batch))]
+    raw = np.ascontiguousarray(batch.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False))
+    crcs = [zlib.crc32(raw[offsets[i] : offsets[i + 1]]) for i in range(len(batch))]
     return pa.array(crcs, pa.int64(), mask=batch.is_null().to_numpy(zero_copy_only=False))
