@@ -34,7 +34,7 @@ def scan(spark: SparkSession, path: str, sample: float = 1.0, text_only: bool =
         df = spark.read.parquet(path)
         return df.select("*", F.col("_metadata.file_path").alias(file_column), F.col("_metadata.row_index").alias(row_column))
     reader = spark.read.option("header", True).option("sep", "\t" if ".tsv" in path else ",")
-    reader = reader.option("inferSchema", not text_only).option("samplingRatio", sample)
+    reader = reader.option("positiveInf", "inf").option("negativeInf", "-inf").option("inferSchema", not text_only).option("samplingRatio", sample)
     df = reader.csv(path).select("*", F.col("_metadata.file_path").alias(file_column), F.monotonically_increasing_id().alias("__id"))
     return _numbered(df, [file_column], row_column)
 
