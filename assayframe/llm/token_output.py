@@ -152,7 +152,7 @@ def write(
     rows = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key, "__text")
     rows = rows.withColumn("__ids", encode(F.col("__text"), tokenizer_path, pattern, end_id))
     writer = rows.select(F.spark_partition_id().alias("part"), "__ids.part_start", key, *keep, F.size("__ids.token_ids").cast("long").alias("n_tokens"), "__ids.token_ids").write
-    writer = writer.option("compression", "lz4raw").option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes).option("parquet.dictionary.page.size", 1 << 20)
+    writer = writer.option("compression", "lz4_raw").option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes).option("parquet.dictionary.page.size", 1 << 20)
     if delta:
         writer = writer.option("parquet.writer.version", "PARQUET_2_0").option("parquet.enable.dictionary#token_ids.list.element", "false")
     writer.parquet(out)
