@@ -158,6 +158,127 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     return found.select(F.col("key").alias(key), "fp", "component_id")
 
 
+# Groups of similar texts
+
+
+def word_bits(text: str, seed: int = 42) -> int:
+    """The fingerprint of a text's distinct words, unsigned: of texts with few words changed it differs in few bits."""
+    words = set(text.encode().translate(_LOWER).split())
+    if not words:
+        return 0
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), "<u8", len(words))
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(hashes), ROWS):
+        ones += np.unpackbits(hashes[start : start + ROWS].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def word_fingerprint(text: Column) -> Column:
+    """``word_bits`` of a text column as a (signed) long."""
+
+    @F.arrow_udf(T.LongType())
+    def word_simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            bits = [word_bits(x or "") for texts in slices(batch) for x in texts]
+            yield pa.array(np.array(bits, np.uint64).view(np.int64))
+
+    return word_simhash(text)
+
+
+def wide_key_lists(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of codeword indices near two segments of each fingerprint, for all three pairs of segments, and their number.
+
+    Fingerprints of at most five differing bits share one for certain: then two
+    segments differ in two bits at most each.  Most of seven bits do as well.
+    """
+    near = [codewords((prints >> np.uint64(at) & np.uint64((1 << width) - 1)).astype(np.int64)) for at, width in SEGMENTS]
+    keys, valid = [], []
+    for i in range(3):
+        (left, n), (right, m) = near[i], near[(i + 1) % 3]
+        keys.append((i << 24 | left[:, :, None] << GOLAY_K | right[:, None, :]).reshape(len(prints), -1))
+        valid.append(((np.arange(6) < n[:, None])[:, :, None] & (np.arange(6) < m[:, None])[:, None, :]).reshape(len(prints), -1))
+    valid = np.concatenate(valid, axis=1)
+    return np.concatenate(keys, axis=1)[valid], valid.sum(axis=1)
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def wide_keys(prints: pa.Array) -> pa.Array:
+    own, counts = wide_key_lists(prints.to_numpy(zero_copy_only=False).view(np.uint64))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], counts.cumsum())), pa.int32()), pa.array(own.astype(np.int32)))
+
+
+def shingles(text: str, width: int) -> set[tuple[bytes, ...]]:
+    words = text.encode().translate(_LOWER).split()
+    return set(zip(*(words[i:] for i in range(width)))) if len(words) > width else {tuple(words)}
+
+
+def resemblance(a: Column, b: Column, width: int) -> Column:
+    """Jaccard similarity of the word shingles of two texts."""
+
+    @F.arrow_udf(T.DoubleType())
+    def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(left, right):
+            p, q = shingles(x.as_py() or "", width), shingles(y.as_py() or "", width)
+            both = len(p & q)
+            out.append(both / (len(p) + len(q) - both))
+        return pa.array(out, pa.float64())
+
+    return jaccard(a, b)
+
+
+#: Candidates differ in no more bits than this; unrelated texts differ in about thirty.
+NEAR = 12
+#: Texts of candidates are found by a broadcast of their hashes up to this number (8 bytes each).
+BROADCAST_HASHES = 1_000_000
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """The pairs ``a, b`` of text hashes whose texts resemble each other."""
+    pairs = stored(pairs.distinct(), "similar-pairs")
+    wanted = stored(pairs.select(F.col("a").alias("hash")).union(pairs.select("b")).distinct(), "similar-hashes")
+    small = wanted.count() <= BROADCAST_HASHES
+    held = texts.join(F.broadcast(wanted) if small else wanted, "hash", "left_semi").dropDuplicates(["hash"])
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("hash")).join(held, "hash")
+    side = lambda c: F.max(F.when(F.col("hash") == F.col(c), F.col("text")))
+    both = sides.groupBy("a", "b").agg(side("a").alias("x"), side("b").alias("y"))
+    return both.where(resemblance(F.col("x"), F.col("y"), width) >= least).select("a", "b")
+
+
+def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
+    """``key, hash, component_id``: groups that texts of at least ``least`` shingle similarity link.
+
+    Texts of near fingerprints of their words meet on the keys of two fuzzy
+    segments.  First each text is verified against the smallest text that it
+    meets, which joins a crowd of copies by as many pairs as it has members;
+    then all pairs that meet and aren't joined yet are verified, so every
+    candidate link counts.  Equal texts (of equal 64-bit hash) are one.
+    """
+    short_batches(df.sparkSession)
+    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    docs = stored(rows.select("key", "hash", word_fingerprint(F.col("text")).alias("fp")), "similar-prints")
+    classes = docs.groupBy("hash").agg(F.min("key").alias("least"), F.min("fp").alias("fp"))
+    keyed = classes.select("hash", "fp", F.explode(wide_keys("fp")).alias("bucket"))
+    heads = keyed.groupBy("bucket").agg(F.min(F.struct("hash", "fp")).alias("head"), F.count("*").alias("n")).where("n > 1")
+    met = stored(keyed.join(heads.select("bucket", "head"), "bucket"), "similar-keys")
+    near = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= NEAR
+    heads_met = met.where((F.col("hash") != F.col("head.hash")) & near("fp", "head.fp"))
+    first = heads_met.groupBy(F.col("hash").alias("a")).agg(F.min("head.hash").alias("b"))
+    links = stored(_verified(first, rows.select("hash", "text"), width, least), "similar-links")
+    roots = stored(components(links, "a", "b"), "similar-roots")
+    placed = met.join(roots, F.col("hash") == F.col("node"), "left").select("bucket", "hash", "fp", F.coalesce("root", "hash").alias("root"))
+    left = placed.select("bucket", F.col("hash").alias("a"), F.col("fp").alias("x"), F.col("root").alias("p"))
+    right = placed.select("bucket", F.col("hash").alias("b"), F.col("fp").alias("y"), F.col("root").alias("q"))
+    apart = left.join(right, "bucket").where((F.col("p") < F.col("q")) & near("x", "y")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = _verified(apart, rows.select("hash", "text"), width, least)
+    roots = components(links.union(more), "a", "b")
+    groups = classes.join(roots, F.col("hash") == F.col("node"), "left").select("hash", "least", F.coalesce("root", "hash").alias("root"))
+    groups = stored(groups, "similar-groups")
+    ids = groups.groupBy("root").agg(F.min("least").alias("component_id"))
+    found = docs.join(groups.join(ids, "root").select("hash", "component_id"), "hash")
+    return found.select(F.col("key").alias(key), "hash", "component_id")
+
+
 def hex_print(fp: Column) -> Column:
     """A fingerprint as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

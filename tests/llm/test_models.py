@@ -217,6 +217,34 @@ def test_recall(spark):
     assert found / all_ >= 0.9
 
 
+# Similar texts
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_similar_groups_against_brute_force(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(simhash, "BROADCAST_HASHES", -1)
+    rng = random.Random(8)
+    say = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    texts = [say(rng.choice((3, 40, 150, 400))) for _ in range(25)]
+    for base in texts[:12]:
+        own = base
+        for _ in range(8):
+            own = [w if rng.random() > 0.012 else f"x{rng.randrange(999)}" for w in own]
+            texts.append(own)
+    texts = [" ".join(t) for t in texts] + [None, "", " ", "one", "ONE"]
+    df = spark.createDataFrame([(i, t, 0, 1) for i, t in enumerate(texts)], "doc_id long, text string, hash int, fp int")
+    sets = [simhash.shingles(t or "", 5) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()} == dict(enumerate(root))
+    assert simhash.similar_groups(df.limit(0)).count() == 0
+
+
 # The pipeline
 
 
@@ -237,11 +265,11 @@ def test_each_stage_does_its_work(spark, sf_dir, stages):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     kept = [d in good for d in first if labels.get(d) == 1]
     assert sum(kept) / len(kept) > 0.95 and set(good) <= set(first)
-    prints = {d: simhash.shingle_bits(r.text, 3, 42) for d, r in good.items()}
+    sets = {d: simhash.shingles(r.text or "", 5) for d, r in good.items()}
     parent = {}
-    for d in sorted(prints):
+    for d in sorted(sets):
         parent[d] = d
-        near = {parent[e] for e in parent if (prints[e] ^ prints[d]).bit_count() <= 2}
+        near = {parent[e] for e in parent if len(sets[e] & sets[d]) >= 0.8 * len(sets[e] | sets[d])}
         root = min(near)
         parent = {e: root if p in near else p for e, p in parent.items()}
     assert set(single) == {d for d, p in parent.items() if d == p}
