@@ -8,7 +8,12 @@ from assayframe.functions import labels
 from assayframe.operators import aggregate, normalize, qc
 from assayframe.plans.cells import CELLS_SQL, FEATURES, KEYS, WITH_CELLS, cells
 
-CONTROL = labels.is_control("meta_aa_changes")
+
+def control():
+    """Synonymous labels, the controls of every query here."""
+    return labels.is_control("meta_aa_changes")
+
+
 LABEL = "meta_aa_changes"
 
 
@@ -22,7 +27,7 @@ def label_annotation(spark, sf):
     wt, place, mut = labels.substitution(LABEL)
     at = labels.position(LABEL)
     return rows.select(
-        LABEL, "n_cells", labels.variant_type(LABEL).alias("variant_type"), CONTROL.alias("is_control"), labels.label_tag(LABEL).alias("tag"), at.alias("position"),
+        LABEL, "n_cells", labels.variant_type(LABEL).alias("variant_type"), control().alias("is_control"), labels.label_tag(LABEL).alias("tag"), at.alias("position"),
         wt.alias("wt"), place.alias("site"), mut.alias("mut"), labels.substitution_key(LABEL).alias("key"),
         labels.region(at, {"first": (1, 12), "second": (10, 25)}).alias("region"), labels.tiles(at, [("t1", 5, 20), ("t2", 15, 30)], several=True).alias("tiles"),
     )
@@ -51,8 +56,8 @@ def min_cells(spark, sf):
 
 
 def control_sample(spark, sf):
-    kept = qc.downsample_control(cells(spark, sf), CONTROL, KEYS, frac=0.25, seed=3)
-    return kept.groupBy(CONTROL.alias("is_control")).agg(F.count("*").alias("n_cells"))
+    kept = qc.downsample_control(cells(spark, sf), control(), KEYS, frac=0.25, seed=3)
+    return kept.groupBy(control().alias("is_control")).agg(F.count("*").alias("n_cells"))
 
 
 def pseudo_variants(spark, sf):
@@ -72,47 +77,47 @@ def label_metadata(spark, sf):
 
 
 def control_zscore(spark, sf):
-    rows = normalize.zscore(cells(spark, sf), CONTROL, FEATURES)
+    rows = normalize.zscore(cells(spark, sf), control(), FEATURES)
     return rounded(rows.groupBy(LABEL).agg(*(F.avg(f).alias(f) for f in FEATURES)), *FEATURES)
 
 
 def batch_zscore(spark, sf):
-    rows = normalize.zscore(cells(spark, sf), CONTROL, FEATURES, by=["meta_batch"])
+    rows = normalize.zscore(cells(spark, sf), control(), FEATURES, by=["meta_batch"])
     return rounded(rows.groupBy(LABEL, "meta_batch").agg(*(F.avg(f).alias(f) for f in FEATURES)), *FEATURES)
 
 
 def score_correction(spark, sf):
     per_batch = cells(spark, sf).groupBy(LABEL, "meta_batch").agg(F.avg("price").alias("score"))
-    return rounded(normalize.correct_scores(per_batch, ["score"], "meta_batch", CONTROL, rescale=True), "score", "score_corrected", digits=4)
+    return rounded(normalize.correct_scores(per_batch, ["score"], "meta_batch", control(), rescale=True), "score", "score_corrected", digits=4)
 
 
 def plain_statistics(spark, sf):
     methods = ["mean", "median", "std", "MAD"]
     names = [f"{f}_{m}" for m in methods for f in FEATURES]
-    return rounded(aggregate.aggregate(cells(spark, sf), CONTROL, FEATURES, methods), *names)
+    return rounded(aggregate.aggregate(cells(spark, sf), control(), FEATURES, methods), *names)
 
 
 COMPARED = ["KS", "signedKS", "AUROC", "KSnegLogP", "AUROCnegLogP"]
 
 
 def distribution_statistics(spark, sf):
-    rows = aggregate.against_control(cells(spark, sf), CONTROL, FEATURES, COMPARED)
+    rows = aggregate.against_control(cells(spark, sf), control(), FEATURES, COMPARED)
     return rounded(rows, *COMPARED, digits=4)
 
 
 def quantile_correlation(spark, sf):
-    rows = aggregate.against_control(cells(spark, sf), CONTROL, FEATURES, ["QQ"])
+    rows = aggregate.against_control(cells(spark, sf), control(), FEATURES, ["QQ"])
     return rounded(rows, "QQ", digits=5)
 
 
 def variant_profile(spark, sf):
     """Scan, labels, quality control, z-score, statistics and impact score in one plan."""
     kept = qc.passing(cells(spark, sf), max_distance=1, min_cells=1, min_barcodes=3)
-    scored = normalize.zscore(kept, CONTROL, FEATURES)
+    scored = normalize.zscore(kept, control(), FEATURES)
     # every row counts as a variant here, controls included, so that the impact score has its reference
     profile = aggregate.plain(scored, F.lit(False), FEATURES, ["mean", "median"])
     names = [f"{f}_{m}" for m in ("mean", "median") for f in FEATURES]
-    return rounded(aggregate.impact_score(profile, CONTROL, [f"{f}_mean" for f in FEATURES]), *names, "impact_score", digits=5)
+    return rounded(aggregate.impact_score(profile, control(), [f"{f}_mean" for f in FEATURES]), *names, "impact_score", digits=5)
 
 
 QUERIES = {f.__name__: f for f in (label_annotation, qc_cells, barcode_report, variant_report, select_top, min_cells, control_sample, pseudo_variants, wildtype_sample, label_metadata, control_zscore, batch_zscore, score_correction, plain_statistics, distribution_statistics, quantile_correlation, variant_profile)}

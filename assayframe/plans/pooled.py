@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from assayframe.functions import columns, labels
 from assayframe.operators import aggregate, annotate, combat, matrix, pool, reproduce, score
 from assayframe.plans.cells import FEATURES, KEYS, WITH_CELLS, cells
-from assayframe.plans.core import CONTROL, LABEL, rounded
+from assayframe.plans.core import LABEL, control, rounded
 from assayframe.sources import tables
 
 
@@ -47,7 +47,7 @@ def finalized_profiles(spark, sf):
     two = aggregate.plain(base, F.lit(False), FEATURES, ["std"])
     blocks = spark.createDataFrame([("tax_std", False), ("price_mean", True)], "feature string, feature_ok boolean")
     meta = base.groupBy(LABEL).agg(F.count("*").alias("meta_n_cells"))
-    out = reproduce.finalize([one, two], blocks, meta, CONTROL)
+    out = reproduce.finalize([one, two], blocks, meta, control())
     return rounded(out, *[c for c in out.columns if c.endswith(("_mean", "_std", "_score"))], digits=4)
 
 
@@ -61,7 +61,7 @@ def paired_medians(spark, sf):
 
 
 def global_scores(spark, sf):
-    return rounded(pool.global_scores(per_batch(spark, sf), LABEL, "meta_batch", "price", CONTROL), "price", digits=4)
+    return rounded(pool.global_scores(per_batch(spark, sf), LABEL, "meta_batch", "price", control()), "price", digits=4)
 
 
 def variant_scores(spark, sf):
@@ -168,7 +168,7 @@ def batch_permanova(spark, sf):
 
 
 def group_tests(spark, sf):
-    return rounded(matrix.group_tests(cells(spark, sf), CONTROL, FEATURES), "t", "cohens_d", "median_1", "median_2", digits=4)
+    return rounded(matrix.group_tests(cells(spark, sf), control(), FEATURES), "t", "cohens_d", "median_1", "median_2", digits=4)
 
 
 def principal_shares(spark, sf):
