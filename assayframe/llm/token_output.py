@@ -34,7 +34,7 @@ from assayframe.llm.shared import short_batches
 
 
 #: Words in a generation that a worker keeps; pieces without a space before them are a tenth of that.
-KEPT = 700_000
+KEPT = 550_000
 
 
 def byte_letters() -> dict[int, str]:
