@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assayframe.plans import core, pooled
+from assayframe.plans import composed, core, pooled
 
-QUERIES = {**core.QUERIES, **pooled.QUERIES}
-ORACLE_SQL = {**core.ORACLE_SQL, **pooled.ORACLE_SQL}
+QUERIES = {**core.QUERIES, **pooled.QUERIES, **composed.QUERIES}
+ORACLE_SQL = {**core.ORACLE_SQL, **pooled.ORACLE_SQL, **composed.ORACLE_SQL}

@@ -293,3 +293,17 @@ def test_images(spark):
     assert out.columns == ["cell", "emb_0000", "emb_0001", "emb_0002"] and out.count() == 2
     with pytest.raises(Exception, match="one side only"):
         images.join_cells(boxes.select("cell"), boxes.select("cell").where("cell = 7"), ["cell"]).collect()
+
+
+def test_positions_and_communities(spark):
+    from assayframe.operators import positions
+
+    ring = [(a, b) for g in (0, 10) for a in range(g, g + 5) for b in range(a + 1, g + 5)] + [(4, 10)]
+    got = {r.node: r.cluster for r in positions.communities(spark.createDataFrame(ring, "a long, b long")).collect()}
+    assert len({got[i] for i in range(4)}) == 1 and len({got[i] for i in range(11, 15)}) == 1 and got[0] != got[12]
+    runs = spark.createDataFrame([(1, "x"), (2, "x"), (2, "x"), (4, "x"), (3, "y"), (None, "x")], "p long, v string")
+    assert sorted(map(tuple, positions.runs(runs, "p", "v").collect())) == [("x", 1, 2), ("x", 4, 4), ("y", 3, 3)]
+    states = spark.createDataFrame([(1, "matched")] * 3 + [(2, "mismatched")], "position long, state string")
+    assert positions.checked_match(states, 0.5).first().mismatch == 0.25
+    with pytest.raises(Exception, match="don't fit"):
+        positions.checked_match(states, 0.1).collect()
