@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assayframe.functions import labels
-from assayframe.operators import aggregate, normalize, pool, positions, qc, reproduce
+from assayframe.operators import aggregate, annotate, matrix, normalize, pool, positions, qc, reproduce
 from assayframe.plans.cells import FEATURES, WITH_CELLS, cells
 from assayframe.plans.core import LABEL, control, rounded
 from assayframe.plans.pooled import halves, per_batch
@@ -58,7 +58,41 @@ def batch_rows(spark, sf):
     return base.groupBy("meta_batch").agg(F.count("*").alias("n")).join(kept, "meta_batch", "left")
 
 
-QUERIES = {f.__name__: f for f in (reproducible_profile, global_table, position_runs, residue_match, effect_map, position_means, batch_rows)}
+CURVE = (-2.0, -0.5, 0.5, 3.0)
+RANGES = ((-1, float("-inf"), 20.0), (1, 26.0, 27.0), (2, 27.0, float("inf")))
+
+
+def calibrated_scores(spark, sf):
+    """Likelihood ratio, posterior and points of each variant's score from a saved curve."""
+    rows = cells(spark, sf).groupBy(LABEL).agg(F.avg("quantity").alias("score"))
+    return rounded(annotate.apply_calibration(rows, "score", 24.0, 1.0, CURVE, 0.1, RANGES), "score", "lr", "posterior")
+
+
+def clinical_annotation(spark, sf):
+    """Labels with the clinical records of a supplied table: part types stand for records, whose lists are split and judged."""
+    words = F.element_at(F.array(F.lit("Pathogenic"), F.lit("Benign"), F.lit("Uncertain significance"), F.lit("")), F.pmod("p_size", F.lit(4)) + 1)
+    record = spark.read.parquet(f"{sf}/part.parquet").select(F.concat(F.lit("p.Ala"), F.expr("p_partkey % 40"), F.lit("Val")).alias("mapped_hgvs_p"), F.concat_ws("|", words, F.lit("Likely benign")).alias("clinvar.202401.clinical_significance"), F.concat_ws("|", F.expr("CAST(p_partkey % 3 AS STRING)"), F.lit("0")).alias("clinvar.202401.stars"))
+    found = annotate.clinvar(record, min_stars=1).select("key", "meta_clinvar_class", "meta_clinvar_stars")
+    return cells(spark, sf).groupBy(LABEL).agg(F.count("*").alias("n")).transform(lambda d: annotate.join_annotation(d, found, LABEL))
+
+
+def label_groups(spark, sf):
+    """Control groups by flags that other columns stand for."""
+    rows = cells(spark, sf).groupBy(LABEL).agg(F.max("meta_line").alias("m"), F.min("meta_part").alias("k"))
+    rows = rows.select(LABEL, F.when(F.col("k") % 3 == 0, "P/LP").when(F.col("k") % 3 == 1, "B/LB").alias("clinical"), (F.col("k") % 2 == 0).alias("seen"))
+    return annotate.control_groups(rows, LABEL, "clinical", "seen").select(LABEL, F.array_join("groups", ",").alias("groups"), "group")
+
+
+def unfit_columns(spark, sf):
+    """Per feature: share of missing values and whether selection drops it."""
+    rows = cells(spark, sf).select(*(F.when(F.col("meta_line") % (i + 2) != 0, F.col(f)).alias(f) for i, f in enumerate(FEATURES)))
+    names = matrix.unfit_features(rows, FEATURES, na_share=0.3, outlier=1e9)
+    each = rows.agg(*((1 - F.count(f) / F.count("*")).alias(f) for f in FEATURES))
+    long = each.select(F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).alias("missing"), F.lit(f in names).alias("dropped")) for f in FEATURES))).alias("p")).select("p.*")
+    return rounded(long, "missing")
+
+
+QUERIES = {f.__name__: f for f in (reproducible_profile, global_table, position_runs, residue_match, effect_map, position_means, batch_rows, calibrated_scores, clinical_annotation, label_groups, unfit_columns)}
 
 _each = lambda text, sep=", ": sep.join(text.replace("@", f) for f in FEATURES)
 _PB = f"{WITH_CELLS}, pb AS (SELECT meta_aa_changes, meta_batch, count(*) AS meta_n_cells, {_each('avg(@) AS @')} FROM cells GROUP BY 1, 2)"
@@ -88,6 +122,18 @@ ORACLE_SQL = {
         g AS (SELECT i AS position, m AS mut FROM (SELECT unnest(range(a, b + 1)) AS i FROM (SELECT min(position) AS a, max(position) AS b FROM e) AS s) AS t, (SELECT unnest(['A', 'V']) AS m) AS u)
         SELECT g.position, g.mut, round(score, 4) AS score FROM g LEFT JOIN v ON v.position = g.position AND v.mut = g.mut""",
     "position_means": f"{WITH_CELLS}, e AS (SELECT wt, position, mut, avg(tax) AS score FROM ({_SINGLE}) AS q GROUP BY 1, 2, 3) SELECT position, round(avg(score), 6) AS score, count(*) AS n FROM e WHERE wt <> mut GROUP BY 1",
+    "calibrated_scores": f"""{WITH_CELLS}, s AS (SELECT meta_aa_changes, avg(quantity) AS score FROM cells GROUP BY 1), a AS (SELECT *, least(greatest(score - 24.0, 0.0), 3.0) AS x FROM s),
+        l AS (SELECT *, CASE WHEN x <= 1 THEN -2.0 + x * 1.5 WHEN x <= 2 THEN -0.5 + (x - 1) * 1.0 ELSE 0.5 + (x - 2) * 2.5 END AS g FROM a)
+        SELECT meta_aa_changes, round(score, 6) AS score, round(exp(g), 6) AS lr, round(exp(g) * 0.1 / ((exp(g) - 1) * 0.1 + 1), 6) AS posterior,
+            CAST(CASE WHEN score <= 20 THEN -1 WHEN score BETWEEN 26 AND 27 THEN 1 WHEN score >= 27 THEN 2 ELSE 0 END AS TINYINT) AS points FROM l""",
+    "clinical_annotation": f"""{WITH_CELLS}, n AS (SELECT meta_aa_changes, count(*) AS n FROM cells GROUP BY 1),
+        r AS (SELECT concat('A', p_partkey % 40, 'V') AS key, p_partkey % 3 AS stars, CASE p_size % 4 WHEN 0 THEN 'P/LP' WHEN 1 THEN 'B/LB' END AS class FROM part WHERE p_partkey % 3 >= 1),
+        g AS (SELECT key, min(class) AS class, CAST(max(stars) AS INT) AS stars FROM r GROUP BY 1 HAVING min(class) = max(class))
+        SELECT meta_aa_changes, n, class AS meta_clinvar_class, stars AS meta_clinvar_stars FROM n LEFT JOIN g ON key = meta_aa_changes""",
+    "label_groups": f"""{WITH_CELLS}, r AS (SELECT meta_aa_changes, min(meta_part) AS k FROM cells GROUP BY 1),
+        g AS (SELECT meta_aa_changes, CASE WHEN meta_aa_changes LIKE '%:%' THEN '' ELSE concat_ws(',', CASE WHEN k % 3 = 0 THEN 'P/LP' END, CASE WHEN k % 3 = 1 THEN 'B/LB' END, CASE WHEN k % 2 = 0 THEN 'gnomAD' END, CASE WHEN meta_aa_changes LIKE 'A%A' THEN 'Synonymous' END) END AS groups FROM r)
+        SELECT meta_aa_changes, groups, nullif(split_part(groups, ',', 1), '') AS "group" FROM g""",
+    "unfit_columns": f"{WITH_CELLS} " + " UNION ALL ".join(f"SELECT '{f}' AS feature, round(1 - count(*) FILTER (meta_line % {i + 2} <> 0) / CAST(count(*) AS DOUBLE), 6) AS missing, 1 - count(*) FILTER (meta_line % {i + 2} <> 0) / CAST(count(*) AS DOUBLE) > 0.3 AS dropped FROM cells" for i, f in enumerate(FEATURES)),
     "batch_rows": f"""{WITH_CELLS}, near AS (SELECT * FROM cells WHERE meta_edit_distance <= 1), bc AS (SELECT meta_barcode FROM near GROUP BY 1 HAVING count(*) >= 100), k AS (SELECT * FROM near SEMI JOIN bc USING (meta_barcode)),
         lab AS (SELECT meta_aa_changes FROM k GROUP BY 1 HAVING count(DISTINCT meta_barcode) >= 2), ok AS (SELECT meta_batch, count(*) AS n_kept FROM k SEMI JOIN lab USING (meta_aa_changes) GROUP BY 1)
         SELECT meta_batch, n, n_kept FROM (SELECT meta_batch, count(*) AS n FROM cells GROUP BY 1) AS a LEFT JOIN ok USING (meta_batch)""",
