@@ -118,7 +118,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_permutation_index": op10_permutation_index,
 }
 
+_WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, {5 * i + 1}, 5) AS BIGINT) >> {shift}) & 31 AS INT), 1)" for i in range(8) for shift in (15, 10, 5, 0))
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc_zip": f"""
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+        f AS (SELECT h, min(page_id) AS first FROM p GROUP BY 1)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM p JOIN f USING (h)
+    """,
+    "op3_winnowing": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, CAST(least(len(w), 10) AS INT) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0) AS q),
+        lens AS (SELECT DISTINCT n FROM win), starts AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n),
+        hit AS (SELECT DISTINCT doc_id, i, win.n, item_id FROM (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s FROM starts) AS q JOIN win ON win.n = q.n AND win.s = q.s),
+        covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) AS q GROUP BY 1),
+        listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) AS q GROUP BY 1)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id LEFT JOIN listed ON listed.doc_id = d.doc_id
+    """,
     "op2_chat_format": """
         WITH raw AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
