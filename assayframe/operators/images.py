@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,15 @@ def join_cells(segments: DataFrame, reads: DataFrame, keys: list[str]) -> DataFr
     return marked.withColumn("__ok", F.coalesce(lone.cast("string"), F.lit(""))).where("__ok = ''").drop("__s", "__r", "__ok")
 
 
+def zip_by_position(left: DataFrame, right: DataFrame, by: list[str], left_order: list[str], right_order: list[str]) -> DataFrame:
+    """Rows of both sides of a tile joined by their place in it; unequal counts are an error."""
+    mine = left.withColumn("__i", F.row_number().over(Window.partitionBy(*by).orderBy(*left_order))).withColumn("__l", F.lit(True))
+    other = right.withColumn("__i", F.row_number().over(Window.partitionBy(*by).orderBy(*right_order))).withColumn("__o", F.lit(True))
+    both = mine.join(other, [*by, "__i"], "full_outer")
+    lone = F.when(F.col("__l").isNull() | F.col("__o").isNull(), F.raise_error(F.concat(F.lit("unequal numbers of rows in "), F.concat_ws("/", *(F.col(b).cast("string") for b in by)))))
+    return both.withColumn("__ok", F.coalesce(lone.cast("string"), F.lit(""))).where("__ok = ''").drop("__i", "__l", "__o", "__ok")
+
+
 def window(image: np.ndarray, labels: np.ndarray, box: tuple[float, float, float, float], own: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Square crop at a box's middle, zero beyond the edges, and the mask of the cell's own label."""
     top, left = int((box[0] + box[2]) // 2) - size // 2, int((box[1] + box[3]) // 2) - size // 2

@@ -110,6 +110,39 @@ def class_weights(rows: DataFrame, by: list[str], truth: str) -> DataFrame:
     return rows.withColumn("weight", n / (2 * F.count("*").over(Window.partitionBy(*by, truth))))
 
 
+def inner_split(rows: DataFrame, strata: list[str], keys: list[str], share: float = 0.2, seed: int = 0) -> DataFrame:
+    """``inner_test``: that share of each stratum, rounded down, in seeded order; a lone row is never tested."""
+    n = F.count("*").over(Window.partitionBy(*strata))
+    return rows.withColumn("inner_test", (n >= 2) & (seeded_rank(strata, keys, seed) <= F.floor(n * share)))
+
+
+def platt(scores: DataFrame, by: list[str], score: str = "score", truth: str = "is_wildtype", steps: int = 12) -> DataFrame:
+    """``scores`` with ``calibrated``: per group a logistic curve over the score's log odds, by Newton steps.
+
+    A step is one aggregation of gradients; the two numbers of each group are
+    joined back by broadcast (a row a group) and written by checkpoint.  Targets
+    are smoothed by the groups' class sizes; a small ridge keeps separable groups finite.
+    """
+    low = F.least(F.greatest(F.col(score), F.lit(1e-12)), F.lit(1 - 1e-12))
+    rows = scores.withColumn("__x", F.log(low / (1 - low)))
+    sizes = rows.groupBy(*by).agg(F.count_if(F.col(truth)).alias("__n1"), F.count_if(~F.col(truth)).alias("__n0"), F.greatest(F.stddev_pop("__x"), F.lit(1e-6)).alias("__s"))
+    state = sizes.withColumn("__a", F.lit(1.0)).withColumn("__b", F.lit(0.0))
+    target = F.when(F.col(truth), (F.col("__n1") + 1) / (F.col("__n1") + 2)).otherwise(1 / (F.col("__n0") + 2))
+    z = F.col("__x") / F.col("__s")
+    p = 1 / (1 + F.exp(-(F.col("__a") * z + F.col("__b"))))
+    for _ in range(steps):
+        w = p * (1 - p)
+        sums = rows.join(F.broadcast(state), by).groupBy(*by, "__n1", "__n0", "__s", "__a", "__b").agg(F.sum((target - p) * z).alias("g1"), F.sum(target - p).alias("g2"), F.sum(w * z * z).alias("h11"), F.sum(w * z).alias("h12"), F.sum(w).alias("h22"))
+        ridge = 1e-3
+        h11, h22 = F.col("h11") + ridge, F.col("h22") + ridge
+        det = h11 * h22 - F.col("h12") * F.col("h12")
+        g1, g2 = F.col("g1") - ridge * F.col("__a"), F.col("g2") - ridge * F.col("__b")
+        a = F.col("__a") + (h22 * g1 - F.col("h12") * g2) / det
+        b = F.col("__b") + (h11 * g2 - F.col("h12") * g1) / det
+        state = sums.select(*by, "__n1", "__n0", "__s", a.alias("__a"), b.alias("__b")).checkpoint()
+    return rows.join(F.broadcast(state), by).select(*scores.columns, p.alias("calibrated"))
+
+
 def metrics(scores: DataFrame) -> DataFrame:
     """Per variant: pooled AUROC, its median over barcodes (each against all wild type) and over folds, counts.
 

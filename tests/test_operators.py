@@ -307,3 +307,32 @@ def test_positions_and_communities(spark):
     assert positions.checked_match(states, 0.5).first().mismatch == 0.25
     with pytest.raises(Exception, match="don't fit"):
         positions.checked_match(states, 0.1).collect()
+
+
+def test_calibrated_scores_and_splits(spark):
+    rng = random.Random(9)
+    rows = [("v", i, 1 / (1 + math.exp(-3 * (rng.gauss(0.6 if w else -0.6, 1)))), w) for i in range(200) for w in [i % 2 == 0]]
+    df = spark.createDataFrame(rows, "scored_against string, k int, score double, is_wildtype boolean")
+    got = score.platt(df, ["scored_against"]).collect()
+    x = np.array([math.log(r.score / (1 - r.score)) for r in got])
+    y, p = np.array([r.is_wildtype for r in got]), np.array([r.calibrated for r in got])
+    assert abs(p.mean() - y.mean()) < 0.01 and np.corrcoef(np.argsort(np.argsort(x)), np.argsort(np.argsort(p)))[0, 1] > 0.999
+    t = np.where(y, 101 / 102, 1 / 102)
+    assert abs(((t - p) * x / x.std()).sum()) < 0.01
+    split = score.inner_split(df.withColumn("s", F.when(F.col("k") == 7, "lone").otherwise("rest")), ["s"], ["k"])
+    assert split.where("inner_test").count() == 39 and split.where("s = 'lone' and inner_test").count() == 0
+
+
+def test_evidence_ranges_and_positions():
+    grid = [0.0, 1.0, 2.0, 3.0, 4.0]
+    ranges = annotate.evidence_ranges(grid, [-9, -9, 0, 1.1, 2.2], [-2.5, -1.2, 0, 9, 9], 8.0)
+    assert sorted(ranges) == [(-2, float("-inf"), 0.0), (-1, 0.0, 1.0), (1, 3.0, 4.0), (2, 4.0, float("inf"))]
+
+
+def test_zip_by_position(spark):
+    a = spark.createDataFrame([("t", 3), ("t", 1), ("u", 2)], "tile string, cell int")
+    b = spark.createDataFrame([("t", 1, 0.5), ("t", 0, 0.1), ("u", 0, 0.9)], "tile string, row int, area double")
+    got = images.zip_by_position(a, b, ["tile"], ["cell"], ["row"]).collect()
+    assert {(r.tile, r.cell, r.area) for r in got} == {("t", 1, 0.1), ("t", 3, 0.5), ("u", 2, 0.9)}
+    with pytest.raises(Exception, match="unequal"):
+        images.zip_by_position(a, b.where("row = 0"), ["tile"], ["cell"], ["row"]).collect()
