@@ -31,8 +31,7 @@ def global_table(spark, sf):
 
 
 def position_runs(spark, sf):
-    rows = cells(spark, sf).where((F.col("meta_line") < 3) | (labels.position(LABEL) % 5 != 0))
-    return positions.runs(rows.select(labels.position(LABEL).alias("position"), labels.variant_type(LABEL).alias("kind")), "position", "kind")
+    return positions.runs(cells(spark, sf).select(labels.position(LABEL).alias("position"), labels.variant_type(LABEL).alias("kind")), "position", "kind")
 
 
 def residue_match(spark, sf):
@@ -113,7 +112,7 @@ ORACLE_SQL = {
         p AS (SELECT meta_aa_changes, split_part(meta_aa_changes, ':', 1) AS l, {_each('median(@) AS @')}, CAST(sum(meta_n_cells) AS BIGINT) AS meta_n_cells, count(DISTINCT meta_batch) AS meta_n_batches FROM z GROUP BY 1),
         c AS (SELECT {_each('median(@) AS c_@')} FROM p WHERE meta_aa_changes LIKE 'A%A')
         SELECT meta_aa_changes, {_each('round(@, 4) AS @')}, meta_n_cells, meta_n_batches, round((1 - ({_each('@ * c_@', ' + ')}) / sqrt(({_each('@ * @', ' + ')}) * ({_each('c_@ * c_@', ' + ')}))) / 2, 4) AS impact_score, {_KIND} AS variant_type FROM p, c""",
-    "position_runs": f"""{WITH_CELLS}, k AS (SELECT DISTINCT {_PLACE} AS position, split_part(meta_aa_changes, ':', 1) AS l FROM cells WHERE meta_line < 3 OR {_PLACE} % 5 <> 0),
+    "position_runs": f"""{WITH_CELLS}, k AS (SELECT DISTINCT {_PLACE} AS position, split_part(meta_aa_changes, ':', 1) AS l FROM cells),
         d AS (SELECT DISTINCT position, {_KIND} AS kind FROM k WHERE position IS NOT NULL), g AS (SELECT *, position - row_number() OVER (PARTITION BY kind ORDER BY position) AS run FROM d)
         SELECT kind, min(position) AS first, max(position) AS last FROM g GROUP BY kind, run""",
     "residue_match": f"""{WITH_CELLS}, p AS (SELECT position, min(wt) AS w FROM ({_SINGLE}) AS q GROUP BY 1), r AS (SELECT i AS r, CASE WHEN i % 10 = 0 THEN 'G' ELSE 'A' END AS s FROM range(4, 30) AS t(i)),
