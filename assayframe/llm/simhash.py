@@ -267,9 +267,12 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width
     links = stored(_verified(first, rows.select("hash", "text"), width, least), "similar-links")
     roots = stored(components(links, "a", "b"), "similar-roots")
     placed = met.join(roots, F.col("hash") == F.col("node"), "left").select("bucket", "hash", "fp", F.coalesce("root", "hash").alias("root"))
-    left = placed.select("bucket", F.col("hash").alias("a"), F.col("fp").alias("x"), F.col("root").alias("p"))
-    right = placed.select("bucket", F.col("hash").alias("b"), F.col("fp").alias("y"), F.col("root").alias("q"))
-    apart = left.join(right, "bucket").where((F.col("p") < F.col("q")) & near("x", "y")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # a pair of two groups has a side outside its bucket's main group, so the crowd of that group never meets itself
+    tops = placed.groupBy("bucket").agg(F.mode("root").alias("top"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket", "top")
+    mixed = stored(placed.join(tops, "bucket"), "similar-mixed")
+    left = mixed.where("root <> top").select("bucket", F.col("hash").alias("a"), F.col("fp").alias("x"), F.col("root").alias("p"))
+    right = mixed.select("bucket", F.col("hash").alias("b"), F.col("fp").alias("y"), F.col("root").alias("q"))
+    apart = left.join(right, "bucket").where((F.col("p") != F.col("q")) & near("x", "y")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _verified(apart, rows.select("hash", "text"), width, least)
     roots = components(links.union(more), "a", "b")
     groups = classes.join(roots, F.col("hash") == F.col("node"), "left").select("hash", "least", F.coalesce("root", "hash").alias("root"))
