@@ -228,7 +228,7 @@ def resemblance(a: Column, b: Column, width: int) -> Column:
 
 
 #: Candidates differ in no more bits than this; unrelated texts differ in about thirty.
-NEAR = 12
+NEAR = 9
 #: Texts of candidates are found by a broadcast of their hashes up to this number (8 bytes each).
 BROADCAST_HASHES = 1_000_000
 
