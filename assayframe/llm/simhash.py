@@ -212,6 +212,59 @@ def shingles(text: str, width: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(width)))) if len(words) > width else {tuple(words)}
 
 
+def shingle_tokens(text: str, width: int) -> np.ndarray:
+    """Hashes of a text's distinct ``shingles``, ascending."""
+    words = text.encode().translate(_LOWER).split()
+    hashed = xxhash.xxh64_intdigest
+    sets = zip(*(words[i:] for i in range(width))) if len(words) > width else (words,)
+    found = np.fromiter((hashed(b" ".join(s)) for s in sets), np.uint64)
+    return np.unique(found & np.uint64((1 << TOKEN_BITS) - 1)).view(np.int64)
+
+
+def rare_length(n, least: float):
+    """So many first shingles of n, in any order common to all texts, hold one that a text of at least that similarity has among its own first ones."""
+    return n - np.ceil(least * n - 1e-9).astype(np.int64) + 1
+
+
+def rare_tokens(text: Column, common: np.ndarray, width: int, least: float) -> Column:
+    """Struct of a text's number of distinct shingles and the first ``rare_length`` of them; ``common`` ones (ascending frequency) come last."""
+    known = np.sort(common)
+    place = np.argsort(common)
+
+    @F.arrow_udf("n int, rare array<long>")
+    def rare(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            sizes, firsts = [], []
+            for texts in slices(batch):
+                for x in texts:
+                    own = shingle_tokens(x or "", width)
+                    n = len(own)
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                        own = np.sort(np.where(known[at] == own, (1 << TOKEN_BITS) + place[at], own))
+                    sizes.append(n)
+                    firsts.append(own[: int(rare_length(np.float64(n), least))])
+            ends = np.cumsum([0, *map(len, firsts)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *firsts])))
+            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), lists], ["n", "rare"])
+
+    return rare(text)
+
+
+def common_tokens(rows: DataFrame, width: int) -> np.ndarray:
+    """The commonest shingles of some of the texts in column ``text``, ascending: they only order shingles, so the result doesn't depend on them."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def tokens(batch: pa.Array) -> pa.Array:
+        own = [shingle_tokens(x or "", width) for texts in slices(batch) for x in texts]
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *own])))
+
+    some = rows.sample(min(1.0, SAMPLED / max(1, rows.count())), 42)
+    counts = some.select(F.explode(tokens("text")).alias("token")).groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") >= COMMON)
+    found = counts.orderBy(F.desc("c"), "token").limit(LISTED).collect()
+    return np.array([r.token for r in reversed(found)], np.int64)
+
+
 def resemblance(a: Column, b: Column, width: int) -> Column:
     """Jaccard similarity of the word shingles of two texts."""
 
@@ -227,8 +280,12 @@ def resemblance(a: Column, b: Column, width: int) -> Column:
     return jaccard(a, b)
 
 
-#: Candidates differ in no more bits than this; unrelated texts differ in about thirty.
+#: Heads that differ in more bits than this aren't tried first; no pair is lost by it, since all others meet on their rare shingles.
 NEAR = 9
+#: Documents whose shingles are counted for the order of shingles, how often one is common, and the most that are listed (8 bytes each).
+SAMPLED, COMMON, LISTED = 4_000, 4, 20_000
+#: Shingle hashes have so many bits; the common ones follow all others.
+TOKEN_BITS = 62
 #: Texts of candidates are found by a broadcast of their hashes up to this number (8 bytes each).
 BROADCAST_HASHES = 1_000_000
 
@@ -245,38 +302,59 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> D
     return both.where(resemblance(F.col("x"), F.col("y"), width) >= least).select("a", "b")
 
 
-def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
-    """``key, hash, component_id``: groups that texts of at least ``least`` shingle similarity link.
+def _apart(placed: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a, b`` of text hashes of different groups that can be as similar: ``placed`` has ``hash, root, n, rare``.
+
+    Texts of that similarity share one of their rare shingles.  Those that follow
+    the shorter list can't make up for too few shared ones, so pairs of too few are left out.
+    """
+    keyed = placed.select("hash", "root", "n", F.explode("rare").alias("token"))
+    # a pair of two groups has a side outside its bucket's main group, so the crowd of that group never meets itself
+    tops = keyed.groupBy("token").agg(F.mode("root").alias("top"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token", "top")
+    mixed = stored(keyed.join(tops, "token").withColumn("main", F.col("root") == F.col("top")).drop("top"), "similar-mixed")
+    left = mixed.where("not main").select("token", F.col("hash").alias("a"), F.col("n").alias("x"), F.col("root").alias("p"))
+    right = mixed.select("token", F.col("hash").alias("b"), F.col("n").alias("y"), F.col("root").alias("q"), "main")
+    sized = F.least("x", "y") >= least * F.greatest("x", "y") - 1e-9
+    met = left.join(right, "token").where((F.col("p") != F.col("q")) & (F.col("main") | (F.col("a") < F.col("b"))) & sized)
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).groupBy("a", "b", "x", "y").agg(F.count("*").alias("c"))
+    after = lambda n: F.ceil(least * F.col(n) - 1e-9) - 1
+    return pairs.where(F.col("c") + F.greatest(after("x"), after("y")) >= least / (1 + least) * (F.col("x") + F.col("y")) - 1e-9).select("a", "b")
+
+
+def text_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """``key, hash`` of every row, and ``hash, least, root`` of every text: its smallest key, and the same root for all texts of a group.
 
     Texts of near fingerprints of their words meet on the keys of two fuzzy
     segments.  First each text is verified against the smallest text that it
     meets, which joins a crowd of copies by as many pairs as it has members;
-    then all pairs that meet and aren't joined yet are verified, so every
-    candidate link counts.  Equal texts (of equal 64-bit hash) are one.
+    then all pairs of different groups that share a rare shingle are verified.
+    Any pair of that similarity does, so none is missed.  Equal texts (of equal
+    64-bit hash) are one.
     """
     short_batches(df.sparkSession)
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
-    docs = stored(rows.select("key", "hash", word_fingerprint(F.col("text")).alias("fp")), "similar-prints")
+    common = common_tokens(rows.select("text"), width)
+    docs = stored(rows.select("key", "hash", word_fingerprint(F.col("text")).alias("fp"), rare_tokens(F.col("text"), common, width, least).alias("own")).select("key", "hash", "fp", "own.n", "own.rare"), "similar-prints")
     classes = docs.groupBy("hash").agg(F.min("key").alias("least"), F.min("fp").alias("fp"))
     keyed = classes.select("hash", "fp", F.explode(wide_keys("fp")).alias("bucket"))
     heads = keyed.groupBy("bucket").agg(F.min(F.struct("hash", "fp")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    met = stored(keyed.join(heads.select("bucket", "head"), "bucket"), "similar-keys")
-    near = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= NEAR
-    heads_met = met.where((F.col("hash") != F.col("head.hash")) & near("fp", "head.fp"))
+    met = keyed.join(heads.select("bucket", "head"), "bucket")
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("head.fp"))) <= NEAR
+    heads_met = met.where((F.col("hash") != F.col("head.hash")) & near)
     first = heads_met.groupBy(F.col("hash").alias("a")).agg(F.min("head.hash").alias("b"))
     links = stored(_verified(first, rows.select("hash", "text"), width, least), "similar-links")
     roots = stored(components(links, "a", "b"), "similar-roots")
-    placed = met.join(roots, F.col("hash") == F.col("node"), "left").select("bucket", "hash", "fp", F.coalesce("root", "hash").alias("root"))
-    # a pair of two groups has a side outside its bucket's main group, so the crowd of that group never meets itself
-    tops = placed.groupBy("bucket").agg(F.mode("root").alias("top"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket", "top")
-    mixed = stored(placed.join(tops, "bucket"), "similar-mixed")
-    left = mixed.where("root <> top").select("bucket", F.col("hash").alias("a"), F.col("fp").alias("x"), F.col("root").alias("p"))
-    right = mixed.select("bucket", F.col("hash").alias("b"), F.col("fp").alias("y"), F.col("root").alias("q"))
-    apart = left.join(right, "bucket").where((F.col("p") != F.col("q")) & near("x", "y")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _verified(apart, rows.select("hash", "text"), width, least)
+    lists = docs.select("hash", "n", "rare").dropDuplicates(["hash"])
+    placed = lists.join(roots, F.col("hash") == F.col("node"), "left").select("hash", "n", "rare", F.coalesce("root", "hash").alias("root"))
+    more = _verified(_apart(placed, least), rows.select("hash", "text"), width, least)
     roots = components(links.union(more), "a", "b")
     groups = classes.join(roots, F.col("hash") == F.col("node"), "left").select("hash", "least", F.coalesce("root", "hash").alias("root"))
-    groups = stored(groups, "similar-groups")
+    return docs.select("key", "hash"), stored(groups, "similar-groups")
+
+
+def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
+    """``key, hash, component_id``: groups that texts of at least ``least`` shingle similarity link."""
+    docs, groups = text_groups(df, key, text, width, least)
     ids = groups.groupBy("root").agg(F.min("least").alias("component_id"))
     found = docs.join(groups.join(ids, "root").select("hash", "component_id"), "hash")
     return found.select(F.col("key").alias(key), "hash", "component_id")

@@ -220,6 +220,57 @@ def test_recall(spark):
 # Similar texts
 
 
+def lengthened(rng, n, k):
+    """A text and one with k words more at its end."""
+    words = [f"w{rng.randrange(10**9)}" for _ in range(n + k)]
+    return " ".join(words[:n]), " ".join(words)
+
+
+def test_similar_texts_of_far_fingerprints(spark):
+    rng, pairs, apart = random.Random(3), [], []
+    while len(pairs) < 12:
+        x, y = lengthened(rng, 44, 9)  # 40 of 49 shingles
+        bits = (simhash.word_bits(x) ^ simhash.word_bits(y)).bit_count()
+        if bits > 12:
+            pairs.append((x, y))
+        elif len(apart) < 12:
+            apart.append(lengthened(rng, 43, 10))  # 39 of 49
+    short = [("A b c", "a  B c"), ("d", "D"), ("", " ")]
+    other = [("a b c d e", "a b c d f"), ("e", "f")]
+    texts = [t for p in pairs + short + apart + other for t in p]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()}
+    joined = 2 * (len(pairs) + len(short))
+    assert got == {i: i - i % 2 if i < joined else i for i in range(len(texts))}
+
+
+@pytest.mark.parametrize("common", [0, 4_000])
+def test_rare_shingles_meet(spark, monkeypatch, common):
+    """All pairs of that similarity, by shingles alone: no text has a near fingerprint, some share a common passage."""
+    monkeypatch.setattr(simhash, "NEAR", -1)
+    monkeypatch.setattr(simhash, "LISTED", common)
+    rng, texts = random.Random(5), []
+    passage = [f"p{i}" for i in range(30)]
+    for _ in range(40):
+        words = passage * rng.randrange(2) + [f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(4, 60))]
+        texts.append(" ".join(words))
+        for _ in range(rng.randrange(4)):
+            other = list(words)
+            for _ in range(rng.randrange(1, 3)):
+                other[rng.randrange(len(other))] = "x"
+            texts.append(" ".join(other + words[: rng.randrange(4)]))
+    sets, root = [simhash.shingles(t, 5) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both / (len(sets[i]) + len(sets[j]) - both) >= 0.8:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert len(set(root)) < len(root)
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()} == dict(enumerate(root))
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_similar_groups_against_brute_force(spark, monkeypatch, small):
     if not small:
