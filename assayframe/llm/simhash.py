@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from assayframe.llm.bpe import slices
 from assayframe.llm.graph import components
-from assayframe.llm.shared import short_batches, stored
+from assayframe.llm.shared import free_name, short_batches, stored
 
 #: Generator polynomial of the binary Golay code of 23 bits, its length and its message length.
 GOLAY, GOLAY_N, GOLAY_K = 0b101011100011, 23, 12
@@ -360,6 +360,20 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width
     return found.select(F.col("key").alias(key), "hash", "component_id")
 
 
+def first_of_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
+    """``df`` with one row of each group of similar texts: that of the smallest key (a null one last), of equal keys that of the least text hash.
+
+    A key alone never decides: rows that share one, or have none, stay if their texts are of different groups.
+    """
+    groups = text_groups(df, key, text, width, least)[1]
+    ends = groups.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "hash")).alias("end"))
+    own, hashed, first = (free_name(df.columns, w) for w in ("__key", "__hash", "__first"))
+    ends = ends.select(F.col("end.least").alias(own), F.col("end.hash").alias(first))
+    rows = df.withColumn(hashed, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    kept = rows.join(ends, (F.col(hashed) == F.col(first)) & F.col(key).eqNullSafe(F.col(own)), "left_semi")
+    return kept.dropDuplicates([key, hashed]).drop(hashed)
+
+
 def hex_print(fp: Column) -> Column:
     """A fingerprint as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

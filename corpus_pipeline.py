@@ -20,11 +20,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of similar texts (five-word shingles, similarity 0.8); of rows that share an id, one."""
-    found = simhash.similar_groups(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id"))
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(COLUMNS)
+    """The document of the smallest id of each group of similar texts (five-word shingles, similarity 0.8), whatever ids are null or shared."""
+    return simhash.first_of_groups(docs).select(COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

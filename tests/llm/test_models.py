@@ -337,5 +337,17 @@ def test_each_stage_does_its_work(spark, sf_dir, stages):
     assert [len(s) for s in stages[1:]] == [len(x) for x in (good, single, clean, private, tokens)]
 
 
+def test_near_copies_with_null_and_shared_ids(spark):
+    rng = random.Random(4)
+    one, two, three, four, five = (" ".join(f"w{rng.randrange(10**9)}" for _ in range(60)) for _ in range(5))
+    rows = [(None, one), (None, two), (None, two + " more"), (None, two), (1, three), (1, four), (0, four + " more"), (2, five), (2, five), (None, None), (3, "")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], schema).repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    twos = [r for r in got if r[1] in (two, two + " more")]
+    assert len(twos) == 1 and twos[0][0] is None
+    assert sorted((r for r in got if r not in twos), key=str) == sorted([(None, one), (1, three), (0, four + " more"), (2, five), (3, "")], key=str)
+
+
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
     assert {r.doc_id: r.token_ids for r in corpus_pipeline.run(spark, sf_dir).collect()} == {r.doc_id: r.token_ids for r in stages[-1]}
