@@ -181,8 +181,9 @@ def principal_shares(spark, sf):
 
 
 def embedding_distances(spark, sf):
-    rows = spark.read.parquet(f"{sf}/embeddings.parquet").groupBy("label").agg(*(F.avg(F.get("embedding", F.lit(i))).alias(f"e{i}") for i in range(8)))
-    return rounded(matrix.between_rows(rows, "label", F.array(*(f"e{i}" for i in range(8))), "cosine_distance"), "value", digits=5)
+    each = spark.read.parquet(f"{sf}/embeddings.parquet").select("label", F.posexplode("embedding").alias("i", "v"))
+    means = each.groupBy("label", "i").agg(F.avg("v").alias("v")).groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("means"))
+    return rounded(matrix.between_rows(means, "label", F.col("means.v"), "cosine_distance"), "value", digits=5)
 
 
 GNOMAD = [("p.Ala12Val", "PASS", "3", "100", "0.1"), ("p.Ala12Val", "AC0", "5", "200", "0.4"), ("p.Ala12Val", "PASS", "2", "300", None), ("p.Gly7=", "PASS", "1", "50", "0.0"), ("p.Ala14Val", "AC0", "9", "10", "0.9"), ("c.1A>G", "PASS", "1", "1", "0")]

@@ -43,3 +43,13 @@ def test_entry_and_names(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert os.path.exists(__spark_entry__.SMOKE_DIR)
+
+
+# Whole tables, where a query's SQL takes a part of them
+
+
+def test_embedding_distances_of_all_components(spark, sf_dir, oracle):
+    p = "WITH e AS (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings), m AS (SELECT label, i, avg(CAST(v AS DOUBLE)) AS v FROM e GROUP BY 1, 2)"
+    want = oracle.execute(f"{p} SELECT x.label, y.label, 1 - sum(x.v * y.v) / sqrt(sum(x.v * x.v) * sum(y.v * y.v)) FROM m AS x JOIN m AS y ON x.i = y.i AND x.label < y.label GROUP BY 1, 2").fetchall()
+    got = {(r.a, r.b): r.value for r in QUERIES["embedding_distances"](spark, sf_dir).collect()}
+    assert got == {(a, b): pytest.approx(v, abs=1e-5) for a, b, v in want}
