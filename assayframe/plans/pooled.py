@@ -108,13 +108,13 @@ def combat_check(spark, sf):
 
 
 def fold_scores(spark, sf):
-    rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)")).where(labels.variant_type(LABEL).isin("WT", "Synonymous"))
+    rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)"))
     scored = score.cross_validated(rows, ["quantity", "price"], 3)
     return rounded(scored.groupBy("scored_against", "is_wildtype").agg(F.count("*").alias("n"), F.avg("score").alias("score")), "score", digits=5)
 
 
 def fold_metrics(spark, sf):
-    rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)")).where(labels.variant_type(LABEL).isin("WT", "Synonymous"))
+    rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)"))
     out = score.metrics(score.cross_validated(rows, ["quantity", "price"], 3))
     listed = F.array_join(F.transform("auroc_folds", lambda a: F.format_number(a, 4)), ",")
     return rounded(out.withColumn("auroc_folds", listed), "auroc_pooled", "auroc_median_barcode", "auroc_median_fold", digits=4)

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__
 from assayframe.plans import ORACLE_SQL, QUERIES
+from assayframe.plans.cells import WITH_CELLS
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -53,3 +54,13 @@ def test_embedding_distances_of_all_components(spark, sf_dir, oracle):
     want = oracle.execute(f"{p} SELECT x.label, y.label, 1 - sum(x.v * y.v) / sqrt(sum(x.v * x.v) * sum(y.v * y.v)) FROM m AS x JOIN m AS y ON x.i = y.i AND x.label < y.label GROUP BY 1, 2").fetchall()
     got = {(r.a, r.b): r.value for r in QUERIES["embedding_distances"](spark, sf_dir).collect()}
     assert got == {(a, b): pytest.approx(v, abs=1e-5) for a, b, v in want}
+
+
+def test_folds_of_all_variants(spark, sf_dir, oracle):
+    part = " WHERE meta_aa_changes = 'WT' OR meta_aa_changes LIKE 'A%A'"
+    want = oracle.execute(ORACLE_SQL["fold_scores"].replace(part, "")).fetchall()
+    got = {(r.scored_against, r.is_wildtype): (r.n, r.score) for r in QUERIES["fold_scores"](spark, sf_dir).collect()}
+    assert got == {(v, w): (n, pytest.approx(s, abs=1.1e-5)) for v, w, n, s in want}
+    names = {r[0] for r in oracle.execute(f"{WITH_CELLS} SELECT DISTINCT meta_aa_changes FROM cells WHERE meta_aa_changes <> 'WT'").fetchall()}
+    assert {"A14V", "A36fs", "A37-", "A38X", "A39V:tag"} <= names == {v for v, _ in got}
+    assert {r.meta_aa_changes for r in QUERIES["fold_metrics"](spark, sf_dir).collect()} == names
