@@ -64,3 +64,12 @@ def test_folds_of_all_variants(spark, sf_dir, oracle):
     names = {r[0] for r in oracle.execute(f"{WITH_CELLS} SELECT DISTINCT meta_aa_changes FROM cells WHERE meta_aa_changes <> 'WT'").fetchall()}
     assert {"A14V", "A36fs", "A37-", "A38X", "A39V:tag"} <= names == {v for v, _ in got}
     assert {r.meta_aa_changes for r in QUERIES["fold_metrics"](spark, sf_dir).collect()} == names
+
+
+def test_batch_columns_of_all_batches(spark, sf_dir, oracle):
+    want = {}
+    for label, batch, value in oracle.execute(f"{WITH_CELLS} SELECT meta_aa_changes, meta_batch, avg(quantity) FROM cells GROUP BY 1, 2").fetchall():
+        want[label, batch] = pytest.approx(value, abs=1e-6)
+    rows = [r.asDict() for r in QUERIES["batch_columns"](spark, sf_dir).collect()]
+    got = {(r["meta_aa_changes"], b): v for r in rows for b, v in r.items() if b != "meta_aa_changes" and v is not None}
+    assert got == want and len({b for _, b in got}) == 5
