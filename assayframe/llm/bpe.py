@@ -36,28 +36,70 @@ MATRIX_ROWS, MATRIX_BYTES = 50_000, 256
 #: Words whose ids a worker keeps, and their greatest length.
 KEPT_WORDS, KEPT_CHARS = 300_000, 64
 NONE = np.int32(2**31 - 1)
+#: Fixed value: the pattern that cuts a text for the vocabularies of this family.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _other_space = re.compile(r"[^\S \n]").search
 _cut = re.compile(r"(?<=\S) (?=\S)").split
 
 
-def cut_words(text: str) -> list[str]:
-    """``text`` cut at, and without, each single space between two characters that aren't space.
+def cut_words(texts: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+    """The distinct words of ``texts`` that follow a space, without it, and the distinct first words; which of these, in turn, is at each place; each text's number of places.
 
-    No pattern of this family lets a piece span such a cut, and the cut-off
-    space always opens the next piece, so words encode apart from each other.
+    Texts are cut at each single space between two characters that aren't space:
+    no piece of the pattern spans such a cut, and the space always opens the
+    next piece, so words encode apart from each other.
     """
+    plain, other = [], []
+    for i, x in enumerate(texts):
+        (plain if _cut_at_spaces(x) else other).append(i)
+    lists = [pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")] if plain else []
+    if other:
+        lists.append(pa.array([_cut(texts[i]) for i in other], pa.large_list(pa.large_string())))
+    if not lists:
+        return [], [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sizes = np.concatenate([pc.list_value_length(x).to_numpy(zero_copy_only=False) for x in lists]).astype(np.int64)
+    coded = pa.concat_arrays([x.flatten().cast(pa.large_string()) for x in lists]).dictionary_encode()
+    at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    words = coded.dictionary.to_numpy(zero_copy_only=False)
+    starts = sizes.cumsum() - sizes
+    first, own = np.unique(at[starts], return_inverse=True)
+    at[starts] = len(words) + own
+    if other and plain:
+        back = np.argsort(np.array(plain + other))
+        at, sizes = at[spread(starts[back], sizes[back])], sizes[back]
+    return words.tolist(), words[first].tolist(), at, sizes
+
+
+def _cut_at_spaces(text: str) -> bool:
+    """Whether every space of a text is a single one between two characters that aren't space."""
     if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
-        return _cut(text)
-    if not text.replace("\n", "").isprintable() and _other_space(text):  # no space but " " is printable
-        return _cut(text)
-    return text.split(" ")
+        return False
+    return text.replace("\n", "").isprintable() or not _other_space(text)  # no space but " " is printable
 
 
-def words_of(text: str) -> list[str]:
-    """The words of ``cut_words``, each but the first with its space."""
-    first, *rest = cut_words(text)
-    return [first, *map(" ".__add__, rest)]
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs that start at ``starts``, one run after the other."""
+    before = sizes.cumsum() - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
+def joined_ids(runs: list[bytes], at: np.ndarray, sizes: np.ndarray, end: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All ids that the runs at each place give, one after the other and ``end`` after each text, and how many each text has."""
+    if end is not None:
+        at = np.insert(at, sizes.cumsum(), len(runs))
+        runs, sizes = [*runs, end], sizes + 1
+    lengths = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
+    pool = np.frombuffer(b"".join(runs), np.int32)
+    own = lengths[at]
+    ends = np.concatenate(([0], own.cumsum()))[np.concatenate(([0], sizes.cumsum()))]
+    return pool[spread((lengths.cumsum() - lengths)[at], own)], np.diff(ends)
+
+
+def id_lists(values: np.ndarray, sizes: np.ndarray, null: np.ndarray | None = None) -> pa.ListArray:
+    """A list<int32> array of runs of ids."""
+    mask = None if null is None else pa.array(null, pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], sizes.cumsum())), pa.int32()), pa.array(values, pa.int32()), mask=mask)
 
 
 class Vocabulary:
@@ -183,39 +225,36 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes texts, keeping the ids of words it has met.
+    """Encodes words, keeping the ids of those it has met after a space.
 
     Two generations are kept: when the younger is full it becomes the older
     one, whose words come back when they are met again, so frequent words stay.
     """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
+        if pattern != PATTERN:
+            raise ValueError("words can only be cut apart for the pattern of this family")
         self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as int32 in machine order."""
-        split = [words_of(x) if x else [] for x in texts]
-        new = set()
-        for words in split:
-            new.update(words)
+    def encode(self, words: list[str], firsts: list[str]) -> list[bytes]:
+        """The ids of distinct words after a space, then of distinct first words, as int32 in machine order."""
         if len(self.words) > KEPT_WORDS // 2:
             self.words, self.older = {}, self.words
-        new -= self.words.keys()
-        back = new & self.older.keys()
-        self.words.update(zip(back, map(self.older.__getitem__, back)))
-        new -= back
-        pieces = dict(zip(new, map(self.find, new)))
-        distinct = list(set().union(*pieces.values()))
+        out = list(map(self.words.get, words))
+        new = [i for i, x in enumerate(out) if x is None]
+        for i in new:
+            out[i] = self.older.get(words[i])
+        cut = [self.find(f" {words[i]}") for i in new if out[i] is None] + list(map(self.find, firsts))
+        distinct = list(set().union(*cut))
         ids = dict(zip(distinct, (x.tobytes() for x in self.vocabulary.merge([p.encode() for p in distinct]))))
-        for word, own in pieces.items():
-            self.words[word] = ids[own[0]] if len(own) == 1 else b"".join(map(ids.__getitem__, own))
-        out = [b"".join(map(self.words.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > KEPT_CHARS:
-                del self.words[word]
-        return out
+        made = iter([b"".join(map(ids.__getitem__, own)) for own in cut])
+        for i in new:
+            if out[i] is None:
+                out[i] = next(made)
+        self.words.update((words[i], out[i]) for i in new if len(words[i]) <= KEPT_CHARS)
+        return out + list(made)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -240,7 +279,7 @@ def encoder(ranks_path: str, pattern: str) -> Encoder:
     return Encoder(vocabulary(ranks_path), pattern)
 
 
-def slices(array: pa.Array, most_bytes: int = 2_000_000) -> Iterator[list[str | None]]:
+def slices(array: pa.Array, most_bytes: int = 4_000_000) -> Iterator[list[str | None]]:
     """The values of a string array in runs of about ``most_bytes``."""
     sizes = pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False).cumsum()
     start, done = 0, 0
@@ -250,16 +289,6 @@ def slices(array: pa.Array, most_bytes: int = 2_000_000) -> Iterator[list[str |
         start, done = end, int(sizes[end - 1])
 
 
-def ids_array(runs: list[bytes | None]) -> pa.Array:
-    """A list<int32> array from ids in machine order; None makes null."""
-    counts = np.array([len(r) // 4 if r is not None else 0 for r in runs], np.int64)
-    offsets = np.zeros(len(runs) + 1, np.int32)
-    offsets[1:] = counts.cumsum()
-    values = pa.array(np.frombuffer(b"".join(r for r in runs if r), np.int32))
-    mask = pa.array([r is None for r in runs], pa.bool_())
-    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
-
-
 def encode(text: Column, ranks_path: str, pattern: str) -> Column:
     """Token ids of a text column, array<int>."""
 
@@ -267,13 +296,14 @@ def encode(text: Column, ranks_path: str, pattern: str) -> Column:
     def bpe_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(ranks_path, pattern)
         for batch in batches:
-            runs: list[bytes | None] = []
+            parts = []
             gc.disable()  # a walk over all kept words for each few hundred new ones, and no cycles among them
             for texts in slices(batch):
-                done = own.encode([x or "" for x in texts])
-                runs += [None if x is None else r for x, r in zip(texts, done)]
+                words, firsts, at, sizes = cut_words([x or "" for x in texts])
+                values, sizes = joined_ids(own.encode(words, firsts), at, sizes)
+                parts.append(id_lists(values, sizes, np.array([x is None for x in texts], bool)))
             gc.enable()
-            yield ids_array(runs)
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return bpe_ids(text)
 

@@ -1,6 +1,6 @@
 """Token ids as Parquet list columns, for selective reads.
 
-``encode`` uses the ``tokenizers`` library's model on the pieces of each text.
+``encode`` uses the ``tokenizers`` library's model on the distinct pieces of texts.
 ``write`` deals documents out by ranges of their key, encodes each range in
 order and writes Parquet through Spark's committer: the ids' list column in
 dictionary or delta encoding, with row groups and pages of a chosen size, so
@@ -9,8 +9,10 @@ id pages alone when it reads metadata.  ``read`` gives the documents back with
 the place of each in the whole sequence of ids.
 
 Defined results: a null text is an empty one; null keys come first; rows of
-equal keys follow their text; other columns named in ``keep`` are written too.
-An empty table gives an empty file set that reads back as no rows.
+equal keys follow a hash of their text, then the text; other columns named in
+``keep`` are written too.  An empty table gives an empty file set that reads
+back as no rows.  A text that holds an added token's string (as
+``<|endoftext|>``) gets that token's id there, as the library does by default.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from assayframe.llm.bpe import KEPT_CHARS, cut_words, ids_array, slices
+from assayframe.llm.bpe import KEPT_CHARS, PATTERN, cut_words, id_lists, joined_ids, slices
 from assayframe.llm.shared import short_batches
 
 
@@ -68,13 +70,19 @@ class Kept(dict):
             self.clear()
 
 
-class PieceEncoder:
-    """Encodes texts through the library's model, keeping the ids of words and pieces it has met."""
+class LibraryEncoder:
+    """Encodes texts as the library does, asking its model for the ids of each distinct piece.
+
+    A text that holds one of the tokenizer's added tokens goes to the library
+    whole, which cuts it there.
+    """
 
     def __init__(self, path: str, pattern: str):
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.model, self.find, self.letters = tokenizer.model, regex.compile(pattern).findall, byte_letters()
+        if pattern != PATTERN:
+            raise ValueError("words can only be cut apart for the pattern of this family")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model, self.find, self.letters = self.tokenizer.model, regex.compile(pattern).findall, byte_letters()
         self.space = self.letters[32]
         self.words, self.pieces = Kept(self._word, KEPT), Kept(self._piece, KEPT // 10)
 
@@ -86,46 +94,51 @@ class PieceEncoder:
         return array("i", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        """Ids of a word with a space before it; what punctuation follows leaves its first piece a word of its own."""
-        if not word:
-            return b""
+        """Ids of a word after a space; what punctuation follows leaves its first piece a word of its own."""
+        if word.isascii() and word.isalpha():  # one piece
+            return self._piece(f" {word}")
         first, *rest = self.find(f" {word}")
         if not rest:
             return self._piece(first)
         ids = self.words[first[1:]] if first[0] == " " and len(first) > 1 else self.pieces[first]
-        return ids + b"".join(map(self.pieces.__getitem__, rest))
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as int32 in machine order."""
-        if not text:
-            return b""
-        words = cut_words(text)
-        first, words[0] = words[0], ""  # the empty word has no ids
-        ids = b"".join(map(self.pieces.__getitem__, self.find(first))) + b"".join(map(self.words.__getitem__, words))
+        return b"".join((ids, *map(self.pieces.__getitem__, rest)))
+
+    def encode(self, texts: list[str], end: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
+        whole = [i for i, x in enumerate(texts) if any(t in x for t in self.added)]
+        own = list(texts)
+        for i in whole:
+            own[i] = ""
+        words, firsts, at, sizes = cut_words(own)
+        runs = list(map(self.words.__getitem__, words))
+        runs += [b"".join(map(self.pieces.__getitem__, self.find(x))) for x in firsts]
+        at[(sizes.cumsum() - sizes)[whole]] = len(runs) + np.arange(len(whole))
+        runs += [np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32).tobytes() for i in whole]
         self.pieces.age()
         self.words.age()
-        return ids
+        return joined_ids(runs, at, sizes, end)
 
 
 @functools.cache
-def piece_encoder(path: str, pattern: str) -> PieceEncoder:
-    return PieceEncoder(path, pattern)
+def library_encoder(path: str, pattern: str) -> LibraryEncoder:
+    return LibraryEncoder(path, pattern)
 
 
 def encode(text: Column, path: str, pattern: str, end_id: int | None = None) -> Column:
     """Struct of the token ids of a text column, array<int>, with ``end_id`` appended, and the number of ids before them in their partition."""
-    end = b"" if end_id is None else np.int32(end_id).tobytes()
+    end = None if end_id is None else np.int32(end_id).tobytes()
 
     @F.arrow_udf("token_ids array<int>, part_start long")
     def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own, done = piece_encoder(path, pattern), 0
+        own, done = library_encoder(path, pattern), 0
         for batch in batches:
             gc.disable()  # no cycles among the kept words, only a long walk over them
-            runs = [own.encode(x or "") + end for texts in slices(batch) for x in texts]
+            parts = [own.encode([x or "" for x in texts], end) for texts in slices(batch)]
             gc.enable()
-            ends = np.cumsum([done, *(len(r) // 4 for r in runs)])
-            done = int(ends[-1])
-            yield pa.StructArray.from_arrays([ids_array(runs), pa.array(ends[:-1], pa.int64())], ["token_ids", "part_start"])
+            sizes = np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
+            lists = id_lists(np.concatenate([np.zeros(0, np.int32), *(v for v, _ in parts)]), sizes)
+            yield pa.StructArray.from_arrays([lists, pa.array(done + sizes.cumsum() - sizes, pa.int64())], ["token_ids", "part_start"])
+            done += int(sizes.sum())
 
     return token_ids(text)
 
@@ -149,7 +162,8 @@ def write(
     """
     short_batches(df.sparkSession)
     rows = df.select(key, *keep, F.coalesce(text, F.lit("")).alias("__text"))
-    rows = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key, "__text")
+    order = [F.col(key), F.xxhash64("__text")]  # ranges of one key are dealt out by their texts
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, "__text")
     rows = rows.withColumn("__ids", encode(F.col("__text"), tokenizer_path, pattern, end_id))
     writer = rows.select(F.spark_partition_id().alias("part"), "__ids.part_start", key, *keep, F.size("__ids.token_ids").cast("long").alias("n_tokens"), "__ids.token_ids").write
     writer = writer.option("compression", "lz4_raw").option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes).option("parquet.dictionary.page.size", 1 << 20)
