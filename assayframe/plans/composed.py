@@ -76,9 +76,9 @@ def clinical_annotation(spark, sf):
 
 
 def label_groups(spark, sf):
-    """Control groups by flags that other columns stand for."""
-    rows = cells(spark, sf).groupBy(LABEL).agg(F.max("meta_line").alias("m"), F.min("meta_part").alias("k"))
-    rows = rows.select(LABEL, F.when(F.col("k") % 3 == 0, "P/LP").when(F.col("k") % 3 == 1, "B/LB").alias("clinical"), (F.col("k") % 2 == 0).alias("seen"))
+    """Control groups by flags that other columns stand for; some labels are of two changes."""
+    rows = cells(spark, sf).groupBy(LABEL).agg(F.min("meta_part").alias("k"))
+    rows = rows.union(rows.select(F.concat(LABEL, F.lit("|L99P")), "k")).select(LABEL, F.when(F.col("k") % 3 == 0, "P/LP").when(F.col("k") % 3 == 1, "B/LB").alias("clinical"), (F.col("k") % 2 == 0).alias("seen"))
     return annotate.control_groups(rows, LABEL, "clinical", "seen").select(LABEL, F.array_join("groups", ",").alias("groups"), "group")
 
 
@@ -129,8 +129,9 @@ ORACLE_SQL = {
         r AS (SELECT concat('A', p_partkey % 40, 'V') AS key, p_partkey % 3 AS stars, CASE p_size % 4 WHEN 0 THEN 'P/LP' WHEN 1 THEN 'B/LB' END AS class FROM part WHERE p_partkey % 3 >= 1),
         g AS (SELECT key, min(class) AS class, CAST(max(stars) AS INT) AS stars FROM r GROUP BY 1 HAVING min(class) = max(class))
         SELECT meta_aa_changes, n, class AS meta_clinvar_class, stars AS meta_clinvar_stars FROM n LEFT JOIN g ON key = meta_aa_changes""",
-    "label_groups": f"""{WITH_CELLS}, r AS (SELECT meta_aa_changes, min(meta_part) AS k FROM cells GROUP BY 1),
-        g AS (SELECT meta_aa_changes, CASE WHEN meta_aa_changes LIKE '%:%' THEN '' ELSE concat_ws(',', CASE WHEN k % 3 = 0 THEN 'P/LP' END, CASE WHEN k % 3 = 1 THEN 'B/LB' END, CASE WHEN k % 2 = 0 THEN 'gnomAD' END, CASE WHEN meta_aa_changes LIKE 'A%A' THEN 'Synonymous' END) END AS groups FROM r)
+    "label_groups": f"""{WITH_CELLS}, s AS (SELECT meta_aa_changes, min(meta_part) AS k FROM cells GROUP BY 1), r AS (SELECT * FROM s UNION ALL SELECT concat(meta_aa_changes, '|L99P'), k FROM s),
+        f AS (SELECT *, NOT regexp_matches(meta_aa_changes, '[:|]') AS one, meta_aa_changes NOT LIKE '%:%' AND regexp_matches(meta_aa_changes, '^A\\d+A') AS syn FROM r),
+        g AS (SELECT meta_aa_changes, concat_ws(',', CASE WHEN one AND k % 3 = 0 THEN 'P/LP' END, CASE WHEN one AND k % 3 = 1 THEN 'B/LB' END, CASE WHEN syn THEN 'Synonymous' END, CASE WHEN one AND k % 2 = 0 THEN 'gnomAD' END) AS groups FROM f)
         SELECT meta_aa_changes, groups, nullif(split_part(groups, ',', 1), '') AS "group" FROM g""",
     "unfit_columns": f"{WITH_CELLS} " + " UNION ALL ".join(f"SELECT '{f}' AS feature, round(1 - count(*) FILTER (meta_line % {i + 2} <> 0) / CAST(count(*) AS DOUBLE), 6) AS missing, 1 - count(*) FILTER (meta_line % {i + 2} <> 0) / CAST(count(*) AS DOUBLE) > 0.3 AS dropped FROM cells" for i, f in enumerate(FEATURES)),
     "batch_rows": f"""{WITH_CELLS}, near AS (SELECT * FROM cells WHERE meta_edit_distance <= 1), bc AS (SELECT meta_barcode FROM near GROUP BY 1 HAVING count(*) >= 100), k AS (SELECT * FROM near SEMI JOIN bc USING (meta_barcode)),
