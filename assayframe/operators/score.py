@@ -23,18 +23,49 @@ BARCODE = "meta_barcode"
 SCORES = f"{LABEL} string, scored_against string, is_wildtype boolean, fold int, score double"
 
 
-def folds(cells: DataFrame, k: int, keys: list[str], seed: int = 0, by_barcode: bool = False) -> DataFrame:
-    """``fold`` of each cell, dealt evenly within labels; by barcode: all cells of a barcode in one fold, the largest dealt first (the wild type by cells)."""
+def barcode_groups(cells: DataFrame, k: int | None = None, wildtype: str = "WT") -> DataFrame:
+    """``label, barcode, fold_of``: the barcodes of each variant in groups of about equal numbers of cells.
+
+    The largest barcode first, ties by name, each goes to the group of fewest
+    cells so far.  Without ``k``, or with as few barcodes, each is a group of its
+    own, by name.  Only counts are gathered, a row a barcode.
+    """
+    if k is not None and k < 2:
+        raise ValueError("barcodes are held out in two folds at least")
+    sizes = cells.where(F.col(LABEL) != wildtype).groupBy(LABEL, BARCODE).agg((-F.count("*")).alias("n")).where(F.col(BARCODE).isNotNull())
+    lists = sizes.groupBy(LABEL).agg(F.sort_array(F.collect_list(F.struct("n", F.col(BARCODE).alias("barcode")))).alias("all"))
+    each_own = F.lit(True) if k is None else F.size("all") <= k
+    alone = F.transform(F.array_sort(F.transform("all", lambda s: s["barcode"])), lambda name, i: F.struct(name.alias("barcode"), i.alias("fold")))
+    start = F.struct(F.array_repeat(F.lit(0).cast("bigint"), k or 1).alias("load"), F.array().cast("array<struct<barcode:string,fold:int>>").alias("done"))
+
+    def put(state: Column, barcode: Column) -> Column:
+        to = (F.array_position(state["load"], F.array_min(state["load"])) - 1).cast("int")
+        load = F.transform(state["load"], lambda n, i: F.when(i == to, n - barcode["n"]).otherwise(n))
+        return F.struct(load.alias("load"), F.concat(state["done"], F.array(F.struct(barcode["barcode"].alias("barcode"), to.alias("fold")))).alias("done"))
+
+    packed = F.aggregate("all", start, put, lambda state: state["done"])
+    dealt = lists.select(F.col(LABEL).alias("label"), F.size("all").alias("n"), F.explode(F.when(each_own, alone).otherwise(packed)).alias("g"))
+    checked = F.when(F.col("n") < 2, F.raise_error(F.concat(F.lit("barcode holdout needs two barcodes at least: "), "label")).cast("int")).otherwise(F.col("g.fold"))
+    return dealt.select("label", F.col("g.barcode").alias("barcode"), checked.alias("fold_of"))
+
+
+def folds(cells: DataFrame, k: int | None, keys: list[str], seed: int = 0, by_barcode: bool = False, wildtype: str = "WT") -> DataFrame:
+    """``fold`` of each cell, dealt evenly within labels; by barcode: all cells of a barcode in its group's fold, the wild type dealt evenly by cells.
+
+    By barcode without ``k`` there is a fold for each barcode of the variant that
+    has most; the wild type has a cell for each fold at least.
+    """
     if not by_barcode:
         return cells.withColumn("fold", ((seeded_rank([LABEL], keys, seed) - 1) % k).cast("int"))
-    sizes = cells.groupBy(LABEL, BARCODE).agg(F.count("*").alias("n"))
-    place = F.row_number().over(Window.partitionBy(LABEL).orderBy(F.desc("n"), BARCODE)) - 1
-    # there and back again, so that no fold gets the larger one each time
-    dealt = sizes.withColumn("fold_of", F.when((F.floor(place / k) % 2) == 0, place % k).otherwise(k - 1 - place % k).cast("int"))
-    dealt = dealt.select(F.col(LABEL).alias("__label"), F.col(BARCODE).alias("__barcode"), "fold_of")
-    joined = cells.join(dealt, F.col(LABEL).eqNullSafe(F.col("__label")) & F.col(BARCODE).eqNullSafe(F.col("__barcode")))
-    own = ((seeded_rank([LABEL], keys, seed) - 1) % k).cast("int")
-    return joined.withColumn("fold", F.when(F.col(LABEL) == "WT", own).otherwise(F.col("fold_of"))).drop("__label", "__barcode", "fold_of")
+    groups = barcode_groups(cells, k, wildtype)
+    ends = groups.agg(F.max("fold_of")).first()[0]
+    blocks = 0 if ends is None else ends + 1
+    wild = cells.where(F.col(LABEL) == wildtype)
+    if wild.limit(blocks).count() < blocks and wild.limit(1).count():
+        raise ValueError(f"fewer wild-type cells than {blocks} folds")
+    own = wild.withColumn("fold", ((seeded_rank([LABEL], keys, seed) - 1) % max(1, blocks)).cast("int"))
+    rest = cells.where(F.col(LABEL) != wildtype).join(groups, (F.col(LABEL) == F.col("label")) & (F.col(BARCODE) == F.col("barcode")))
+    return rest.withColumn("fold", F.col("fold_of")).drop("label", "barcode", "fold_of").unionByName(own)
 
 
 def _statistics(rows: DataFrame, by: list[str], features: list[str]) -> DataFrame:

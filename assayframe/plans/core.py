@@ -17,9 +17,9 @@ def control():
 LABEL = "meta_aa_changes"
 
 
-def rounded(df, *names, digits=6):
-    """Sums in another order differ in the last digits; both engines round them away."""
-    return df.select(*(F.round(c, digits).alias(c) if c in names else F.col(c) for c in df.columns))
+def rounded(df, *names, digits=6, nudge=0.0):
+    """Sums in another order differ in the last digits; both engines round them away, after a ``nudge`` off the edges that means of decimals lie on."""
+    return df.select(*(F.round(F.col(c) + nudge if nudge else c, digits).alias(c) if c in names else F.col(c) for c in df.columns))
 
 
 def label_annotation(spark, sf):
@@ -94,7 +94,7 @@ def score_correction(spark, sf):
 def plain_statistics(spark, sf):
     methods = ["mean", "median", "std", "MAD"]
     names = [f"{f}_{m}" for m in methods for f in FEATURES]
-    return rounded(aggregate.aggregate(cells(spark, sf), control(), FEATURES, methods), *names)
+    return rounded(aggregate.aggregate(cells(spark, sf), control(), FEATURES, methods), *names, digits=5, nudge=1e-8)
 
 
 COMPARED = ["KS", "signedKS", "AUROC", "KSnegLogP", "AUROCnegLogP"]
@@ -164,7 +164,7 @@ ORACLE_SQL = {
         s AS (SELECT meta_batch, avg(score) AS m, stddev_samp(score) AS s FROM b WHERE meta_aa_changes LIKE 'A%A' GROUP BY 1), t AS (SELECT median(m) AS mm, median(s) AS ms FROM s)
         SELECT meta_aa_changes, meta_batch, round(score, 4) AS score, round((score - m) / s * ms + mm, 4) AS score_corrected FROM b JOIN s USING (meta_batch), t""",
     "plain_statistics": f"""{WITH_CELLS}, m AS (SELECT meta_aa_changes, {_each('median(@) AS m_@')} FROM marked WHERE NOT control GROUP BY 1)
-        SELECT meta_aa_changes, {_each('round(avg(@), 6) AS @_mean')}, {_each('round(median(@), 6) AS @_median')}, {_each('round(stddev_samp(@), 6) AS @_std')}, {_each('round(median(abs(@ - m_@)), 6) AS "@_MAD"')}
+        SELECT meta_aa_changes, {_each('round(avg(@) + 1e-8, 5) AS @_mean')}, {_each('round(median(@) + 1e-8, 5) AS @_median')}, {_each('round(stddev_samp(@) + 1e-8, 5) AS @_std')}, {_each('round(median(abs(@ - m_@)) + 1e-8, 5) AS "@_MAD"')}
         FROM marked JOIN m USING (meta_aa_changes) WHERE NOT control GROUP BY 1""",
     "distribution_statistics": f"""{WITH_CELLS}, {_LONG}, g AS (SELECT meta_aa_changes, feature, value, count(*) AS c FROM long WHERE NOT control GROUP BY ALL),
         r AS (SELECT feature, value, count(*) AS r FROM long WHERE control GROUP BY ALL), labels AS (SELECT DISTINCT meta_aa_changes, feature FROM g),

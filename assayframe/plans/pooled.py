@@ -121,8 +121,14 @@ def fold_metrics(spark, sf):
 
 
 def barcode_folds(spark, sf):
-    rows = score.folds(cells(spark, sf).where(F.col(LABEL) != "WT"), 3, KEYS, by_barcode=True)
-    return rows.groupBy(LABEL).agg(F.count_distinct("meta_barcode").alias("n_barcodes"), F.count_distinct(F.struct("meta_barcode", "fold")).alias("n_places"))
+    """The barcodes of each variant's folds, and their cells."""
+    rows = score.folds(cells(spark, sf), 3, KEYS, by_barcode=True).where(F.col(LABEL) != "WT")
+    return rows.groupBy(LABEL, "fold").agg(F.array_join(F.array_sort(F.collect_set("meta_barcode")), ",").alias("barcodes"), F.count("*").alias("n_cells"))
+
+
+def wildtype_folds(spark, sf):
+    rows = score.folds(cells(spark, sf), 3, KEYS, by_barcode=True).where(F.col(LABEL) == "WT")
+    return rows.groupBy("fold").agg(F.count("*").alias("n_cells"))
 
 
 def class_weights(spark, sf):
@@ -186,14 +192,20 @@ def embedding_distances(spark, sf):
     return rounded(matrix.between_rows(means, "label", F.col("means.v"), "cosine_distance"), "value", digits=5)
 
 
-GNOMAD = [("p.Ala12Val", "PASS", "3", "100", "0.1"), ("p.Ala12Val", "AC0", "5", "200", "0.4"), ("p.Ala12Val", "PASS", "2", "300", None), ("p.Gly7=", "PASS", "1", "50", "0.0"), ("p.Ala14Val", "AC0", "9", "10", "0.9"), ("c.1A>G", "PASS", "1", "1", "0")]
-
-
 def population_annotation(spark, sf):
-    """Cells' labels with a population table of literal rows."""
-    table = spark.createDataFrame(GNOMAD, "`Protein Consequence` string, `Filters - joint` string, `Allele Count` string, `Allele Number` string, spliceai_ds_max string")
+    """Labels with a population table that parts stand for: a record a part, some of them without a splice score or of a high one."""
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    pick = lambda n, *words: F.element_at(F.array(*map(F.lit, words)), F.pmod("p_partkey", F.lit(n)).cast("int") + 1)
+    table = part.select(
+        F.concat(F.lit("p.Ala"), F.expr("p_partkey % 40"), pick(3, "Val", "Ala", "=")).alias("Protein Consequence"),
+        F.when(F.col("p_size") % 4 != 0, "PASS").when(F.col("p_size") % 8 != 0, "AC0").alias("Filters - joint"),
+        F.col("p_size").cast("string").alias("Allele Count"),
+        F.expr("CAST(100 + p_partkey % 7 AS STRING)").alias("Allele Number"),
+        F.when(F.col("p_size") % 5 != 0, F.expr("CAST(p_size / 50.0 AS STRING)")).alias("spliceai_ds_max"),
+        pick(11, *["Uncertain significance"] * 6, "Benign", "Likely benign/Benign", "Pathogenic", "", "Likely pathogenic").alias("ClinVar Germline Classification"),
+    )
     rows = cells(spark, sf).groupBy(LABEL).agg(F.count("*").alias("n"))
-    return annotate.join_annotation(rows, annotate.gnomad(table), LABEL)
+    return rounded(annotate.join_annotation(rows, annotate.gnomad(table, splice_max=0.6), LABEL), "meta_gnomad_frequency")
 
 
 def props_values(spark, sf):
@@ -214,7 +226,7 @@ def feature_names(spark, sf):
     return names.select("name", p["base"].alias("base"), p["statistic"].alias("statistic"))
 
 
-QUERIES = {f.__name__: f for f in (half_correlations, feature_blocklist, split_sizes, blocklist_vote, finalized_profiles, pooled_medians, paired_medians, global_scores, variant_scores, cluster_shares, position_scores, commonest_barcode, batch_columns, hexagon_density, roc_areas, roc_curve, combat_check, fold_scores, fold_metrics, barcode_folds, class_weights, profile_distances, profile_correlations, nearest_profiles, feature_pairs, feature_pairs_ranked, batch_pairs, batch_anova, batch_permanova, group_tests, principal_shares, embedding_distances, population_annotation, props_values, numbered_rows, feature_names)}
+QUERIES = {f.__name__: f for f in (half_correlations, feature_blocklist, split_sizes, blocklist_vote, finalized_profiles, pooled_medians, paired_medians, global_scores, variant_scores, cluster_shares, position_scores, commonest_barcode, batch_columns, hexagon_density, roc_areas, roc_curve, combat_check, fold_scores, fold_metrics, barcode_folds, wildtype_folds, class_weights, profile_distances, profile_correlations, nearest_profiles, feature_pairs, feature_pairs_ranked, batch_pairs, batch_anova, batch_permanova, group_tests, principal_shares, embedding_distances, population_annotation, props_values, numbered_rows, feature_names)}
 
 _each = lambda text, sep=", ": sep.join(text.replace("@", f) for f in FEATURES)
 _long = lambda table, keep: " UNION ALL ".join(f"SELECT {keep}, '{f}' AS feature, {f} AS value FROM {table}" for f in FEATURES)
@@ -223,9 +235,11 @@ _HALF = f"""{WITH_CELLS}, r AS (SELECT cells.*, replicate, (meta_order + meta_li
     h AS (SELECT replicate, meta_aa_changes, half, {_each('avg(@) AS @')} FROM r GROUP BY 1, 2, 3), l AS ({_long('h', 'replicate, meta_aa_changes, half')}),
     p AS (SELECT a.replicate, a.feature, a.value AS x, b.value AS y FROM l AS a JOIN l AS b ON a.replicate = b.replicate AND a.feature = b.feature AND a.meta_aa_changes = b.meta_aa_changes WHERE a.half = 0 AND b.half = 1),
     c AS (SELECT replicate, feature, corr(x, y) AS r FROM p GROUP BY 1, 2)"""
+#: The batches of the driver's tables.
+BATCHES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 _PROFILE = f"{WITH_CELLS}, p AS (SELECT meta_aa_changes AS l, {_each('avg(@) AS @')} FROM cells GROUP BY 1)"
 _MEAN = f"(({_each('@', ' + ')}) / {len(FEATURES)})"
-_NB = """SELECT *, (meta_order + meta_line) % 3 AS fold, meta_aa_changes = 'WT' AS wt FROM cells WHERE meta_aa_changes = 'WT' OR meta_aa_changes LIKE 'A%A'"""
+_NB = "SELECT *, (meta_order + meta_line) % 3 AS fold, meta_aa_changes = 'WT' AS wt FROM cells"
 
 
 def _density(f: str, s: str) -> str:
@@ -259,7 +273,7 @@ ORACLE_SQL = {
         SELECT m.cluster, n, round(quantity, 6) AS quantity, round(price, 6) AS price, kind, round(k / CAST(sum(k) OVER (PARTITION BY kind) AS DOUBLE), 6) AS share FROM m JOIN c USING (cluster)""",
     "position_scores": f"{WITH_CELLS}, p AS (SELECT CAST(nullif(regexp_extract(meta_aa_changes, '^.(\\d+)', 1), '') AS BIGINT) AS position, price FROM cells) SELECT position, round(avg(price), 4) AS price, count(price) AS n FROM p WHERE position IS NOT NULL GROUP BY 1",
     "commonest_barcode": f"{WITH_CELLS}, c AS (SELECT meta_aa_changes, meta_barcode, count(*) AS n FROM cells GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY meta_aa_changes ORDER BY n DESC, meta_barcode) AS i FROM c) SELECT meta_aa_changes, meta_barcode FROM r WHERE i = 1",
-    "batch_columns": f"""{_PB} SELECT meta_aa_changes, {', '.join(f"round(max(quantity) FILTER (meta_batch = '{b}'), 6) AS \"{b}\"" for b in ('1-URGENT', '2-HIGH', '3-MEDIUM'))} FROM pb WHERE meta_batch IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1""",
+    "batch_columns": f"""{_PB} SELECT meta_aa_changes, {', '.join(f"round(max(quantity) FILTER (meta_batch = '{b}'), 6) AS \"{b}\"" for b in BATCHES)} FROM pb GROUP BY 1""",
     "hexagon_density": f"""{WITH_CELLS}, k AS (SELECT price, quantity AS x, tax AS y, round(quantity / 5.0) * 5.0 AS ax, (floor(quantity / 5.0) + 0.5) * 5.0 AS bx, round(tax / (5.0 * sqrt(3.0))) * (5.0 * sqrt(3.0)) AS ay, (floor(tax / (5.0 * sqrt(3.0))) + 0.5) * (5.0 * sqrt(3.0)) AS by_ FROM cells),
         h AS (SELECT *, pow(x - ax, 2) + pow(y - ay, 2) <= pow(x - bx, 2) + pow(y - by_, 2) AS near FROM k)
         SELECT round(CASE WHEN near THEN ax ELSE bx END, 4) AS hex_x, round(CASE WHEN near THEN ay ELSE by_ END, 4) AS hex_y, count(*) AS n, round(avg(price), 4) AS price FROM h GROUP BY 1, 2""",
@@ -268,7 +282,23 @@ ORACLE_SQL = {
     "roc_curve": f"""{WITH_CELLS}, k AS (SELECT meta_batch, quantity AS threshold, count(*) FILTER (meta_aa_changes = 'WT') AS p, count(*) FILTER (meta_aa_changes <> 'WT') AS q FROM cells GROUP BY 1, 2)
         SELECT meta_batch, threshold, round(sum(q) OVER d / CAST(sum(q) OVER w AS DOUBLE), 6) AS fpr, round(sum(p) OVER d / CAST(sum(p) OVER w AS DOUBLE), 6) AS tpr FROM k WINDOW d AS (PARTITION BY meta_batch ORDER BY threshold DESC), w AS (PARTITION BY meta_batch)""",
     "fold_scores": f"{_FOLDS} SELECT scored_against, wt AS is_wildtype, count(*) AS n, round(avg(score), 5) AS score FROM sc GROUP BY 1, 2",
-    "barcode_folds": f"{WITH_CELLS} SELECT meta_aa_changes, count(DISTINCT meta_barcode) AS n_barcodes, count(DISTINCT meta_barcode) AS n_places FROM cells WHERE meta_aa_changes <> 'WT' GROUP BY 1",
+    "barcode_folds": f"""WITH RECURSIVE {WITH_CELLS.removeprefix('WITH ')}, s AS (SELECT meta_aa_changes AS l, meta_barcode AS b, count(*) AS n FROM cells WHERE meta_aa_changes <> 'WT' GROUP BY 1, 2),
+        o AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY n DESC, b) AS i, row_number() OVER (PARTITION BY l ORDER BY b) AS j, count(*) OVER (PARTITION BY l) AS k FROM s),
+        d AS (SELECT l, CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS b, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS f, CAST([0, 0, 0] AS BIGINT[]) AS load FROM (SELECT DISTINCT l FROM s) AS q
+            UNION ALL SELECT d.l, o.i, o.b, o.n, list_position(d.load, list_min(d.load)), list_transform(d.load, lambda x, p: CASE WHEN p = list_position(d.load, list_min(d.load)) THEN x + o.n ELSE x END) FROM d JOIN o ON o.l = d.l AND o.i = d.i + 1),
+        p AS (SELECT d.l, d.b, d.n, CASE WHEN o.k <= 3 THEN o.j ELSE d.f END - 1 AS f FROM d JOIN o ON o.l = d.l AND o.b = d.b)
+        SELECT l AS meta_aa_changes, CAST(f AS INT) AS fold, string_agg(b, ',' ORDER BY b) AS barcodes, CAST(sum(n) AS BIGINT) AS n_cells FROM p GROUP BY 1, 2""",
+    "wildtype_folds": f"{WITH_CELLS}, n AS (SELECT count(*) AS n FROM cells WHERE meta_aa_changes = 'WT') SELECT CAST(f AS INT) AS fold, n // 3 + CASE WHEN f < n % 3 THEN 1 ELSE 0 END AS n_cells FROM n, range(0, 3) AS t(f)",
+    "fold_metrics": f"""{_FOLDS}, pc AS (SELECT scored_against AS l, score, count(*) FILTER (wt) AS w, count(*) FILTER (NOT wt) AS v FROM sc GROUP BY 1, 2),
+        pu AS (SELECT *, sum(v) OVER (PARTITION BY l ORDER BY score) - v AS b, sum(w) OVER (PARTITION BY l ORDER BY score DESC) - w AS a, sum(w) OVER (PARTITION BY l) AS ws FROM pc),
+        pooled AS (SELECT l, CAST(sum(v) AS BIGINT) AS n, sum(w * (b + v / 2.0)) / (CAST(sum(w) AS DOUBLE) * sum(v)) AS auc FROM pu GROUP BY 1),
+        fc AS (SELECT scored_against AS l, fold, score, count(*) FILTER (wt) AS w, count(*) FILTER (NOT wt) AS v FROM sc GROUP BY 1, 2, 3), fu AS (SELECT *, sum(v) OVER (PARTITION BY l, fold ORDER BY score) - v AS b FROM fc),
+        fa AS (SELECT l, fold, sum(w * (b + v / 2.0)) / nullif(CAST(sum(w) AS DOUBLE) * sum(v), 0) AS auc FROM fu GROUP BY 1, 2),
+        ff AS (SELECT l, string_agg(format('{{:.4f}}', auc), ',' ORDER BY fold) AS listed, median(auc) AS auc FROM fa WHERE auc IS NOT NULL GROUP BY 1),
+        bc AS (SELECT x.scored_against AS l, x.meta_barcode, avg((a + w / 2.0) / ws) AS auc FROM sc AS x JOIN pu ON pu.l = x.scored_against AND pu.score = x.score WHERE NOT x.wt GROUP BY 1, 2),
+        bb AS (SELECT l, median(auc) AS auc, count(*) AS n FROM bc GROUP BY 1)
+        SELECT pooled.l AS meta_aa_changes, round(pooled.auc, 4) AS auroc_pooled, pooled.n AS meta_n_cells, round(bb.auc, 4) AS auroc_median_barcode, bb.n AS meta_n_barcodes, listed AS auroc_folds, round(ff.auc, 4) AS auroc_median_fold
+        FROM pooled LEFT JOIN bb ON bb.l = pooled.l LEFT JOIN ff ON ff.l = pooled.l""",
     "class_weights": f"{WITH_CELLS}, c AS (SELECT meta_batch, meta_aa_changes = 'WT' AS is_wildtype, count(*) AS n FROM cells GROUP BY 1, 2) SELECT meta_batch, is_wildtype, round(sum(n) OVER (PARTITION BY meta_batch) / (2.0 * n), 6) AS weight FROM c",
     "profile_distances": f"{_PROFILE} SELECT x.l AS a, y.l AS b, round(sqrt({_each('pow(x.@ - y.@, 2)', ' + ')}), 5) AS value FROM p AS x JOIN p AS y ON x.l < y.l",
     "profile_correlations": f"{_PROFILE}, c AS (SELECT l, {', '.join(f'{f} - {_MEAN} AS {f}' for f in FEATURES)} FROM p) SELECT x.l AS a, y.l AS b, round(({_each('x.@ * y.@', ' + ')}) / sqrt(({_each('x.@ * x.@', ' + ')}) * ({_each('y.@ * y.@', ' + ')})), 5) AS value FROM c AS x JOIN c AS y ON x.l < y.l",
@@ -282,11 +312,15 @@ ORACLE_SQL = {
     "group_tests": f"""{WITH_CELLS}, l AS ({_long('marked', 'control AS g')}), s AS (SELECT feature, count(*) FILTER (g) AS n1, count(*) FILTER (NOT g) AS n2, avg(value) FILTER (g) AS m1, avg(value) FILTER (NOT g) AS m2, var_samp(value) FILTER (g) AS v1, var_samp(value) FILTER (NOT g) AS v2, median(value) FILTER (g) AS median_1, median(value) FILTER (NOT g) AS median_2 FROM l GROUP BY 1)
         SELECT feature, n1, n2, round((m1 - m2) / sqrt(v1 / n1 + v2 / n2), 4) AS t, round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)), 4) AS cohens_d, round(median_1, 4) AS median_1, round(median_2, 4) AS median_2 FROM s""",
     "principal_shares": f"{_PB}, t AS (SELECT {_each('var_samp(@)', ' + ')} AS total FROM pb) SELECT component, round(total, 2) AS total FROM t, (SELECT CAST(unnest([0, 1, 2, 3]) AS INT) AS component) AS q",
-    "embedding_distances": f"""WITH p AS (SELECT label AS l, {', '.join(f'avg(CAST(embedding[{i + 1}] AS DOUBLE)) AS e{i}' for i in range(8))} FROM embeddings GROUP BY 1)
-        SELECT x.l AS a, y.l AS b, round(1 - ({' + '.join(f'x.e{i} * y.e{i}' for i in range(8))}) / sqrt(({' + '.join(f'x.e{i} * x.e{i}' for i in range(8))}) * ({' + '.join(f'y.e{i} * y.e{i}' for i in range(8))})), 5) AS value FROM p AS x JOIN p AS y ON x.l < y.l""",
-    "population_annotation": f"""{WITH_CELLS}, n AS (SELECT meta_aa_changes, count(*) AS n FROM cells GROUP BY 1)
-        SELECT meta_aa_changes, n, CASE meta_aa_changes WHEN 'A14V' THEN false END AS meta_gnomad_pass, CAST(NULL AS DOUBLE) AS meta_gnomad_count, CAST(NULL AS DOUBLE) AS meta_gnomad_number,
-            CASE meta_aa_changes WHEN 'A14V' THEN CAST(0.9 AS DOUBLE) END AS meta_gnomad_splice, CAST(NULL AS DOUBLE) AS meta_gnomad_frequency FROM n""",
+    "embedding_distances": """WITH e AS (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings), m AS (SELECT label, i, avg(CAST(v AS DOUBLE)) AS v FROM e GROUP BY 1, 2)
+        SELECT x.label AS a, y.label AS b, round(1 - sum(x.v * y.v) / sqrt(sum(x.v * x.v) * sum(y.v * y.v)), 5) AS value FROM m AS x JOIN m AS y ON x.i = y.i AND x.label < y.label GROUP BY 1, 2""",
+    "population_annotation": f"""{WITH_CELLS}, n AS (SELECT meta_aa_changes, count(*) AS n FROM cells GROUP BY 1),
+        r AS (SELECT concat('A', p_partkey % 40, CASE p_partkey % 3 WHEN 0 THEN 'V' ELSE 'A' END) AS key, p_size, CAST(p_size AS DOUBLE) AS ac, 100.0 + p_partkey % 7 AS an, CASE WHEN p_size % 5 <> 0 THEN p_size / 50.0 END AS sp,
+            CASE p_partkey % 11 WHEN 6 THEN 'B/LB' WHEN 7 THEN 'B/LB' WHEN 8 THEN 'P/LP' WHEN 10 THEN 'P/LP' END AS class FROM part),
+        q AS (SELECT *, p_size % 4 <> 0 AND coalesce(sp <= 0.6, true) AS ok FROM r),
+        g AS (SELECT key, bool_or(ok) AS meta_gnomad_pass, CAST(coalesce(sum(ac) FILTER (ok), 0) AS DOUBLE) AS meta_gnomad_count, CAST(max(an) FILTER (ok) AS DOUBLE) AS meta_gnomad_number, CAST(max(sp) AS DOUBLE) AS meta_gnomad_splice,
+            CASE WHEN min(class) = max(class) THEN min(class) END AS meta_gnomad_clinvar_class FROM q GROUP BY 1)
+        SELECT meta_aa_changes, n, meta_gnomad_pass, meta_gnomad_count, meta_gnomad_number, meta_gnomad_splice, round(meta_gnomad_count / meta_gnomad_number, 6) AS meta_gnomad_frequency, meta_gnomad_clinvar_class FROM n LEFT JOIN g ON key = meta_aa_changes""",
     "props_values": "WITH k AS (SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) SELECT event_type, count(k) AS n, CAST(sum(k) AS BIGINT) AS total, count(DISTINCT k) AS n_distinct FROM k GROUP BY 1",
     "numbered_rows": "WITH n AS (SELECT (SELECT count(*) FROM supplier) + (SELECT count(*) FROM customer) AS n) SELECT n, n AS n_distinct, CAST(0 AS BIGINT) AS first, n - 1 AS last FROM n",
     "feature_names": """WITH n AS (SELECT DISTINCT concat_ws('_', p_brand, 'Area', CASE p_partkey % 3 WHEN 0 THEN 'median' WHEN 1 THEN 'KS' ELSE 'size' END) AS name FROM part)

@@ -26,9 +26,9 @@ def test_labels(spark):
 
 
 def test_other_scalar_functions(spark):
-    df = spark.createDataFrame([("p.Arg123Trp", "Pathogenic", "reviewed by expert panel", "ATGTAA"), ("NP_1.2:p.(Gly7=)", "Likely benign", "unknown", "ATGNAA"), ("p.Gln5Ter", "Pathogenic/Likely pathogenic", " ", "ATGA"), ("c.1A>G", "Uncertain", None, None)], "h string, c string, r string, s string")
+    df = spark.createDataFrame([("p.Arg123Trp", "Pathogenic", "reviewed by expert panel", "ATGTAA"), ("NP_1.2:p.(Gly7=)", "Likely benign", "unknown", "ATGNAA"), ("p.Gln5Ter", "Pathogenic/Likely pathogenic", " ", "ATGA"), ("p.Sec2Ala", "Pathogenic/Pathogenic", "Criteria provided, conflicting interpretations", "A"), ("c.1A>G", "Pathogenic/Benign", "no assertion provided", None), ("x", "benign/Likely benign/Benign", None, None), (None, "Likely Uncertain", None, None)], "h string, c string, r string, s string")
     got = df.select(labels.hgvs_key("h").alias("k"), labels.clinical_class("c").alias("c"), labels.review_stars("r").alias("r"), labels.blank_to_null("r").alias("b"), labels.translate_codons("s").alias("s")).collect()
-    assert [tuple(x) for x in got] == [("R123W", "P/LP", 3, "reviewed by expert panel", "M*"), ("G7G", "B/LB", 0, "unknown", None), ("Q5*", "P/LP", 0, None, None), (None, None, 0, None, None)]
+    assert [tuple(x) for x in got] == [("R123W", "P/LP", 3, "reviewed by expert panel", "M*"), ("G7G", "B/LB", 0, "unknown", None), ("Q5*", "P/LP", 0, None, None), ("U2A", "P/LP", 1, "Criteria provided, conflicting interpretations", None), (None, None, 0, "no assertion provided", None), (None, "B/LB", 0, None, None), (None, None, 0, None, None)]
     x = spark.range(-1, 5).select((F.col("id") + 0.5).alias("x"))
     curve = [0.0, 1.0, 4.0]
     got = [r[0] for r in x.select(labels.on_grid(F.col("x"), 0.0, 1.0, curve)).collect()]
@@ -230,13 +230,43 @@ def test_cross_validated_scores(spark):
     assert score.grouped(score.folds(df, 3, ["k"]), ["f"], 3, learn).count() == 240
 
 
+def test_barcode_folds(spark):
+    sizes = {"a": 9, "b": 7, "c": 6, "d": 5, "e": 4, "f": 4, "g": 1}
+    rows = [("A1V", b, i) for b, n in sizes.items() for i in range(n)] + [("A2V", b, i) for b in "yx" for i in range(3)] + [("WT", "w", i) for i in range(11)]
+    df = spark.createDataFrame(rows, "meta_aa_changes string, meta_barcode string, k int")
+    got = {(r.label, r.barcode): r.fold_of for r in score.barcode_groups(df, 3).collect()}
+    load, want = [0, 0, 0], {("A2V", "x"): 0, ("A2V", "y"): 1}
+    for b, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        to = load.index(min(load))
+        load[to] += n
+        want["A1V", b] = to
+    assert got == want
+    assert {(r.label, r.barcode): r.fold_of for r in score.barcode_groups(df).where("label = 'A1V'").collect()} == {("A1V", b): i for i, b in enumerate("abcdefg")}
+    dealt = score.folds(df, 3, ["k"], by_barcode=True)
+    assert dealt.count() == len(rows) and sorted(r["count"] for r in dealt.where("meta_aa_changes = 'WT'").groupBy("fold").count().collect()) == [3, 4, 4]
+    with pytest.raises(Exception, match="two barcodes"):
+        score.barcode_groups(df.where("meta_barcode in ('a', 'w')"), 3).collect()
+    with pytest.raises(ValueError, match="two folds"):
+        score.barcode_groups(df, 1)
+    with pytest.raises(ValueError, match="fewer wild-type"):
+        score.folds(df.where("meta_barcode <> 'w' or k < 2"), 3, ["k"], by_barcode=True)
+
+
 def test_annotation(spark):
     clin = spark.createDataFrame([("p.Ala12Val", "|Pathogenic||Pathogenic", "|2||1"), ("p.Gly7Ala", "Benign|Pathogenic", "1|1"), ("p.Gly8Ala", "Benign", "0")], "mapped_hgvs_p string, `clinvar.202401.clinical_significance` string, `clinvar.202401.stars` string")
     got = {r.key: r.meta_clinvar_class for r in annotate.clinvar(clin, min_stars=1).collect()}
     assert got == {"A12V": "P/LP"}
-    df = spark.createDataFrame([("A12V", "P/LP", True), ("A1A", None, False), ("A1A:t", "B/LB", True), ("G7A", None, True)], "l string, c string, g boolean")
+    assert {r.key for r in annotate.clinvar(clin).collect()} == {"A12V"} and {r.key for r in annotate.clinvar(clin, min_stars=None).collect()} == {"A12V", "G8A"}
+    df = spark.createDataFrame([("A12V", "P/LP", True), ("A1A", None, True), ("A1A:t", "B/LB", True), ("G7A", None, True), ("A1V|L2P", "P/LP", True), (None, "P/LP", True)], "l string, c string, g boolean")
     got = {r.l: (r.group, r.groups) for r in annotate.control_groups(df, "l", "c", "g").collect()}
-    assert got == {"A12V": ("P/LP", ["P/LP", "gnomAD"]), "A1A": ("Synonymous", ["Synonymous"]), "A1A:t": (None, []), "G7A": ("gnomAD", ["gnomAD"])}
+    assert got == {"A12V": ("P/LP", ["P/LP", "gnomAD"]), "A1A": ("Synonymous", ["Synonymous", "gnomAD"]), "A1A:t": (None, []), "G7A": ("gnomAD", ["gnomAD"]), "A1V|L2P": (None, []), None: (None, [])}
+    assert annotate.control_groups(df.withColumnRenamed("c", "meta_gnomad_clinvar_class"), "l", "absent", "g").where("l = 'A12V'").first().group == "P/LP"
+    with pytest.raises(ValueError, match="need"):
+        annotate.control_groups(df.drop("c"), "l", "c", "g")
+    people = [("p.Ala12Val", "PASS", "3", "100", "0.9", "Benign"), ("p.Ala12Val", "AC0", "5", "200", "0.1", "Likely benign"), ("p.Gly7Val", "PASS", "2", "300", "0.9", "Pathogenic"), ("p.Gly7Val", "PASS", "4", "50", "0.1", "Benign"), ("p.Sec9Ala", "PASS", "1", "10", None, None)]
+    table = spark.createDataFrame(people, "`Protein Consequence` string, `Filters - joint` string, `Allele Count` string, `Allele Number` string, spliceai_ds_max string, `ClinVar Germline Classification` string")
+    got = {r.key: (r.meta_gnomad_pass, r.meta_gnomad_count, r.meta_gnomad_number, r.meta_gnomad_splice, r.meta_gnomad_clinvar_class) for r in annotate.gnomad(table, splice_max=0.2).collect()}
+    assert got == {"A12V": (False, 0.0, None, 0.9, "B/LB"), "G7V": (True, 4.0, 50.0, 0.9, None), "U9A": (True, 1.0, 10.0, None, None)}
     ratios = spark.createDataFrame([(9.0,)] * 30 + [(0.1,)] * 70, "r double")
     prior = annotate.label_shift_prior(ratios, F.col("r"))
     assert abs(np.mean([r * prior / ((r - 1) * prior + 1) for r in [9.0] * 30 + [0.1] * 70]) - prior) < 1e-5
