@@ -84,3 +84,37 @@ def natural_key(text: Column) -> Column:
     """Sort key by which digits compare as numbers (of up to 20 digits)."""
     parts = F.regexp_extract_all(text, F.lit(r"(\d+|\D+)"), F.lit(1))
     return F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(F.regexp_replace(p, "^0+(?=.)", ""), 20, "0")).otherwise(p))
+
+
+def output_columns(df: DataFrame, identity: Iterable[str], known: Iterable[str] = (), allow: Iterable[str] | None = None, block: Iterable[str] = ()) -> DataFrame:
+    """Identity, metadata (the ``known`` ones get the prefix) and the features that patterns choose: those of ``allow`` first, less those of ``block``."""
+    identity, known = list(identity), [k for k in known if k in df.columns]
+    meta = [c for c in df.columns if c.startswith(META) and c not in identity]
+    own = [c for c in df.columns if c not in {*identity, *known, *meta}]
+    return df.select(*identity, *meta, *(F.col(k).alias(META + k) for k in known), *chosen(own, allow, block))
+
+
+#: Metadata of a cell and their types.
+CELL_METADATA = {"meta_batch": "string", "meta_well": "string", "meta_tile": "string", "meta_cell_index": "bigint", "meta_barcode": "string", "meta_aa_changes": "string", "meta_edit_distance": "bigint"}
+
+
+def cell_metadata(df: DataFrame, batch: str, measures: bool = False) -> DataFrame:
+    """The metadata of cells in their types, the batch being given, and with ``measures`` all columns that aren't metadata."""
+    own = [F.lit(batch).alias("meta_batch"), *(F.col(c).cast(t).alias(c) for c, t in CELL_METADATA.items() if c != "meta_batch")]
+    return df.select(*own, *(features(df) if measures else []))
+
+
+def with_residue(df: DataFrame, position: str, offset: int, kinds: Iterable[str] | None = None, kind: str = "variant_type", to: str = "residue") -> DataFrame:
+    """Rows of some classes (of all by default) with the residue that a position stands for."""
+    rows = df if kinds is None else df.where(F.col(kind).isin(*kinds))
+    return rows.withColumn(to, F.col(position) + offset)
+
+
+def landmark_columns(names: Iterable[str], landmarks: dict[str, str]) -> dict[str, str]:
+    """Readable names of the columns ``<landmark>_<statistic>``, in the landmarks' order, the median first."""
+    names, out = list(names), {}
+    for key, title in landmarks.items():
+        own = [(n, n.removeprefix(f"{key}_")) for n in names if n.startswith(f"{key}_")]
+        own = [(n, kind) for n, kind in own if kind.isalnum()]
+        out |= {n: f"{title} ({kind})" for n, kind in sorted(own, key=lambda x: x[1] != "median")}
+    return out

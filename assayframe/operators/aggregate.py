@@ -156,6 +156,21 @@ def against_control(cells: DataFrame, control: Column, features: list[str], meth
     return grid.join(found, grid["label"].eqNullSafe(found["label"]) & (grid["feature"] == found["feature"]), "left").select(grid["label"].alias(label), grid["feature"], *methods)
 
 
+def mean_ranks(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a column's values replaced by their mean ranks, from 1.
+
+    Values are counted and dealt out by ranges, so no task ranks all of them:
+    each range adds up its own counts, and the ranges' totals are few.
+    """
+    counts = df.groupBy(F.col(column).alias("__value")).agg(F.count("*").alias("__c")).where("__value is not null").repartitionByRange("__value").withColumn("__part", F.spark_partition_id())
+    sums = counts.groupBy("__part").agg(F.sum("__c").alias("__total"))
+    before = sums.withColumn("__before", F.coalesce(F.sum("__total").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(F.col("__part").alias("__of"), "__before")  # a row a range
+    upto = F.sum("__c").over(Window.partitionBy("__part").orderBy("__value"))
+    ranks = counts.withColumn("__upto", upto).join(F.broadcast(before), F.col("__part") == F.col("__of"))
+    ranks = ranks.select("__value", (F.col("__before") + F.col("__upto") - (F.col("__c") - 1) / 2.0).alias("__rank"))
+    return df.join(ranks, F.col(column) == F.col("__value"), "left").withColumn(column, F.col("__rank")).drop("__value", "__rank")
+
+
 def quantile_correlation(values: DataFrame, n: int = QUANTILES) -> DataFrame:
     """Pearson's r of ``n`` linear quantiles of each group and of the control; null if either profile is constant."""
     probs = F.array(*(F.lit(i / (n - 1)) for i in range(n)))
@@ -176,19 +191,28 @@ def wide(stats: DataFrame, features: list[str], methods: list[str], label: str =
     return out.withColumnsRenamed({f: f"{f}_{methods[0]}" for f in features}) if len(methods) == 1 else out
 
 
-def aggregate(cells: DataFrame, control: Column, features: list[str], methods: Iterable[str], label: str = LABEL) -> DataFrame:
-    """One row for each label with ``<feature>_<method>`` columns, sorted by label."""
-    methods = checked(methods)
+def aggregate(cells: DataFrame, control: Column, features: list[str], methods: Iterable[str], label: str = LABEL, blocked: Iterable[str] = ()) -> DataFrame:
+    """One row for each label with ``<feature>_<method>`` columns, sorted by label.
+
+    ``blocked`` columns aren't made: their pairs of feature and method are left
+    out before anything is shuffled.
+    """
+    methods, blocked = checked(methods), set(blocked)
+    free = lambda wanted: [f for f in features if any(f"{f}_{m}" not in blocked for m in wanted)]
+    made = [f"{f}_{m}" for m in methods for f in features if f"{f}_{m}" not in blocked]
     parts = []
+    groups: dict[tuple[str, ...], list[str]] = {}
     if own := [m for m in methods if METHODS[m].plain]:
-        parts.append(plain(cells, control, features, own, label))
-    if compared := [m for m in methods if not METHODS[m].plain]:
-        parts.append(wide(against_control(cells, control, features, compared, label), features, compared, label))
-    out = parts[0]
+        for f in free(own):  # features of the same methods in one aggregation
+            groups.setdefault(tuple(m for m in own if f"{f}_{m}" not in blocked), []).append(f)
+        parts += [plain(cells, control, some, list(kept), label) for kept, some in groups.items()]
+    if (compared := [m for m in methods if not METHODS[m].plain]) and (some := free(compared)):
+        parts.append(wide(against_control(cells, control, some, compared, label), some, compared, label))
+    out = parts[0] if parts else cells.where(~F.coalesce(control, F.lit(False))).select(label).distinct()
     for other in parts[1:]:
         renamed = other.withColumnRenamed(label, "__label")
         out = out.join(renamed, F.col(label).eqNullSafe(F.col("__label"))).drop("__label")
-    return out.select(label, *(f"{f}_{m}" for m in methods for f in features)).orderBy(F.asc_nulls_first(label))
+    return out.select(label, *made).orderBy(F.asc_nulls_first(label))
 
 
 def cosine_distance(x: Column, y: Column) -> Column:
@@ -201,6 +225,6 @@ def cosine_distance(x: Column, y: Column) -> Column:
 
 def impact_score(profiles: DataFrame, control: Column, features: list[str], to: str = "impact_score") -> DataFrame:
     """Half the cosine distance of each profile to the median control profile: 0 the same, 1 opposite."""
-    middle = profiles.where(control).agg(*(F.median(finite(f)).alias(f"m{i}") for i, f in enumerate(features))).first()
-    target = F.array(*(F.lit(middle[f"m{i}"]).cast("double") for i in range(len(features))))
-    return profiles.withColumn(to, cosine_distance(F.array(*(finite(f) for f in features)), target) / 2)
+    middle = profiles.where(control).agg(F.array(*(F.median(finite(f)) for f in features)).alias("__middle"))
+    joined = profiles.join(F.broadcast(middle))  # a row
+    return joined.withColumn(to, cosine_distance(F.array(*(finite(f) for f in features)), F.col("__middle")) / 2).drop("__middle")

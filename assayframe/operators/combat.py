@@ -10,10 +10,14 @@ changes by more than ``TOLERANCE`` of its value.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayframe.operators import pool
+
 TOLERANCE, MOST_STEPS = 1e-4, 200
 
 
@@ -105,3 +109,18 @@ def shrink(g: np.ndarray, d: np.ndarray, total: np.ndarray, square: np.ndarray,
         if change <= TOLERANCE:
             break
     return own_g, own_d
+
+
+def combat_features(batches: Mapping[str, DataFrame], label: str, batch: str = "meta_batch", mean_only: bool = False) -> DataFrame:
+    """The common features of several batches' tables, stacked and corrected together."""
+    stacked = pool.stack(batches, batch)
+    return combat(stacked, [c for c in stacked.columns if not c.startswith("meta_")], label, batch, mean_only)
+
+
+def combat_scores(df: DataFrame, scores: list[str], label: str, batch: str = "meta_batch", mean_only: bool = False) -> DataFrame:
+    """``df`` with ``<score>_corrected``; rows and scores that can't be corrected have nulls."""
+    fixed = combat(df.select(label, batch, *scores), scores, label, batch, mean_only)
+    names = {s: f"{s}_corrected" for s in scores}
+    _, usable = eligible(df, scores, label, batch)
+    right = fixed.select(F.col(label).alias("__label"), F.col(batch).alias("__batch"), *((F.col(s) if s in usable else F.lit(None).cast("double")).alias(names[s]) for s in scores))
+    return df.drop(*names.values()).join(right, F.col(label).eqNullSafe(F.col("__label")) & F.col(batch).eqNullSafe(F.col("__batch")), "left").drop("__label", "__batch")

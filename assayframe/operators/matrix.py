@@ -5,52 +5,21 @@ Matrices are long frames ``a, b, value``; they are pivoted only for output.
 
 from __future__ import annotations
 
+import json
 from itertools import combinations
 
-import numpy as np
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayframe.functions.columns import finite
+from assayframe.functions.vectors import METRICS, _dot
+from assayframe.operators.reduce import column_pairs, components, components_for
 
 #: Rows that are compared all with all at most; a matrix of their pairs is the result itself.
 MOST_ROWS = 20_000
 
 
-def _total(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
-
-
-def _dot(a: Column, b: Column) -> Column:
-    return _total(F.zip_with(a, b, lambda x, y: x * y))
-
-
-def _unit(a: Column) -> Column:
-    norm = F.sqrt(_dot(a, a))
-    return F.when(norm > 0, F.transform(a, lambda v: v / norm))
-
-
-def _centred(a: Column) -> Column:
-    mean = _total(a) / F.size(a)
-    return F.transform(a, lambda v: v - mean)
-
-
-def _ranks(a: Column) -> Column:
-    return F.transform(a, lambda v: _total(F.transform(a, lambda w: F.when(w < v, 1.0).when(w == v, 0.5).otherwise(0.0))) + 0.5)
-
-
-#: Name: what is done to a vector once, and how two such vectors give the value; similarities end in their self value 1.
-METRICS = {
-    "euclidean": (lambda a: a, lambda x, y: F.sqrt(_total(F.zip_with(x, y, lambda p, q: (p - q) * (p - q))))),
-    "cityblock": (lambda a: a, lambda x, y: _total(F.zip_with(x, y, lambda p, q: F.abs(p - q)))),
-    "cosine": (_unit, _dot),
-    "cosine_distance": (_unit, lambda x, y: 1 - _dot(x, y)),
-    "pearson": (lambda a: _unit(_centred(a)), _dot),
-    "spearman": (lambda a: _unit(_centred(_ranks(a))), _dot),
-}
-
-
 def between_rows(df: DataFrame, key: str, vector: Column, metric: str = "euclidean", squared: bool = False) -> DataFrame:
     """``a, b, value`` for a < b over rows of finite vectors; of at most MOST_ROWS rows, since all pairs are the result."""
     prepare, combine = METRICS[metric]
@@ -85,7 +54,7 @@ def nearest(matrix: DataFrame, k: int) -> DataFrame:
 def between_columns(df: DataFrame, columns: list[str], metric: str = "pearson", least: int = 3) -> DataFrame:
     """``a, b, value, n_shared`` over rows in which both columns are finite; fewer than ``least`` give null.
 
-    Pearson and Euclidean moments of all pairs come from one aggregation;
+    Pearson and Euclidean moments of all pairs come from packed matrices;
     Spearman ranks within each pair's shared rows.
     """
     pairs = list(combinations(columns, 2))
@@ -97,15 +66,7 @@ def between_columns(df: DataFrame, columns: list[str], metric: str = "pearson",
         ranked = long.select("a", "b", mean_rank("x").alias("x"), mean_rank("y").alias("y"))
         stats = ranked.groupBy("a", "b").agg(F.count("*").alias("n_shared"), F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("value"))
         return stats.select("a", "b", F.when(F.col("n_shared") >= least, F.col("value")).alias("value"), "n_shared")
-    made = []
-    for i, (a, b) in enumerate(pairs):
-        both = finite(a).isNotNull() & finite(b).isNotNull()
-        x, y = F.when(both, finite(a)), F.when(both, finite(b))
-        value = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)) if metric == "pearson" else F.sqrt(F.sum((x - y) * (x - y)))
-        made += [F.count(x).alias(f"n{i}"), value.alias(f"v{i}")]
-    one = df.agg(*made)
-    each = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.when(F.col(f"n{i}") >= least, F.col(f"v{i}")).alias("value"), F.col(f"n{i}").alias("n_shared")) for i, (a, b) in enumerate(pairs))))
-    return one.select(each.alias("p")).select("p.*")
+    return column_pairs(df, columns, metric, least)
 
 
 def batch_correlations(df: DataFrame, label: str, batch: str, score: str) -> DataFrame:
@@ -162,33 +123,7 @@ def group_tests(df: DataFrame, group: Column, features: list[str]) -> DataFrame:
     return s.select("feature", "n1", "n2", F.try_divide(apart, F.sqrt(F.col("v1") / F.col("n1") + F.col("v2") / F.col("n2"))).alias("t"), F.try_divide(apart, pooled).alias("cohens_d"), "median_1", "median_2")
 
 
-def pca(df: DataFrame, features: list[str], whiten: bool = False) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """All principal components: ``df`` with ``pc_<i>``, loadings and explained shares.
-
-    The covariance comes from one aggregation of products; its eigenvectors, of
-    the number of features squared, are taken on the driver.  Rows with nulls get nulls.
-    """
-    own = [f for f in features]
-    whole = F.lit(True)
-    for f in own:
-        whole = whole & finite(f).isNotNull()
-    rows = df.where(whole)
-    n = len(own)
-    stats = rows.agg(*(F.avg(finite(f)).alias(f"m{i}") for i, f in enumerate(own)), *(F.covar_samp(finite(own[i]), finite(own[j])).alias(f"c{i}_{j}") for i in range(n) for j in range(i, n))).first()
-    means = [stats[f"m{i}"] for i in range(n)]
-    cov = np.array([[stats[f"c{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)], float)
-    values, vectors = np.linalg.eigh(cov)
-    order = np.argsort(values)[::-1]
-    values, vectors = np.maximum(values[order], 0), vectors[:, order]
-    vectors = vectors * np.where(np.abs(vectors).max(axis=0) == vectors.max(axis=0), 1, -1)  # the largest loading is positive
-    scale = np.where(values > 0, np.sqrt(values), 1) if whiten else np.ones(n)
-    scores = [sum(((finite(f) - means[i]) * float(vectors[i, k] / scale[k]) for i, f in enumerate(own)), F.lit(0.0)).alias(f"pc_{k}") for k in range(n)]
-    return df.select("*", *scores), vectors, values / values.sum() if values.sum() else values
-
-
-def components_for(shares: np.ndarray, variance: float) -> int:
-    """Fewest components that reach a share of the variance."""
-    return int(np.searchsorted(np.cumsum(shares), variance - 1e-12) + 1)
+pca = components
 
 
 def kmeans(df: DataFrame, vector: Column, k: int, seed: int = 0) -> DataFrame:
@@ -225,3 +160,43 @@ def unfit_features(df: DataFrame, features: list[str], na_share: float = 0.05, o
     """Features with too many missing values, or a value beyond the outlier cut-off, in one pass."""
     s = df.agg(F.count("*").alias("n"), *(F.count(finite(f)).alias(f"k{i}") for i, f in enumerate(features)), *(F.max(F.abs(finite(f))).alias(f"x{i}") for i, f in enumerate(features))).first()
     return [f for i, f in enumerate(features) if s["n"] and (1 - s[f"k{i}"] / s["n"] > na_share or (s[f"x{i}"] or 0) > outlier)]
+
+
+def noisy_features(df: DataFrame, features: list[str], within: list[str], most: float = 0.8) -> list[str]:
+    """Features whose standard deviation within groups, averaged over them, is above ``most``."""
+    own = df.groupBy(*within).agg(*(F.stddev_samp(finite(f)).alias(f"s{i}") for i, f in enumerate(features)))
+    s = own.agg(*(F.avg(f"s{i}").alias(f"s{i}") for i in range(len(features)))).first()
+    return [f for i, f in enumerate(features) if (s[f"s{i}"] or 0) > most]
+
+
+# The long form as tables and files
+
+
+def wide(matrix: DataFrame, names: list[str], diagonal: float | None = None, fill: float | None = None) -> DataFrame:
+    """A row ``a`` a name and a column a name, both directions filled; what is missing is ``fill``."""
+    rows = symmetric(matrix, diagonal).where(F.col("a").cast("string").isin(names))
+    out = rows.groupBy("a").pivot("b", names).agg(F.max("value"))
+    return out if fill is None else out.fillna(fill, names)
+
+
+def align(matrix: DataFrame, names: list[str]) -> DataFrame:
+    """The pairs of the named rows with their places ``i, j`` in ``names``; a name without any pair is an error when the frame is used."""
+    order = matrix.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, place int")  # as many as are named
+    place = lambda side, to: order.select(F.col("name").alias(side), F.col("place").alias(to))
+    kept = matrix.withColumns({c: F.col(c).cast("string") for c in "ab"}).join(F.broadcast(place("a", "i")), "a").join(F.broadcast(place("b", "j")), "b")
+    held = matrix.select(F.col("a").cast("string").alias("name")).union(matrix.select(F.col("b").cast("string"))).distinct()
+    missing = order.join(held, "name", "left_anti").agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("names"))
+    told = missing.select(F.assert_true(F.col("names") == "", F.concat(F.lit("no such row: "), "names")).alias("__ok"))
+    return kept.join(F.broadcast(told), F.col("__ok").isNull()).select("a", "b", "value", "i", "j")
+
+
+def save(matrix: DataFrame, path: str, **parameters: str | float | bool) -> None:
+    """Writes a long matrix or test table sorted, with its parameters as a JSON column."""
+    matrix.withColumn("_parameters", F.lit(json.dumps(parameters, sort_keys=True))).orderBy("a", "b").write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
+    """What ``save`` wrote, and its parameters."""
+    rows = spark.read.parquet(path)
+    one = rows.select("_parameters").first()
+    return rows.drop("_parameters"), json.loads(one[0]) if one else {}

@@ -68,7 +68,11 @@ def zscore(df: DataFrame, control: Column, features: list[str], by: list[str] =
     any share of the rows.
     """
     if not by:
-        return Normalizer.fit(df, control, features).apply(df)
+        stats = df.where(control).agg(*(F.avg(_number(f)).alias(f"__m{i}") for i, f in enumerate(features)), *(_spread(F.stddev_samp(_number(f))).alias(f"__s{i}") for i, f in enumerate(features)))
+        z = {f: F.try_divide(_number(f) - F.col(f"__m{i}"), F.col(f"__s{i}")) for i, f in enumerate(features)}
+        floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
+        joined = df.join(F.broadcast(stats))  # a row
+        return joined.select(*(z[c].alias(c) if c in z else _number(c).alias(c) if c in floats else F.col(c) for c in df.columns))
     stats = df.where(control).groupBy(*(F.col(b).alias(f"__by{i}") for i, b in enumerate(by))).agg(*(F.avg(_number(f)).alias(f"__m{i}") for i, f in enumerate(features)), *(_spread(F.stddev_samp(_number(f))).alias(f"__s{i}") for i, f in enumerate(features)))
     on = [F.col(b).eqNullSafe(F.col(f"__by{i}")) for i, b in enumerate(by)]
     joined = df.join(stats, on, "left")
@@ -84,10 +88,12 @@ def correct_scores(df: DataFrame, scores: list[str], batch: str, reference: Colu
     """
     rows = df.where(reference) if reference is not None else df
     stats = rows.groupBy(F.col(batch).alias("__batch")).agg(*(F.avg(_number(s)).alias(f"__m{i}") for i, s in enumerate(scores)), *(_spread(F.stddev_samp(_number(s))).alias(f"__s{i}") for i, s in enumerate(scores)))
-    middle = stats.agg(*(F.median(f"__m{i}").alias(f"m{i}") for i in range(len(scores))), *(F.median(f"__s{i}").alias(f"s{i}") for i in range(len(scores)))).first() if rescale else None
     joined = df.join(F.broadcast(stats), F.col(batch).eqNullSafe(F.col("__batch")), "left")  # a row a batch
+    if rescale:
+        middle = stats.agg(*(F.median(f"__m{i}").alias(f"__mm{i}") for i in range(len(scores))), *(F.median(f"__s{i}").alias(f"__ms{i}") for i in range(len(scores))))
+        joined = joined.join(F.broadcast(middle))  # a row
     out = []
     for i, s in enumerate(scores):
         z = F.try_divide(_number(s) - F.col(f"__m{i}"), F.col(f"__s{i}"))
-        out.append((z * middle[f"s{i}"] + middle[f"m{i}"] if middle else z).alias(f"{s}_corrected"))
+        out.append((z * F.col(f"__ms{i}") + F.col(f"__mm{i}") if rescale else z).alias(f"{s}_corrected"))
     return joined.select(*df.columns, *out)

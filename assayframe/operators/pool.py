@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayframe.functions import labels
 from assayframe.functions.columns import common_features, finite
 from assayframe.operators import normalize
 
@@ -51,6 +52,13 @@ def global_scores(df: DataFrame, label: str, batch: str, score: str, control: Co
     return z.groupBy(label).agg(F.median(score).alias(score), F.count(score).alias(f"n_{score}"))
 
 
+def cluster_shares(df: DataFrame, cluster: str, shares: Mapping[str, Column]) -> DataFrame:
+    """Per cluster and named condition: how many of its rows hold it, and their share of all rows that do."""
+    each = df.groupBy(cluster).agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(f"n{i}") for i, c in enumerate(shares.values())))
+    long = each.select(cluster, F.explode(F.array(*(F.struct(F.lit(name).alias("level"), F.col(f"n{i}").alias("k")) for i, name in enumerate(shares)))).alias("p")).select(cluster, "p.*")
+    return long.withColumn("share", F.try_divide(F.col("k").cast("double"), F.sum("k").over(Window.partitionBy("level"))))
+
+
 def cluster_summary(df: DataFrame, cluster: str, features: list[str], level: str) -> DataFrame:
     """Rows and feature medians per cluster, with each level's share of its own rows that the cluster holds (``level, share``)."""
     medians = df.groupBy(cluster).agg(F.count("*").alias("n"), *(F.median(finite(f)).alias(f) for f in features))
@@ -115,3 +123,40 @@ def roc_points(df: DataFrame, score: str, truth: Column, by: list[str]) -> DataF
     down, whole = Window.partitionBy(*by).orderBy(F.desc("threshold")), Window.partitionBy(*by)
     rate = lambda c: F.try_divide(F.sum(c).over(down), F.sum(c).over(whole))
     return counts.select(*by, "threshold", rate("q").alias("fpr"), rate("p").alias("tpr"))
+
+
+def distinguishability(profiles: DataFrame, scores: DataFrame, label: str, score: str = "auroc_pooled", batch: str | None = "meta_batch", control: Column | None = None, correct: bool = True, rescale: bool = True, to: str = "meta_distinguishability_score") -> DataFrame:
+    """``profiles`` with a score of each variant, null without one.
+
+    Scores of batches are corrected against the control rows (all without
+    ``control``) and their medians taken; scores without ``batch`` are joined as they are.
+    """
+    rows, name = scores, score
+    if batch is not None and batch in scores.columns:
+        if correct:
+            rows, name = normalize.correct_scores(rows, [score], batch, control, rescale), f"{score}_corrected"
+        rows = per_variant(rows, label, [name])
+    right = rows.select(F.col(label).alias("__label"), F.col(name).alias(to))
+    return profiles.drop(to).join(right, F.col(label).eqNullSafe(F.col("__label")), "left").drop("__label")
+
+
+def first_metadata(df: DataFrame, metadata: DataFrame, label: str, batch: str) -> DataFrame:
+    """``df`` with the first row of each label's metadata of its batch; columns that ``df`` has stay."""
+    own = [c for c in metadata.columns if c not in df.columns]
+    rank = F.row_number().over(Window.partitionBy(label, batch).orderBy(*own))
+    right = metadata.withColumn("__r", rank).where("__r = 1").select(F.col(label).alias("__label"), F.col(batch).alias("__batch"), *own)
+    return df.join(right, F.col(label).eqNullSafe(F.col("__label")) & F.col(batch).eqNullSafe(F.col("__batch")), "left").select(*df.columns, *own)
+
+
+def viewer_scores(df: DataFrame, label: str, score: str, batch: str, control: Column, correct: bool = True) -> DataFrame:
+    """A score of each variant pooled over batches, corrected against the controls or raw, with type, position and wild type."""
+    rows, name = (normalize.correct_scores(df, [score], batch, control, True), f"{score}_corrected") if correct else (df, score)
+    out = rows.groupBy(label).agg(F.median(finite(name)).alias(score)).where(F.col(score).isNotNull())
+    return out.select(label, score, labels.variant_type(label).alias("variant_type"), labels.position(label).alias("position"), labels.substitution(label)[0].alias("wildtype"))
+
+
+def viewer_features(df: DataFrame, label: str, features: list[str], batch: str, control: Column) -> DataFrame:
+    """Features z-scored per batch and pooled over batches, those without any value dropped."""
+    pooled = median_across(normalize.zscore(df, control, features, by=[batch]), label, features, batch)
+    held = pooled.agg(*(F.count(finite(f)).alias(f"n{i}") for i, f in enumerate(features))).first()
+    return pooled.drop(*(f for i, f in enumerate(features) if not held[f"n{i}"]))

@@ -115,3 +115,38 @@ def by_keys(cells: DataFrame, keys_table: DataFrame | None, keys: list[str]) ->
 def fold_ids(cells: DataFrame, folds: int, keys: list[str], within: list[str], seed: int = 0) -> DataFrame:
     """``fold`` from 0: each stratum dealt out evenly in seeded order."""
     return cells.withColumn("fold", (seeded_rank(within, keys, seed) - 1) % folds)
+
+
+def join_features(meta: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``meta`` with the other columns of ``cells`` of the same keys, nulls being equal; what both have comes from ``meta``."""
+    own = [c for c in cells.columns if c not in meta.columns]
+    right = cells.select(*(F.col(k).alias(f"__{k}") for k in keys), *own)
+    return meta.join(right, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]).select(*meta.columns, *own)
+
+
+def load_cells(cells: DataFrame, kept: DataFrame, normalizer: normalize.Normalizer, keys: list[str], sort_by: list[str] = ()) -> DataFrame:
+    """The cells that passed, normalised, made again from their keys and the fitted normaliser."""
+    rows = normalizer.apply(join_features(kept, cells, keys))
+    return rows.orderBy(*(F.asc_nulls_first(c) for c in sort_by)) if sort_by else rows
+
+
+def filter_and_fit(cells: DataFrame, kept: DataFrame, keys: list[str], control: Column, features: list[str]) -> tuple[DataFrame, normalize.Normalizer]:
+    """The kept rows with ``meta_is_control``, and a normaliser fitted on their controls."""
+    marked = kept.withColumn("meta_is_control", F.coalesce(control, F.lit(False)))
+    return marked, normalize.Normalizer.fit(join_features(marked, cells, keys), F.col("meta_is_control"), features)
+
+
+def vote_table(lists: DataFrame, batch: str, least: int | None = None, missing: str = "ignore") -> DataFrame:
+    """``vote`` of lists of several batches; with ``missing="fail"`` a batch that doesn't report a feature counts against it."""
+    if missing not in ("ignore", "fail"):
+        raise ValueError(f"missing is {missing}")
+    if missing == "ignore" or least is not None:
+        return vote(lists, least)
+    counts = lists.groupBy("feature").agg(F.count_distinct(batch).alias("n_batches"), F.count_if(F.coalesce("feature_ok", F.lit(False))).alias("n_ok"))
+    all_ = lists.agg(F.count_distinct(batch).alias("__all"))
+    return counts.join(F.broadcast(all_)).withColumn("feature_ok", F.col("n_ok") >= F.col("__all")).drop("__all")  # a row
+
+
+def consensus(lists: DataFrame, batch: str, least: int | None = None, missing: str = "ignore") -> list[str]:
+    """Names of the features that the vote keeps, sorted."""
+    return [r[0] for r in vote_table(lists, batch, least, missing).where("feature_ok").orderBy("feature").select("feature").collect()]

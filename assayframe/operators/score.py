@@ -191,3 +191,26 @@ def metrics(scores: DataFrame) -> DataFrame:
     by_barcode = cells.groupBy("scored_against", BARCODE).agg(F.avg((F.col("w_above") + F.col("w") / 2) / F.col("w_all")).alias("auc"))
     by_barcode = by_barcode.groupBy("scored_against").agg(F.median("auc").alias("auroc_median_barcode"), F.count("*").alias("meta_n_barcodes"))
     return pooled.join(by_barcode, "scored_against", "left").join(by_fold, "scored_against", "left").withColumnRenamed("scored_against", LABEL)
+
+
+RESULTS = f"{LABEL} string, auroc_pooled double, auroc_median_barcode double, auroc_folds array<double>, auroc_median_fold double, meta_n_barcodes long, meta_n_cells long"
+
+
+def result_tables(scores: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two tables of a run: ``metrics`` by variant in a fixed schema, and a row a scored cell with its metadata.
+
+    Both have their columns even if no variant is left.  A cell's row is told
+    apart by ``meta_variant_scored_against``, since the wild type is scored against each.
+    """
+    found = metrics(scores)
+    fields = [f.rsplit(" ", 1) for f in RESULTS.split(", ")]
+    results = found.select(*(F.col(n).cast(t).alias(n) for n, t in fields)).orderBy(LABEL)
+    meta = [c for c in scores.columns if c.startswith("meta_")]
+    return results, scores.select(*meta, F.col("score").cast("double").alias("score"), F.col("scored_against").alias("meta_variant_scored_against"))
+
+
+def save_results(scores: DataFrame, folder: str, prefix: str = "") -> None:
+    """Writes both tables as Parquet."""
+    results, by_cell = result_tables(scores)
+    results.write.mode("overwrite").parquet(f"{folder}/{prefix}results.parquet")
+    by_cell.write.mode("overwrite").parquet(f"{folder}/{prefix}cell_scores.parquet")
