@@ -4,7 +4,8 @@ Only finite values count.  Plain statistics are one wide aggregation.  The
 distribution statistics share one long frame: cells are counted by (label,
 feature, value) before anything is shuffled, so ties collapse early; the
 control's cumulative counts are made once per feature and looked up at the
-groups' values.  The control is never copied to each label.
+groups' values.  The control is never copied to each label, and no task holds
+all values of a feature.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.functions.columns import finite
+from assayframe.sources.tables import written
 
 LABEL = "meta_aa_changes"
 QUANTILES = 100
@@ -128,13 +130,11 @@ def against_control(cells: DataFrame, control: Column, features: list[str], meth
     group = counts.where("not control").select("label", "feature", "value", "c")
     reference = counts.where("control").groupBy("feature", "value").agg(F.sum("c").alias("r"))
     seen = group.select("feature", "value", F.lit(0).cast("long").alias("r")).union(reference.select("feature", "value", "r")).groupBy("feature", "value").agg(F.sum("r").alias("r"))
-    by_value = Window.partitionBy("feature").orderBy("value")
-    upto = seen.withColumn("r_upto", F.sum("r").over(by_value))
+    bounds = value_bounds(cells, features)
+    upto = running_totals(seen, bounds, ["feature"], "r", "r_upto").drop("r_all")
     totals = reference.groupBy("feature").agg(F.sum("r").alias("m"), F.sum(F.pow(F.col("r").cast("double"), 3) - F.col("r")).alias("r_ties"))
-    own = Window.partitionBy("label", "feature").orderBy("value")
-    all_own = Window.partitionBy("label", "feature")
     met = group.join(upto, ["feature", "value"]).join(F.broadcast(totals), "feature")  # a row a feature
-    met = met.withColumn("c_upto", F.sum("c").over(own)).withColumn("n", F.sum("c").over(all_own))
+    met = running_totals(met, bounds, ["label", "feature"], "c", "c_upto").withColumnRenamed("c_all", "n")
     c, r = F.col("c"), F.col("r")
     at = F.col("c_upto") / F.col("n") - F.col("r_upto") / F.col("m")
     before = (F.col("c_upto") - c) / F.col("n") - (F.col("r_upto") - r) / F.col("m")
@@ -156,18 +156,42 @@ def against_control(cells: DataFrame, control: Column, features: list[str], meth
     return grid.join(found, grid["label"].eqNullSafe(found["label"]) & (grid["feature"] == found["feature"]), "left").select(grid["label"].alias(label), grid["feature"], *methods)
 
 
-def mean_ranks(df: DataFrame, column: str) -> DataFrame:
-    """``df`` with a column's values replaced by their mean ranks, from 1.
+#: Ranges of values that a feature is cut into, so that no task holds all values of one.
+RANGES = 64
+
+
+def value_bounds(df: DataFrame, features: list[str]) -> DataFrame:
+    """``feature, bounds``: RANGES - 1 approximate quantiles of each feature, written, so that whoever asks gets the same.
+
+    They only deal values out; no result depends on them.
+    """
+    cuts = F.array(*(F.lit(i / RANGES) for i in range(1, RANGES)))
+    each = [F.struct(F.lit(f).alias("feature"), F.approx_percentile(finite(f), cuts, F.lit(1000)).alias("bounds")) for f in features]
+    return written(df.agg(F.array(*each).alias("all")).select(F.explode("all").alias("p")).select("p.*"), "bounds")
 
-    Values are counted and dealt out by ranges, so no task ranks all of them:
-    each range adds up its own counts, and the ranges' totals are few.
+
+def running_totals(df: DataFrame, bounds: DataFrame, by: list[str], count: str, to: str) -> DataFrame:
+    """``df`` (with ``feature, value``) with the total of ``count`` up to each row's value within a group, in ``to``, and of the whole group, in ``<count>_all``.
+
+    Each range of values of a group adds up its own; the ranges' totals, RANGES
+    at most for each group, are added up apart and joined back.
     """
-    counts = df.groupBy(F.col(column).alias("__value")).agg(F.count("*").alias("__c")).where("__value is not null").repartitionByRange("__value").withColumn("__part", F.spark_partition_id())
-    sums = counts.groupBy("__part").agg(F.sum("__c").alias("__total"))
-    before = sums.withColumn("__before", F.coalesce(F.sum("__total").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(F.col("__part").alias("__of"), "__before")  # a row a range
-    upto = F.sum("__c").over(Window.partitionBy("__part").orderBy("__value"))
-    ranks = counts.withColumn("__upto", upto).join(F.broadcast(before), F.col("__part") == F.col("__of"))
-    ranks = ranks.select("__value", (F.col("__before") + F.col("__upto") - (F.col("__c") - 1) / 2.0).alias("__rank"))
+    held = df.join(F.broadcast(bounds.withColumnRenamed("feature", "__feature")), F.col("feature") == F.col("__feature"))  # a row a feature
+    held = held.select(*df.columns, F.size(F.filter("bounds", lambda b: b <= F.col("value"))).alias("__range"))
+    sums = held.groupBy(*by, "__range").agg(F.sum(count).alias("__sum"))
+    group = Window.partitionBy(*by)
+    before = F.coalesce(F.sum("__sum").over(group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select(*(F.col(b).alias(f"__of_{b}") for b in by), F.col("__range").alias("__of_range"), before.alias("__before"), F.sum("__sum").over(group).alias(f"{count}_all"))
+    own = held.withColumn(to, F.sum(count).over(Window.partitionBy(*by, "__range").orderBy("value")))
+    on = [F.col(b).eqNullSafe(F.col(f"__of_{b}")) for b in by] + [F.col("__range") == F.col("__of_range")]
+    return own.join(sums, on).select(*df.columns, (F.col(to) + F.col("__before")).alias(to), f"{count}_all")
+
+
+def mean_ranks(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a column's values replaced by their mean ranks, from 1."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("c")).withColumn("feature", F.lit(column))
+    ranks = running_totals(counts, value_bounds(df, [column]), ["feature"], "c", "upto")
+    ranks = ranks.select(F.col("value").alias("__value"), (F.col("upto") - (F.col("c") - 1) / 2.0).alias("__rank"))
     return df.join(ranks, F.col(column) == F.col("__value"), "left").withColumn(column, F.col("__rank")).drop("__value", "__rank")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assayframe.functions import labels
 from assayframe.functions.columns import finite
+from assayframe.sources.tables import written
 
 
 def runs(df: DataFrame, position: str, value: str) -> DataFrame:
@@ -62,7 +63,7 @@ def severity(class_: Column) -> Column:
 def communities(links: DataFrame, rounds: int = 10) -> DataFrame:
     """``node, cluster`` by label propagation over an undirected graph ``a, b``: each node takes the commonest label around it, ties to the smaller.
 
-    Labels start as the nodes' own names; each round is written by checkpoint,
+    Labels start as the nodes' own names; each round is written out,
     so its plan stays short.  Communities may differ from those of other methods.
     """
     both = links.select("a", "b").union(links.select("b", "a")).distinct()
@@ -71,7 +72,7 @@ def communities(links: DataFrame, rounds: int = 10) -> DataFrame:
         heard = both.join(state, F.col("b") == F.col("node")).groupBy("a", "cluster").agg(F.count("*").alias("n"))
         # a node hears itself too, which keeps two neighbours from swapping labels for ever
         heard = heard.union(state.select(F.col("node").alias("a"), "cluster", F.lit(1).cast("long").alias("n"))).groupBy("a", "cluster").agg(F.sum("n").alias("n"))
-        new = heard.groupBy("a").agg(F.min(F.struct((-F.col("n")).alias("n"), "cluster"))["cluster"].alias("cluster")).select(F.col("a").alias("node"), "cluster").checkpoint()
+        new = heard.groupBy("a").agg(F.min(F.struct((-F.col("n")).alias("n"), "cluster"))["cluster"].alias("cluster")).select(F.col("a").alias("node"), "cluster").transform(written)
         moved = new.join(state.withColumnRenamed("cluster", "old"), "node").where("cluster <> old").limit(1).count()
         state = new
         if not moved:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from assayframe.functions.columns import finite
 from assayframe.operators.pool import auc
 from assayframe.operators.qc import LABEL, min_cells_per_variant, seeded_rank
+from assayframe.sources.tables import written
 
 BARCODE = "meta_barcode"
 SCORES = f"{LABEL} string, scored_against string, is_wildtype boolean, fold int, score double"
@@ -151,7 +152,7 @@ def platt(scores: DataFrame, by: list[str], score: str = "score", truth: str = "
     """``scores`` with ``calibrated``: per group a logistic curve over the score's log odds, by Newton steps.
 
     A step is one aggregation of gradients; the two numbers of each group are
-    joined back by broadcast (a row a group) and written by checkpoint.  Targets
+    joined back by broadcast (a row a group) and written out each time.  Targets
     are smoothed by the groups' class sizes; a small ridge keeps separable groups finite.
     """
     low = F.least(F.greatest(F.col(score), F.lit(1e-12)), F.lit(1 - 1e-12))
@@ -170,7 +171,7 @@ def platt(scores: DataFrame, by: list[str], score: str = "score", truth: str = "
         g1, g2 = F.col("g1") - ridge * F.col("__a"), F.col("g2") - ridge * F.col("__b")
         a = F.col("__a") + (h22 * g1 - F.col("h12") * g2) / det
         b = F.col("__b") + (h11 * g2 - F.col("h12") * g1) / det
-        state = sums.select(*by, "__n1", "__n0", "__s", a.alias("__a"), b.alias("__b")).checkpoint()
+        state = sums.select(*by, "__n1", "__n0", "__s", a.alias("__a"), b.alias("__b")).transform(written)
     return rows.join(F.broadcast(state), by).select(*scores.columns, p.alias("calibrated"))
 
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
-import numpy as np
 from pyspark.sql import functions as F
 
 from assayframe.functions import columns, labels
@@ -125,7 +122,7 @@ def run_results(spark, sf):
 def aligned_matrix(spark, sf):
     """Distances of profiles written, read back, aligned to some names, as a wide table."""
     rows = matrix.between_rows(profiles(spark, sf), LABEL, F.array(*FEATURES), "cityblock")
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='matrix-')}/distances-{np.random.default_rng().integers(1 << 60):x}"
+    path = tables.shared_path(spark, "distances")
     matrix.save(rows, path, metric="cityblock")
     found, told = matrix.load(spark, path)
     names = ["WT", "A14V", "A6A"]

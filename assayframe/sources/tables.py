@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 import fnmatch
 import re
 from collections.abc import Iterable, Sequence
@@ -186,3 +188,19 @@ def condition_names(text: Column, uninformative: Sequence[str] = ("not provided"
     """Trait names of a JSON list, without repeats and uninformative ones, in order."""
     names = F.transform(F.from_json(text, "array<struct<trait_name:string>>"), lambda t: t["trait_name"])
     return F.array_distinct(F.filter(names, lambda n: n.isNotNull() & ~n.isin(*uninformative)))
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder of ``spark.checkpoint.dir``, which the cluster's nodes share; a temporary one only where that is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """``df`` written to the shared folder and read back: a plan of its own, which outlives lost executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
