@@ -3,9 +3,12 @@
 Texts are lower-cased (A-Z) and cut to words.  Every run of ``WINDOW`` words
 keeps the least hash of its k-grams of ``GRAM`` words as its fingerprint, so a
 span of WINDOW words shared by a document and an item has one fingerprint in
-both.  Documents meet items on fingerprints, each hit is extended to its whole
-window and verified word by word, and overlapping hits are united.  No shared
-span of WINDOW words or more can be missed, and none that isn't shared counts.
+both.  Neighbouring runs mostly keep the same one, which is kept once, with the
+first and last run that it stands for.  Documents meet items on fingerprints
+alone; only documents that meet one come back with their words, where each hit
+is extended over its runs, verified word by word and united with overlapping
+ones.  No shared span of WINDOW words or more can be missed, and none that
+isn't shared counts.
 
 Items of fewer words than WINDOW are one window each.  They meet documents on
 their least k-gram, or on the hash of the whole item if it is shorter than a
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 from assayframe.llm.shared import lower_ascii, stored
 
 WINDOW, GRAM = 10, 5
-#: Item windows are broadcast up to this number (about 100 bytes each), else they are joined by a shuffle.
-BROADCAST_WINDOWS = 200_000
+#: Item windows, and hits, are broadcast up to so many bytes (their strings and 40 a row), else they are joined by a shuffle.
+BROADCAST_BYTES = 8 << 20
 #: Characters between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -67,6 +70,25 @@ def window_prints(df: DataFrame) -> DataFrame:
     return df.withColumn("__prints", _slide(F.size("__grams"), span, lambda i: F.least(*(F.get("__grams", i + k) for k in range(span)))))
 
 
+def winnowed(prints: Column) -> Column:
+    """Each fingerprint where it is first kept, with the first and last run of words it is kept for."""
+    return _let(prints, lambda p: _let(
+        F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: (i == 0) | (F.get(p, i) != F.get(p, i - 1))),
+        lambda starts: F.transform(starts, lambda s, k: F.struct(F.get(p, s).alias("print"), s.alias("first"), (F.coalesce(F.get(starts, k + 1), F.size(p)) - 1).alias("last"))),
+    ))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with value made once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def broadcast_if_small(df: DataFrame, text: str) -> DataFrame:
+    """A stored table, to be broadcast if it is within BROADCAST_BYTES."""
+    size = df.agg(F.sum(F.octet_length(text) + 40)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def run_of(start: Column, length: Column) -> Column:
     """The text of a run of a document's words."""
     return F.array_join(F.slice("__words", start + 1, length), " ")
@@ -96,35 +118,41 @@ def item_windows(items: DataFrame, item: str, text: str) -> DataFrame:
     return full.union(short).distinct()
 
 
-def _hits(docs: DataFrame, prints: Column, windows: DataFrame, small: bool) -> DataFrame:
-    """``__id, __text_hash, start, length, window`` of the verified windows that documents hold."""
-    wanted = F.broadcast(windows) if small else windows
+def _met(docs: DataFrame, runs: Column, windows: DataFrame) -> DataFrame:
+    """``__id, __text_hash, first, last, length, window``: the runs of words at which documents may hold a window."""
     # outer, so that no filter on the generated arrays' size is inferred, pushed down and makes them again; a null print meets nothing
-    met = docs.select("__id", "__text_hash", "__words", "__n", F.posexplode_outer(prints).alias("i", "print")).join(wanted, "print")
-    start = F.col("i") - F.col("at")
-    inside = (start >= 0) & (start + F.col("length") <= F.col("__n"))
-    met = met.where(inside).select("__id", "__text_hash", start.alias("start"), "length", "window", run_of(start, F.col("length")).alias("__own"))
-    # contains(), since an equality would become a key of the join and be made for every run of every document
-    return met.where(F.array_contains(F.array("window"), F.col("__own"))).drop("__own")
+    found = docs.select("__id", "__text_hash", F.explode_outer(runs).alias("r")).select("__id", "__text_hash", "r.*").join(windows, "print")
+    return found.select("__id", "__text_hash", (F.col("first") - F.col("at")).alias("first"), (F.col("last") - F.col("at")).alias("last"), "length", "window")
 
 
-def hits(docs: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
-    """All verified windows of ``docs`` (columns __id, __text_hash, __text)."""
+def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """All verified windows of ``docs`` (columns __id, __text_hash, __text): ``__id, __text_hash, start, length, window``."""
     kinds = {r[0] for r in windows.select("kind").distinct().collect()}  # at most six small numbers
     base = hashed(docs, "__text")
+    each = lambda grams: F.transform(grams, lambda g, i: F.struct(g.alias("print"), i.alias("first"), i.alias("last")))
     out = None
     for kind in sorted(kinds):
         if kind == WINDOW:
-            own, prints = window_prints(base), F.col("__prints")
+            own, runs = window_prints(base), F.when(F.size("__prints") > 0, winnowed(F.col("__prints")))
         elif kind == GRAM:
-            own, prints = base, F.col("__grams")
+            own, runs = base, each(F.col("__grams"))
         else:
-            own, prints = base.withColumn("__short", _grams("__hash", F.col("__n"), kind)), F.col("__short")
-        found = _hits(own, prints, windows.where(F.col("kind") == kind).select("window", "length", "print", "at").distinct(), small)
+            own, runs = base.withColumn("__short", _grams("__hash", F.col("__n"), kind)), each(F.col("__short"))
+        wanted = stored(windows.where(F.col("kind") == kind).select("window", "length", "print", "at").distinct(), "item-prints")
+        found = _met(own, runs, broadcast_if_small(wanted, "window"))
         out = out.union(found) if out else found
     if out is None:
-        out = docs.where("false").select("__id", "__text_hash", F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("window"))
-    return out
+        return docs.where("false").select("__id", "__text_hash", F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("window"))
+    met = stored(out.distinct(), "window-meetings")
+    same = ["__id", "__text_hash"]
+    small = broadcast_if_small(met, "window")
+    sides = small.withColumnsRenamed({"__id": "__of", "__text_hash": "__hash_of"})
+    texts = docs.join(sides, F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__text_hash") == F.col("__hash_of")), "left_semi").dropDuplicates(same)
+    held = texts.select(*same, words(F.col("__text")).alias("__words"))
+    both = held.join(sides, F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__text_hash") == F.col("__hash_of")))
+    both = both.select(*same, "__words", "length", "window", F.explode(F.sequence("first", "last")).alias("start"))
+    inside = (F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.size("__words"))
+    return both.where(inside & (run_of(F.col("start"), F.col("length")) == F.col("window"))).select(*same, "start", "length", "window")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -134,9 +162,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     counts and rows of one key with different texts don't mix.
     """
     windows = stored(item_windows(items, item, item_text), "item-windows")
-    small = windows.count() <= BROADCAST_WINDOWS
     own = docs.select(F.col(key).alias("__id"), F.xxhash64(text).alias("__text_hash"), F.col(text).alias("__text"))
-    found = stored(hits(own, windows, small).distinct(), "window-hits")
+    found = stored(hits(own, windows).distinct(), "window-hits")
 
     same = ["__id", "__text_hash"]
     order = Window.partitionBy(*same).orderBy("start", "length")
@@ -145,8 +172,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     covered = found.select(*same, "start", "length").distinct().withColumn("fresh", F.greatest(F.lit(0), end - F.greatest("start", before)))
     covered = covered.groupBy(*same).agg(F.sum("fresh").alias("n_hit"))
 
-    by_window = windows.select("window", "item_id").distinct()
-    listed = found.select(*same, "window").distinct().join(F.broadcast(by_window) if small else by_window, "window").select(*same, "item_id").distinct()
+    by_window = broadcast_if_small(stored(windows.select("window", "item_id").distinct(), "items-of-windows"), "window")
+    listed = found.select(*same, "window").distinct().join(by_window, "window").select(*same, "item_id").distinct()
     listed = listed.groupBy(*same).agg(F.array_sort(F.collect_list("item_id")).alias("items"))
     listed = listed.select(*same, F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     marks = covered.join(listed, [covered[c].eqNullSafe(listed[c]) for c in same]).select(covered["__id"], covered["__text_hash"], "n_hit", "n_items", "items_sha256")
