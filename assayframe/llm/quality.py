@@ -8,19 +8,23 @@ its authors propose, and a logistic curve fitted to decision values of folds
 turns values into probabilities.
 
 The fit takes a bounded sample: at most ``MOST_LABELLED`` labelled rows, those
-of least hash of their id, sent to the driver as packed indicators only.
+of least hash of their id, and of these, in that order, as many as have
+``MOST_PLACES`` indicators together.  Only their packed indicators (four bytes
+each) are sent to the driver.
 Scoring covers every row and whole texts; the weights, of fixed size, go to
 each task.
 
 Defined results: a null text is empty, and an empty text has the score of its
 bias; a null label takes no part in the fit; if one class is missing every
-score is that class's share.  Rows that repeat each get their score.  An empty
-table gives no rows.
+score is that class's share.  Rows that repeat each get their score; a column
+of the output's name is replaced, all others pass through.  An empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 
@@ -31,12 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayframe.llm.bpe import slices
-from assayframe.llm.shared import short_batches
+from assayframe.llm.shared import short_batches, stored
 
 N_FEATURES = 1 << 18
-MOST_LABELLED = 4000
-#: Weight of the fitted model against its mean weight, cost of the hinge loss, rounds of descent, folds for the curve.
-MIX, COST, ROUNDS, FOLDS = 0.9, 1.0, 12, 3
+#: Documented bounds of the sample that the model is fitted on.
+MOST_LABELLED, MOST_PLACES = 4000, 16_000_000
+#: Weight of the fitted model against its mean weight, cost of the hinge loss, folds for the curve.
+MIX, COST, FOLDS = 0.9, 1.0, 3
+#: Descent ends when no projected gradient of a round is larger; past so many rounds a warning says that it didn't.
+TOLERANCE, MOST_ROUNDS = 0.1, 300
 
 _other = str.maketrans({c: "w" for c in "abcdefghijklmnopqrstuvwxyz"} | {c: "W" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: "0" for c in "0123456789"})
 _runs = re.compile(r"(.)\1+").sub
@@ -46,7 +53,7 @@ def shape(word: str) -> str:
     """A word with its letters and digits made alike and runs cut to one: ``Word,`` gives ``Ww,``."""
     if not word.isascii():
         word = "".join(c if c.isascii() else "W" if c.isupper() else "w" if c.isalpha() else c for c in word)
-    return _runs(r"\1", word.translate(_other))[:12]
+    return _runs(r"\1", word.translate(_other))
 
 
 class Shapes(dict):
@@ -107,32 +114,45 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * (self.value(indicators(text)) - self.middle), -30, 30))))
 
 
-def fit_linear(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
+def fit_linear(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
     """Weights of indicators (each divided by the root of its row's number of them) and bias."""
     counts = [np.full(N_FEATURES, 1.0), np.full(N_FEATURES, 1.0)]
     for places, label in zip(rows, labels):
         counts[int(label)][places] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    share = np.maximum(np.bincount(labels, minlength=2), 1)
-    cost = COST * len(labels) / (2 * share)  # the two classes weigh the same
-    weights, bias = np.zeros(N_FEATURES), 0.0
-    alpha, sign = np.zeros(len(rows)), np.where(labels == 1, 1.0, -1.0)
-    own = [ratio[places] / np.sqrt(max(1, len(places))) for places in rows]
+    weights, bias = descend([ratio[places] / np.sqrt(max(1, len(places))) for places in rows], rows, labels, seed, tolerance)
+    mean = np.abs(weights).mean()
+    return (MIX * weights + (1 - MIX) * mean * np.sign(weights)) * ratio, bias
+
+
+def costs(labels: np.ndarray) -> np.ndarray:
+    """Each row's cost of the hinge loss; the two classes weigh the same."""
+    return (COST * len(labels) / (2 * np.maximum(np.bincount(labels, minlength=2), 1)))[labels]
+
+
+def descend(own: list[np.ndarray], rows: list[np.ndarray], labels: np.ndarray, seed: int, tolerance: float) -> tuple[np.ndarray, float]:
+    """Weights and bias (of norm with them) of least hinge loss for rows that have values ``own`` at places ``rows``, by dual coordinate descent."""
+    cost, sign = costs(labels), np.where(labels == 1, 1.0, -1.0)
+    weights, bias, alpha = np.zeros(N_FEATURES), 0.0, np.zeros(len(rows))
     square = np.array([(x * x).sum() + 1 for x in own])
     order, rng = np.arange(len(rows)), np.random.default_rng(seed)
-    for _ in range(ROUNDS):
+    for _ in range(MOST_ROUNDS):
         rng.shuffle(order)
+        worst = 0.0
         for i in order:
             places, x = rows[i], own[i]
-            slope = sign[i] * ((weights[places] * x).sum() + bias) - 1
-            new = min(max(alpha[i] - slope / square[i], 0.0), cost[int(labels[i])])
+            slope = sign[i] * (weights[places] @ x + bias) - 1
+            worst = max(worst, -slope if alpha[i] == 0 else slope if alpha[i] == cost[i] else abs(slope))
+            new = min(max(alpha[i] - slope / square[i], 0.0), cost[i])
             step = (new - alpha[i]) * sign[i]
             if step:
                 weights[places] += step * x
                 bias += step
                 alpha[i] = new
-    mean = np.abs(weights).mean()
-    return (MIX * weights + (1 - MIX) * mean * np.sign(weights)) * ratio, bias
+        if worst <= tolerance:
+            return weights, bias
+    warnings.warn(f"after {MOST_ROUNDS} rounds a projected gradient is {worst:.3g}, more than {tolerance}", stacklevel=2)
+    return weights, bias
 
 
 def fit_curve(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -166,10 +186,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
 
 
 def fit(sample: DataFrame) -> Model:
-    """A model of the labels of ``labelled_sample``; its rows' packed indicators are all that comes to the driver."""
+    """A model of the labels of ``labelled_sample``; its rows' packed indicators, MOST_PLACES at most, are all that comes to the driver."""
     short_batches(sample.sparkSession)
-    found = sample.select("key", "label", feature_lists(F.col("text")).alias("places")).collect()
-    found.sort(key=lambda r: (r["key"], r["label"], bytes(r["places"])))  # the order of rows must not change the model
+    packed = stored(sample.select(F.xxhash64("key").alias("hash"), "key", "label", feature_lists(F.col("text")).alias("places")).withColumn("size", F.octet_length("places")), "labelled")
+    order = ["hash", "key", "label", "size"]
+    sizes = sorted(packed.select(*order).collect())  # four numbers of each of at most MOST_LABELLED rows
+    total, last = 0, None
+    for row in sizes:
+        total += row["size"] // 4
+        if total > MOST_PLACES:
+            last = row
+            break
+    within = F.lit(True) if last is None else F.struct(*order) < F.struct(*(F.lit(v) for v in last))
+    found = packed.where(within).collect()
+    found.sort(key=lambda r: (r["hash"], r["key"], r["label"], bytes(r["places"])))  # the order of rows must not change the model
     places = [np.frombuffer(r["places"], np.int32) for r in found]
     labels = np.array([r["label"] for r in found], int)
     if len(set(labels.tolist())) < 2:
