@@ -16,7 +16,8 @@ Local parts of addresses are permuted letter by letter within their alphabets
 by the same scheme on two halves.
 
 Slashed dates are read month first, or day first if only that is valid; dotted
-and dashed ones of trailing year are read day first.
+and dashed ones of trailing year are read day first.  A date's pseudonym is of
+the same century and, like it, up to the 12th of a month or later.
 
 Defined results: a null text stays null with zero counts; a candidate that isn't valid
 stays; everything between candidates stays as it is.  Repeated rows and other
@@ -196,16 +197,47 @@ def is_date(form: Column) -> Column:
     return _date_of(form).isNotNull() & (F.regexp_extract(form, r"\d{4}", 0) >= "0100")
 
 
+#: Days of a century that are the 13th of a month or later, but for one in centuries without a leap year at their start; two factors of it.
+LATE_DAYS, LATE_X, LATE_Y = 22125, 125, 177
+
+
+def _early(key: str, day: Column, century: Column) -> Column:
+    """A day up to the 12th of a month of the same century: 120 * 120 of them."""
+    at = ((F.year(day) % 100) * 12 + F.month(day) - 1) * 12 + F.day(day) - 1
+    both = feistel(key, "date", F.floor(at / 120), at % 120, F.lit(120), F.lit(120))
+    month = lambda n: F.floor(n / 12)
+    return _let(_let(both, lambda s: s["x"] * 120 + s["y"]), lambda n: F.make_date((century * 100 + F.floor(month(n) / 12)).cast("int"), (month(n) % 12 + 1).cast("int"), (n % 12 + 1).cast("int")))
+
+
+def _late(key: str, day: Column, first: Column) -> Column:
+    """A day from the 13th of a month on, of the same century.
+
+    They are numbered without the first twelve days of each month.  The one
+    number too many, in most centuries, is permuted once more.
+    """
+    months = (F.year(day) - F.year(first)) * 12 + F.month(day)
+    at = F.datediff(day, first) - 12 * months
+    moved = lambda n: _let(feistel(key, "late date", F.floor(n / LATE_Y), n % LATE_Y, F.lit(LATE_X), F.lit(LATE_Y)), lambda s: s["x"] * LATE_Y + s["y"])
+    held = LATE_DAYS - F.when(F.year(first) % 400 == 0, 0).otherwise(1)
+    n = _let(moved(at), lambda n: F.when(n < held, n).otherwise(moved(n)))
+    # the month of a number is the one its share of the century says, or a neighbour
+    near = lambda n, k: F.floor(n * 1200 / held).cast("int") + k
+    found = lambda n, k: _let(F.date_add(first, (n + 12 * near(n, k)).cast("int")), lambda d: F.when((F.day(d) > 12) & ((F.year(d) - F.year(first)) * 12 + F.month(d) == near(n, k)), d))
+    return _let(n, lambda n: F.coalesce(*(found(n, k) for k in (0, 1, 2))))
+
+
 def date(key: str, form: Column) -> Column:
-    """A day of the same century (36,524 or 36,525 days, 92 * 397 or 75 * 487), in the same form."""
+    """A day of the same century in the same form.
+
+    Days up to the 12th of a month and later ones are permuted apart.  So a day
+    that can only be read day first stays one, whatever form it is written in,
+    and no two dates become the same string.
+    """
 
     def moved(day: Column) -> Column:
         century = F.floor(F.year(day) / 100).cast("int")
         first = F.make_date(century * 100, F.lit(1), F.lit(1))
-        leap = century % 4 == 0
-        a, b = F.when(leap, 75).otherwise(92), F.when(leap, 487).otherwise(397)
-        at = F.datediff(day, first)
-        return _let(feistel(key, "date", F.floor(at / b), at % b, a, b), lambda s: F.date_add(first, (s["x"] * b + s["y"]).cast("int")))
+        return F.when(F.day(day) <= 12, _early(key, day, century)).otherwise(_late(key, day, first))
 
     def written(day: Column) -> Column:
         y, m, d = _pad(F.year(day), F.lit(4)), _pad(F.month(day), F.lit(2)), _pad(F.day(day), F.lit(2))
