@@ -124,7 +124,6 @@ def parse(formatted: Column) -> Column:
     return F.transform(turns, lambda t: F.struct(unescape(F.split_part(t, F.lit(TEXT), F.lit(1))).alias("role"), unescape(body(t)).alias("text")))
 
 
-def loss_text(turns: Column, turn_loss: Column) -> Column:
-    """The texts of the parsed turns that the loss applies to, one after the other."""
-    kept = F.filter(F.zip_with(turns, turn_loss, lambda t, on: F.when(on, t["text"])), lambda t: t.isNotNull())
-    return F.array_join(kept, "")
+def masked_text(formatted: Column, spans: Column) -> Column:
+    """The text under a mask's spans, unescaped, one span after the other."""
+    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"].cast("int") + 1, s["length"]))), "")

@@ -16,7 +16,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc_zip.round_trip(table(spark, sf_dir, "pages"))
+    records = warc_zip.resolved(warc_zip.round_trip(table(spark, sf_dir, "pages")))
     page, first = (warc_zip.key_of(c).cast("long") for c in ("record_id", "refers_to"))
     return records.select(page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", first.alias("refers_to"))
 
@@ -28,7 +28,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_CASE).alias("text"))
     chats = chat.format_chats(rows.union(own)).withColumn("turns", chat.parse(F.col("formatted")))
-    chats = chats.withColumn("loss", chat.loss_text(F.col("turns"), F.col("turn_loss")))
+    chats = chats.withColumn("loss", chat.masked_text(F.col("formatted"), F.col("loss_spans")))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return chats.select(
         "conv_id",

@@ -12,8 +12,12 @@ A task writes under a name of its own and hands the name on; only packages
 named in the written manifest are read, so a task that ran twice, or was lost,
 leaves no double records.
 
+White space and control characters of a URL are percent-encoded in its header;
+such a URL also stands whole, as a JSON string, in a header of its own, so every
+URL reads back as it was and none can end a line.  Ids are percent-encoded too.
+
 Defined results: a null payload is empty; a null id, url or payload is read
-back as null, null and empty; of records with equal payloads of at least
+back as null, null and empty, an empty id as null; of records with equal payloads of at least
 ``least_bytes`` bytes the one of the smallest id is the response (each, if
 several rows share that id) and the others revisit it; records with null ids
 are responses if no other has their payload.  An empty table gives no package
@@ -27,11 +31,13 @@ import gzip
 import hashlib
 import io
 import json
+import re
 import struct
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow as pa
@@ -39,7 +45,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm.shared import shared_path
+from assayframe.llm.shared import shared_path, stored
 
 #: A package is closed after the record that reaches one of these.
 PACKAGE_BYTES, PACKAGE_RECORDS = 128 << 20, 50_000
@@ -77,7 +83,10 @@ def record(key: object, url: str | None, payload: bytes, sha1: bytes, refers_to:
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     revisit = refers_to is not None
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{record_id(key)}>", "WARC-Date: 1970-01-01T00:00:00Z"]
-    head += [f"WARC-Target-URI: {url}"] * (url is not None)
+    if url is not None:
+        head.append(f"WARC-Target-URI: {header_uri(url)}")
+        if header_uri(url) != url:
+            head.append(f"X-Target-URI: {json.dumps(url)}")
     head += [f"WARC-Payload-Digest: sha1:{base64.b32encode(sha1).decode()}", f"X-Payload-Length: {len(payload)}"]
     if revisit:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{record_id(refers_to)}>"]
@@ -86,8 +95,16 @@ def record(key: object, url: str | None, payload: bytes, sha1: bytes, refers_to:
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+_unfit = re.compile(r"[\s\x00-\x20\x7f-\x9f]").sub
+
+
+def header_uri(url: str) -> str:
+    """``url`` with white space and control characters percent-encoded, so that it is one line and keeps its ends."""
+    return _unfit(lambda c: quote(c[0], safe=""), url)
+
+
 def record_id(key: object) -> str:
-    return f"urn:record:{'' if key is None else key}"
+    return f"urn:record:{'' if key is None else quote(str(key), safe='')}"
 
 
 class _Forward(io.RawIOBase):
@@ -332,7 +349,7 @@ def read_records(ranges: DataFrame) -> DataFrame:
                         if digest and own != digest:
                             raise ValueError(f"{headers['warc-record-id']}: the payload has another digest than its header")
                         digest, length = own, len(payload)
-                    out.append({"record_id": headers["warc-record-id"].strip("<>"), "url": headers.get("warc-target-uri"), "record_type": kind, "refers_to": headers.get("warc-refers-to", "").strip("<>") or None, "payload_bytes": length, "payload_digest": digest, "payload": payload})
+                    out.append({"record_id": headers["warc-record-id"].strip("<>"), "url": json.loads(headers["x-target-uri"]) if "x-target-uri" in headers else headers.get("warc-target-uri"), "record_type": kind, "refers_to": headers.get("warc-refers-to", "").strip("<>") or None, "payload_bytes": length, "payload_digest": digest, "payload": payload})
                 yield pa.RecordBatch.from_pylist(out, ARROW_RECORD)
 
     return ranges.mapInArrow(records, RECORD)
@@ -348,7 +365,19 @@ def read(spark: SparkSession, manifest: str) -> DataFrame:
 
 def key_of(column: str) -> Column:
     """The key in a record id that ``write`` made; null if the row had none."""
-    return F.nullif(F.regexp_replace(column, "^urn:record:", ""), F.lit(""))
+    return F.url_decode(F.nullif(F.regexp_replace(column, "^urn:record:", ""), F.lit("")))
+
+
+def resolved(records: DataFrame) -> DataFrame:
+    """``records`` without payloads, the size of a revisit taken from the record it refers to.
+
+    A revisit whose record isn't there, or has another digest, is an error.
+    """
+    rows = stored(records.drop("payload"), "warc-records")
+    held = rows.where("record_type = 'response'").groupBy(F.col("record_id").alias("__of"), F.col("payload_digest").alias("__digest")).agg(F.max("payload_bytes").alias("__bytes"))
+    met = rows.join(held, (F.col("refers_to") == F.col("__of")) & (F.col("payload_digest") == F.col("__digest")), "left")
+    size = F.when(F.col("record_type") != "revisit", F.col("payload_bytes")).when(F.col("__bytes").isNull(), F.raise_error(F.concat(F.lit("no record of its digest is what this one refers to: "), "record_id")).cast("long")).otherwise(F.col("__bytes"))
+    return met.withColumn("payload_bytes", size).drop("__of", "__digest", "__bytes")
 
 
 def round_trip(df: DataFrame, name: str = "warc", **options) -> DataFrame:
