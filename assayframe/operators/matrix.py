@@ -18,6 +18,8 @@ from assayframe.operators.reduce import column_pairs, components, components_for
 
 #: Rows that are compared all with all at most; a matrix of their pairs is the result itself.
 MOST_ROWS = 20_000
+#: Rows that the others meet at a time.
+BLOCK_BYTES = 64 << 20
 
 
 def between_rows(df: DataFrame, key: str, vector: Column, metric: str = "euclidean", squared: bool = False) -> DataFrame:
@@ -29,7 +31,13 @@ def between_rows(df: DataFrame, key: str, vector: Column, metric: str = "euclide
         raise ValueError(f"all pairs of more than {MOST_ROWS} rows")
     left, right = rows.select(F.col("key").alias("a"), F.col("v").alias("x")), rows.select(F.col("key").alias("b"), F.col("v").alias("y"))
     value = combine(F.col("x"), F.col("y"))
-    return left.join(F.broadcast(right), F.col("a") < F.col("b")).select("a", "b", (value * value if squared else value).alias("value"))
+    size = right.agg(F.sum(F.size("y") * 8 + 64)).first()[0] or 0
+    blocks, out = max(1, -(-size // BLOCK_BYTES)), None
+    for i in range(blocks):  # one side is sent out in blocks
+        some = right.where(F.pmod(F.xxhash64("b"), F.lit(blocks)) == i) if blocks > 1 else right
+        part = left.join(F.broadcast(some), F.col("a") < F.col("b")).select("a", "b", (value * value if squared else value).alias("value"))
+        out = part if out is None else out.union(part)
+    return out
 
 
 def to_distance(matrix: DataFrame) -> DataFrame:

@@ -68,9 +68,20 @@ def select_variants(cells: DataFrame, k: int, classes: list[str], mode: str = "t
     return out if inside is None else out.unionByName(inside)
 
 
-def seeded_rank(within: list[str], keys: list[str], seed: int) -> Column:
-    """1, 2, ... in an order that depends on the seed and the keys alone."""
-    return F.row_number().over(Window.partitionBy(*within).orderBy(F.xxhash64(F.lit(seed), *keys), *keys))
+def seeded_ranks(df: DataFrame, within: list[str], keys: list[str], seed: int | Column = 0, to: str = "__rank", size: str = "__n") -> DataFrame:
+    """``df`` with ``to``: 1, 2, ... in a group, in an order that depends on the seed and the keys alone, and the group's ``size``.
+
+    Each 64th of the hashes' range is ranked apart and counted, so a group of
+    any share of the rows is spread over tasks.
+    """
+    held = df.withColumn("__hash", F.xxhash64(seed if isinstance(seed, Column) else F.lit(seed), *keys)).withColumn("__range", F.shiftright("__hash", 58))
+    group = Window.partitionBy(*within)
+    before = F.coalesce(F.sum("count").over(group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = held.groupBy(*within, "__range").count()
+    sums = sums.select(*(F.col(c).alias(f"__of_{c}") for c in within), F.col("__range").alias("__of_range"), before.alias("__before"), F.sum("count").over(group).alias(size))
+    own = held.withColumn(to, F.row_number().over(Window.partitionBy(*within, "__range").orderBy("__hash", *keys)))
+    on = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in within] + [F.col("__range") == F.col("__of_range")]
+    return own.join(sums, on).select(*df.columns, (F.col(to) + F.col("__before")).alias(to), size)
 
 
 def pseudo_variants(cells: DataFrame, amount: float | int, classes: list[str], keys: list[str], seed: int = 0) -> DataFrame:
@@ -80,7 +91,7 @@ def pseudo_variants(cells: DataFrame, amount: float | int, classes: list[str], k
     many cells and leaves out labels that have fewer.  Tagged labels aren't eligible.
     """
     rows = cells.where(variant_type(LABEL).isin(classes) & label_tag(LABEL).isNull())
-    rows = rows.withColumn("__rank", seeded_rank([LABEL], keys, seed)).withColumn("__n", F.count("*").over(Window.partitionBy(LABEL)))
+    rows = seeded_ranks(rows, [LABEL], keys, seed)
     keep = F.floor(F.col("__n") * amount) if isinstance(amount, float) else F.when(F.col("__n") >= amount, amount).otherwise(0)
     copies = rows.where(F.col("__rank") <= keep).drop("__rank", "__n").withColumn(LABEL, F.concat(LABEL, F.lit(f":downsample-{amount}")))
     return cells.unionByName(copies)
@@ -119,7 +130,7 @@ def downsample_wildtype(cells: DataFrame, keys: list[str], wildtype: str = "WT",
     if True not in n or False not in n or n[True] <= n[False]:
         return cells
     share = n[False] / n[True]
-    rows = cells.where(F.col(LABEL) == wildtype).withColumn("__rank", seeded_rank([BARCODE], keys, seed)).withColumn("__n", F.count("*").over(Window.partitionBy(BARCODE)))
+    rows = seeded_ranks(cells.where(F.col(LABEL) == wildtype), [BARCODE], keys, seed)
     kept = rows.where(F.col("__rank") <= F.round(F.col("__n") * share)).select(cells.columns)
     return cells.where(F.coalesce(F.col(LABEL) != wildtype, F.lit(True))).unionByName(kept)
 

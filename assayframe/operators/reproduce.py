@@ -7,19 +7,19 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.operators import aggregate as agg
 from assayframe.operators import normalize
-from assayframe.operators.qc import LABEL, seeded_rank
+from assayframe.operators.qc import LABEL, seeded_ranks
 
 
 def split_halves(cells: DataFrame, keys: list[str], replicates: int, seed: int = 0, within: tuple[str, ...] = (LABEL,)) -> DataFrame:
     """Each cell once per replicate with ``replicate`` and ``half`` (0 or 1), halves equal in each stratum up to one cell."""
     rows = cells.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    rank = F.row_number().over(Window.partitionBy("replicate", *within).orderBy(F.xxhash64(F.lit(seed), "replicate", *keys), *keys))
-    return rows.withColumn("half", rank % 2)
+    ranked = seeded_ranks(rows, ["replicate", *within], ["replicate", *keys], seed)
+    return ranked.withColumn("half", (F.col("__rank") % 2).cast("int")).drop("__rank", "__n")
 
 
 def stratum(cells: DataFrame, wildtype: str = "WT", rare: int = 10) -> DataFrame:
@@ -114,7 +114,7 @@ def by_keys(cells: DataFrame, keys_table: DataFrame | None, keys: list[str]) ->
 
 def fold_ids(cells: DataFrame, folds: int, keys: list[str], within: list[str], seed: int = 0) -> DataFrame:
     """``fold`` from 0: each stratum dealt out evenly in seeded order."""
-    return cells.withColumn("fold", (seeded_rank(within, keys, seed) - 1) % folds)
+    return seeded_ranks(cells, within, keys, seed).withColumn("fold", ((F.col("__rank") - 1) % folds).cast("int")).drop("__rank", "__n")
 
 
 def join_features(meta: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:

@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 from assayframe.functions.columns import finite
 from assayframe.operators.pool import auc
-from assayframe.operators.qc import LABEL, min_cells_per_variant, seeded_rank
+from assayframe.operators.qc import LABEL, min_cells_per_variant, seeded_ranks
 from assayframe.sources.tables import written
 
 BARCODE = "meta_barcode"
+#: Models that the wild type meets at a time.
+BLOCK_BYTES = 64 << 20
 SCORES = f"{LABEL} string, scored_against string, is_wildtype boolean, fold int, score double"
 
 
@@ -57,14 +59,14 @@ def folds(cells: DataFrame, k: int | None, keys: list[str], seed: int = 0, by_ba
     has most; the wild type has a cell for each fold at least.
     """
     if not by_barcode:
-        return cells.withColumn("fold", ((seeded_rank([LABEL], keys, seed) - 1) % k).cast("int"))
+        return seeded_ranks(cells, [LABEL], keys, seed).withColumn("fold", ((F.col("__rank") - 1) % k).cast("int")).drop("__rank", "__n")
     groups = barcode_groups(cells, k, wildtype)
     ends = groups.agg(F.max("fold_of")).first()[0]
     blocks = 0 if ends is None else ends + 1
     wild = cells.where(F.col(LABEL) == wildtype)
     if wild.limit(blocks).count() < blocks and wild.limit(1).count():
         raise ValueError(f"fewer wild-type cells than {blocks} folds")
-    own = wild.withColumn("fold", ((seeded_rank([LABEL], keys, seed) - 1) % max(1, blocks)).cast("int"))
+    own = seeded_ranks(wild, [LABEL], keys, seed).withColumn("fold", ((F.col("__rank") - 1) % max(1, blocks)).cast("int")).drop("__rank", "__n")
     rest = cells.where(F.col(LABEL) != wildtype).join(groups, (F.col(LABEL) == F.col("label")) & (F.col(BARCODE) == F.col("barcode")))
     return rest.withColumn("fold", F.col("fold_of")).drop("label", "barcode", "fold_of").unionByName(own)
 
@@ -107,7 +109,13 @@ def cross_validated(cells: DataFrame, features: list[str], k: int, wildtype: str
     base = base.select(F.col("fold").alias("wt_fold"), *(F.col(c).alias(f"w_{c}") for c in base.columns if c != "fold"))
     both = model.join(F.broadcast(base), F.col("fold") == F.col("wt_fold")).drop("wt_fold").withColumnsRenamed({LABEL: "scored_against", "fold": "model_fold"})
     own = variants.join(both, (F.col(LABEL) == F.col("scored_against")) & (F.col("fold") == F.col("model_fold")))
-    against = wild.join(F.broadcast(both), F.col("fold") == F.col("model_fold"))  # a row a variant and fold
+    both = written(both, "models")
+    blocks = max(1, -(-both.count() * len(both.columns) * 8 // BLOCK_BYTES))  # a row a variant and fold, a column three numbers a feature
+    against = None
+    for i in range(blocks):
+        some = both.where(F.pmod(F.xxhash64("scored_against"), F.lit(blocks)) == i) if blocks > 1 else both
+        part = wild.join(F.broadcast(some), F.col("fold") == F.col("model_fold"))
+        against = part if against is None else against.unionByName(part)
     scored = own.unionByName(against)
     ratio = F.lit(0.0)
     for i, f in enumerate(features):
@@ -144,8 +152,8 @@ def class_weights(rows: DataFrame, by: list[str], truth: str) -> DataFrame:
 
 def inner_split(rows: DataFrame, strata: list[str], keys: list[str], share: float = 0.2, seed: int = 0) -> DataFrame:
     """``inner_test``: that share of each stratum, rounded down, in seeded order; a lone row is never tested."""
-    n = F.count("*").over(Window.partitionBy(*strata))
-    return rows.withColumn("inner_test", (n >= 2) & (seeded_rank(strata, keys, seed) <= F.floor(n * share)))
+    ranked = seeded_ranks(rows, strata, keys, seed)
+    return ranked.withColumn("inner_test", (F.col("__n") >= 2) & (F.col("__rank") <= F.floor(F.col("__n") * share))).drop("__rank", "__n")
 
 
 def platt(scores: DataFrame, by: list[str], score: str = "score", truth: str = "is_wildtype", steps: int = 12) -> DataFrame:

@@ -239,3 +239,15 @@ def test_zscore_without_batches_is_the_normalizer(spark):
     one = normalize.zscore(df, control, ["f", "g"]).collect()
     assert one == normalize.Normalizer.fit(df, control, ["f", "g"]).apply(df).collect()
     assert qc.LABEL == aggregate.LABEL
+
+
+def test_blocks_give_the_same(spark, monkeypatch):
+    rng = random.Random(5)
+    cells = spark.createDataFrame([(v, "b", i % 2, rng.gauss(0, 1)) for v in ("WT", "A1V", "A2V", "A3V") for i in range(10)], "meta_aa_changes string, meta_barcode string, fold int, f double")
+    scored = lambda: sorted(score.cross_validated(cells, ["f"], 2).collect())
+    means = cells.groupBy("meta_aa_changes").agg(F.avg("f").alias("f"))
+    apart = lambda: sorted(matrix.between_rows(means, "meta_aa_changes", F.array("f")).collect())
+    whole, pairs = scored(), apart()
+    monkeypatch.setattr(score, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(matrix, "BLOCK_BYTES", 100)
+    assert scored() == whole and len(whole) == 60 and apart() == pairs and len(pairs) == 6
