@@ -197,7 +197,7 @@ def fit(sample: DataFrame) -> Model:
         if total > MOST_PLACES:
             last = row
             break
-    within = F.lit(True) if last is None else F.struct(*order) < F.struct(*(F.lit(v) for v in last))
+    within = F.lit(True) if last is None else F.struct(*order) < F.struct(*(F.lit(v).cast(packed.schema[n].dataType).alias(n) for n, v in zip(order, last)))
     found = packed.where(within).collect()
     found.sort(key=lambda r: (r["hash"], r["key"], r["label"], bytes(r["places"])))  # the order of rows must not change the model
     places = [np.frombuffer(r["places"], np.int32) for r in found]
