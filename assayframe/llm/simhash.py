@@ -20,6 +20,12 @@ shingle.  Equal fingerprints are one class and are joined once, however many
 rows share them.  Rows of a null key get a fingerprint and a component like any
 others; a component without any key has a null component id.  An empty table
 gives no rows.  Columns other than key and text are not looked at.
+
+``first_of_groups`` takes groups of similar texts (Jaccard similarity of their
+word shingles), of which texts of near fingerprints are the first candidates
+and texts that share a rare shingle all others.  Texts without words are alike,
+and so are texts of no more words than a shingle that have the same ones.  All
+columns stay, whatever their names; a group of any size is joined through heads.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,63 +167,28 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
 # Groups of similar texts
 
 
-def word_bits(text: str, seed: int = 42) -> int:
-    """The fingerprint of a text's distinct words, unsigned: of texts with few words changed it differs in few bits."""
-    words = set(text.encode().translate(_LOWER).split())
-    if not words:
+def word_bits(words: list[bytes], seed: int = 42) -> int:
+    """The fingerprint of the distinct words of a text, unsigned: of texts with few words changed it differs in few bits."""
+    own = set(words)
+    if not own:
         return 0
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), "<u8", len(words))
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in own), "<u8", len(own))
     ones = np.zeros(64, np.int64)
     for start in range(0, len(hashes), ROWS):
         ones += np.unpackbits(hashes[start : start + ROWS].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def word_fingerprint(text: Column) -> Column:
-    """``word_bits`` of a text column as a (signed) long."""
-
-    @F.arrow_udf(T.LongType())
-    def word_simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            bits = [word_bits(x or "") for texts in slices(batch) for x in texts]
-            yield pa.array(np.array(bits, np.uint64).view(np.int64))
-
-    return word_simhash(text)
-
-
-def wide_key_lists(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of codeword indices near two segments of each fingerprint, for all three pairs of segments, and their number.
-
-    Fingerprints of at most five differing bits share one for certain: then two
-    segments differ in two bits at most each.  Most of seven bits do as well.
-    """
-    near = [codewords((prints >> np.uint64(at) & np.uint64((1 << width) - 1)).astype(np.int64)) for at, width in SEGMENTS]
-    keys, valid = [], []
-    for i in range(3):
-        (left, n), (right, m) = near[i], near[(i + 1) % 3]
-        keys.append((i << 24 | left[:, :, None] << GOLAY_K | right[:, None, :]).reshape(len(prints), -1))
-        valid.append(((np.arange(6) < n[:, None])[:, :, None] & (np.arange(6) < m[:, None])[:, None, :]).reshape(len(prints), -1))
-    valid = np.concatenate(valid, axis=1)
-    return np.concatenate(keys, axis=1)[valid], valid.sum(axis=1)
-
-
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def wide_keys(prints: pa.Array) -> pa.Array:
-    own, counts = wide_key_lists(prints.to_numpy(zero_copy_only=False).view(np.uint64))
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], counts.cumsum())), pa.int32()), pa.array(own.astype(np.int32)))
-
-
-def shingles(text: str, width: int) -> set[tuple[bytes, ...]]:
-    words = text.encode().translate(_LOWER).split()
-    return set(zip(*(words[i:] for i in range(width)))) if len(words) > width else {tuple(words)}
+def shingles(words: list[bytes], width: int) -> Iterator[bytes]:
+    """Runs of ``width`` words, repeats included; the whole sequence if it has no more."""
+    if len(words) <= width:
+        return iter((b" ".join(words),))
+    return map(b" ".join, zip(*(words[i:] for i in range(width))))
 
 
-def shingle_tokens(text: str, width: int) -> np.ndarray:
-    """Hashes of a text's distinct ``shingles``, ascending."""
-    words = text.encode().translate(_LOWER).split()
-    hashed = xxhash.xxh64_intdigest
-    sets = zip(*(words[i:] for i in range(width))) if len(words) > width else (words,)
-    found = np.fromiter((hashed(b" ".join(s)) for s in sets), np.uint64)
+def shingle_tokens(words: list[bytes], width: int) -> np.ndarray:
+    """Hashes of the distinct ``shingles`` of a text, ascending."""
+    found = np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, width)), np.uint64)
     return np.unique(found & np.uint64((1 << TOKEN_BITS) - 1)).view(np.int64)
 
 
@@ -226,29 +197,31 @@ def rare_length(n, least: float):
     return n - np.ceil(least * n - 1e-9).astype(np.int64) + 1
 
 
-def rare_tokens(text: Column, common: np.ndarray, width: int, least: float) -> Column:
-    """Struct of a text's number of distinct shingles and the first ``rare_length`` of them; ``common`` ones (ascending frequency) come last."""
+def marks(text: Column, common: np.ndarray, width: int, least: float) -> Column:
+    """Struct of a text's word fingerprint, its number of distinct shingles and the first ``rare_length`` of them; ``common`` ones (ascending frequency) come last."""
     known = np.sort(common)
     place = np.argsort(common)
 
-    @F.arrow_udf("n int, rare array<long>")
-    def rare(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("fp long, n int, rare array<long>")
+    def text_marks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            sizes, firsts = [], []
+            prints, sizes, firsts = [], [], []
             for texts in slices(batch):
                 for x in texts:
-                    own = shingle_tokens(x or "", width)
+                    words = (x or "").encode().translate(_LOWER).split()
+                    own = shingle_tokens(words, width)
                     n = len(own)
                     if len(known):
                         at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                         own = np.sort(np.where(known[at] == own, (1 << TOKEN_BITS) + place[at], own))
+                    prints.append(word_bits(words))
                     sizes.append(n)
                     firsts.append(own[: int(rare_length(np.float64(n), least))])
             ends = np.cumsum([0, *map(len, firsts)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *firsts])))
-            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), lists], ["n", "rare"])
+            yield pa.StructArray.from_arrays([pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists], ["fp", "n", "rare"])
 
-    return rare(text)
+    return text_marks(text)
 
 
 def common_tokens(rows: DataFrame, width: int) -> np.ndarray:
@@ -256,7 +229,7 @@ def common_tokens(rows: DataFrame, width: int) -> np.ndarray:
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def tokens(batch: pa.Array) -> pa.Array:
-        own = [shingle_tokens(x or "", width) for texts in slices(batch) for x in texts]
+        own = [shingle_tokens((x or "").encode().translate(_LOWER).split(), width) for texts in slices(batch) for x in texts]
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *own])))
 
     some = rows.sample(min(1.0, SAMPLED / max(1, rows.count())), 42)
@@ -269,109 +242,238 @@ def resemblance(a: Column, b: Column, width: int) -> Column:
     """Jaccard similarity of the word shingles of two texts."""
 
     @F.arrow_udf(T.DoubleType())
-    def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(left, right):
-            p, q = shingles(x.as_py() or "", width), shingles(y.as_py() or "", width)
-            both = len(p & q)
-            out.append(both / (len(p) + len(q) - both))
-        return pa.array(out, pa.float64())
+    def jaccard(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        last, q = None, frozenset()
+        own = lambda x: frozenset(shingles((x or "").encode().translate(_LOWER).split(), width))
+        for left, right in batches:
+            out = []
+            for x, y in zip(left, right):
+                x, y = x.as_py(), y.as_py()
+                if y != last:  # rows come in order of the right text
+                    last, q = y, own(y)
+                p = own(x)
+                both = len(p & q)
+                out.append(both / (len(p) + len(q) - both))
+            yield pa.array(out, pa.float64())
 
     return jaccard(a, b)
 
 
-#: Heads that differ in more bits than this aren't tried first; no pair is lost by it, since all others meet on their rare shingles.
-NEAR = 9
 #: Documents whose shingles are counted for the order of shingles, how often one is common, and the most that are listed (8 bytes each).
 SAMPLED, COMMON, LISTED = 4_000, 4, 20_000
 #: Shingle hashes have so many bits; the common ones follow all others.
 TOKEN_BITS = 62
-#: Texts of candidates are found by a broadcast of their hashes up to this number (8 bytes each).
-BROADCAST_HASHES = 1_000_000
+#: Shingles of more texts than this are crowded, and so is a camp of more; of so little similarity to a head is no text in its camp.
+CROWD, LIKE_HEAD = 64, 0.4
+#: Row ids, of 8 bytes each or 16 with another, are broadcast up to this number, and texts of heads up to so many bytes; else they are joined by a shuffle.
+BROADCAST_IDS, BROADCAST_TEXTS = 500_000, 8 << 20
+
 
+def _small(ids: DataFrame) -> DataFrame:
+    """A stored table of ids, to be broadcast if it has no more rows than BROADCAST_IDS."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
-    """The pairs ``a, b`` of text hashes whose texts resemble each other."""
-    pairs = stored(pairs.distinct(), "similar-pairs")
-    wanted = stored(pairs.select(F.col("a").alias("hash")).union(pairs.select("b")).distinct(), "similar-hashes")
-    small = wanted.count() <= BROADCAST_HASHES
-    held = texts.join(F.broadcast(wanted) if small else wanted, "hash", "left_semi").dropDuplicates(["hash"])
-    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("hash")).join(held, "hash")
-    side = lambda c: F.max(F.when(F.col("hash") == F.col(c), F.col("text")))
-    both = sides.groupBy("a", "b").agg(side("a").alias("x"), side("b").alias("y"))
-    return both.where(resemblance(F.col("x"), F.col("y"), width) >= least).select("a", "b")
 
+def _with_texts(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """Pairs ``a, b`` of ids with their texts ``x, y`` (of ``id, text``)."""
+    pairs = stored(pairs, f"{name}-pairs")
+    wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-ids")
+    held = stored(texts.join(_small(wanted), "id", "left_semi"), f"{name}-texts")
+    left = held.withColumnsRenamed({"id": "a", "text": "x"})
+    heads = stored(held.join(_small(stored(pairs.select(F.col("b").alias("id")).distinct(), f"{name}-heads")), "id", "left_semi"), f"{name}-head-texts")
+    size = heads.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    right = heads.withColumnsRenamed({"id": "b", "text": "y"})
+    return pairs.join(left, "a").join(F.broadcast(right) if size <= BROADCAST_TEXTS else right, "b")
 
-def _apart(placed: DataFrame, least: float) -> DataFrame:
-    """Pairs ``a, b`` of text hashes of different groups that can be as similar: ``placed`` has ``hash, root, n, rare``.
+
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, least: float, name: str) -> DataFrame:
+    """The pairs ``a, b`` of ids whose texts resemble each other."""
+    both = _with_texts(pairs.select("a", "b"), texts, name)
+    return stored(both.where(resemblance(F.col("x"), F.col("y"), width) >= least).select("a", "b"), f"{name}-links")
+
+
+def _rooted(texts: DataFrame, links: DataFrame) -> DataFrame:
+    """``texts`` (column ``id``) with ``root``: the smallest id that links reach."""
+    roots = _small(stored(components(links, "a", "b"), "similar-roots"))
+    return texts.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
+
+
+def _sized(least: float) -> Column:
+    """Texts of x and y shingles can be as similar."""
+    return F.least("x", "y") >= least * F.greatest("x", "y") - 1e-9
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """``token, id, n, root, crowded`` of the rare shingles that texts of several groups have among theirs; ``crowded`` ones are of more than CROWD texts."""
+    keyed = rooted.select("id", "n", "root", F.explode("rare").alias("token"))
+    several = keyed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo < hi")
+    several = several.select("token", F.when(F.col("size") > CROWD, F.col("size")).alias("crowded"))
+    return stored(keyed.join(several, "token"), "similar-tokens")
+
+
+def _best_heads(mixed: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a, b``: each text and that head of its buckets with which it shares most of them; a bucket's head is its text of the smallest root.
+
+    Crowded buckets have their camps' heads.
+    """
+    mixed = mixed.where("crowded is null")
+    heads = mixed.groupBy("token").agg(F.min(F.struct("root", "id", "n")).alias("head"))
+    met = mixed.join(heads, "token").where(F.col("root") != F.col("head.root"))
+    met = met.select(F.col("id").alias("a"), F.col("n").alias("x"), F.col("head.id").alias("b"), F.col("head.n").alias("y")).where(_sized(least))
+    counted = met.groupBy("a", "b").agg(F.count("*").alias("c"))
+    return counted.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", "best.b")
+
+
+def differences(a: Column, b: Column, width: int, least: float) -> Column:
+    """Struct of both texts' numbers of distinct shingles and, if they are that similar, the hashes of the shingles that only one of them has."""
+
+    @F.arrow_udf("n int, of int, only array<long>")
+    def apart(left: pa.Array, right: pa.Array) -> pa.Array:
+        known, rows = {}, []
+        for x, y in zip(left.to_pylist(), right.to_pylist()):
+            if y not in known:  # few texts are heads
+                known = {y: shingle_tokens((y or "").encode().translate(_LOWER).split(), width)}
+            p, q = shingle_tokens((x or "").encode().translate(_LOWER).split(), width), known[y]
+            only = np.setxor1d(p, q, assume_unique=True)
+            rows.append((len(p), len(q), only.tolist() if len(p) + len(q) - len(only) >= least * (len(p) + len(q) + len(only)) else None))
+        return pa.array([dict(zip(("n", "of", "only"), r)) for r in rows], pa.struct([("n", pa.int32()), ("of", pa.int32()), ("only", pa.list_(pa.int64()))]))
+
+    return apart(a, b)
+
+
+def _camps(mixed: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``id, camp, n, of, only``: texts of crowded buckets with a text that is central there, and in what the two differ.
+
+    A text's head is the one that is head of most of its crowded buckets, a
+    bucket's head that whose rare shingles are the most crowded ones.
+    """
+    crowded = mixed.where("crowded is not null").select("token", "id", "n", "crowded")
+    central = _small(stored(crowded.groupBy("id").agg((F.sum(F.log("crowded")) / F.max("n")).alias("central")), "similar-central"))
+    heads = crowded.join(central, "id").groupBy("token").agg(F.max(F.struct("central", "id")).alias("head")).select("token", F.col("head.id").alias("camp"))
+    counted = crowded.join(_small(stored(heads, "similar-crowd-heads")), "token").groupBy("id", "camp").agg(F.count("*").alias("c"))
+    members = stored(counted.groupBy("id").agg(F.max(F.struct("c", "camp")).alias("best")).select("id", "best.camp"), "similar-members")
+    large = members.groupBy("camp").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("camp")
+    members = members.join(large, "camp").where("id != camp").select(F.col("id").alias("a"), F.col("camp").alias("b"))
+    both = _with_texts(members, texts, "camps").sortWithinPartitions("b")
+    both = both.select(F.col("a").alias("id"), F.col("b").alias("camp"), differences(F.col("x"), F.col("y"), width, LIKE_HEAD).alias("d")).select("id", "camp", "d.*")
+    return stored(both.where("only is not null"), "similar-camps")
+
+
+def _within_camps(camps: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a, b`` of texts of one camp and different groups that can be as similar.
+
+    What two texts differ in is in what each differs from their head, but not
+    in both.  Texts that the head's group doesn't hold differ from it by more
+    than such texts may, so they share a good part of what they, and any text
+    like them, differ from it in, and so one of the rarest of it.  That part is
+    small if the head is central: the crowd's own shingles aren't in it.
+    """
+    r = (1 - least) / (1 + least)  # as similar texts of x and y shingles differ in r (x + y) at most
+    rooted = camps.join(roots.select("id", "root"), "id").join(roots.select(F.col("id").alias("camp"), F.col("root").alias("of_head")), "camp")
+    size, slack = F.size("only"), F.lit(1e-9)
+    rooted = rooted.select("id", "camp", "root", "n", "only", (F.col("root") != F.col("of_head")).alias("left"), size.alias("d"), (size - r * (F.col("n") + F.col("of"))).alias("over"), (size - r * (F.col("n") - F.col("of"))).alias("own"))
+    asks = F.greatest(F.lit(1), F.ceil(F.col("over") / (1 + r) - slack))
+    asked = F.greatest(F.lit(1), F.floor(F.col("own") / 2 - slack) + 1)
+    rooted = rooted.withColumn("asking", F.when(F.col("left"), F.col("d") - asks + 1).otherwise(0)).withColumn("asked", F.col("d") - asked + 1)
+    rooted = stored(rooted, "similar-differences")
+    each = rooted.select("id", "camp", "root", "n", "left", "d", "asking", "asked", F.explode("only").alias("token"))
+    shared = each.groupBy("camp", "token").agg(F.count("*").alias("f"), F.count_if("left").alias("k")).where("f > 1 and k > 0").select("camp", "token", "f")
+    own = Window.partitionBy("id")
+    each = each.join(shared, ["camp", "token"]).withColumn("at", F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "token")))
+    each = stored(each.where(F.col("at") <= F.greatest("asking", "asked")), "similar-rarest")
+    side = lambda names: each.select("camp", "token", *(F.col(k).alias(v) for k, v in names.items()))
+    left = side({"id": "a", "root": "p", "n": "x", "d": "dx", "asking": "most", "asked": "fewer", "at": "place", "left": "asks"}).where("asks")
+    right = side({"id": "b", "root": "q", "n": "y", "d": "dy", "asked": "held", "at": "there", "left": "too"}).where("there <= held")
+    # two texts that the head's group doesn't hold ask each other once, and need no more than what is asked of them
+    fits = F.when(F.col("too"), (F.col("a") < F.col("b")) & (F.col("place") <= F.col("fewer"))).otherwise(F.col("place") <= F.col("most"))
+    met = left.join(right, ["camp", "token"]).where((F.col("p") != F.col("q")) & fits)
+    met = met.withColumn("rest_a", F.col("dx") - F.when(F.col("too"), F.col("fewer")).otherwise(F.col("most"))).withColumn("rest_b", F.col("dy") - F.col("held"))
+    pairs = met.groupBy("a", "b", "x", "y", "dx", "dy", "rest_a", "rest_b").agg(F.count("*").alias("c"))
+    enough = 2 * (F.col("c") + F.greatest("rest_a", "rest_b")) >= F.col("dx") + F.col("dy") - r * (F.col("x") + F.col("y")) - slack
+    return pairs.where(enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _apart(mixed: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a, b`` of texts of different groups, and not of one camp, that can be as similar.
 
     Texts of that similarity share one of their rare shingles.  Those that follow
-    the shorter list can't make up for too few shared ones, so pairs of too few are left out.
+    the shorter list can't make up for too few shared ones, so pairs of too few
+    are left out.  A pair has a side outside its bucket's main party (a camp, or
+    the group of a text in none), so the crowd of that party never meets itself.
     """
-    keyed = placed.select("hash", "root", "n", F.explode("rare").alias("token"))
-    # a pair of two groups has a side outside its bucket's main group, so the crowd of that group never meets itself
-    tops = keyed.groupBy("token").agg(F.mode("root").alias("top"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token", "top")
-    mixed = stored(keyed.join(tops, "token").withColumn("main", F.col("root") == F.col("top")).drop("top"), "similar-mixed")
-    left = mixed.where("not main").select("token", F.col("hash").alias("a"), F.col("n").alias("x"), F.col("root").alias("p"))
-    right = mixed.select("token", F.col("hash").alias("b"), F.col("n").alias("y"), F.col("root").alias("q"), "main")
-    sized = F.least("x", "y") >= least * F.greatest("x", "y") - 1e-9
-    met = left.join(right, "token").where((F.col("p") != F.col("q")) & (F.col("main") | (F.col("a") < F.col("b"))) & sized)
+    by_party = mixed.groupBy("token", "party").agg(F.count("*").alias("c"))
+    tops = by_party.groupBy("token").agg(F.max(F.struct("c", "party")).alias("top"), F.count("*").alias("parties")).where("parties > 1").select("token", F.col("top.party").alias("top"))
+    placed = stored(mixed.join(tops, "token").withColumn("main", F.col("party") == F.col("top")).drop("top"), "similar-apart")
+    side = lambda names: placed.select("token", *(F.col(k).alias(v) for k, v in names.items()), "main")
+    left = side({"id": "a", "n": "x", "root": "p", "party": "k"}).where("not main").drop("main")
+    right = side({"id": "b", "n": "y", "root": "q", "party": "l"})
+    met = left.join(right, "token").where((F.col("p") != F.col("q")) & (F.col("k") != F.col("l")) & (F.col("main") | (F.col("a") < F.col("b"))) & _sized(least))
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).groupBy("a", "b", "x", "y").agg(F.count("*").alias("c"))
     after = lambda n: F.ceil(least * F.col(n) - 1e-9) - 1
     return pairs.where(F.col("c") + F.greatest(after("x"), after("y")) >= least / (1 + least) * (F.col("x") + F.col("y")) - 1e-9).select("a", "b")
 
 
 def text_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """``key, hash`` of every row, and ``hash, least, root`` of every text: its smallest key, and the same root for all texts of a group.
-
-    Texts of near fingerprints of their words meet on the keys of two fuzzy
-    segments.  First each text is verified against the smallest text that it
-    meets, which joins a crowd of copies by as many pairs as it has members;
-    then all pairs of different groups that share a rare shingle are verified.
-    Any pair of that similarity does, so none is missed.  Equal texts (of equal
-    64-bit hash) are one.
+    """``df`` with a ``row`` number, stored, and ``row, key, digest, root`` of each: the same root for all rows of a group of similar texts.
+
+    Equal texts are one.  Fingerprints of texts' distinct words are linked as
+    ``near_duplicates`` does, through their Golay keys, and each text is verified
+    against the smallest one that these links reach.  What is still apart meets
+    on rare shingles: any two texts of that similarity share one of their
+    ``rare_length`` rarest, whatever their fingerprints, so no pair is missed.
+    There each text is first verified against one head of its buckets, which
+    joins a crowd by as many pairs as it has members.  In crowded buckets the rest
+    of the head's camp meets on what it differs from the head in.  Then every text
+    is verified against all texts of other groups with which it shares enough.
     """
     short_batches(df.sparkSession)
-    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
-    common = common_tokens(rows.select("text"), width)
-    docs = stored(rows.select("key", "hash", word_fingerprint(F.col("text")).alias("fp"), rare_tokens(F.col("text"), common, width, least).alias("own")).select("key", "hash", "fp", "own.n", "own.rare"), "similar-prints")
-    classes = docs.groupBy("hash").agg(F.min("key").alias("least"), F.min("fp").alias("fp"))
-    keyed = classes.select("hash", "fp", F.explode(wide_keys("fp")).alias("bucket"))
-    heads = keyed.groupBy("bucket").agg(F.min(F.struct("hash", "fp")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    met = keyed.join(heads.select("bucket", "head"), "bucket")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("head.fp"))) <= NEAR
-    heads_met = met.where((F.col("hash") != F.col("head.hash")) & near)
-    first = heads_met.groupBy(F.col("hash").alias("a")).agg(F.min("head.hash").alias("b"))
-    links = stored(_verified(first, rows.select("hash", "text"), width, least), "similar-links")
-    roots = stored(components(links, "a", "b"), "similar-roots")
-    lists = docs.select("hash", "n", "rare").dropDuplicates(["hash"])
-    placed = lists.join(roots, F.col("hash") == F.col("node"), "left").select("hash", "n", "rare", F.coalesce("root", "hash").alias("root"))
-    more = _verified(_apart(placed, least), rows.select("hash", "text"), width, least)
-    roots = components(links.union(more), "a", "b")
-    groups = classes.join(roots, F.col("hash") == F.col("node"), "left").select("hash", "least", F.coalesce("root", "hash").alias("root"))
-    return docs.select("key", "hash"), stored(groups, "similar-groups")
+    row, own = free_name(df.columns, "__row"), free_name(df.columns, "__own")
+    common = common_tokens(df.select(F.col(text).alias("text")), width)
+    whole = df.withColumn(row, F.monotonically_increasing_id()).withColumn(own, F.struct(F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"), marks(F.col(text), common, width, least).alias("of")))
+    whole = stored(whole, "similar-rows")
+    rows = whole.select(F.col(row).alias("row"), F.col(key).alias("key"), f"{own}.digest", f"{own}.of.fp", f"{own}.of.n", f"{own}.of.rare")
+    classes = stored(rows.groupBy("digest").agg(F.min("row").alias("id"), F.first("fp").alias("fp")), "similar-classes")
+    ids = _small(classes.select("id"))
+    texts = whole.select(F.col(row).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    lists = rows.select(F.col("row").alias("id"), "n", "rare").join(ids, "id", "left_semi")
+
+    prints = components(links(classes.select("fp").distinct()), "a", "b")
+    near = classes.join(prints, F.col("fp") == F.col("node"), "left").select("id", F.coalesce("root", "fp").alias("root"))
+    heads = near.groupBy("root").agg(F.min("id").alias("b"), F.count("*").alias("of")).where("of > 1")
+    found = _verified(near.join(heads, "root").where("id != b").select(F.col("id").alias("a"), "b"), texts, width, least, "prints")
+
+    mixed = _mixed(_rooted(lists, found))
+    camps = _camps(mixed, texts, width)
+    alike = F.size("only") <= (1 - least) / (1 + least) * (F.col("n") + F.col("of")) + 1e-9
+    found = found.union(camps.where(alike).select(F.col("id").alias("a"), F.col("camp").alias("b")))
+    found = found.union(_verified(_best_heads(mixed, least), texts, width, least, "heads"))
+    roots = stored(_rooted(classes.select("id"), found), "similar-rooted")
+    found = found.union(_verified(_within_camps(camps, roots, least), texts, width, least, "camp"))
+
+    parties = _small(stored(camps.select("id", "camp").union(camps.select("camp", "camp").distinct()), "similar-parties"))
+    mixed = _rooted(mixed.drop("root", "crowded"), found).join(parties, "id", "left").withColumn("party", F.coalesce(-1 - F.col("camp"), "root")).drop("camp")
+    found = found.union(_verified(_apart(mixed, least), texts, width, least, "apart"))
+    groups = stored(_rooted(classes.select("digest", "id"), found), "similar-groups")
+    return whole.drop(own), rows.select("row", "key", "digest").join(groups.select("digest", "root"), "digest")
 
 
 def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
-    """``key, hash, component_id``: groups that texts of at least ``least`` shingle similarity link."""
-    docs, groups = text_groups(df, key, text, width, least)
-    ids = groups.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = docs.join(groups.join(ids, "root").select("hash", "component_id"), "hash")
-    return found.select(F.col("key").alias(key), "hash", "component_id")
+    """``key, digest, component_id`` of every row: groups that texts of at least ``least`` shingle similarity link, by their smallest key."""
+    rows = text_groups(df, key, text, width, least)[1]
+    ids = rows.groupBy("root").agg(F.min("key").alias("component_id"))
+    return rows.join(ids, "root").select(F.col("key").alias(key), "digest", "component_id")
 
 
 def first_of_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
-    """``df`` with one row of each group of similar texts: that of the smallest key (a null one last), of equal keys that of the least text hash.
+    """``df`` with one row of each group of similar texts: that of the smallest key (a null one last), of equal keys that of the least text digest, then the first.
 
     A key alone never decides: rows that share one, or have none, stay if their texts are of different groups.
     """
-    groups = text_groups(df, key, text, width, least)[1]
-    ends = groups.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "hash")).alias("end"))
-    own, hashed, first = (free_name(df.columns, w) for w in ("__key", "__hash", "__first"))
-    ends = ends.select(F.col("end.least").alias(own), F.col("end.hash").alias(first))
-    rows = df.withColumn(hashed, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    kept = rows.join(ends, (F.col(hashed) == F.col(first)) & F.col(key).eqNullSafe(F.col(own)), "left_semi")
-    return kept.dropDuplicates([key, hashed]).drop(hashed)
+    whole, rows = text_groups(df, key, text, width, least)
+    ends = rows.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "digest", "row")).alias("end"))
+    kept = _small(stored(ends.select("end.row"), "similar-kept"))
+    row = whole.columns[-1]
+    return whole.join(kept, whole[row] == kept["row"], "left_semi").drop(row)
 
 
 def hex_print(fp: Column) -> Column:
