@@ -20,6 +20,7 @@ from assayframe.llm.shared import shared_path
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [None, "", " ", "\n\n", "a", "A b  c\t d \n e", "¡Qué! 中文 🎉 x", "x" * 3000, "ab" * 400 + " " * 300 + "z", "it's 12345 <|endoftext|>", "same", "same"]
+ALPHABET = "ab  \n\t 1'sd!é中 . x\x1c\x85\r　"
 
 
 def frame(spark, texts, extra="lang string, token_ids string, n_hit int"):
@@ -47,6 +48,21 @@ def test_warc_round_trip(spark):
     assert sorted((tuple(r[:6]) + (bytes(r[6]),) for r in got), key=key) == sorted(want, key=key)
 
 
+def test_warc_of_any_url_and_key(spark):
+    urls = ["http://a\r\n\r\nb", "http://a\r\nX-Payload-Length: 9", " lead ", "a\n b", "http://a/%0A?q=%25", "", "\u3000x\x85", "é 中"]
+    df = spark.createDataFrame([(f"k {i}\r\n>+%", u, f"p{i % 3}") for i, u in enumerate(urls)], "page_id string, url string, html string")
+    got = warc_zip.resolved(warc_zip.round_trip(df)).select(warc_zip.key_of("record_id").alias("k"), "url", "payload_bytes").collect()
+    assert sorted(map(tuple, got)) == sorted((f"k {i}\r\n>+%", u, 2) for i, u in enumerate(urls))
+
+
+def test_warc_revisits_are_resolved(spark):
+    rows = [("a", None, "response", None, 3, "D", b"xyz"), ("b", None, "revisit", "a", 99, "D", b"")]
+    schema = "record_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary"
+    assert [r.payload_bytes for r in warc_zip.resolved(spark.createDataFrame(rows, schema)).collect()] == [3, 3]
+    with pytest.raises(Exception, match="no record of its digest"):
+        warc_zip.resolved(spark.createDataFrame([*rows, ("c", None, "revisit", "a", 3, "E", b"")], schema)).collect()
+
+
 def test_warc_empty_table_and_least_bytes(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc_zip.round_trip(df).count() == 0
@@ -94,7 +110,7 @@ def test_chat_round_trip(spark):
     rows = [(c, t, role, x) for c, order in ((1, texts), (2, texts[::-1])) for t, (role, x) in enumerate(zip(("user", "assistant", "system", "assistant") * 3, order))]
     rows += [(None, 0, None, "no id"), (3, None, "assistant", "first"), (3, 0, "user", "x"), (3, 0, "user", "x")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, formatted int")
-    out = chat.format_chats(df).withColumn("turns", chat.parse(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("turns"), F.col("turn_loss")))
+    out = chat.format_chats(df).withColumn("turns", chat.parse(F.col("formatted"))).withColumn("loss", chat.masked_text(F.col("formatted"), F.col("loss_spans")))
     got = {r.conv_id: r for r in out.collect()}
     for c in (1, 2, 3, None):
         own = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
@@ -144,7 +160,7 @@ def contamination(texts, items):
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_decontamination_against_brute_force(spark, monkeypatch, broadcast):
     if not broadcast:
-        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", -1)
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
     rng = random.Random(3)
     vocabulary = ["a", "B", "é", "c3", "dd", "E"]
     say = lambda n: rng.choice((" ", ", ", "-")).join(rng.choice(vocabulary) for _ in range(n))
@@ -174,8 +190,9 @@ def test_decontamination_of_empty_tables(spark):
 
 def test_token_output_against_the_library(spark):
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
-    rows = [(i * 7 % 12, t) for i, t in enumerate(ODD)] + [(None, "null key")]
+    rng = random.Random(9)
+    odd = ODD + ["<|endoftext|>", "a <|endoftext|><|endoftext|> b", *("".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 80))) for _ in range(60))]
+    rows = [(i * 7 % len(odd), t) for i, t in enumerate(odd)] + [(None, "null key")]
     for delta in (False, True):
         out = shared_path(spark, "test-tokens")
         df = spark.createDataFrame([(*r, "keep", 1) for r in rows], "doc_id long, text string, lang string, part_start int").repartition(3)
@@ -275,8 +292,7 @@ def test_bpe_against_the_library(spark):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(5)
-    alphabet = "ab  \n\t 1'sd!é中 . x\x1c\x85\r　"
-    texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 80))) for _ in range(300)]
+    texts = ODD + ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 80))) for _ in range(300)]
     df = bpe.with_bytes(bpe.with_tokens(frame(spark, texts), RANKS, public_tokenizers.PATTERN), RANKS)
     for r in df.collect():
         text = texts[r.doc_id]
