@@ -1,4 +1,11 @@
-"""Corpus preparation: each stage applies one operator to all that the stage before it kept."""
+"""Corpus preparation: each stage applies one operator to all that the stage before it kept.
+
+All stages but the last return the columns of ``documents``; other columns of
+their input are left out.  Null and empty texts pass the classifier by the score
+of its bias, are alike for the near-dedup, have no words, no private data and
+no tokens (null ones null ids).  Rows are told apart by id and text: ids may be
+null or repeat.  An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
