@@ -375,6 +375,8 @@ def _within_camps(camps: DataFrame, roots: DataFrame, least: float) -> DataFrame
     asks = F.greatest(F.lit(1), F.ceil(F.col("over") / (1 + r) - slack))
     asked = F.greatest(F.lit(1), F.floor(F.col("own") / 2 - slack) + 1)
     rooted = rooted.withColumn("asking", F.when(F.col("left"), F.col("d") - asks + 1).otherwise(0)).withColumn("asked", F.col("d") - asked + 1)
+    # two texts that the head's group doesn't hold need no more than what is asked of either, and ask each other once
+    rooted = rooted.withColumn("asked", F.when(F.col("left"), F.least("asking", "asked")).otherwise(F.col("asked")))
     rooted = stored(rooted, "similar-differences")
     each = rooted.select("id", "camp", "root", "n", "left", "d", "asking", "asked", F.explode("only").alias("token"))
     shared = each.groupBy("camp", "token").agg(F.count("*").alias("f"), F.count_if("left").alias("k")).where("f > 1 and k > 0").select("camp", "token", "f")
@@ -384,7 +386,6 @@ def _within_camps(camps: DataFrame, roots: DataFrame, least: float) -> DataFrame
     side = lambda names: each.select("camp", "token", *(F.col(k).alias(v) for k, v in names.items()))
     left = side({"id": "a", "root": "p", "n": "x", "d": "dx", "asking": "most", "asked": "fewer", "at": "place", "left": "asks"}).where("asks")
     right = side({"id": "b", "root": "q", "n": "y", "d": "dy", "asked": "held", "at": "there", "left": "too"}).where("there <= held")
-    # two texts that the head's group doesn't hold ask each other once, and need no more than what is asked of them
     fits = F.when(F.col("too"), (F.col("a") < F.col("b")) & (F.col("place") <= F.col("fewer"))).otherwise(F.col("place") <= F.col("most"))
     met = left.join(right, ["camp", "token"]).where((F.col("p") != F.col("q")) & fits)
     met = met.withColumn("rest_a", F.col("dx") - F.when(F.col("too"), F.col("fewer")).otherwise(F.col("most"))).withColumn("rest_b", F.col("dy") - F.col("held"))

@@ -45,7 +45,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm.shared import shared_path, stored
+from assayframe.llm.shared import shared_path, short_batches, stored
 
 #: A package is closed after the record that reaches one of these.
 PACKAGE_BYTES, PACKAGE_RECORDS = 128 << 20, 50_000
@@ -167,6 +167,7 @@ class PackageWriter:
 
 def write(df: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0) -> str:
     """Writes a record for each row and returns the path of the manifest (Parquet: path, records)."""
+    short_batches(df.sparkSession)
     rows = digests(df.select(key, url, payload), key, payload, least_bytes)
     rows = rows.select(F.col(key).cast("string").alias("key"), F.col(url).alias("url"), F.col(payload).cast("string").alias("payload"), F.unhex("__sha1").alias("sha1"), F.col("__first").cast("string").alias("refers_to"))
 
