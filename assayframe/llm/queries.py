@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, chat, decontaminate, html_text, permutation_index, pii, quality, simhash, token_output, warc_zip
+from assayframe.llm import bpe, chat, decontaminate, forest, html_text, permutation_index, pii, quality, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -105,6 +105,10 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(rows, F.col("vec_id") % 50 == 0)
 
 
+def op11_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_zip": op1_warc_zip,
     "op2_chat_format": op2_chat_format,
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_permutation_index": op10_permutation_index,
+    "op11_projection_forest": op11_projection_forest,
 }
 
 _WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
@@ -156,4 +161,14 @@ ORACLE_SQL: dict[str, str] = {
             CAST(sum(formatted) AS BIGINT) AS formatted_chars
         FROM marked GROUP BY conv_id
     """,
+    "op11_projection_forest": """
+        WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        u AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x <> 0)) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        link AS (SELECT a.r AS a, b.r AS b FROM u AS a JOIN u AS b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+        least AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY 1),
+        n AS (SELECT a AS r, count(*) AS n_links FROM link GROUP BY 1)
+        SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(v.vec_id = component_id, false) AS kept
+        FROM v JOIN least USING (r) LEFT JOIN n USING (r)
+    """,
 }
