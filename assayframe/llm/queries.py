@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, chat, decontaminate, forest, html_text, permutation_index, pii, quality, simhash, token_output, warc_zip
+from assayframe.llm import bpe, chat, decontaminate, forest, html_text, periodic, permutation_index, pii, quality, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -109,6 +110,33 @@ def op11_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def repeating_tail(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """The contract's change to a tenth of the documents: from some word on, a stretch of the words over and over."""
+    tenth, g = (zlib.crc32(str(doc_id).encode()) % 10, zlib.crc32(str(doc_id).encode()) // 10) if doc_id is not None else (1, 0)
+    n = len(words)
+    if tenth or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), changed=repeating_tail)
+    runs = F.col("periodic.runs")
+    first = F.aggregate(runs, runs[0], lambda best, r: F.when(r["length"] > best["length"], r).otherwise(best))  # runs come by start and period
+    lines = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    docs = docs.select("doc_id", F.size(runs).cast("long").alias("n_runs"), F.when(F.size(runs) > 0, first).alias("first"), F.concat(F.array_join(lines, "\n"), F.when(F.size(runs) > 0, "\n").otherwise("")).alias("lines"), "periodic.collapsed")
+    return docs.select(
+        "doc_id",
+        "n_runs",
+        "first.*",
+        F.floor(1000 * F.col("first.length") / F.col("first.period")).cast("long").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_zip": op1_warc_zip,
     "op2_chat_format": op2_chat_format,
@@ -121,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_permutation_index": op10_permutation_index,
     "op11_projection_forest": op11_projection_forest,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
