@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import bpe, chat, decontaminate, forest, html_text, periodic, permutation_index, pii, quality, simhash, token_output, warc_zip
+from assayframe.llm import bpe, chat, decontaminate, forest, html_text, importance, periodic, permutation_index, pii, quality, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -137,6 +137,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_zip": op1_warc_zip,
     "op2_chat_format": op2_chat_format,
@@ -150,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_permutation_index": op10_permutation_index,
     "op11_projection_forest": op11_projection_forest,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 _WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
@@ -200,4 +205,31 @@ ORACLE_SQL: dict[str, str] = {
         SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(v.vec_id = component_id, false) AS kept
         FROM v JOIN least USING (r) LEFT JOIN n USING (r)
     """,
+    "op13_importance_resampling": f"""
+        WITH bits AS (SELECT i, list_reduce(list_prepend(i, CAST(range(8) AS BIGINT[])), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM (SELECT unnest(range(256)) AS i) AS q),
+        tab AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM bits),
+        d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT {_WORDS} AS w FROM benchmark),
+        words AS (SELECT DISTINCT unnest(w) AS word FROM (SELECT w FROM d UNION ALL SELECT w FROM b) AS q),
+        coded AS MATERIALIZED (
+            SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(word)), lambda k: CAST('0x' || substr(hex(encode(word)), CAST(2 * k + 1 AS INT), 2) AS BIGINT))),
+                lambda c, x: xor(c // 256, t[CAST(xor(c % 256, x) + 1 AS INT)])), 4294967295) % 10000 AS bucket
+            FROM words, tab
+        ),
+        s AS (SELECT bucket, count(*) AS s FROM (SELECT unnest(w) AS word FROM d) AS q JOIN coded USING (word) GROUP BY 1),
+        t AS (SELECT bucket, count(*) AS t FROM (SELECT unnest(w) AS word FROM b) AS q JOIN coded USING (word) GROUP BY 1),
+        total AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS all_s, (SELECT coalesce(sum(t), 0) FROM t) AS all_t),
+        gain AS (
+            SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(all_s + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(all_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+            FROM s LEFT JOIN t USING (bucket), total
+        ),
+        weighed AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM (SELECT r, unnest(w) AS word FROM d) AS q JOIN coded USING (word) JOIN gain USING (bucket) GROUP BY 1),
+        scored AS (
+            SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+            FROM d LEFT JOIN weighed USING (r)
+        ),
+        drawn AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM scored LEFT JOIN drawn USING (r)
+    """,
 }
