@@ -263,8 +263,12 @@ def resemblance(a: Column, b: Column, width: int) -> Column:
 SAMPLED, COMMON, LISTED = 4_000, 4, 20_000
 #: Shingle hashes have so many bits; the common ones follow all others.
 TOKEN_BITS = 62
-#: Shingles of more texts than this are crowded, and so is a camp of more; of so little similarity to a head is no text in its camp.
+#: Shingles of more texts than this are crowded, and so is a camp of more; of so little similarity to all references is no text in its camp.
 CROWD, LIKE_HEAD = 64, 0.4
+#: References of a camp at most, the similarity to the text that one is made around, and the sample they are made from: texts, and shingles in all.
+REFERENCES, LIKE_SEED, SAMPLE_TEXTS, SAMPLE_TOKENS = 8, 0.5, 256, 400_000
+#: Texts of a camp that a task measures at once.
+CHUNK_BYTES = 4 << 20
 #: Row ids, of 8 bytes each or 16 with another, are broadcast up to this number, and texts of heads up to so many bytes; else they are joined by a shuffle.
 BROADCAST_IDS, BROADCAST_TEXTS = 500_000, 8 << 20
 
@@ -324,28 +328,32 @@ def _best_heads(mixed: DataFrame, least: float) -> DataFrame:
     return counted.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", "best.b")
 
 
-def differences(a: Column, b: Column, width: int, least: float) -> Column:
-    """Struct of both texts' numbers of distinct shingles and, if they are that similar, the hashes of the shingles that only one of them has."""
+def _tokens(texts: pa.ChunkedArray, width: int) -> list[np.ndarray]:
+    return [shingle_tokens((x or "").encode().translate(_LOWER).split(), width) for x in texts.to_pylist()]
 
-    @F.arrow_udf("n int, of int, only array<long>")
-    def apart(left: pa.Array, right: pa.Array) -> pa.Array:
-        known, rows = {}, []
-        for x, y in zip(left.to_pylist(), right.to_pylist()):
-            if y not in known:  # few texts are heads
-                known = {y: shingle_tokens((y or "").encode().translate(_LOWER).split(), width)}
-            p, q = shingle_tokens((x or "").encode().translate(_LOWER).split(), width), known[y]
-            only = np.setxor1d(p, q, assume_unique=True)
-            rows.append((len(p), len(q), only.tolist() if len(p) + len(q) - len(only) >= least * (len(p) + len(q) + len(only)) else None))
-        return pa.array([dict(zip(("n", "of", "only"), r)) for r in rows], pa.struct([("n", pa.int32()), ("of", pa.int32()), ("only", pa.list_(pa.int64()))]))
 
-    return apart(a, b)
+def references(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Up to REFERENCES sets of shingles that are central among given ones: what most of those hold that are like the one with the most like it, over and over with the rest."""
+    every, place = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.zeros((len(sets), len(every)), np.float32)
+    held[np.repeat(np.arange(len(sets)), [len(x) for x in sets]), place] = 1
+    both, sizes = held @ held.T, held.sum(axis=1)
+    like = both >= LIKE_SEED * (sizes[:, None] + sizes[None, :] - both)
+    free, out = np.ones(len(sets), bool), []
+    while free.any() and len(out) < REFERENCES:
+        own = free & like[int((like[:, free].sum(axis=1) * free).argmax())]
+        if out and own.sum() < max(2, len(sets) // 32):
+            break
+        out.append(every[held[own].sum(axis=0) * 2 > own.sum()])
+        free &= ~own
+    return out
 
 
-def _camps(mixed: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """``id, camp, n, of, only``: texts of crowded buckets with a text that is central there, and in what the two differ.
+def _members(mixed: DataFrame, texts: DataFrame) -> DataFrame:
+    """``id, camp, chunk, text``: the texts of crowded buckets, in camps of over CROWD texts and chunks of about CHUNK_BYTES.
 
-    A text's head is the one that is head of most of its crowded buckets, a
-    bucket's head that whose rare shingles are the most crowded ones.
+    A text's camp is the head of most of its crowded buckets, a bucket's head
+    the text whose rare shingles are the most crowded ones.
     """
     crowded = mixed.where("crowded is not null").select("token", "id", "n", "crowded")
     central = _small(stored(crowded.groupBy("id").agg((F.sum(F.log("crowded")) / F.max("n")).alias("central")), "similar-central"))
@@ -353,43 +361,121 @@ def _camps(mixed: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     counted = crowded.join(_small(stored(heads, "similar-crowd-heads")), "token").groupBy("id", "camp").agg(F.count("*").alias("c"))
     members = stored(counted.groupBy("id").agg(F.max(F.struct("c", "camp")).alias("best")).select("id", "best.camp"), "similar-members")
     large = members.groupBy("camp").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("camp")
-    members = members.join(large, "camp").where("id != camp").select(F.col("id").alias("a"), F.col("camp").alias("b"))
-    both = _with_texts(members, texts, "camps").sortWithinPartitions("b")
-    both = both.select(F.col("a").alias("id"), F.col("b").alias("camp"), differences(F.col("x"), F.col("y"), width, LIKE_HEAD).alias("d")).select("id", "camp", "d.*")
-    return stored(both.where("only is not null"), "similar-camps")
+    held = stored(texts.join(_small(stored(members.join(large, "camp"), "similar-large-camps")), "id"), "similar-camp-texts")
+    sizes = held.groupBy("camp").agg(F.count("*").alias("texts"), F.ceil(F.sum(F.octet_length("text") + 64) / CHUNK_BYTES).alias("chunks"))
+    held = held.join(sizes, "camp").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
+    return stored(held.select("id", "camp", "text", "texts", "chunks", "chunk"), "similar-chunks")
 
 
-def _within_camps(camps: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+def _central_sets(held: DataFrame, width: int) -> DataFrame:
+    """``camp, chunk, ref, tokens``: the references of each camp, from a bounded sample of its texts, once for each chunk."""
+
+    def chosen(drawn: pa.Table) -> pa.Table:
+        drawn = drawn.take(pa.array(np.argsort(drawn.column("id").to_numpy())))
+        sets, room = [], SAMPLE_TOKENS
+        for own in _tokens(drawn.column("text"), width):
+            room -= len(own)
+            if room < 0 and sets:
+                break
+            sets.append(own)
+        found = references(sets)
+        return pa.table({"camp": pa.array([drawn.column("camp")[0].as_py()] * len(found), pa.int64()), "ref": pa.array(range(len(found)), pa.int32()), "tokens": pa.array(found, pa.list_(pa.int64()))})
+
+    drawn = held.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 20)) * F.col("texts") < F.lit(SAMPLE_TEXTS << 20))
+    found = stored(drawn.groupBy("camp").applyInArrow(chosen, "camp long, ref int, tokens array<long>"), "similar-references")
+    chunks = held.groupBy("camp").agg(F.max("chunks").alias("chunks")).withColumn("chunk", F.explode(F.expr("sequence(0L, chunks - 1)"))).drop("chunks")
+    return found.join(chunks, "camp")
+
+
+def _by_chunk(held: DataFrame, sets: DataFrame, width: int, to: str, told) -> DataFrame:
+    """What ``told`` gives of each text of a chunk, its shingles and its camp's references."""
+
+    def chunk(texts: pa.Table, refs: pa.Table) -> pa.Table:
+        central = dict(zip(refs.column("ref").to_pylist(), (np.array(x, np.int64) for x in refs.column("tokens").to_pylist())))
+        rows = [row for at, own in enumerate(_tokens(texts.column("text"), width)) for row in told(texts, at, own, central)]
+        return pa.Table.from_pylist(rows, schema)
+
+    schema = pa.schema(TOLD[to])
+    return held.groupBy("camp", "chunk").cogroup(sets.groupBy("camp", "chunk")).applyInArrow(chunk, ", ".join(f"{f.name} {SQL_TYPES[f.type]}" for f in schema))
+
+
+TOLD = {
+    "distances": [("id", pa.int64()), ("camp", pa.int64()), ("n", pa.int32()), ("far", pa.list_(pa.int32())), ("of", pa.list_(pa.int32()))],
+    "differences": [("id", pa.int64()), ("ref", pa.int32()), ("only", pa.list_(pa.int64()))],
+}
+SQL_TYPES = {pa.int64(): "long", pa.int32(): "int", pa.list_(pa.int32()): "array<int>", pa.list_(pa.int64()): "array<long>"}
+
+
+def _distances(texts: pa.Table, at: int, own: np.ndarray, central: dict[int, np.ndarray]) -> list[dict]:
+    """In how many shingles a text differs from each reference, in their order."""
+    refs = [central[k] for k in sorted(central)]
+    far = [len(own) + len(c) - 2 * len(np.intersect1d(own, c, assume_unique=True)) for c in refs]
+    return [{"id": texts.column("id")[at].as_py(), "camp": texts.column("camp")[at].as_py(), "n": len(own), "far": far, "of": [len(c) for c in refs]}]
+
+
+def _differences(texts: pa.Table, at: int, own: np.ndarray, central: dict[int, np.ndarray]) -> list[dict]:
+    """In which shingles a text differs from the references wanted."""
+    return [{"id": texts.column("id")[at].as_py(), "ref": k, "only": np.setxor1d(own, central[k], assume_unique=True).tolist()} for k in texts.column("wanted")[at].as_py()]
+
+
+def _ratio(least: float) -> float:
+    """As similar texts of x and y shingles differ in this times (x + y) at most."""
+    return (1 - least) / (1 + least)
+
+
+def _placed(held: DataFrame, sets: DataFrame, width: int, least: float) -> DataFrame:
+    """``id, camp, ref, n, d, over, nearest, best``: how far each text of a camp is from each reference, ``over`` what texts alike may differ in.
+
+    ``best`` is the least ``over`` of any text at the reference.  Texts that are
+    unlike all references are in no camp.
+    """
+    far = stored(_by_chunk(held, sets, width, "distances", _distances), "similar-distances")
+    each = far.select("id", "camp", "n", F.posexplode(F.arrays_zip("far", "of")).alias("ref", "p"))
+    each = each.select("id", "camp", "n", "ref", F.col("p.far").alias("d"), (F.col("p.far") - _ratio(least) * F.col("n")).alias("over"), (F.col("p.far") <= _ratio(LIKE_HEAD) * (F.col("n") + F.col("p.of"))).alias("like"))
+    near = each.where("like").groupBy("id").agg(F.min(F.struct("d", "ref"))["ref"].alias("nearest"))
+    each = each.join(near, "id").drop("like")
+    best = each.groupBy("camp", "ref").agg(F.min(F.struct("over", "id")).alias("best"))
+    return stored(each.join(best, ["camp", "ref"]), "similar-placed")
+
+
+def _within_camps(held: DataFrame, sets: DataFrame, placed: DataFrame, roots: DataFrame, width: int, least: float) -> DataFrame:
     """Pairs ``a, b`` of texts of one camp and different groups that can be as similar.
 
-    What two texts differ in is in what each differs from their head, but not
-    in both.  Texts that the head's group doesn't hold differ from it by more
-    than such texts may, so they share a good part of what they, and any text
-    like them, differ from it in, and so one of the rarest of it.  That part is
-    small if the head is central: the crowd's own shingles aren't in it.
+    What two texts differ in is in what each differs from a reference, but not
+    in both.  So a and b share at least (over_a + over_b) / 2 of these
+    differences, and if that is none they are alike: all such texts are in the
+    group of the reference's ``best`` one.  A pair of two groups has a side that
+    this group doesn't hold, at the reference next to either; it shares more
+    than that side's part with ``best``, and so one of the rarest differences.
+    A text comes to a reference next to others only if it is near enough to be
+    like one of these.
     """
-    r = (1 - least) / (1 + least)  # as similar texts of x and y shingles differ in r (x + y) at most
-    rooted = camps.join(roots.select("id", "root"), "id").join(roots.select(F.col("id").alias("camp"), F.col("root").alias("of_head")), "camp")
-    size, slack = F.size("only"), F.lit(1e-9)
-    rooted = rooted.select("id", "camp", "root", "n", "only", (F.col("root") != F.col("of_head")).alias("left"), size.alias("d"), (size - r * (F.col("n") + F.col("of"))).alias("over"), (size - r * (F.col("n") - F.col("of"))).alias("own"))
-    asks = F.greatest(F.lit(1), F.ceil(F.col("over") / (1 + r) - slack))
-    asked = F.greatest(F.lit(1), F.floor(F.col("own") / 2 - slack) + 1)
+    r, slack, at = _ratio(least), 1e-9, ["camp", "ref"]
+    rooted = placed.join(roots.select("id", "root"), "id").join(roots.select(F.col("id").alias("best_id"), F.col("root").alias("of_best")), F.col("best.id") == F.col("best_id"))
+    rooted = rooted.withColumns({"left": F.col("root") != F.col("of_best"), "home": F.col("ref") == F.col("nearest")})
+    reach = F.max(F.when(F.col("home"), F.col("d") + r * F.col("n")))
+    reached = rooted.groupBy(at).agg(reach.alias("any"), F.max(F.when(F.col("home") & F.col("left"), F.col("d") + r * F.col("n"))).alias("ours"), F.count_if("left").alias("k")).where("k > 0")
+    rooted = rooted.join(reached, at).where(F.col("home") | (F.col("over") <= F.when(F.col("left"), F.col("any")).otherwise(F.col("ours")) + slack))
+    asks = F.greatest(F.lit(1), F.ceil((F.col("over") + F.col("best.over")) / 2 - slack))
+    asked = F.greatest(F.lit(1), F.floor((F.col("over") - F.col("best.over")) / 2 - slack) + 1)
     rooted = rooted.withColumn("asking", F.when(F.col("left"), F.col("d") - asks + 1).otherwise(0)).withColumn("asked", F.col("d") - asked + 1)
-    # two texts that the head's group doesn't hold need no more than what is asked of either, and ask each other once
-    rooted = rooted.withColumn("asked", F.when(F.col("left"), F.least("asking", "asked")).otherwise(F.col("asked")))
-    rooted = stored(rooted, "similar-differences")
-    each = rooted.select("id", "camp", "root", "n", "left", "d", "asking", "asked", F.explode("only").alias("token"))
-    shared = each.groupBy("camp", "token").agg(F.count("*").alias("f"), F.count_if("left").alias("k")).where("f > 1 and k > 0").select("camp", "token", "f")
-    own = Window.partitionBy("id")
-    each = each.join(shared, ["camp", "token"]).withColumn("at", F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "token")))
+    # two texts that the group doesn't hold need no more than what is asked of either, and ask each other once
+    rooted = rooted.withColumn("asked", F.when(F.col("left"), F.least("asking", "asked")).otherwise(F.col("asked"))).where("greatest(asking, asked) > 0")
+    rooted = stored(rooted.select("id", "camp", "ref", "root", "n", "left", "d", "asking", "asked"), "similar-askers")
+    wanted = rooted.groupBy("id").agg(F.collect_list("ref").alias("wanted"))
+    only = _by_chunk(held.join(_small(stored(wanted, "similar-wanted")), "id"), sets, width, "differences", _differences)
+    each = stored(rooted.join(only, ["id", "ref"]), "similar-differences").withColumn("token", F.explode("only")).drop("only")
+    shared = each.groupBy(*at, "token").agg(F.count("*").alias("f"), F.count_if("left").alias("k")).where("f > 1 and k > 0").select(*at, "token", "f")
+    own = Window.partitionBy("id", "ref")
+    each = each.join(shared, [*at, "token"]).withColumn("at", F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "token")))
     each = stored(each.where(F.col("at") <= F.greatest("asking", "asked")), "similar-rarest")
-    side = lambda names: each.select("camp", "token", *(F.col(k).alias(v) for k, v in names.items()))
+    side = lambda names: each.select(*at, "token", *(F.col(k).alias(v) for k, v in names.items()))
     left = side({"id": "a", "root": "p", "n": "x", "d": "dx", "asking": "most", "asked": "fewer", "at": "place", "left": "asks"}).where("asks")
     right = side({"id": "b", "root": "q", "n": "y", "d": "dy", "asked": "held", "at": "there", "left": "too"}).where("there <= held")
     fits = F.when(F.col("too"), (F.col("a") < F.col("b")) & (F.col("place") <= F.col("fewer"))).otherwise(F.col("place") <= F.col("most"))
-    met = left.join(right, ["camp", "token"]).where((F.col("p") != F.col("q")) & fits)
+    met = left.join(right, [*at, "token"]).where((F.col("p") != F.col("q")) & fits)
     met = met.withColumn("rest_a", F.col("dx") - F.when(F.col("too"), F.col("fewer")).otherwise(F.col("most"))).withColumn("rest_b", F.col("dy") - F.col("held"))
-    pairs = met.groupBy("a", "b", "x", "y", "dx", "dy", "rest_a", "rest_b").agg(F.count("*").alias("c"))
+    pairs = met.groupBy(*at, "a", "b", "x", "y", "dx", "dy", "rest_a", "rest_b").agg(F.count("*").alias("c"))
     enough = 2 * (F.col("c") + F.greatest("rest_a", "rest_b")) >= F.col("dx") + F.col("dy") - r * (F.col("x") + F.col("y")) - slack
     return pairs.where(enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -423,9 +509,11 @@ def text_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: i
     on rare shingles: any two texts of that similarity share one of their
     ``rare_length`` rarest, whatever their fingerprints, so no pair is missed.
     There each text is first verified against one head of its buckets, which
-    joins a crowd by as many pairs as it has members.  In crowded buckets the rest
-    of the head's camp meets on what it differs from the head in.  Then every text
-    is verified against all texts of other groups with which it shares enough.
+    joins a crowd by as many pairs as it has members.  In crowded buckets texts
+    form camps with references, sets of shingles that are central there; the
+    text next to each reference joins most of them, and the rest meets on what
+    it differs from the references in.  Then every text is verified against all
+    texts of other groups with which it shares enough.
     """
     short_batches(df.sparkSession)
     row, own = free_name(df.columns, "__row"), free_name(df.columns, "__own")
@@ -444,14 +532,16 @@ def text_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: i
     found = _verified(near.join(heads, "root").where("id != b").select(F.col("id").alias("a"), "b"), texts, width, least, "prints")
 
     mixed = _mixed(_rooted(lists, found))
-    camps = _camps(mixed, texts, width)
-    alike = F.size("only") <= (1 - least) / (1 + least) * (F.col("n") + F.col("of")) + 1e-9
-    found = found.union(camps.where(alike).select(F.col("id").alias("a"), F.col("camp").alias("b")))
+    held = _members(mixed, texts)
+    sets = _central_sets(held, width)
+    placed = _placed(held, sets, width, least)
+    alike = placed.where((F.col("over") + F.col("best.over") <= 1e-9) & (F.col("id") != F.col("best.id")))
+    found = found.union(_verified(alike.select(F.col("id").alias("a"), F.col("best.id").alias("b")).distinct(), texts, width, least, "best"))
     found = found.union(_verified(_best_heads(mixed, least), texts, width, least, "heads"))
     roots = stored(_rooted(classes.select("id"), found), "similar-rooted")
-    found = found.union(_verified(_within_camps(camps, roots, least), texts, width, least, "camp"))
+    found = found.union(_verified(_within_camps(held, sets, placed, roots, width, least), texts, width, least, "camp"))
 
-    parties = _small(stored(camps.select("id", "camp").union(camps.select("camp", "camp").distinct()), "similar-parties"))
+    parties = _small(stored(placed.select("id", "camp").distinct(), "similar-parties"))
     mixed = _rooted(mixed.drop("root", "crowded"), found).join(parties, "id", "left").withColumn("party", F.coalesce(-1 - F.col("camp"), "root")).drop("camp")
     found = found.union(_verified(_apart(mixed, least), texts, width, least, "apart"))
     groups = stored(_rooted(classes.select("digest", "id"), found), "similar-groups")
