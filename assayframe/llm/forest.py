@@ -35,12 +35,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayframe.llm.graph import components
 from assayframe.llm.permutation_index import unit, usable
 from assayframe.llm.shared import stored
 
-TREES = 6
+TREES = 4
 #: Half of the band around a cut, in standard deviations of the projected difference of two vectors that just link.
 SPILL = 0.5
 #: Rows of a leaf aimed at, and the most that one task compares with as many others.
@@ -51,7 +52,7 @@ SAMPLE, LEAF_SAMPLE = 16_384, 4096
 FIRST_LEAVES, LATER_LEAVES = 1024, 512
 #: Rows of both sides of a cut together, against those cut, at most; a head must hold so much of its leaf's sample.
 SPILLED, HELD = 1.3, 1 / 64
-ROWS = "v long, n long, vector array<double>, cell long, final boolean"
+CELLS = "v long, cell long, final boolean"
 
 
 class Tree:
@@ -102,43 +103,56 @@ class Tree:
         return np.concatenate(rows), np.concatenate(leaves)
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+def _packed(points: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binary values."""
+    width = points.shape[1] * points.itemsize
+    ends = np.arange(len(points) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), len(points), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(points))])
+
+
+def _units(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    """Vectors of length one, in double precision, of packed ones in single or double."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    column = column.cast(pa.binary())
+    if not len(column):
+        return np.zeros((0, dim))
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    values = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    kind = np.float64 if len(values) == 8 * dim * len(column) else np.float32
+    return unit(values.view(kind).reshape(-1, dim).astype(np.float64))
 
 
-def _taken(batch: pa.RecordBatch, rows: np.ndarray, cells: np.ndarray, final: np.ndarray) -> pa.RecordBatch:
-    out = batch.select(["v", "n", "vector"]).take(pa.array(rows))
-    return pa.RecordBatch.from_arrays([*out.columns, pa.array(cells, pa.int64()), pa.array(final, pa.bool_())], ["v", "n", "vector", "cell", "final"])
+def _cells(v: pa.Array, rows: np.ndarray, cells: np.ndarray, final: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([v.take(pa.array(rows)), pa.array(cells, pa.int64()), pa.array(np.full(len(rows), final))], ["v", "cell", "final"])
 
 
 def leaves_of(classes: DataFrame, dim: int, count: int, link: float, trees: int, leaf: int, sample: int) -> DataFrame:
-    """Classes (v, n, unit vector) once for each leaf that holds them, of all trees; leaves of later trees have larger numbers."""
+    """``v, cell, final``: the leaves that hold each class (v, vector), of all trees; leaves of later trees have larger numbers."""
     spark = classes.sparkSession
     band = SPILL * np.sqrt((2 - 2 * link) / dim)
     some = classes.orderBy(F.xxhash64("vector"), "v").limit(sample).select("vector").toArrow()
-    points = _matrix(some.column("vector"), dim)
+    points = _units(some.column("vector"), dim)
     forest = [Tree(points, count / max(1, len(points)), band, leaf, FIRST_LEAVES, np.random.default_rng(t)) for t in range(trees)]
     sent = spark.sparkContext.broadcast(forest)
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = _matrix(batch.column("vector"), dim)
+            points = _units(batch.column("vector"), dim)
             for t, tree in enumerate(sent.value):
                 rows, leaves = tree.lead(points)
-                yield _taken(batch, rows, t * FIRST_LEAVES + leaves, np.full(len(rows), tree.leaves == 1))
+                yield _cells(batch.column("v"), rows, t * FIRST_LEAVES + leaves, tree.leaves == 1)
 
-    cells = stored(classes.mapInArrow(lead, ROWS), "forest-cells")
-    done = cells.limit(0)
+    cells = stored(classes.select("v", "vector").mapInArrow(lead, CELLS), "forest-cells")
     while True:
-        sizes = stored(cells.groupBy("cell").agg(F.count("*").alias("size"), F.every("final").alias("ended")).where((F.col("size") > 2 * leaf) & ~F.col("ended")).drop("ended"), "forest-sizes")
+        sizes = cells.groupBy("cell").agg(F.count("*").alias("size"), F.every("final").alias("ended"))
+        sizes = stored(sizes.where((F.col("size") > 2 * leaf) & ~F.col("ended")).drop("ended"), "forest-sizes")
         if sizes.isEmpty():
-            return done.union(cells)
-        large = cells.join(sizes, "cell")
+            return cells
+        large = cells.join(sizes, "cell").drop("final").join(classes.select("v", "vector"), "v")
         drawn = large.where(F.pmod(F.xxhash64("v", "cell"), F.lit(1 << 20)) * F.col("size") < F.lit(LEAF_SAMPLE << 20))
-        cuts = drawn.groupBy("cell").applyInArrow(_planter(dim, band, leaf), "cell long, cuts array<double>, directions array<double>, sides array<int>")
-        cut = large.join(stored(cuts, "forest-cuts"), "cell").mapInArrow(_leader(dim, band), ROWS)
-        same = cells.join(sizes, "cell", "left_anti").withColumn("cell", F.col("cell") * LATER_LEAVES).select("v", "n", "vector", "cell", "final")
+        cuts = drawn.groupBy("cell").applyInArrow(_planter(dim, band, leaf), "cell long, cuts array<double>, directions binary, sides array<int>")
+        cut = large.join(stored(cuts, "forest-cuts"), "cell").mapInArrow(_leader(dim, band), CELLS)
+        same = cells.join(sizes, "cell", "left_anti").withColumn("cell", F.col("cell") * LATER_LEAVES).select("v", "cell", "final")
         cells = stored(same.union(cut), "forest-cells")
 
 
@@ -148,10 +162,10 @@ def _planter(dim: int, band: float, leaf: int) -> Callable[[pa.Table], pa.Table]
     def plant(drawn: pa.Table) -> pa.Table:
         cell, size = drawn.column("cell")[0].as_py(), drawn.column("size")[0].as_py()
         order = np.argsort(drawn.column("v").to_numpy())
-        tree = Tree(_matrix(drawn.column("vector"), dim)[order], size / len(order), band, leaf, LATER_LEAVES, np.random.default_rng([cell, 1]))
+        tree = Tree(_units(drawn.column("vector"), dim)[order], size / len(order), band, leaf, LATER_LEAVES, np.random.default_rng([cell, 1]))
         sides = [-1 if x is None else x for pair in tree.sides for x in pair]
-        flat = np.concatenate([np.zeros(0), *tree.directions])
-        return pa.table({"cell": pa.array([cell], pa.int64()), "cuts": pa.array([tree.cuts], pa.list_(pa.float64())), "directions": pa.array([flat], pa.list_(pa.float64())), "sides": pa.array([sides], pa.list_(pa.int32()))})
+        flat = np.concatenate([np.zeros(0), *tree.directions])[None, :]
+        return pa.table({"cell": pa.array([cell], pa.int64()), "cuts": pa.array([tree.cuts], pa.list_(pa.float64())), "directions": _packed(flat), "sides": pa.array([sides], pa.list_(pa.int32()))})
 
     return plant
 
@@ -166,21 +180,21 @@ def _leader(dim: int, band: float) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 own = batch.take(pa.array(np.flatnonzero(cells == cell)))
                 tree = Tree.__new__(Tree)
                 tree.band, tree.cuts = band, own.column("cuts")[0].as_py()
-                tree.directions = np.array(own.column("directions")[0].as_py()).reshape(-1, dim)
+                tree.directions = np.frombuffer(own.column("directions")[0].as_py()).reshape(-1, dim)
                 sides = own.column("sides")[0].as_py()
                 tree.sides = [[None if x < 0 else x for x in sides[i : i + 2]] for i in range(0, len(sides), 2)]
-                rows, leaves = tree.lead(_matrix(own.column("vector"), dim))
-                yield _taken(own, rows, cell * LATER_LEAVES + leaves, np.full(len(rows), not tree.cuts))
+                rows, leaves = tree.lead(_units(own.column("vector"), dim))
+                yield _cells(own.column("v"), rows, cell * LATER_LEAVES + leaves, not tree.cuts)
 
     return lead
 
 
-def crowds_of(cells: DataFrame, sizes: DataFrame, dim: int, link: float) -> DataFrame:
+def crowds_of(classes: DataFrame, cells: DataFrame, sizes: DataFrame, dim: int, link: float) -> DataFrame:
     """``v, crowd``: vectors of dense leaves that lie within half the linking angle of a head; each in one crowd."""
     near = float(np.sqrt((1 + link) / 2)) + 1e-9
 
     def heads(drawn: pa.Table) -> pa.Table:
-        points = unit(_matrix(drawn.column("vector"), dim))
+        points = _units(drawn.column("vector"), dim)
         order = np.argsort(drawn.column("v").to_numpy())
         v, within = drawn.column("v").to_numpy()[order], points[order] @ points[order].T >= near
         free, found = np.ones(len(v), bool), []
@@ -192,23 +206,23 @@ def crowds_of(cells: DataFrame, sizes: DataFrame, dim: int, link: float) -> Data
             found.append(best)
             free &= ~within[best]
         cell = drawn.column("cell")[0].as_py()
-        return pa.table({"cell": pa.array([cell], pa.int64()), "heads": pa.array([v[found]], pa.list_(pa.int64())), "points": pa.array([points[order][found].ravel()], pa.list_(pa.float64()))})
+        return pa.table({"cell": pa.array([cell], pa.int64()), "heads": pa.array([v[found]], pa.list_(pa.int64())), "points": _packed(points[order][found].reshape(1, -1))})
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells, points = batch.column("cell").to_numpy(), unit(_matrix(batch.column("vector"), dim))
+            cells, points = batch.column("cell").to_numpy(), _units(batch.column("vector"), dim)
             v, crowd = batch.column("v").to_numpy(), np.full(len(cells), -1)
             for cell in np.unique(cells):
                 own = np.flatnonzero(cells == cell)
                 ids = np.array(batch.column("heads")[int(own[0])].as_py(), np.int64)
                 if len(ids):
-                    close = points[own] @ np.array(batch.column("points")[int(own[0])].as_py()).reshape(-1, dim).T
+                    close = points[own] @ np.frombuffer(batch.column("points")[int(own[0])].as_py()).reshape(-1, dim).T
                     crowd[own] = np.where(close.max(axis=1) >= near, ids[close.argmax(axis=1)], -1)
             yield pa.RecordBatch.from_arrays([pa.array(v[crowd >= 0]), pa.array(crowd[crowd >= 0])], ["v", "crowd"])
 
-    dense = cells.join(sizes, "cell")
+    dense = cells.join(sizes, "cell").join(classes.select("v", "vector"), "v")
     drawn = dense.where(F.pmod(F.xxhash64("v", "cell", F.lit(1)), F.lit(1 << 20)) * F.col("size") < F.lit(LEAF_SAMPLE // 2 << 20))
-    found = stored(drawn.groupBy("cell").applyInArrow(heads, "cell long, heads array<long>, points array<double>"), "forest-heads")
+    found = stored(drawn.groupBy("cell").applyInArrow(heads, "cell long, heads array<long>, points binary"), "forest-heads")
     return stored(dense.join(found, "cell").mapInArrow(held, "v long, crowd long").groupBy("v").agg(F.min("crowd").alias("crowd")), "forest-crowds")
 
 
@@ -242,7 +256,7 @@ def _comparer(dim: int, link: float) -> Callable[[pa.Table], pa.Table]:
     def compare(rows: pa.Table) -> pa.Table:
         rows = rows.take(pa.array(np.argsort(rows.column("v").to_numpy())))
         v, n, crowd, chunk = (rows.column(c).to_numpy() for c in ("v", "n", "crowd", "chunk"))
-        points, cell = unit(_matrix(rows.column("vector"), dim)), rows.column("cell")[0].as_py()
+        points, cell = _units(rows.column("vector"), dim), rows.column("cell")[0].as_py()
         lists = rows.column("cells").combine_chunks()
         ends, ids = lists.offsets.to_numpy(), lists.flatten().to_numpy()
         ends = ends - ends[0]
@@ -278,7 +292,7 @@ def _linked(classes: DataFrame, dim: int, count: int, link: float, trees: int, l
     if sizes.isEmpty():
         crowds = classes.sparkSession.createDataFrame([], "v long, crowd long")
     else:
-        crowds = crowds_of(cells, sizes, dim, link)
+        crowds = crowds_of(classes, cells, sizes, dim, link)
     known = cells.groupBy("v").agg(F.sort_array(F.collect_list("cell")).alias("cells"))  # as many as trees times what the bands add
     known = known.join(crowds, "v", "left").withColumn("crowd", F.coalesce("crowd", F.lit(-1).cast("long")))
     rows = classes.join(known, "v").withColumn("cell", F.explode("cells"))
@@ -316,6 +330,7 @@ def near_duplicates(
     sample: int = SAMPLE,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row: vectors linked by a cosine of ``link`` or more that share a leaf of some tree."""
+    kind = np.float32 if df.schema[vector].dataType == T.ArrayType(T.FloatType()) else np.float64  # single precision is kept as it is
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("raw"))
     rows = stored(rows.withColumn("raw", F.when(usable(F.col("raw")), F.col("raw"))), "forest-vectors")
     classes = rows.where("raw is not null").groupBy("raw").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"))
@@ -323,7 +338,7 @@ def near_duplicates(
     dims = classes.groupBy("dim").agg(F.count("*").alias("n")).where("n > 1").collect()  # a row a length of vectors
     parts = []
     for dim, count in sorted(map(tuple, dims)):
-        units = stored(classes.where(F.col("dim") == dim).mapInArrow(_to_units(dim), "v long, n long, vector array<double>"), "forest-units")
+        units = stored(classes.where(F.col("dim") == dim).select("v", "n", "raw").mapInArrow(_packer(kind), "v long, n long, vector binary"), "forest-packed")
         parts.append(_linked(units, dim, count, link, trees, leaf, most, sample))
     out = classes.select("raw", "n", "least", "v")
     if parts:
@@ -345,13 +360,13 @@ def near_duplicates(
     return linked.union(alone).withColumn("kept", kept)
 
 
-def _to_units(dim: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """What scales vectors to length one."""
+def _packer(kind: type) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What packs vectors of one length as binary values."""
 
-    def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = unit(_matrix(batch.column("raw"), dim))
-            ends = pa.array(np.arange(len(points) + 1) * dim, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("n"), pa.ListArray.from_arrays(ends, pa.array(points.ravel()))], ["v", "n", "vector"])
+            values = batch.column("raw").flatten().to_numpy(zero_copy_only=False)
+            points = values.reshape(batch.num_rows, -1) if batch.num_rows else values.reshape(0, 1)
+            yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("n"), _packed(points.astype(kind))], ["v", "n", "vector"])
 
-    return scaled
+    return pack
