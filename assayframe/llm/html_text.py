@@ -1,13 +1,16 @@
 """Main text of web pages by a tree-structured graphical model.
 
-A page's DOM is a tree of elements and text runs.  Every node is content or
-not; a node's observed features (tag, words of its class, id and role, its
-place, text length, share of linked text, ...) and the state of its parent
-decide which.  Emissions of features and transitions from parent to child, by
-the child's tag, are counted on labelled pages.  Sum-product messages pass
-upward from the leaves and downward from the root, for the nodes of many pages
-at once, level by level, and give the exact marginal of every node; the text
-runs whose marginal is at least one half are kept and joined by block.
+A page's DOM is a tree of elements and text runs.  All text of a node is
+content, or none, or some of it; a node's observed features (tag, words of its
+class, id and role, its place and neighbours, text length, share of linked
+text, ...) and the state of its parent decide which.  What is below a node of
+all content is content, so a list of links in an article stays with it, and
+only children of mixed nodes are told apart.  Potentials of features, and of
+children of mixed nodes by their tag, are fitted to labelled pages by
+conditional likelihood.  Sum-product messages pass upward from the leaves and downward from the
+root, for the nodes of many pages at once, level by level, and give the exact
+marginal of every node; the text runs whose marginal of being content is at
+least one half are kept and joined by block.
 
 The labelled pages are made here from layouts (``labelled_pages``): an article
 among menus, headers, footers, sidebars, notices, adverts, forms and comments,
@@ -27,6 +30,7 @@ import functools
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -130,17 +134,22 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
-def features(nodes: list[Node]) -> list[list[str]]:
-    """Observed features of each node."""
+#: Elements that say what part of a page they are.
+PARTS = frozenset("article main section nav aside header footer form".split())
+
+
+def features(nodes: list[Node]) -> list[tuple[str, ...]]:
+    """Observed features of each node; none for elements without text."""
     n = len(nodes)
-    size, linked, texts, children = [0] * n, [0] * n, [0] * n, [0] * n
-    in_link = [False] * n
+    size, linked, texts = [0] * n, [0] * n, [0] * n
+    in_link, inside = [False] * n, ["page"] * n
     for i in range(1, n):
-        p = nodes[i].parent
-        in_link[i] = in_link[p] or nodes[i].tag == "a"
-        children[p] += 1
-        if nodes[i].tag == TEXT:
-            size[i] = len(nodes[i].text.split())
+        node = nodes[i]
+        p = node.parent
+        in_link[i] = in_link[p] or node.tag == "a"
+        inside[i] = nodes[p].tag if nodes[p].tag in PARTS else inside[p]
+        if node.tag == TEXT:
+            size[i] = len(node.text.split())
             linked[i] = size[i] if in_link[i] else 0
             texts[i] = 1
     for i in range(n - 1, 0, -1):
@@ -148,28 +157,47 @@ def features(nodes: list[Node]) -> list[list[str]]:
         size[p] += size[i]
         linked[p] += linked[i]
         texts[p] += texts[i]
-    out = []
+    before, after, last = [""] * n, [""] * n, {}
+    for i in range(1, n):
+        if texts[i]:
+            p = nodes[i].parent
+            if p in last:
+                before[i] = nodes[last[p]].tag
+                after[last[p]] = nodes[i].tag
+            last[p] = i
+    out: list[tuple[str, ...]] = []
     for i, node in enumerate(nodes):
+        if not texts[i]:
+            out.append(())
+            continue
+        if node.tag in ("#root", "html", "body"):  # what they hold decides
+            out.append((f"tag {node.tag}",))
+            continue
         own = [f"tag {node.tag}", f"size {size[i].bit_length()}", f"linked {4 * linked[i] // max(1, size[i])}", f"parent {nodes[node.parent].tag if i else ''}", f"share {4 * size[i] // max(1, size[0])}"]
+        own += [f"inside {inside[i]}", f"{node.tag} linked {4 * linked[i] // max(1, size[i])}"]
+        own += [f"{side} {tag}" for side, tag in (("before", before[i]), ("after", after[i])) if tag]
         if node.tag == TEXT:
             stripped = node.text.strip()
             own.append(f"ends {stripped[-1:] in tuple('.!?…:;') if stripped else ''}")
             own.append(f"sign {any(c in node.text for c in '©|»·')}")
         else:
-            own.append(f"mean {(size[i] // max(1, texts[i])).bit_length()}")
-            own += [f"name {w}" for w in set(_WORD.findall(node.names)) - {"class", "id", "role"}] or ["unnamed"]
-        out.append(own)
+            own.append(f"mean {(size[i] // texts[i]).bit_length()}")
+            own += [f"name {w}" for w in sorted(set(_WORD.findall(node.names)) - {"class", "id", "role"})] or ["unnamed"]
+        out.append(tuple(own))
     return out
 
 
 # Labelled pages
 
 
+@functools.cache
+def _vocabulary() -> list[str]:
+    rng = random.Random(5)
+    return ["".join(rng.choices("abcdefghilmnoprstuvéèüñ", k=rng.randint(1, 9))) for _ in range(3000)]
+
+
 def _words(rng: random.Random, low: int, high: int) -> str:
-    letters = "abcdefghilmnoprstuvéèüñ"
-    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(low, high))]
-    text = " ".join(words).capitalize()
-    return text + rng.choice(("", ".", ".", "."))
+    return " ".join(rng.choices(_vocabulary(), k=rng.randint(low, high))).capitalize() + rng.choice(("", ".", ".", "."))
 
 
 def _sentences(rng: random.Random, low: int = 1, high: int = 7) -> str:
@@ -183,11 +211,11 @@ def _named(rng: random.Random, tag: str, names: tuple[str, ...], bare: float = 0
 
 
 def _links(rng: random.Random, list_share: float = 0.7) -> str:
-    links = [f'<a href="/{i}">{_words(rng, 1, 3)}</a>' for i in range(rng.randint(2, 9))]
+    links = [f'<a href="/{i}">{_words(rng, 1, 3)}</a>' for i in range(rng.choice((1, 2, 3, 4, 5, 6, 8)))]
     if rng.random() < list_share:
         tag = rng.choice(("ul", "ul", "ol"))
         return f"<{tag}>" + "".join(f"<li>{x}</li>" for x in links) + f"</{tag}>"
-    return rng.choice((" | ", " ", " &middot; ")).join(links)
+    return rng.choice((" | ", " ", " &middot; ", "<br>")).join(links)
 
 
 def _prose(rng: random.Random) -> str:
@@ -208,12 +236,47 @@ def _prose(rng: random.Random) -> str:
     return text
 
 
+def _short(rng: random.Random) -> str:
+    """A block of an article of short or linked parts: lists, steps, indexes, questions, galleries, verses, figures."""
+    many = range(rng.randint(2, 9))
+    few = lambda: _words(rng, 1, 6).rstrip(".")
+    kind = rng.choice((0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 9, 10))
+    if kind == 0:
+        tag = rng.choice(("ul", "ol"))
+        return f"<{tag}>" + "".join(f"<li>{few()}</li>" for _ in many) + f"</{tag}>"
+    if kind == 1:
+        tag = rng.choice(("ul", "ul", "ol"))
+        return f"<{tag}>" + "".join(f'<li><a href="/{i}">{few()}</a>{rng.choice(("", "", " " + few()))}</li>' for i in many) + f"</{tag}>"
+    if kind in (2, 9):
+        tag = rng.choice(("div", "p", "div", "span")) if kind == 2 else "div"
+        stop = rng.choice((".", ""))
+        return "".join(f"<{tag}>{few()}{stop}</{tag}>" for _ in many)
+    if kind == 10:  # columns of text written out
+        return f"<p>{' | '.join(few() for _ in range(rng.randint(3, 40)))}</p>"
+    if kind == 3:
+        return "".join(f"<h3>{few()}?</h3><p>{_words(rng, 2, 12)}</p>" for _ in many)
+    if kind == 4:
+        return "".join(f"<figure><img src=/{i}.png><figcaption>{few()}</figcaption></figure>" for i in many)
+    if kind == 5:
+        return "<p>" + "<br>".join(few() for _ in many) + "</p>"
+    if kind == 6:
+        head = "<tr>" + "".join(f"<th>{few()}</th>" for _ in range(3)) + "</tr>"
+        return f"<table>{head}" + "".join("<tr>" + "".join(f"<td>{rng.randint(0, 9999) / rng.choice((1, 10, 100))}</td>" for _ in range(3)) + "</tr>" for _ in many) + "</table>"
+    if kind == 7:
+        return "".join(f"<details><summary>{few()}</summary>{rng.choice(('', '<p>'))}{_words(rng, 3, 15)}</details>" for _ in many)
+    return "".join(f'<p><a href="/{i}">{few()}</a></p>' for i in many)
+
+
 def _content(rng: random.Random) -> list[str]:
-    """Blocks of an article."""
+    """Blocks of an article; of one in four, most are short."""
     out = []
     if rng.random() < 0.85:
         out.append(f"<h1>{_words(rng, 2, 12)}</h1>")
-    for _ in range(rng.randint(1, 9)):
+    short = rng.choice((0.08, 0.08, 0.7))
+    for _ in range(rng.choice((1, 1, 2, 3, 4, 5, 6, 7, 9))):
+        if rng.random() < short:
+            out.append(_short(rng))
+            continue
         kind = rng.random()
         if kind < 0.72:
             out.append(f"<p>{_prose(rng)}" + ("</p>" if rng.random() < 0.9 else ""))
@@ -261,7 +324,7 @@ def _other(rng: random.Random, kind: str) -> str:
         return _named(rng, tag, names, 0.6 if tag == "header" else 0) + (inner or _words(rng, 1, 5)) + (_other(rng, "nav") if rng.random() < 0.4 else "") + f"</{tag}>"
     if kind == "footer":
         tag = rng.choice(("footer", "footer", "footer", "div"))
-        inner = rng.choice((f"&copy; {_words(rng, 1, 6)}", f"<p>&copy; {_sentences(rng, 1, 3)}</p>", _links(rng), f"{_sentences(rng, 1, 3)}\n{_sentences(rng, 1, 2)}", f"<p>{_sentences(rng, 1, 3)}</p>" + _links(rng)))
+        inner = rng.choice((_words(rng, 1, 3), f"&copy; {_words(rng, 1, 6)}", f"<p>&copy; {_sentences(rng, 1, 3)}</p>", _links(rng), f"{_sentences(rng, 1, 3)}\n{_sentences(rng, 1, 2)}", f"<p>{_sentences(rng, 1, 3)}</p>" + _links(rng)))
         return _named(rng, tag, names, 0.6 if tag == "footer" else 0) + inner + f"</{tag}>"
     if kind == "aside":
         tag = rng.choice(("aside", "aside", "div", "section"))
@@ -290,6 +353,8 @@ PART_NAMES = ("related-work", "background", "introduction", "method", "results",
 def _bare(rng: random.Random) -> list[str]:
     """Blocks of an article without paragraphs."""
     kind = rng.random()
+    if kind < 0.2:
+        return [*([f"<h1>{_words(rng, 1, 6)}</h1>"] if rng.random() < 0.6 else []), *(_short(rng) for _ in range(rng.randint(1, 3)))]
     if kind < 0.35:
         return [f"<div>{_prose(rng)}</div>" for _ in range(rng.randint(1, 6))]
     if kind < 0.5:
@@ -304,7 +369,7 @@ def _bare(rng: random.Random) -> list[str]:
 
 
 #: How pages are laid out.
-FAMILIES = ("article",) * 6 + ("parts", "bare", "bare", "table", "plain")
+FAMILIES = ("article",) * 6 + ("parts", "parts", "bare", "bare", "bare", "table", "table", "plain")
 
 
 def _mark(part: str) -> str:
@@ -314,6 +379,8 @@ def _mark(part: str) -> str:
 
 def _page(rng: random.Random, family: str = "article") -> str:
     """A page, with the mark \\x01 at the start of each text of its content."""
+    if rng.random() < 0.03:  # nothing but what is around articles
+        return f"<html><body>{''.join(_other(rng, rng.choice(('nav', 'header', 'footer', 'notice', 'form', 'share'))) for _ in range(rng.randint(1, 4)))}</body></html>"
     if family == "plain":
         text = _mark("\n\n".join(_words(rng, 1, 9) if rng.random() < 0.2 else _sentences(rng) for _ in range(rng.randint(1, 8))))
         return text if rng.random() < 0.6 else f"<html><body>{text}</body></html>"
@@ -321,10 +388,10 @@ def _page(rng: random.Random, family: str = "article") -> str:
         body = "".join(map(_mark, _bare(rng) if family == "bare" or rng.random() < 0.3 else _content(rng)))
         wrap = rng.random()
         if family == "bare" and wrap < 0.6:
-            body = rng.choice((f"<div>{body}</div>", f"<article>{body}</article>", f"<main>{body}</main>", f'<div class="content">{body}</div>'))
+            body = rng.choice((f"<div>{body}</div>", f"<article>{body}</article>", f"<main>{body}</main>", f'<div class="{rng.choice(("content", "text", "post", "body", "entry"))}">{body}</div>', f'<div id="content">{body}</div>'))
         around = lambda kinds, share: "".join(_other(rng, rng.choice(kinds)) for _ in range(rng.randint(0, 2)) if rng.random() < share)
         if family == "table":
-            side = _links(rng) if rng.random() < 0.7 else _other(rng, "aside")
+            side = _links(rng, 0.3) if rng.random() < 0.7 else _other(rng, "aside")
             cells = [f"<td>{side}</td>", f"<td>{body}</td>"]
             rng.shuffle(cells)
             body = f"<table><tr>{''.join(cells)}</tr></table>"
@@ -352,100 +419,140 @@ def _page(rng: random.Random, family: str = "article") -> str:
     return f"<!DOCTYPE html><html>{head}<body>{''.join(before)}<!-- x -->{body}{''.join(after)}" + ("</body></html>" if rng.random() < 0.9 else "")
 
 
+#: States of a node: none of its text is content, some, all.
+NONE, MIXED, ALL = range(3)
+
+
 def labelled_pages(n: int, seed: int, families: tuple[str, ...] = FAMILIES) -> Iterator[tuple[list[Node], np.ndarray]]:
-    """Parsed pages and the state of each node: 1 for text of the article and for what holds some."""
+    """Parsed pages and the state of each node, that of elements without text meaning nothing."""
     rng = random.Random(seed)
     for _ in range(n):
         nodes = parse(_page(rng, rng.choice(families)))
-        state = np.zeros(len(nodes), int)
-        good = np.zeros(len(nodes), int)
-        for i in range(len(nodes) - 1, 0, -1):
+        good, texts = np.zeros(len(nodes), int), np.zeros(len(nodes), int)
+        for i in range(len(nodes) - 1, -1, -1):
             node = nodes[i]
             if node.tag == TEXT:
-                good[i] = "\x01" in node.text
+                good[i], texts[i] = "\x01" in node.text, 1
                 node.text = node.text.replace("\x01", "")
-            # an element's state tells whether it holds any content, so nothing below a state of 0 is content
-            state[i] = good[i] > 0
-            good[node.parent] += good[i]
-        state[0] = good[0] > 0
-        yield nodes, state
+            if i:
+                good[node.parent] += good[i]
+                texts[node.parent] += texts[i]
+        yield nodes, np.where(good == 0, NONE, np.where(good == texts, ALL, MIXED))
 
 
-class TreeModel:
-    """Log emissions of features and log transitions to children, both by state.
+class Forest:
+    """The nodes of many pages that hold text, in order, as arrays for passing messages."""
 
-    Emissions count ``damping`` times, since features aren't independent, and
-    those of names ``naming`` times; both are fitted on pages held out.
-    """
-
-    def __init__(self, emissions: dict[str, tuple[float, float]], transitions: dict[str, np.ndarray], damping: float = 1.0, naming: float = 1.0):
-        self.emissions, self.transitions, self.damping, self.naming = emissions, transitions, damping, naming
-        self.default = np.log(np.array([[0.7, 0.3], [0.3, 0.7]]))
+    def __init__(self, pages: list[list[Node]]):
+        nodes = [node for page in pages for node in page]
+        starts = np.cumsum([0, *map(len, pages)])
+        parent = np.array([node.parent for node in nodes], np.int64) + np.repeat(starts[:-1], np.diff(starts))
+        self.features = [own for page in pages for own in features(page)]
+        full = np.array([bool(own) for own in self.features], bool)
+        place = np.cumsum(full) - 1
+        self.kept = np.flatnonzero(full)  # elements without text say nothing and are left out
+        self.parent = np.array([place[p] if d else -1 for p, d in zip(parent[self.kept], (nodes[i].depth for i in self.kept))], np.int64)
+        self.tags = [nodes[i].tag for i in self.kept]
+        self.text = np.array([t == TEXT for t in self.tags], bool)
+        depth = np.array([nodes[i].depth for i in self.kept], np.int64)
+        order = np.argsort(depth, kind="stable")
+        self.levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
+        self.features = [self.features[i] for i in self.kept]
+        self.starts = np.searchsorted(self.kept, starts)
+
+    def passed(self, local: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals of the states of each node, and of a mixed parent with them; from log potentials of nodes, and of nodes whose parent is mixed."""
+        local = np.where(self.text[:, None] & (np.arange(3) == MIXED), -1e9, local)  # one text isn't parted
+        up, sent = local.copy(), np.zeros_like(local)
+        for level in self.levels[:0:-1]:
+            # below a node of no or all content there is nothing else
+            sent[level] = np.stack([up[level, NONE], np.logaddexp.reduce(mixed[level] + up[level], axis=1), up[level, ALL]], axis=1)
+            np.add.at(up, self.parent[level], sent[level])
+        belief, pair = up.copy(), np.zeros_like(local)
+        for level in self.levels[1:]:
+            above = belief[self.parent[level]] - sent[level]
+            through = mixed[level] + above[:, [MIXED]]
+            down = through.copy()
+            for state in (NONE, ALL):
+                down[:, state] = np.logaddexp(down[:, state], above[:, state])
+            belief[level] += down
+            pair[level] = through + up[level]
+        total = np.logaddexp.reduce(belief, axis=1, keepdims=True)
+        pair[self.levels[0]] = -np.inf
+        return np.exp(belief - total), np.exp(pair - total)
 
-    def local(self, page: list[Node]) -> np.ndarray:
-        """Each node's log emissions: [node, whether of names, state]."""
-        get, zero, out = self.emissions.get, (0.0, 0.0), np.zeros((len(page), 2, 2))
-        for i, own in enumerate(features(page)):
-            for f in own:
-                out[i, int(f.startswith("name "))] += get(f, zero)
-        return out
 
-    def marginals(self, pages: list[list[Node]], local: np.ndarray | None = None) -> list[np.ndarray]:
-        """Probability that each node is content, for all pages together."""
-        starts = np.cumsum([0, *map(len, pages)])
-        nodes = [node for page in pages for node in page]
-        if not nodes:
-            return []
-        local = np.concatenate(list(map(self.local, pages))) if local is None else local
-        local = self.damping * local[:, 0] + self.naming * local[:, 1]
-        parent = np.array([node.parent for node in nodes]) + np.repeat(starts[:-1], np.diff(starts))
-        depth = np.array([node.depth for node in nodes])
-        step = np.array([self.transitions.get(node.tag, self.default) for node in nodes])  # [node, parent's state, own state]
-        levels = [np.flatnonzero(depth == d) for d in range(depth.max() + 1)]
-        up = local.copy()  # local and all messages from below
-        sent = np.zeros_like(local)  # each node's message to its parent
-        for level in levels[:0:-1]:
-            sent[level] = np.logaddexp.reduce(step[level] + up[level][:, None, :], axis=2)
-            np.add.at(up, parent[level], sent[level])
-        belief = up.copy()
-        for level in levels[1:]:
-            above = belief[parent[level]] - sent[level]
-            belief[level] += np.logaddexp.reduce(step[level] + above[:, :, None], axis=1)
-        p = np.exp(belief[:, 1] - np.logaddexp(belief[:, 0], belief[:, 1]))
-        return [p[a:b] for a, b in zip(starts, starts[1:])]
-
-
-SMOOTHING = 0.5
-#: Weights that are tried on pages held out; names weighing more fit these, but fail on layouts of other families.
-DAMPINGS, NAMINGS = (0.1, 0.15, 0.2, 0.3, 0.5, 1.0), (0.5, 1.0, 2.0)
+class TreeModel:
+    """Log potentials of features by state, and of nodes with a mixed parent by tag and state."""
+
+    def __init__(self, emissions: dict[str, tuple[float, ...]], transitions: dict[str, tuple[float, ...]]):
+        self.emissions, self.transitions = emissions, transitions
+        self._sums: dict[tuple[str, ...], tuple[float, ...]] = {}
+
+    def _sum(self, own: tuple[str, ...]) -> tuple[float, ...]:
+        """Log potentials of some features together; kept while they are few."""
+        found = tuple(map(sum, zip((0.0,) * 3, *(self.emissions[f] for f in own if f in self.emissions))))
+        if len(self._sums) < 50_000:
+            self._sums[own] = found
+        return found
+
+    def marginals(self, pages: list[list[Node]]) -> list[np.ndarray]:
+        """Probability that all text of each node is content, for all pages together; zero for elements without text."""
+        trees = Forest(pages)
+        out = np.zeros(sum(map(len, pages)))
+        if len(trees.kept):
+            get = self._sums.get
+            local = np.array([get(own) or self._sum(own) for own in trees.features])
+            mixed = np.array([self.transitions.get(tag, (0.0,) * 3) for tag in trees.tags])
+            out[trees.kept] = trees.passed(local, mixed)[0][:, ALL]
+        ends = np.cumsum([0, *map(len, pages)])
+        return [out[a:b] for a, b in zip(ends, ends[1:])]
+
+
+#: Share of independent features' log shares that potentials start from, and what is added to each count.
+PRIOR, SMOOTHING = 0.3, 0.5
+#: Steps of the fit, their size, the weight of squared changes of potentials against the mean log likelihood of a page, and the parts of the pages that take turns.
+STEPS, STEP, RIDGE, PARTS_OF_FIT = 260, 0.1, 3e-3, 8
 
 
 @functools.cache
-def fit(n_pages: int = 1500, seed: int = 11, families: tuple[str, ...] = FAMILIES) -> TreeModel:
-    """The model of ``n_pages`` labelled pages, its two weights those of greatest likelihood of the texts of a fifth as many others."""
-    seen: dict[str, np.ndarray] = {}
-    moves: dict[str, np.ndarray] = {}
-    total = np.zeros(2)
-    for nodes, state in labelled_pages(n_pages, seed, families):
-        for i, own in enumerate(features(nodes)):
-            total[state[i]] += 1
-            for f in own:
-                seen.setdefault(f, np.zeros(2))[state[i]] += 1
-            if i:
-                moves.setdefault(nodes[i].tag, np.ones((2, 2)))[state[nodes[i].parent], state[i]] += 1
-    emissions = {f: tuple(np.log((c + SMOOTHING) / (total + 2 * SMOOTHING))) for f, c in seen.items() if c.sum() >= 3}
-    transitions = {tag: np.log(c / c.sum(axis=1, keepdims=True)) for tag, c in moves.items()}
-    model = TreeModel(emissions, transitions)
-    held = list(labelled_pages(n_pages // 5, seed + 1, families))
-    pages, states = [nodes for nodes, _ in held], np.concatenate([state for _, state in held])
-    texts = np.array([node.tag == TEXT for page in pages for node in page])
-    local = np.concatenate(list(map(model.local, pages)))
-
-    def fitness(weights: tuple[float, float]) -> float:
-        p = np.concatenate(TreeModel(emissions, transitions, *weights).marginals(pages, local))[texts]
-        return float(np.log(np.clip(np.where(states[texts] == 1, p, 1 - p), 1e-6, 1)).sum())
-
-    return TreeModel(emissions, transitions, *max(((d, n) for d in DAMPINGS for n in NAMINGS), key=fitness))
+def fit(n_pages: int = 1200, seed: int = 11, families: tuple[str, ...] = FAMILIES) -> TreeModel:
+    """The model of greatest conditional likelihood of the states of ``n_pages`` labelled pages.
+
+    Its gradient is what is counted less what the marginals expect, as for any
+    log-linear model; steps are scaled by running means of squared gradients.
+    """
+    labelled = list(labelled_pages(n_pages, seed, families))
+    parts = [labelled[k::PARTS_OF_FIT] for k in range(PARTS_OF_FIT)]
+    trees = [Forest([nodes for nodes, _ in part]) for part in parts]
+    counts = Counter(f for part in trees for own in part.features for f in own)
+    known = {f: k for k, f in enumerate(sorted(f for f, c in counts.items() if c >= 5))}
+    tags = {t: k for k, t in enumerate(sorted({t for part in trees for t in part.tags}))}
+    batches = []
+    for part, own in zip(parts, trees):
+        states = np.concatenate([state for _, state in part])[own.kept]
+        places = [[known[f] for f in x if f in known] or [len(known)] for x in own.features]
+        sizes = np.array([len(x) for x in places])
+        flat, node = np.array([k for x in places for k in x]), np.repeat(np.arange(len(places)), sizes)
+        true = np.eye(3)[states]
+        with_mixed = true * ((own.parent >= 0) & (states[own.parent] == MIXED))[:, None]
+        batches.append((own, len(part), flat, node, sizes.cumsum() - sizes, np.array([tags[t] for t in own.tags]), true, with_mixed))
+    summed = lambda at, values, like: np.stack([np.bincount(at, values[:, k], len(like)) for k in range(3)], axis=1)
+    seen = sum(summed(flat, true[node], range(len(known) + 1)) for _, _, flat, node, _, _, true, _ in batches)
+    prior = PRIOR * np.log((seen + SMOOTHING) / (seen.sum(axis=0) + SMOOTHING))  # as features that are independent would have it, so what is never seen in a state counts against it
+    starts_at = [prior - prior.mean(axis=1, keepdims=True), np.zeros((len(tags), 3))]
+    weights = [w.copy() for w in starts_at]
+    means = [[np.zeros_like(w), np.zeros_like(w)] for w in weights]
+    for step in range(1, STEPS + 1):
+        own, n, flat, node, starts, tag, true, with_mixed = batches[step % len(batches)]
+        held, pair = own.passed(np.add.reduceat(weights[0][flat], starts), weights[1][tag])
+        slopes = [summed(flat, (true - held)[node], weights[0]), summed(tag, with_mixed - pair, weights[1])]
+        for w, began, slope, (first, second) in zip(weights, starts_at, slopes, means):
+            slope = slope / n - RIDGE * (w - began)
+            first += 0.1 * (slope - first)
+            second += 0.01 * (slope**2 - second)
+            w += STEP * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+    return TreeModel({f: tuple(weights[0][k].tolist()) for f, k in known.items()}, {t: tuple(weights[1][k].tolist()) for t, k in tags.items()})
 
 
 def main_texts(pages: list[str], model: TreeModel) -> list[str]:
