@@ -174,13 +174,22 @@ def is_phone(form: Column) -> Column:
 
 
 def phone(key: str, form: Column) -> Column:
-    """Country code kept; North American numbers keep area and exchange codes that start with 2 to 9."""
+    """Country code kept; of ten digits that may be North American, area and exchange codes that start with 2 to 9 stay so, and others stay others."""
     code = F.regexp_extract(form, r"^\+?(\d{1,3})(?=[ .-]?\()|^\+(\d{1,3})(?=[ .-])", 0)
     code = F.when((code == "") & form.startswith("+"), F.substring(form, 1, 3)).otherwise(code)  # +4915...: the first two digits
     own = _digits(F.substring(form, F.length(code) + 1, F.length(form)))
-    american = (F.length(own) == 10) & F.substring(own, 1, 1).between("2", "9") & F.substring(own, 4, 1).between("2", "9") & code.isin("", "+1", "1")
-    both = feistel(key, "phone", F.substring(own, 1, 3).cast("long") - 200, F.substring(own, 4, 7).cast("long") - 2_000_000, F.lit(800), F.lit(8_000_000))
-    changed = F.when(american, _let(both, lambda s: F.concat((s["x"] + 200).cast("string"), (s["y"] + 2_000_000).cast("string")))).otherwise(permute_digits(key, "phone", own))
+    ten = (F.length(own) == 10) & code.isin("", "+1", "1")
+    american = F.substring(own, 1, 1).between("2", "9") & F.substring(own, 4, 1).between("2", "9")
+    area, rest = F.substring(own, 1, 3).cast("long"), F.substring(own, 4, 7).cast("long")
+    both = feistel(key, "phone", area - 200, rest - 2_000_000, F.lit(800), F.lit(8_000_000))
+    # the others by rank: areas below 200 with any rest, then areas from 200 on with a rest below 2,000,000
+    rank = F.when(area < 200, area * 10_000_000 + rest).otherwise(2_000_000_000 + (area - 200) * 2_000_000 + rest)
+    place = lambda s: s["x"] * 60_000 + s["y"]
+    later = lambda p: p - 2_000_000_000
+    unranked = lambda p: F.when(p < 2_000_000_000, _pad(p, F.lit(10))).otherwise(F.concat((F.floor(later(p) / 2_000_000) + 200).cast("string"), _pad(later(p) % 2_000_000, F.lit(7))))
+    other = _let(feistel(key, "phone-other", F.floor(rank / 60_000), rank % 60_000, F.lit(60_000), F.lit(60_000)), lambda s: _let(place(s), unranked))
+    permuted = F.when(american, _let(both, lambda s: F.concat((s["x"] + 200).cast("string"), (s["y"] + 2_000_000).cast("string")))).otherwise(other)
+    changed = F.when(ten, permuted).otherwise(permute_digits(key, "phone", own))
     return _let(changed, lambda d: F.concat(code, fill(F.substring(form, F.length(code) + 1, F.length(form)), d)))
 
 

@@ -569,3 +569,14 @@ def test_stages_of_odd_rows(spark, sf_dir):
 
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
     assert {r.doc_id: r.token_ids for r in corpus_pipeline.run(spark, sf_dir).collect()} == {r.doc_id: r.token_ids for r in stages[-1]}
+
+
+def test_phones_of_both_kinds_never_meet(spark):
+    """Ten-digit numbers that can't be North American stay so, so no two numbers get one pseudonym."""
+    other = [f"(123) {i:03d}-{(i * 7919) % 10_000:04d}" for i in range(0, 1000, 2)] + [f"(234) {i % 200:03d}-{i:04d}" for i in range(200)] + ["(199) 999-9999", "(000) 000-0000", "(999) 199-9999"]
+    american = [f"({i}) {i}-{i:04d}" for i in range(200, 1000, 3)]
+    rows = spark.createDataFrame([(x,) for x in other + american], "f string").select("f", pii.phone("key", F.col("f")).alias("p")).collect()
+    to = {r.f: r.p for r in rows}
+    assert len(set(to.values())) == len(to) and all(re.fullmatch(r"\(\d{3}\) \d{3}-\d{4}", p) for p in to.values())
+    kind = lambda p: p[1] >= "2" and p[6] >= "2"
+    assert all(kind(to[x]) for x in american) and not any(kind(to[x]) for x in other)
