@@ -210,8 +210,8 @@ def tiles(place: Column, ranges: Sequence[tuple[str, int, int]], several: bool =
 
 
 def posterior(ratio: Column, prior: float) -> Column:
-    """Posterior probability from a likelihood ratio."""
-    return F.try_divide(ratio * prior, (ratio - 1) * prior + 1)
+    """Posterior probability from a likelihood ratio; 1 from an infinite one."""
+    return F.when(ratio == float("inf"), 1.0).otherwise(F.try_divide(ratio * prior, (ratio - 1) * prior + 1))
 
 
 def points(score: Column, ranges: Sequence[tuple[int, float, float]]) -> Column:

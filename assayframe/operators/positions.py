@@ -20,9 +20,19 @@ def runs(df: DataFrame, position: str, value: str) -> DataFrame:
     return rows.withColumn("__run", F.col(position) - rank).groupBy(value, "__run").agg(F.min(position).alias("first"), F.max(position).alias("last")).drop("__run")
 
 
+def common_wildtype(scored: DataFrame, position: str, wildtype: str) -> DataFrame:
+    """``position, wildtype``: the most frequent wild type of each position, ties by letter; null where all are."""
+    counts = scored.where(F.col(position).isNotNull()).groupBy(position, wildtype).agg(F.count(wildtype).alias("__n"))
+    best = F.min(F.struct(-F.col("__n"), F.col(wildtype).alias("letter")))  # a null has no count and comes last
+    return counts.groupBy(position).agg(best["letter"].alias(wildtype))
+
+
 def match_residues(scored: DataFrame, residues: DataFrame, position: str, wildtype: str, residue: str, name: str) -> DataFrame:
-    """``position, state``: matched, mismatched, outside (scored, not in the structure) or unscored (the reverse)."""
-    left = scored.where(F.col(position).isNotNull()).groupBy(F.col(position).alias("p")).agg(F.min(wildtype).alias("w"))
+    """``position, state``: matched, mismatched, outside (scored, not in the structure) or unscored (the reverse).
+
+    A position's wild type is its most frequent letter.
+    """
+    left = common_wildtype(scored, position, wildtype).withColumnsRenamed({position: "p", wildtype: "w"})
     right = residues.groupBy(F.col(residue).alias("r")).agg(F.min(name).alias("s"))
     state = F.when(F.col("r").isNull(), "outside").when(F.col("p").isNull(), "unscored").when(F.coalesce(F.col("w") != F.col("s"), F.lit(False)), "mismatched").otherwise("matched")
     return left.join(right, F.col("p") == F.col("r"), "full_outer").select(F.coalesce("p", "r").alias("position"), state.alias("state"))

@@ -115,7 +115,7 @@ ORACLE_SQL = {
     "position_runs": f"""{WITH_CELLS}, k AS (SELECT DISTINCT {_PLACE} AS position, split_part(meta_aa_changes, ':', 1) AS l FROM cells),
         d AS (SELECT DISTINCT position, {_KIND} AS kind FROM k WHERE position IS NOT NULL), g AS (SELECT *, position - row_number() OVER (PARTITION BY kind ORDER BY position) AS run FROM d)
         SELECT kind, min(position) AS first, max(position) AS last FROM g GROUP BY kind, run""",
-    "residue_match": f"""{WITH_CELLS}, p AS (SELECT position, min(wt) AS w FROM ({_SINGLE}) AS q GROUP BY 1), r AS (SELECT i AS r, CASE WHEN i % 10 = 0 THEN 'G' ELSE 'A' END AS s FROM range(4, 30) AS t(i)),
+    "residue_match": f"""{WITH_CELLS}, p AS (SELECT position, wt AS w FROM (SELECT position, wt, row_number() OVER (PARTITION BY position ORDER BY count(*) DESC, wt) AS k FROM ({_SINGLE}) AS q GROUP BY 1, 2) AS c WHERE k = 1), r AS (SELECT i AS r, CASE WHEN i % 10 = 0 THEN 'G' ELSE 'A' END AS s FROM range(4, 30) AS t(i)),
         m AS (SELECT CASE WHEN r IS NULL THEN 'outside' WHEN position IS NULL THEN 'unscored' WHEN w <> s THEN 'mismatched' ELSE 'matched' END AS state FROM p FULL OUTER JOIN r ON position = r) SELECT state, count(*) AS n FROM m GROUP BY 1""",
     "effect_map": f"""{WITH_CELLS}, e AS (SELECT position, mut, avg(price) AS score FROM ({_SINGLE}) AS q GROUP BY wt, position, mut), v AS (SELECT position, mut, avg(score) AS score FROM e GROUP BY 1, 2),
         g AS (SELECT i AS position, m AS mut FROM (SELECT unnest(range(a, b + 1)) AS i FROM (SELECT min(position) AS a, max(position) AS b FROM e) AS s) AS t, (SELECT unnest(['A', 'V']) AS m) AS u)

@@ -192,6 +192,14 @@ def test_column_projections(spark):
 
 def test_evidence_constants_and_out_of_bag_points(spark):
     assert annotate.evidence_odds(0.1) in range(330, 380)  # the published value for this prior is about 350
+    for prior in (0.02, 0.1, 0.3, 0.6):  # rule by rule: posteriors to three decimals at and below the odds found
+        for odds, more in ((annotate.evidence_odds(prior), False), (annotate.evidence_odds(prior) - 1, True)):
+            broken = 0
+            for kinds, bound, sign in ((annotate.PATHOGENIC_RULES, 0.99, 1), (annotate.LIKELY_PATHOGENIC_RULES, 0.9, 1), (annotate.BENIGN_RULES, 0.01, -1), (annotate.LIKELY_BENIGN_RULES, 0.1, -1)):
+                for a, b, c, d in kinds:
+                    ratio = float(odds) ** (sign * (a / 8 + b / 4 + c / 2 + d))
+                    broken += sign * round(ratio * prior / ((ratio - 1) * prior + 1), 3) < sign * bound
+            assert (broken > 0) == more and annotate.broken_rules(np.array([odds]), prior)[0] == broken
     odds = np.arange(300, 400)
     assert annotate.broken_rules(odds, 0.1).min() == annotate.broken_rules(np.array([annotate.evidence_odds(0.1)]), 0.1)[0]
     rows = [(i, float(i % 20), i % 20 >= 10) for i in range(200)]
@@ -212,7 +220,7 @@ def test_evidence_constants_and_out_of_bag_points(spark):
         assert got[k].fits == len(own) and got[k].points == (None if len(own) < 10 else up or -down)
     ratios = spark.createDataFrame([(0.2, 1.0), (0.5, 1.0), (0.1, 0.0)], "f double, c double")
     assert annotate.unmixing_prior(ratios, F.col("f"), F.col("c")) == 0.2 and annotate.unmixing_prior(ratios, F.col("f"), F.col("c"), negative=True) == 0.8
-    assert annotate.unmixing_prior(ratios.where("c = 0"), F.col("f"), F.col("c")) is None
+    assert annotate.unmixing_prior(ratios.where("c = 0"), F.col("f"), F.col("c")) == 0.1  # no density, no signal
     groups = spark.createDataFrame([("P/LP", float(i)) for i in range(6)] + [("B/LB", float(i + 3)) for i in range(6)], "g string, s double")
     assert annotate.direction(groups, "g", "s") == -1 and annotate.direction(groups.where("s < 2"), "g", "s") == 0
 

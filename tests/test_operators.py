@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayframe.dataset import Dataset
 from assayframe.functions import columns, labels
-from assayframe.operators import aggregate, annotate, combat, images, matrix, normalize, pool, qc, reproduce, score
+from assayframe.operators import aggregate, annotate, combat, images, matrix, normalize, pool, positions, qc, reproduce, score
 from assayframe.sources import tables
 
 LABELS = ["A12V", "A12A", "A12fs", "A12-", "A12-|L13-", "A12-|L20-", "A12*", "A12X", "WT", "A12A:tag", None]
@@ -270,6 +270,14 @@ def test_annotation(spark):
     ratios = spark.createDataFrame([(9.0,)] * 30 + [(0.1,)] * 70, "r double")
     prior = annotate.label_shift_prior(ratios, F.col("r"))
     assert abs(np.mean([r * prior / ((r - 1) * prior + 1) for r in [9.0] * 30 + [0.1] * 70]) - prior) < 1e-5
+    odd = [1.0, 2.0, float("inf"), 0.0, 0.3, float("nan")] * 15 + [None]
+    prior, last = 0.5, 1.0
+    while abs(prior - last) >= 1e-6:  # an infinite ratio counts as certain, nulls and NaN not at all
+        last, prior = prior, np.mean([1.0 if r == float("inf") else r * prior / ((r - 1) * prior + 1) for r in odd if r is not None and r == r])
+    assert abs(annotate.label_shift_prior(spark.createDataFrame([(r,) for r in odd], "r double"), F.col("r")) - prior) < 1e-5
+    assert annotate.label_shift_prior(ratios.limit(0), F.col("r")) is None
+    letters = spark.createDataFrame([(1, "A"), (1, "V"), (1, "V"), (2, "L"), (2, "C"), (3, None), (None, "G")], "p int, w string")
+    assert {r.p: r.w for r in positions.common_wildtype(letters, "p", "w").collect()} == {1: "V", 2: "C", 3: None}
     controls = spark.createDataFrame([(float(i % 10), i % 10 > 5) for i in range(60)], "s double, p boolean")
     curve = annotate.ratio_curves(controls, "s", F.col("p"), [0.0, 3.0, 6.0, 9.0], 1.0, 20).orderBy("i").collect()
     assert curve[0].middle < 0 < curve[3].middle and all(r.low <= r.middle <= r.high for r in curve)
