@@ -359,6 +359,25 @@ def test_search_of_few_vectors_is_exact(spark):
     assert permutation_index.search(df.where("vec_id = 50").limit(1), F.lit(True)).count() == 0
 
 
+def test_equal_vectors_come_in_the_order_of_their_ids(spark, monkeypatch):
+    """Copies at all places of several shards, asked by vectors that are none of them; few candidates, so products and cuts are of many sizes."""
+    monkeypatch.setattr(permutation_index, "SHARD", 64)
+    rng = np.random.default_rng(8)
+    own = [rng.normal(size=33).tolist() for _ in range(6)]
+    rows = [(int(i), own[i % 6] if i % 50 else (np.array(own[i // 50 % 6]) + rng.normal(size=33) * 0.2).tolist()) for i in rng.permutation(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    got = permutation_index.search(df, F.col("vec_id") % 50 == 0).collect()
+    by_query = {}
+    for r in sorted(got, key=lambda r: r.rank):
+        by_query.setdefault(r.query_id, []).append(r)
+    assert len(by_query) == 12
+    for q, hits in by_query.items():
+        k = q // 50 % 6
+        near = [i for i in range(600) if i % 50 and i % 6 == k]
+        same = [r for r in hits if r.vec_id % 50]
+        assert len({r.score for r in same}) == 1 and [r.vec_id for r in same] == near[: len(same)]
+
+
 def recall(got, vectors, ids, asked):
     found = {q: {r.vec_id for r in got if r.query_id == q} for q in asked}
     return sum(len(found[q] & {w[0] for w in exact(vectors, ids, ids.index(q))}) for q in asked) / 5 / len(asked)
