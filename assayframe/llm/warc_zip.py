@@ -68,14 +68,15 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
 def digests(df: DataFrame, key: str, payload: str, least_bytes: int) -> DataFrame:
     """``df`` with the payload's hex SHA-1 and the id that a revisit refers to (null for responses).
 
-    Minima are taken per digest before rows meet, and the join that follows may
-    split a digest that very many rows share.
+    Only ids and digests meet by digest, minima first; the few ids of revisits
+    are joined back by id and digest, so payloads that very many rows share are
+    never dealt out by their digest.
     """
     rows = df.withColumn("__sha1", F.sha1(F.coalesce(payload, F.lit("")).cast("binary")))
-    first = rows.where(F.octet_length(F.coalesce(payload, F.lit(""))) >= least_bytes).groupBy(F.col("__sha1").alias("__sha1_of")).agg(F.min(key).alias("__first"))
-    rows = rows.join(first, F.col("__sha1") == F.col("__sha1_of"), "left").drop("__sha1_of")
-    same = F.col(key).eqNullSafe(F.col("__first"))
-    return rows.withColumn("__first", F.when(~same, F.col("__first")))
+    narrow = rows.where(F.octet_length(F.coalesce(payload, F.lit(""))) >= least_bytes).select(F.col(key).alias("__id"), F.col("__sha1").alias("__same"))
+    first = narrow.groupBy(F.col("__same").alias("__of")).agg(F.min("__id").alias("__first"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    revisits = narrow.join(first, F.col("__same") == F.col("__of")).where(~F.col("__id").eqNullSafe(F.col("__first"))).select("__id", "__same", "__first").distinct()
+    return rows.join(revisits, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__sha1") == F.col("__same")), "left").drop("__id", "__same")
 
 
 def record(key: object, url: str | None, payload: bytes, sha1: bytes, refers_to: object) -> bytes:
