@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assayframe.functions import columns, labels
-from assayframe.operators import aggregate, annotate, combat, matrix, pool, reproduce, score
+from assayframe.operators import aggregate, annotate, boost, combat, matrix, pool, reproduce, score
 from assayframe.plans.cells import FEATURES, KEYS, WITH_CELLS, cells
 from assayframe.plans.core import LABEL, control, rounded
 from assayframe.sources import tables
@@ -120,6 +120,14 @@ def fold_metrics(spark, sf):
     return rounded(out.withColumn("auroc_folds", listed), "auroc_pooled", "auroc_median_barcode", "auroc_median_fold", digits=4)
 
 
+def boosted_metrics(spark, sf):
+    """Areas of each variant by boosted trees, of few rounds."""
+    rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)"))
+    out = score.metrics(boost.boosted(rows, FEATURES, 3, rounds=3, depth=2))
+    listed = F.array_join(F.transform("auroc_folds", lambda a: F.format_number(a, 4)), ",")
+    return rounded(out.withColumn("auroc_folds", listed), "auroc_pooled", "auroc_median_barcode", "auroc_median_fold", digits=4)
+
+
 def barcode_folds(spark, sf):
     """The barcodes of each variant's folds, and their cells."""
     rows = score.folds(cells(spark, sf), 3, KEYS, by_barcode=True).where(F.col(LABEL) != "WT")
@@ -226,7 +234,7 @@ def feature_names(spark, sf):
     return names.select("name", p["base"].alias("base"), p["statistic"].alias("statistic"))
 
 
-QUERIES = {f.__name__: f for f in (half_correlations, feature_blocklist, split_sizes, blocklist_vote, finalized_profiles, pooled_medians, paired_medians, global_scores, variant_scores, cluster_shares, position_scores, commonest_barcode, batch_columns, hexagon_density, roc_areas, roc_curve, combat_check, fold_scores, fold_metrics, barcode_folds, wildtype_folds, class_weights, profile_distances, profile_correlations, nearest_profiles, feature_pairs, feature_pairs_ranked, batch_pairs, batch_anova, batch_permanova, group_tests, principal_shares, embedding_distances, population_annotation, props_values, numbered_rows, feature_names)}
+QUERIES = {f.__name__: f for f in (half_correlations, feature_blocklist, split_sizes, blocklist_vote, finalized_profiles, pooled_medians, paired_medians, global_scores, variant_scores, cluster_shares, position_scores, commonest_barcode, batch_columns, hexagon_density, roc_areas, roc_curve, combat_check, fold_scores, fold_metrics, boosted_metrics, barcode_folds, wildtype_folds, class_weights, profile_distances, profile_correlations, nearest_profiles, feature_pairs, feature_pairs_ranked, batch_pairs, batch_anova, batch_permanova, group_tests, principal_shares, embedding_distances, population_annotation, props_values, numbered_rows, feature_names)}
 
 _each = lambda text, sep=", ": sep.join(text.replace("@", f) for f in FEATURES)
 _long = lambda table, keep: " UNION ALL ".join(f"SELECT {keep}, '{f}' AS feature, {f} AS value FROM {table}" for f in FEATURES)
