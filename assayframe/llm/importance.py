@@ -39,7 +39,7 @@ from assayframe.llm.bpe import slices
 from assayframe.llm.shared import short_batches, stored
 
 #: Rows at regular places of the runs that are sent to the driver, at most and but for one a run; rows of a segment aimed at.
-SAMPLES, SEGMENT = 1 << 18, 1 << 20
+SAMPLES, SEGMENT = 1 << 15, 1 << 20
 #: Gains and noise are whole thousandths.
 MILLI = 1000
 
