@@ -1,11 +1,8 @@
 """Statistics of every feature per variant, plain and against the control rows.
 
-Only finite values count.  Plain statistics are one wide aggregation.  The
-distribution statistics share one long frame: cells are counted by (label,
-feature, value) before anything is shuffled, so ties collapse early; the
-control's cumulative counts are made once per feature and looked up at the
-groups' values.  The control is never copied to each label, and no task holds
-all values of a feature.
+Only finite values count.  Moments are one wide aggregation; medians and the
+distribution statistics come from sorted runs of the features (``orders``).  The
+control is never copied to each label, and no task holds all values of a feature.
 """
 
 from __future__ import annotations
@@ -18,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.functions.columns import finite
+from assayframe.operators import orders
 from assayframe.sources.tables import written
 
 LABEL = "meta_aa_changes"
@@ -67,7 +65,7 @@ METHODS: dict[str, Method] = {
     "mean": Method(F.avg, True),
     "median": Method(F.median, True),
     "std": Method(F.stddev_samp, True),
-    "MAD": Method(lambda c: c, True),  # needs the median first; see plain()
+    "MAD": Method(lambda c: c, True),  # of ranks, as the median; see plain()
     "KS": Method(lambda f: F.greatest(f["up"], -f["down"]), False),
     "signedKS": Method(lambda f: F.when(f["up"] >= -f["down"], f["up"]).otherwise(f["down"]), False),
     "AUROC": Method(lambda f: f["u"] / (f["n"] * f["m"]), False),
@@ -96,62 +94,28 @@ def checked(methods: Iterable[str]) -> list[str]:
 
 
 def plain(cells: DataFrame, control: Column, features: list[str], methods: list[str], label: str = LABEL) -> DataFrame:
-    """``<feature>_<method>`` for each label of non-control rows, all in one aggregation (two for MAD)."""
+    """``<feature>_<method>`` for each label of non-control rows: moments in one aggregation, medians by ranks."""
     rows = cells.where(~F.coalesce(control, F.lit(False))).select(label, *(finite(f).alias(f) for f in features))
-    direct = [m for m in methods if m != "MAD"]
+    direct = [m for m in methods if m not in ("median", "MAD")]
     wanted = [METHODS[m].make(F.col(f)).alias(f"{f}_{m}") for m in direct for f in features]
-    spread = "MAD" in methods
-    if spread and "median" not in direct:
-        wanted += [F.median(f).alias(f"{f}_median") for f in features]
     out = rows.groupBy(label).agg(*wanted) if wanted else rows.select(label).distinct()
-    if spread:
-        middle = out.select(F.col(label).alias("__label"), *(F.col(f"{f}_median").alias(f"__{f}") for f in features))
-        off = rows.join(middle, F.col(label).eqNullSafe(F.col("__label")))
-        mads = off.groupBy("__label").agg(*(F.median(F.abs(F.col(f) - F.col(f"__{f}"))).alias(f"{f}_MAD") for f in features))
-        out = out.join(mads, F.col(label).eqNullSafe(F.col("__label")))
+    if len(direct) < len(methods):
+        for m, found in zip(("median", "MAD"), orders.medians(rows, features, label, "MAD" in methods)):
+            if m in methods:
+                found = found.toDF("__label", *(f"{f}_{m}" for f in features))
+                out = out.join(found, F.col(label).eqNullSafe(F.col("__label")), "left").drop("__label")
     return out.select(label, *(f"{f}_{m}" for m in methods for f in features))
 
 
-def long_values(cells: DataFrame, control: Column, features: list[str], label: str = LABEL) -> DataFrame:
-    """``label, control, feature, value`` of all finite values."""
-    pairs = F.array(*(F.struct(F.lit(f).alias("feature"), finite(f).alias("value")) for f in features))
-    rows = cells.select(F.col(label).alias("label"), F.coalesce(control, F.lit(False)).alias("control"), F.explode(pairs).alias("p"))
-    return rows.select("label", "control", "p.feature", "p.value").where("value is not null")
-
-
 def against_control(cells: DataFrame, control: Column, features: list[str], methods: list[str], label: str = LABEL) -> DataFrame:
-    """``label, feature`` and the methods' values, for every label of non-control rows and every feature.
-
-    The difference of the two distribution functions is largest at a group's
-    value or just before one, so the control is looked up at these values only.
-    """
-    values = long_values(cells, control, features, label)
-    counts = values.groupBy("label", "control", "feature", "value").agg(F.count("*").alias("c"))
-    group = counts.where("not control").select("label", "feature", "value", "c")
-    reference = counts.where("control").groupBy("feature", "value").agg(F.sum("c").alias("r"))
-    seen = group.select("feature", "value", F.lit(0).cast("long").alias("r")).union(reference.select("feature", "value", "r")).groupBy("feature", "value").agg(F.sum("r").alias("r"))
-    bounds = value_bounds(cells, features)
-    upto = running_totals(seen, bounds, ["feature"], "r", "r_upto").drop("r_all")
-    totals = reference.groupBy("feature").agg(F.sum("r").alias("m"), F.sum(F.pow(F.col("r").cast("double"), 3) - F.col("r")).alias("r_ties"))
-    met = group.join(upto, ["feature", "value"]).join(F.broadcast(totals), "feature")  # a row a feature
-    met = running_totals(met, bounds, ["label", "feature"], "c", "c_upto").withColumnRenamed("c_all", "n")
-    c, r = F.col("c"), F.col("r")
-    at = F.col("c_upto") / F.col("n") - F.col("r_upto") / F.col("m")
-    before = (F.col("c_upto") - c) / F.col("n") - (F.col("r_upto") - r) / F.col("m")
-    both = (c + r).cast("double")
-    stats = met.groupBy("label", "feature").agg(
-        F.max("n").cast("double").alias("n"),
-        F.max("m").cast("double").alias("m"),
-        F.greatest(F.max(at), F.max(before), F.lit(0.0)).alias("up"),
-        F.least(F.min(at), F.min(before), F.lit(0.0)).alias("down"),
-        F.sum(c * (F.col("r_upto") - r + r / 2)).alias("u"),
-        (F.max("r_ties") + F.sum((F.pow(both, 3) - both) - (F.pow(r.cast("double"), 3) - r))).alias("ties"),
-    )
-    if "QQ" in methods:
-        stats = stats.join(quantile_correlation(values), ["label", "feature"], "left")
+    """``label, feature`` and the methods' values, for every label of non-control rows and every feature; null without control."""
+    made = orders.runs(cells, control, features, label)
+    stats = quantile_correlation(made) if set(methods) == {"QQ"} else orders.comparisons(made)
+    if "QQ" in methods and len(set(methods)) > 1:
+        stats = stats.join(quantile_correlation(made), ["feature", "code"], "left")
     columns = {k: F.col(k) for k in stats.columns}
-    found = stats.select("label", "feature", *(METHODS[m].make(columns).alias(m) for m in methods))
-    labels = cells.where(~F.coalesce(control, F.lit(False))).select(F.col(label).alias("label")).distinct()
+    found = made.named(stats.select("feature", "code", *(METHODS[m].make(columns).alias(m) for m in methods)))
+    labels = made.codes.where("not control").select("label")
     grid = labels.select("label", F.explode(F.array(*map(F.lit, features))).alias("feature"))
     return grid.join(found, grid["label"].eqNullSafe(found["label"]) & (grid["feature"] == found["feature"]), "left").select(grid["label"].alias(label), grid["feature"], *methods)
 
@@ -195,18 +159,18 @@ def mean_ranks(df: DataFrame, column: str) -> DataFrame:
     return df.join(ranks, F.col(column) == F.col("__value"), "left").withColumn(column, F.col("__rank")).drop("__value", "__rank")
 
 
-def quantile_correlation(values: DataFrame, n: int = QUANTILES) -> DataFrame:
-    """Pearson's r of ``n`` linear quantiles of each group and of the control; null if either profile is constant."""
-    probs = F.array(*(F.lit(i / (n - 1)) for i in range(n)))
-    group = values.where("not control").groupBy("label", "feature").agg(F.percentile("value", probs).alias("x"))
-    reference = values.where("control").groupBy("feature").agg(F.percentile("value", probs).alias("y"))
+def quantile_correlation(made: orders.Runs, n: int = QUANTILES) -> DataFrame:
+    """``feature, code, qq``: Pearson's r of ``n`` linear quantiles of each group and of the control; null if either profile is constant."""
+    found = orders.quantiles(made, [i / (n - 1) for i in range(n)])
+    reference = found.where("code = 0").select("feature", F.col("q").alias("y"))
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
     centred = lambda a: F.transform(a, lambda v: v - total(a) / n)
-    rows = group.join(F.broadcast(reference), "feature").select("label", "feature", "x", "y", centred(F.col("x")).alias("dx"), centred(F.col("y")).alias("dy"))
+    rows = found.where("code != 0").withColumnRenamed("q", "x").join(F.broadcast(reference), "feature")  # n values a feature
+    rows = rows.select("feature", "code", "x", "y", centred(F.col("x")).alias("dx"), centred(F.col("y")).alias("dy"))
     dot = lambda a, b: total(F.zip_with(a, b, lambda v, w: v * w))
     varies = (F.array_max("x") > F.array_min("x")) & (F.array_max("y") > F.array_min("y"))
     r = F.try_divide(dot("dx", "dy"), F.sqrt(dot("dx", "dx") * dot("dy", "dy")))
-    return rows.select("label", "feature", F.when(varies, r).alias("qq"))
+    return rows.select("feature", "code", F.when(varies, r).alias("qq"))
 
 
 def wide(stats: DataFrame, features: list[str], methods: list[str], label: str = LABEL) -> DataFrame:
