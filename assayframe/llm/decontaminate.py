@@ -83,10 +83,14 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def is_small(df: DataFrame, text: str) -> bool:
+    """Whether a stored table is within BROADCAST_BYTES."""
+    return (df.agg(F.sum(F.octet_length(text) + 40)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def broadcast_if_small(df: DataFrame, text: str) -> DataFrame:
     """A stored table, to be broadcast if it is within BROADCAST_BYTES."""
-    size = df.agg(F.sum(F.octet_length(text) + 40)).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    return F.broadcast(df) if is_small(df, text) else df
 
 
 def run_of(start: Column, length: Column) -> Column:
@@ -145,14 +149,19 @@ def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
         return docs.where("false").select("__id", "__text_hash", F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("window"))
     met = stored(out.distinct(), "window-meetings")
     same = ["__id", "__text_hash"]
-    small = broadcast_if_small(met, "window")
-    sides = small.withColumnsRenamed({"__id": "__of", "__text_hash": "__hash_of"})
-    texts = docs.join(sides, F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__text_hash") == F.col("__hash_of")), "left_semi").dropDuplicates(same)
+    # one row a document from here on, so words of a document are never copied to each of its runs
+    runs = met.groupBy(F.col("__id").alias("__of"), F.col("__text_hash").alias("__hash_of")).agg(F.collect_list(F.struct("first", "last", "length", "window")).alias("__runs"))
+    sides = F.broadcast(runs) if is_small(met, "window") else runs
+    of_document = F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__text_hash") == F.col("__hash_of"))
+    texts = docs.join(sides, of_document, "left_semi").dropDuplicates(same)
     held = texts.select(*same, words(F.col("__text")).alias("__words"))
-    both = held.join(sides, F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__text_hash") == F.col("__hash_of")))
-    both = both.select(*same, "__words", "length", "window", F.explode(F.sequence("first", "last")).alias("start"))
-    inside = (F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.size("__words"))
-    return both.where(inside & (run_of(F.col("start"), F.col("length")) == F.col("window"))).select(*same, "start", "length", "window")
+
+    def verified(run: Column) -> Column:
+        holds = lambda s: (s >= 0) & (s + run["length"] <= F.size("__words")) & (run_of(F.greatest(s, F.lit(0)), run["length"]) == run["window"])
+        found = F.filter(F.sequence(run["first"], run["last"]), holds)
+        return F.transform(found, lambda s: F.struct(s.alias("start"), run["length"].alias("length"), run["window"].alias("window")))
+
+    return held.join(sides, of_document).select(*same, F.explode(F.flatten(F.transform("__runs", verified))).alias("h")).select(*same, "h.*")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -178,6 +178,13 @@ def test_decontamination_shares_long_spans_only(spark):
     assert [(r.n_hit, r.contaminated) for r in got] == [(0, False), (10, True)]
 
 
+def test_decontamination_of_a_text_made_of_items(spark):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(15))) for i in range(20)]
+    text = " ".join(items[i % 20][1] for i in range(400))
+    got = decontaminate.decontaminate(frame(spark, [text, "w1x1 " * 3]), spark.createDataFrame(items, "item_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_hit, r.n_items) for r in got] == [(6000, 6000, 20), (3, 0, 0)]
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate.decontaminate(frame(spark, ["a b", None]), none).collect()
