@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from assayframe.functions.columns import finite
 from assayframe.functions.vectors import METRICS, _dot
+from assayframe.operators.inference import student_neg_log10
 from assayframe.operators.reduce import column_pairs, components, components_for
 
 #: Rows that are compared all with all at most; a matrix of their pairs is the result itself.
@@ -87,14 +88,15 @@ def batch_correlations(df: DataFrame, label: str, batch: str, score: str) -> Dat
 
 
 def batch_anova(df: DataFrame, label: str, batch: str, score: str, least: int = 3) -> DataFrame:
-    """Paired F (the squared t of the differences on shared labels) of each pair of batches, with n; fewer than ``least`` labels give null."""
+    """Paired F (the squared t of the differences on shared labels) of each pair of batches, with -log10 of its p and n; fewer than ``least`` labels, or equal differences, give null."""
     rows = df.where(finite(score).isNotNull())
     left = rows.select(F.col(label).alias("l"), F.col(batch).alias("a"), finite(score).alias("x"))
     right = rows.select(F.col(label).alias("l"), F.col(batch).alias("b"), finite(score).alias("y"))
     d = F.col("x") - F.col("y")
     stats = left.join(right, "l").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count("*").alias("n"), F.avg(d).alias("m"), F.var_samp(d).alias("v"))
     f = F.try_divide(F.col("n") * F.col("m") * F.col("m"), F.col("v"))
-    return stats.select("a", "b", F.when(F.col("n") >= least, f).alias("f"), "n")
+    enough = (F.col("n") >= least) & f.isNotNull()
+    return stats.select("a", "b", F.when(enough, f).alias("f"), F.when(enough, student_neg_log10(F.sqrt(f), F.col("n") - 1)).alias("neg_log_p"), "n")
 
 
 def permanova(df: DataFrame, label: str, batch: str, vector: Column, permutations: int = 99, seed: int = 0) -> DataFrame:

@@ -52,11 +52,28 @@ def effect_cells(df: DataFrame, label: str, score: str, how: str = "mean") -> Da
     return df.select(wt.alias("wt"), place.alias("position"), mut.alias("mut"), finite(score).alias("score")).where("position is not null").groupBy("wt", "position", "mut").agg(one("score").alias("score"))
 
 
-def effect_map(cells: DataFrame, letters: list[str]) -> DataFrame:
-    """One row a letter and one a position of the range that cells span, missing ones null (long form of the grid)."""
+#: How the scores of one position and letter become one; ``first`` needs an order, ``error`` takes no second score.
+COMBINED = {
+    "mean": lambda order: F.avg("score"),
+    "median": lambda order: F.median("score"),
+    "min": lambda order: F.min("score"),
+    "max": lambda order: F.max("score"),
+    "first": lambda order: F.min_by("score", order),
+    "error": lambda order: F.when(F.count("*") > 1, F.raise_error(F.lit("a position and letter have more than one score"))).otherwise(F.max("score")),
+}
+
+
+def effect_map(cells: DataFrame, letters: list[str], combine: str = "mean", order: str | None = None) -> DataFrame:
+    """One row a letter and one a position of the range that cells span, missing ones null (long form of the grid).
+
+    ``first`` takes the score of the row that comes first by the column ``order``
+    (rows of null order don't count; equal ones: either).
+    """
+    if combine not in COMBINED or (combine == "first") != (order is not None):
+        raise ValueError(f"combine by one of {', '.join(COMBINED)}, and by an order only for first")
     span = cells.agg(F.min("position").alias("a"), F.max("position").alias("b"))
     grid = span.where("a is not null").select(F.explode(F.sequence("a", "b")).alias("position")).select("position", F.explode(F.array(*map(F.lit, letters))).alias("mut"))
-    values = cells.groupBy(F.col("position").alias("p"), F.col("mut").alias("m")).agg(F.avg("score").alias("score"))
+    values = cells.groupBy(F.col("position").alias("p"), F.col("mut").alias("m")).agg(COMBINED[combine](order).alias("score"))
     return grid.join(values, (F.col("position") == F.col("p")) & (F.col("mut") == F.col("m")), "left").select("position", "mut", "score")
 
 

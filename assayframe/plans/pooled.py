@@ -172,7 +172,7 @@ def batch_pairs(spark, sf):
 
 
 def batch_anova(spark, sf):
-    return rounded(matrix.batch_anova(per_batch(spark, sf), LABEL, "meta_batch", "price"), "f", digits=4)
+    return rounded(matrix.batch_anova(per_batch(spark, sf), LABEL, "meta_batch", "price").drop("neg_log_p"), "f", digits=4)
 
 
 def batch_permanova(spark, sf):

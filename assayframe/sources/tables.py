@@ -127,13 +127,19 @@ def table_path(root: str, stage: str, experiment: str, method: str | None = None
     return "/".join(parts)
 
 
-def canonical_identity(df: DataFrame, barcode: str, label: str, distance: str, wildtype: str | None = None) -> DataFrame:
-    """The three identity columns under their canonical names and types; an edit distance with a fraction is an error."""
+def canonical_identity(df: DataFrame, barcode: str, label: str, distance: str, wildtype: str | None = None, tag: str | None = None) -> DataFrame:
+    """The three identity columns under their canonical names and types; an edit distance with a fraction is an error.
+
+    With ``tag``, what follows a label's first colon goes to that column (null
+    without one), and only what comes before stays in the label.
+    """
     d = F.col(distance).cast("double")
     whole = F.when(d.isNotNull() & (d != F.floor(d)), F.raise_error(F.lit("an edit distance has a fraction"))).otherwise(d).cast("long")
     name = F.col(label).cast("string")
-    out = {"meta_barcode": F.col(barcode).cast("string"), "meta_aa_changes": F.when(name == wildtype, "WT").otherwise(name) if wildtype else name, "meta_edit_distance": whole}
-    return df.select(*(c.alias(n) for n, c in out.items()), *(c for c in df.columns if c not in (barcode, label, distance)))
+    parts = F.split(name, ":", 2)
+    name = F.get(parts, F.lit(0)) if tag else name
+    out = {"meta_barcode": F.col(barcode).cast("string"), "meta_aa_changes": F.when(name == wildtype, "WT").otherwise(name) if wildtype else name, "meta_edit_distance": whole} | ({tag: F.get(parts, F.lit(1))} if tag else {})
+    return df.select(*(c.alias(n) for n, c in out.items()), *(c for c in df.columns if c not in (barcode, label, distance, tag)))
 
 
 def older_names(df: DataFrame, names: dict[str, str]) -> DataFrame:

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayframe.functions import columns
-from assayframe.operators import aggregate, annotate, combat, inference, matrix, normalize, pool, qc, reduce, reproduce, score
+from assayframe.operators import aggregate, annotate, combat, inference, matrix, normalize, pool, positions, qc, reduce, reproduce, score
+from assayframe.sources import tables
 
 
 def student_tail(t, nu):
@@ -259,3 +260,35 @@ def test_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(score, "BLOCK_BYTES", 100)
     monkeypatch.setattr(matrix, "BLOCK_BYTES", 100)
     assert scored() == whole and len(whole) == 60 and apart() == pairs and len(pairs) == 6
+
+
+def test_paired_batches_with_p(spark):
+    rows = [(f"l{i}", b, float(x)) for b, xs in (("a", (1, 2, 3, 4, 5)), ("b", (2, 2, 5, 5, 8)), ("c", (2, 3, 4, 5, 6))) for i, x in enumerate(xs)]
+    got = {(r.a, r.b): r for r in matrix.batch_anova(spark.createDataFrame(rows, "l string, g string, s double"), "l", "g", "s").collect()}
+    d = np.array([-1, 0, -2, -1, -3])
+    t = d.mean() / (d.std(ddof=1) / 5**0.5)
+    x = abs(t) / 2  # the two-sided tail of Student's distribution with four degrees of freedom has a closed form
+    p = 1 - x / (1 + x * x) ** 0.5 * (1 + 0.5 / (1 + x * x))
+    assert np.isclose(got["a", "b"].f, t * t) and np.isclose(10 ** -got["a", "b"].neg_log_p, p, rtol=1e-4)
+    assert got["a", "c"].f is None and got["a", "c"].neg_log_p is None and got["a", "c"].n == 5
+
+
+def test_effect_map_of_repeats(spark):
+    df = spark.createDataFrame([(1, "A", 3.0, 2), (1, "A", 5.0, 1), (1, "A", 10.0, 3), (2, "V", 1.0, 1)], "position int, mut string, score double, n int")
+    value = lambda **how: {(r.position, r.mut): r.score for r in positions.effect_map(df, ["A", "V"], **how).collect()}[1, "A"]
+    assert [value(combine=c) for c in ("mean", "median", "min", "max")] == [6.0, 5.0, 3.0, 10.0]
+    assert value(combine="first", order="n") == 5.0
+    for bad in ({"combine": "first"}, {"combine": "mode"}, {"combine": "mean", "order": "n"}):
+        with pytest.raises(ValueError):
+            value(**bad)
+    with pytest.raises(Exception, match="more than one score"):
+        value(combine="error")
+    once = positions.effect_map(df.where("n = 1"), ["A", "V"], "error").collect()
+    assert {(r.position, r.mut): r.score for r in once} == {(1, "A"): 5.0, (1, "V"): None, (2, "A"): None, (2, "V"): 1.0}
+
+
+def test_tags_of_labels(spark):
+    df = spark.createDataFrame([("b", "A1V:x:y", 0, 1), ("b", "wt:z", 1, 2), ("b", "A2V", 0, 3), (None, None, None, 4)], "bc string, lab string, d int, tag int")
+    got = tables.canonical_identity(df, "bc", "lab", "d", "wt", "tag").collect()
+    assert [(r.meta_aa_changes, r.tag) for r in got] == [("A1V", "x:y"), ("WT", "z"), ("A2V", None), (None, None)]
+    assert [r.meta_aa_changes for r in tables.canonical_identity(df, "bc", "lab", "d").collect()] == ["A1V:x:y", "wt:z", "A2V", None]
