@@ -27,10 +27,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayframe.llm.shared import lower_ascii, stored
+from assayframe.llm.shared import key_marks, lower_ascii, may_hold, stored
 
 WINDOW, GRAM = 10, 5
-#: Item windows, and hits, are broadcast up to so many bytes (their strings and 40 a row), else they are joined by a shuffle.
+#: Item windows are broadcast up to so many bytes (their strings and 40 a row), else they are joined by a shuffle.
 BROADCAST_BYTES = 8 << 20
 #: Characters between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -83,14 +83,10 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def is_small(df: DataFrame, text: str) -> bool:
-    """Whether a stored table is within BROADCAST_BYTES."""
-    return (df.agg(F.sum(F.octet_length(text) + 40)).first()[0] or 0) <= BROADCAST_BYTES
-
-
 def broadcast_if_small(df: DataFrame, text: str) -> DataFrame:
     """A stored table, to be broadcast if it is within BROADCAST_BYTES."""
-    return F.broadcast(df) if is_small(df, text) else df
+    size = df.agg(F.sum(F.octet_length(text) + 40)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def run_of(start: Column, length: Column) -> Column:
@@ -149,19 +145,18 @@ def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
         return docs.where("false").select("__id", "__text_hash", F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("window"))
     met = stored(out.distinct(), "window-meetings")
     same = ["__id", "__text_hash"]
-    # one row a document from here on, so words of a document are never copied to each of its runs
-    runs = met.groupBy(F.col("__id").alias("__of"), F.col("__text_hash").alias("__hash_of")).agg(F.collect_list(F.struct("first", "last", "length", "window")).alias("__runs"))
-    sides = F.broadcast(runs) if is_small(met, "window") else runs
-    of_document = F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__text_hash") == F.col("__hash_of"))
-    texts = docs.join(sides, of_document, "left_semi").dropDuplicates(same)
-    held = texts.select(*same, words(F.col("__text")).alias("__words"))
+    # one row a document from here on, so words of a document are never copied to each of its runs; texts that meet nothing are not moved
+    run = F.struct("first", "last", "length", "window")
+    texts = may_hold(docs, key_marks(met, *same), *same).select(*same, "__text")
+    both = texts.unionByName(met.select(*same, run.alias("r")), allowMissingColumns=True).groupBy(*same).agg(F.max("__text").alias("__text"), F.collect_list("r").alias("__runs"))
+    held = both.where(F.size("__runs") > 0).select(*same, words(F.col("__text")).alias("__words"), "__runs")
 
     def verified(run: Column) -> Column:
         holds = lambda s: (s >= 0) & (s + run["length"] <= F.size("__words")) & (run_of(F.greatest(s, F.lit(0)), run["length"]) == run["window"])
         found = F.filter(F.sequence(run["first"], run["last"]), holds)
         return F.transform(found, lambda s: F.struct(s.alias("start"), run["length"].alias("length"), run["window"].alias("window")))
 
-    return held.join(sides, of_document).select(*same, F.explode(F.flatten(F.transform("__runs", verified))).alias("h")).select(*same, "h.*")
+    return held.select(*same, F.explode(F.flatten(F.transform("__runs", verified))).alias("h")).select(*same, "h.*")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -186,13 +181,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     listed = listed.groupBy(*same).agg(F.array_sort(F.collect_list("item_id")).alias("items"))
     listed = listed.select(*same, F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     marks = covered.join(listed, [covered[c].eqNullSafe(listed[c]) for c in same]).select(covered["__id"], covered["__text_hash"], "n_hit", "n_items", "items_sha256")
-
-    rows = docs.drop(*RESULT).withColumn("__n_words", n_words(F.col(text))).withColumn("__hash_of", F.xxhash64(text))
-    rows = rows.join(marks, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__hash_of") == F.col("__text_hash")), "left")
+    marks = stored(marks, "document-marks")
+
+    # only documents that may have marks are joined; the rest, mostly almost all, is never moved
+    rows, hit = docs.drop(*RESULT), key_marks(marks, *same)
+    own = [F.col(key), F.xxhash64(text)]
+    of_document = F.col(key).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__text_hash"))
+    joined = may_hold(rows, hit, *own).join(marks, of_document, "left").drop(*same)
+    rest = may_hold(rows, hit, *own, without=True)
+    rows = joined.unionByName(rest, allowMissingColumns=True)
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.select(
         *docs.drop(*RESULT).columns,
-        F.col("__n_words").alias("n_words"),
+        n_words(F.col(text)).alias("n_words"),
         n_hit.alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),

@@ -9,6 +9,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of marks at most, of 64 bits each.
+SLOTS = 1 << 18
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -42,6 +44,27 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def _spot(keys: tuple) -> tuple[Column, Column]:
+    """Slot of a key, and its bit there."""
+    own = F.xxhash64(*keys)
+    return F.pmod(own, F.lit(SLOTS)), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(own, 32), F.lit(64)).cast("int"))
+
+
+def key_marks(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """``__slot, __mask``: a bit for each key of ``df``, in SLOTS rows at most however many keys there are."""
+    slot, bit = _spot(keys)
+    return df.select(slot.alias("__slot"), bit.alias("__bit")).groupBy("__slot").agg(F.bit_or("__bit").alias("__mask"))
+
+
+def may_hold(df: DataFrame, marks: DataFrame, *keys: str | Column, without: bool = False) -> DataFrame:
+    """The rows of ``df`` whose key may be a marked one (all that are, and few others), or those ``without`` a mark; no row is moved.
+
+    Keys are of the same types as those of the marks; nulls are equal.
+    """
+    slot, bit = _spot(keys)
+    return df.join(F.broadcast(marks), (slot == F.col("__slot")) & (F.col("__mask").bitwiseAND(bit) != 0), "left_anti" if without else "left_semi")
+
+
 def short_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
     """Lets at most ``rows`` rows or ``size`` bytes of whole texts pass to Python at once; smaller settings stay."""
     for setting, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):

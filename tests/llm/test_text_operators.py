@@ -5,6 +5,7 @@ import random
 import re
 import zipfile
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from assayframe.llm import bpe, chat, decontaminate, graph, simhash, token_output, warc_zip
+from assayframe.llm import bpe, chat, decontaminate, graph, shared, simhash, token_output, warc_zip
 from assayframe.llm.shared import shared_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -192,6 +193,51 @@ def test_decontamination_of_empty_tables(spark):
     assert decontaminate.decontaminate(frame(spark, ["x"]).limit(0), none).count() == 0
 
 
+def moved_bytes(spark, act):
+    """Bytes of shuffles that ``act`` writes."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = store.stageList(spark._jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), spark._jvm.java.util.ArrayList())
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in (stages.apply(i) for i in range(stages.size()))}
+
+    before = written()
+    act()
+    return sum(n for stage, n in written().items() if stage not in before)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_decontamination_moves_no_clean_text(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
+    rng = random.Random(8)
+    item = " ".join(f"w{i}" for i in range(30))
+    texts = [" ".join(f"{rng.getrandbits(480):x}" for _ in range(60)) for _ in range(300)]
+    texts[7] += f" {item}"
+    docs, items = frame(spark, texts), spark.createDataFrame([(1, item)], "item_id long, text string")
+    threshold, got = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        moved = moved_bytes(spark, lambda: got.extend(decontaminate.decontaminate(docs, items).where("contaminated or doc_id = 3").orderBy("doc_id").select("doc_id", "n_hit", F.length("text").alias("n")).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [(r.doc_id, r.n_hit, r.n) for r in got] == [(3, 0, len(texts[3])), (7, 30, len(texts[7]))]
+    assert moved < 0.4 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("slots", [1, 1 << 18])
+def test_marks_hold_every_key(spark, monkeypatch, slots):
+    monkeypatch.setattr(shared, "SLOTS", slots)
+    keys = spark.createDataFrame([(None, 1), (5, 2), (5, 2), (-7, 3)], "id long, h long")
+    rows = spark.createDataFrame([(i, 2) for i in range(300)] + [(None, 1), (None, 2), (-7, 3), (None, 1)], "id long, h long")
+    marks = shared.key_marks(keys, "id", "h")
+    held, rest = shared.may_hold(rows, marks, "id", "h").collect(), shared.may_hold(rows, marks, "id", "h", without=True).collect()
+    assert Counter(map(tuple, held + rest)) == Counter(map(tuple, rows.collect()))
+    assert not {tuple(r) for r in rest} & {(None, 1), (5, 2), (-7, 3)} and len(rest) > 200
+    assert shared.may_hold(rows, marks.limit(0), "id", "h").count() == 0 and shared.may_hold(rows, marks.limit(0), "id", "h", without=True).count() == rows.count()
+
+
 # Token output
 
 
