@@ -192,25 +192,38 @@ def shingle_tokens(words: list[bytes], width: int) -> np.ndarray:
     return np.unique(found & np.uint64((1 << TOKEN_BITS) - 1)).view(np.int64)
 
 
+def token_bits(tokens: np.ndarray) -> np.ndarray:
+    """SKETCH bits of a set of shingles, each of which sets one: two sets differ in as many shingles as bits, or more."""
+    bits = np.zeros(SKETCH, np.uint8)
+    bits[tokens & (SKETCH - 1)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def least_apart(a: Column, b: Column) -> Column:
+    """In how many shingles two sets differ at least, by their ``token_bits``."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
+
 def rare_length(n, least: float):
     """So many first shingles of n, in any order common to all texts, hold one that a text of at least that similarity has among its own first ones."""
     return n - np.ceil(least * n - 1e-9).astype(np.int64) + 1
 
 
 def marks(text: Column, common: np.ndarray, width: int, least: float) -> Column:
-    """Struct of a text's word fingerprint, its number of distinct shingles and the first ``rare_length`` of them; ``common`` ones (ascending frequency) come last."""
+    """Struct of a text's word fingerprint, its number of distinct shingles, their ``token_bits`` and the first ``rare_length`` of them; ``common`` ones (ascending frequency) come last."""
     known = np.sort(common)
     place = np.argsort(common)
 
-    @F.arrow_udf("fp long, n int, rare array<long>")
+    @F.arrow_udf("fp long, n int, bits array<long>, rare array<long>")
     def text_marks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            prints, sizes, firsts = [], [], []
+            prints, sizes, bits, firsts = [], [], [], []
             for texts in slices(batch):
                 for x in texts:
                     words = (x or "").encode().translate(_LOWER).split()
                     own = shingle_tokens(words, width)
                     n = len(own)
+                    bits.append(token_bits(own))
                     if len(known):
                         at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                         own = np.sort(np.where(known[at] == own, (1 << TOKEN_BITS) + place[at], own))
@@ -219,7 +232,8 @@ def marks(text: Column, common: np.ndarray, width: int, least: float) -> Column:
                     firsts.append(own[: int(rare_length(np.float64(n), least))])
             ends = np.cumsum([0, *map(len, firsts)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *firsts])))
-            yield pa.StructArray.from_arrays([pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists], ["fp", "n", "rare"])
+            maps = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * (SKETCH // 64), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *bits])))
+            yield pa.StructArray.from_arrays([pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), maps, lists], ["fp", "n", "bits", "rare"])
 
     return text_marks(text)
 
@@ -267,6 +281,8 @@ TOKEN_BITS = 62
 CROWD, LIKE_HEAD = 64, 0.4
 #: References of a camp at most, the similarity to the text that one is made around, and the sample they are made from: texts, and shingles in all.
 REFERENCES, LIKE_SEED, SAMPLE_TEXTS, SAMPLE_TOKENS = 8, 0.5, 256, 400_000
+#: Bits by which pairs of texts too far apart are told without their texts.
+SKETCH = 4096
 #: Texts of a camp that a task measures at once.
 CHUNK_BYTES = 4 << 20
 #: Row ids, of 8 bytes each or 16 with another, are broadcast up to this number, and texts of heads up to so many bytes; else they are joined by a shuffle.
@@ -279,8 +295,8 @@ def _small(ids: DataFrame) -> DataFrame:
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """Pairs ``a, b`` of ids with their texts ``x, y`` (of ``id, text``)."""
-    pairs = stored(pairs, f"{name}-pairs")
+    """Stored pairs ``a, b`` of ids with their texts ``x, y`` (of ``id, text``)."""
+    texts = texts.select("id", "text")
     wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-ids")
     held = stored(texts.join(_small(wanted), "id", "left_semi"), f"{name}-texts")
     left = held.withColumnsRenamed({"id": "a", "text": "x"})
@@ -290,9 +306,18 @@ def _with_texts(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return pairs.join(left, "a").join(F.broadcast(right) if size <= BROADCAST_TEXTS else right, "b")
 
 
+def _possible(pairs: DataFrame, texts: DataFrame, least: float, name: str) -> DataFrame:
+    """The pairs ``a, b`` of ids that can be as similar by what their bits differ in: no other is, so that their texts needn't be moved."""
+    pairs = stored(pairs, f"{name}-candidates")
+    wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-candidate-ids")
+    held = stored(texts.select("id", "n", "bits").join(_small(wanted), "id", "left_semi"), f"{name}-bits")
+    both = pairs.join(held.withColumnsRenamed({"id": "a", "n": "x", "bits": "p"}), "a").join(held.withColumnsRenamed({"id": "b", "n": "y", "bits": "q"}), "b")
+    return stored(both.where(least_apart(F.col("p"), F.col("q")) <= _ratio(least) * (F.col("x") + F.col("y")) + 1e-9).select("a", "b"), f"{name}-pairs")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, least: float, name: str) -> DataFrame:
     """The pairs ``a, b`` of ids whose texts resemble each other."""
-    both = _with_texts(pairs.select("a", "b"), texts, name)
+    both = _with_texts(_possible(pairs.select("a", "b"), texts, least, name), texts, name)
     return stored(both.where(resemblance(F.col("x"), F.col("y"), width) >= least).select("a", "b"), f"{name}-links")
 
 
@@ -350,7 +375,7 @@ def references(sets: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def _members(mixed: DataFrame, texts: DataFrame) -> DataFrame:
-    """``id, camp, chunk, text``: the texts of crowded buckets, in camps of over CROWD texts and chunks of about CHUNK_BYTES.
+    """``id, camp, chunk, text, n, bits``: the texts of crowded buckets, in camps of over CROWD texts and chunks of about CHUNK_BYTES.
 
     A text's camp is the head of most of its crowded buckets, a bucket's head
     the text whose rare shingles are the most crowded ones.
@@ -363,12 +388,12 @@ def _members(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     large = members.groupBy("camp").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("camp")
     held = stored(texts.join(_small(stored(members.join(large, "camp"), "similar-large-camps")), "id"), "similar-camp-texts")
     sizes = held.groupBy("camp").agg(F.count("*").alias("texts"), F.ceil(F.sum(F.octet_length("text") + 64) / CHUNK_BYTES).alias("chunks"))
-    held = held.join(sizes, "camp").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
-    return stored(held.select("id", "camp", "text", "texts", "chunks", "chunk"), "similar-chunks")
+    held = held.join(_small(stored(sizes, "similar-camp-sizes")), "camp").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
+    return stored(held.select("id", "camp", "text", "n", "bits", "texts", "chunks", "chunk"), "similar-chunks")
 
 
 def _central_sets(held: DataFrame, width: int) -> DataFrame:
-    """``camp, chunk, ref, tokens``: the references of each camp, from a bounded sample of its texts, once for each chunk."""
+    """``camp, chunk, ref, tokens, bits``: the references of each camp, from a bounded sample of its texts, once for each chunk."""
 
     def chosen(drawn: pa.Table) -> pa.Table:
         drawn = drawn.take(pa.array(np.argsort(drawn.column("id").to_numpy())))
@@ -379,10 +404,24 @@ def _central_sets(held: DataFrame, width: int) -> DataFrame:
                 break
             sets.append(own)
         found = references(sets)
-        return pa.table({"camp": pa.array([drawn.column("camp")[0].as_py()] * len(found), pa.int64()), "ref": pa.array(range(len(found)), pa.int32()), "tokens": pa.array(found, pa.list_(pa.int64()))})
+        return pa.table({"camp": pa.array([drawn.column("camp")[0].as_py()] * len(found), pa.int64()), "ref": pa.array(range(len(found)), pa.int32()), "tokens": pa.array(found, pa.list_(pa.int64())), "bits": pa.array([token_bits(x) for x in found], pa.list_(pa.int64()))})
 
+    def sociable(drawn: pa.Table) -> pa.Table:
+        drawn = drawn.take(pa.array(np.argsort(drawn.column("id").to_numpy())))
+        n = drawn.column("n").to_numpy()
+        bits = np.unpackbits(np.array(drawn.column("bits").to_pylist(), np.int64).view(np.uint8), axis=1).astype(np.float32)
+        apart = bits.sum(axis=1)[:, None] + bits.sum(axis=1)[None, :] - 2 * (bits @ bits.T)
+        like = apart <= _ratio(LIKE_SEED) * (n[:, None] + n[None, :])
+        np.fill_diagonal(like, False)
+        keep = like.any(axis=1)
+        keep[0] |= not keep.any()
+        return drawn.select(["id"]).filter(pa.array(keep))
+
+    # a text that by its bits is like no other of the sample has no part in a reference
     drawn = held.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 20)) * F.col("texts") < F.lit(SAMPLE_TEXTS << 20))
-    found = stored(drawn.groupBy("camp").applyInArrow(chosen, "camp long, ref int, tokens array<long>"), "similar-references")
+    wanted = stored(drawn.select("id", "camp", "n", "bits").groupBy("camp").applyInArrow(sociable, "id long"), "similar-sample")
+    drawn = drawn.select("id", "camp", "text").join(_small(wanted), "id", "left_semi")
+    found = stored(drawn.groupBy("camp").applyInArrow(chosen, "camp long, ref int, tokens array<long>, bits array<long>"), "similar-references")
     chunks = held.groupBy("camp").agg(F.max("chunks").alias("chunks")).withColumn("chunk", F.explode(F.expr("sequence(0L, chunks - 1)"))).drop("chunks")
     return found.join(chunks, "camp")
 
@@ -396,6 +435,7 @@ def _by_chunk(held: DataFrame, sets: DataFrame, width: int, to: str, told) -> Da
         return pa.Table.from_pylist(rows, schema)
 
     schema = pa.schema(TOLD[to])
+    held, sets = held.drop("n", "bits", "texts", "chunks"), sets.drop("bits")
     return held.groupBy("camp", "chunk").cogroup(sets.groupBy("camp", "chunk")).applyInArrow(chunk, ", ".join(f"{f.name} {SQL_TYPES[f.type]}" for f in schema))
 
 
@@ -429,7 +469,11 @@ def _placed(held: DataFrame, sets: DataFrame, width: int, least: float) -> DataF
     ``best`` is the least ``over`` of any text at the reference.  Texts that are
     unlike all references are in no camp.
     """
-    far = stored(_by_chunk(held, sets, width, "distances", _distances), "similar-distances")
+    # texts that by their bits are unlike all references are in no camp, so they aren't moved
+    refs = sets.where("chunk = 0").groupBy("camp").agg(F.collect_list(F.struct(F.size("tokens").alias("of"), "bits")).alias("refs"))
+    may = F.exists("refs", lambda x: least_apart(F.col("bits"), x["bits"]) <= _ratio(LIKE_HEAD) * (F.col("n") + x["of"]))
+    likely = stored(held.select("id", "camp", "n", "bits").join(_small(stored(refs, "similar-reference-bits")), "camp").where(may).select("id"), "similar-likely")
+    far = stored(_by_chunk(held.join(_small(likely), "id", "left_semi"), sets, width, "distances", _distances), "similar-distances")
     each = far.select("id", "camp", "n", F.posexplode(F.arrays_zip("far", "of")).alias("ref", "p"))
     each = each.select("id", "camp", "n", "ref", F.col("p.far").alias("d"), (F.col("p.far") - _ratio(least) * F.col("n")).alias("over"), (F.col("p.far") <= _ratio(LIKE_HEAD) * (F.col("n") + F.col("p.of"))).alias("like"))
     near = each.where("like").groupBy("id").agg(F.min(F.struct("d", "ref"))["ref"].alias("nearest"))
@@ -523,7 +567,7 @@ def text_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: i
     rows = whole.select(F.col(row).alias("row"), F.col(key).alias("key"), f"{own}.digest", f"{own}.of.fp", f"{own}.of.n", f"{own}.of.rare")
     classes = stored(rows.groupBy("digest").agg(F.min("row").alias("id"), F.first("fp").alias("fp")), "similar-classes")
     ids = _small(classes.select("id"))
-    texts = whole.select(F.col(row).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = whole.select(F.col(row).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), f"{own}.of.n", f"{own}.of.bits")
     lists = rows.select(F.col("row").alias("id"), "n", "rare").join(ids, "id", "left_semi")
 
     prints = components(links(classes.select("fp").distinct()), "a", "b")

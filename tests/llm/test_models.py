@@ -435,6 +435,23 @@ def lengthened(rng, n, k):
     return " ".join(words[:n]), " ".join(words)
 
 
+def test_bits_of_shingles_lose_no_pair(spark):
+    rng = random.Random(12)
+    say = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = [""] + [" ".join(say(n)) for n in (1, 5, 60, 900, 6000)]
+    for base in texts[3:]:
+        words = base.split()
+        texts += [" ".join(w if rng.random() > share else "x" for w in words) for share in (0.002, 0.01, 0.03, 0.2)]
+    sets = [simhash.shingle_tokens(t.encode().split(), 5) for t in texts]
+    rows = spark.createDataFrame([(i, t, len(s), simhash.token_bits(s).tolist()) for i, (t, s) in enumerate(zip(texts, sets))], "id long, text string, n int, bits array<long>")
+    pairs = rows.select(F.col("id").alias("a")).crossJoin(rows.select(F.col("id").alias("b"))).where("a < b")
+    got = {tuple(r) for r in simhash._possible(pairs, rows, 0.8, "test").collect()}
+    alike = {(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+    assert alike and alike <= got and len(got) < pairs.count() / 4  # of unlike pairs few are left whose texts are moved
+    apart = rows.alias("p").crossJoin(rows.alias("q")).select("p.id", F.col("q.id").alias("b"), simhash.least_apart(F.col("p.bits"), F.col("q.bits")).alias("d"))
+    assert all(r.d <= len(np.setxor1d(sets[r.id], sets[r.b])) for r in apart.collect())
+
+
 def test_similar_texts_of_far_fingerprints(spark):
     rng, pairs, apart = random.Random(3), [], []
     while len(pairs) < 12:
