@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayframe.llm.shared import short_batches
+from assayframe.llm.shared import free_name, short_batches
 
 #: Rows of a matrix and bytes of a piece in it; longer pieces merge through a heap, with the same result.
 MATRIX_ROWS, MATRIX_BYTES = 50_000, 256
@@ -289,21 +289,29 @@ def slices(array: pa.Array, most_bytes: int = 2_000_000) -> Iterator[list[str |
         start, done = end, int(sizes[end - 1])
 
 
+def _batch_ids(batch: pa.Array, own: Encoder) -> pa.ListArray:
+    parts = []
+    gc.disable()  # a walk over all kept words for each few hundred new ones, and no cycles among them
+    for texts in slices(batch):
+        words, firsts, at, sizes = cut_words([x or "" for x in texts])
+        values, sizes = joined_ids(own.encode(words, firsts), at, sizes)
+        parts.append(id_lists(values, sizes, np.array([x is None for x in texts], bool)))
+    gc.enable()
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+
+def _batch_bytes(ids: pa.ListArray, ranks_path: str) -> pa.Array:
+    bytes_of = token_bytes(ranks_path).__getitem__
+    return pa.array((None if x is None else b"".join(map(bytes_of, x)) for x in batch_values(ids)), pa.binary())
+
+
 def encode(text: Column, ranks_path: str, pattern: str) -> Column:
     """Token ids of a text column, array<int>."""
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def bpe_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = encoder(ranks_path, pattern)
         for batch in batches:
-            parts = []
-            gc.disable()  # a walk over all kept words for each few hundred new ones, and no cycles among them
-            for texts in slices(batch):
-                words, firsts, at, sizes = cut_words([x or "" for x in texts])
-                values, sizes = joined_ids(own.encode(words, firsts), at, sizes)
-                parts.append(id_lists(values, sizes, np.array([x is None for x in texts], bool)))
-            gc.enable()
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+            yield _batch_ids(batch, encoder(ranks_path, pattern))
 
     return bpe_ids(text)
 
@@ -313,13 +321,24 @@ def decode(ids: Column, ranks_path: str) -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def bpe_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bytes_of = token_bytes(ranks_path).__getitem__
         for batch in batches:
-            yield pa.array((None if x is None else b"".join(map(bytes_of, x)) for x in batch_values(batch)), pa.binary())
+            yield _batch_bytes(batch, ranks_path)
 
     return bpe_bytes(ids)
 
 
+def encode_and_decode(text: Column, ranks_path: str, pattern: str) -> Column:
+    """Struct of the token ids of a text column and the bytes that they stand for, made by one worker instead of two that run at once."""
+
+    @F.arrow_udf("ids array<int>, bytes binary")
+    def bpe_both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            ids = _batch_ids(batch, encoder(ranks_path, pattern))
+            yield pa.StructArray.from_arrays([ids, _batch_bytes(ids, ranks_path)], ["ids", "bytes"])
+
+    return bpe_both(text)
+
+
 def batch_values(batch: pa.ListArray) -> Iterator[list[int] | None]:
     """The lists of a list<int32> array, one at a time."""
     offsets, values, valid = batch.offsets.to_numpy(), batch.values.to_numpy(zero_copy_only=False), batch.is_valid().to_numpy(zero_copy_only=False)
@@ -337,3 +356,11 @@ def with_bytes(df: DataFrame, ranks_path: str, ids: str = "token_ids", to: str =
     """``df`` with the decoded bytes of column ``ids`` in column ``to``."""
     short_batches(df.sparkSession)
     return df.withColumn(to, decode(F.col(ids), ranks_path))
+
+
+def with_tokens_and_bytes(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", to: str = "token_ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` with the token ids of column ``text`` in column ``to`` and their decoded bytes in another."""
+    short_batches(df.sparkSession)
+    both = free_name(df.columns, "__both")
+    rows = df.withColumn(both, encode_and_decode(F.col(text), ranks_path, pattern))
+    return rows.withColumns({to: F.col(f"{both}.ids"), decoded: F.col(f"{both}.bytes")}).drop(both)

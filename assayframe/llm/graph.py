@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayframe.llm.shared import drop_path, shared_path
+from assayframe.llm.shared import drop_path, shared_path, written
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -35,8 +35,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     state, path = None, None
     while True:
         out = shared_path(spark, "links")
-        links.write.parquet(out)
-        links = spark.read.schema(links.schema).parquet(out)
+        links = written(links, out)
         if path:
             drop_path(spark, path)
         path = out

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of marks at most, of 64 bits each.
 SLOTS = 1 << 18
+#: With this setting, the shuffle files of a query go when it ends, not whenever the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Paths that ``settled`` drops.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -31,14 +36,47 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
-    """``df`` written to the shared folder, in folders ``by`` some columns, and read back: cuts lineage and survives lost executors."""
+def written(df: DataFrame, path: str, *by: str) -> DataFrame:
+    """``df`` written to a path and read back; the shuffle files that it took are dropped, since nothing reads them again."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` written to the shared folder, in folders ``by`` some columns, and read back: cuts lineage and survives lost executors."""
+    path = shared_path(df.sparkSession, name)
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
+    return written(df, path, *by)
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Drops the files of a ``stored`` table that nothing reads any more."""
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        drop_path(df.sparkSession, folder)
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` gives, stored; all that is stored on the way there is dropped, also if it fails."""
+    passing: list[str] = []
+    around = _passing.set(passing)
+    try:
+        df = make()
+        _passing.reset(around)
+        return stored(df, name)
+    finally:
+        if _passing.get() is passing:
+            _passing.reset(around)
+        for path in passing:
+            drop_path(SparkSession.active(), path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -43,7 +44,7 @@ from pyspark.sql import types as T
 
 from assayframe.llm.bpe import slices
 from assayframe.llm.graph import components
-from assayframe.llm.shared import free_name, short_batches, stored
+from assayframe.llm.shared import drop_stored, free_name, key_marks, may_hold, settled, short_batches, stored
 
 #: Generator polynomial of the binary Golay code of 23 bits, its length and its message length.
 GOLAY, GOLAY_N, GOLAY_K = 0b101011100011, 23, 12
@@ -281,12 +282,14 @@ TOKEN_BITS = 62
 CROWD, LIKE_HEAD = 64, 0.4
 #: References of a camp at most, the similarity to the text that one is made around, and the sample they are made from: texts, and shingles in all.
 REFERENCES, LIKE_SEED, SAMPLE_TEXTS, SAMPLE_TOKENS = 8, 0.5, 256, 400_000
+#: Shingles whose holders are in memory as a matrix at once.
+REFERENCE_COLUMNS = 4096
 #: Bits by which pairs of texts too far apart are told without their texts.
 SKETCH = 4096
 #: Texts of a camp that a task measures at once.
 CHUNK_BYTES = 4 << 20
-#: Row ids, of 8 bytes each or 16 with another, are broadcast up to this number, and texts of heads up to so many bytes; else they are joined by a shuffle.
-BROADCAST_IDS, BROADCAST_TEXTS = 500_000, 8 << 20
+#: Row ids, of 8 bytes each or 16 with another, are broadcast up to this number, keys with digests up to another, and texts of heads up to so many bytes; else they are joined by a shuffle.
+BROADCAST_IDS, BROADCAST_NAMES, BROADCAST_TEXTS = 500_000, 150_000, 8 << 20
 
 
 def _small(ids: DataFrame) -> DataFrame:
@@ -294,11 +297,34 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """Stored pairs ``a, b`` of ids with their texts ``x, y`` (of ``id, text``)."""
-    texts = texts.select("id", "text")
-    wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-ids")
-    held = stored(texts.join(_small(wanted), "id", "left_semi"), f"{name}-texts")
+@dataclass
+class Texts:
+    """The texts of a table by their ids: read where they are, never copied as a whole."""
+
+    given: DataFrame  # key, digest, text: of all rows
+    named: DataFrame  # id, key, digest: of one row of each text
+    bits: DataFrame  # id, n, bits
+    repeated: bool  # rows may have key and digest in common
+
+    def of(self, ids: DataFrame, name: str) -> DataFrame:
+        """``ids`` (stored, with other columns) with their ``text``, stored."""
+        wanted = stored(self.named.join(_small(ids), "id"), f"{name}-named")
+        given, names = self.given, wanted.withColumnsRenamed({"key": "__key", "digest": "__digest"})
+        if wanted.count() <= BROADCAST_NAMES:
+            names = F.broadcast(names)
+        else:  # the others' texts aren't shuffled
+            given = may_hold(given, stored(key_marks(wanted, "key", "digest"), f"{name}-marks"), "key", "digest")
+        held = given.join(names, F.col("key").eqNullSafe(F.col("__key")) & (F.col("digest") == F.col("__digest"))).select(*ids.columns, "text")
+        return stored(held.dropDuplicates(["id"]) if self.repeated else held, f"{name}-texts")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+
+
+def _with_texts(pairs: DataFrame, texts: Texts, name: str) -> DataFrame:
+    """Stored pairs ``a, b`` of ids with their texts ``x, y``."""
+    held = texts.of(stored(_ends(pairs), f"{name}-ids"), name)
     left = held.withColumnsRenamed({"id": "a", "text": "x"})
     heads = stored(held.join(_small(stored(pairs.select(F.col("b").alias("id")).distinct(), f"{name}-heads")), "id", "left_semi"), f"{name}-head-texts")
     size = heads.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
@@ -306,19 +332,22 @@ def _with_texts(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return pairs.join(left, "a").join(F.broadcast(right) if size <= BROADCAST_TEXTS else right, "b")
 
 
-def _possible(pairs: DataFrame, texts: DataFrame, least: float, name: str) -> DataFrame:
-    """The pairs ``a, b`` of ids that can be as similar by what their bits differ in: no other is, so that their texts needn't be moved."""
+def _possible(pairs: DataFrame, bits: DataFrame, least: float, name: str) -> DataFrame:
+    """The pairs ``a, b`` of ids that can be as similar by what their ``bits`` differ in: no other is, so that their texts needn't be moved."""
     pairs = stored(pairs, f"{name}-candidates")
-    wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-candidate-ids")
-    held = stored(texts.select("id", "n", "bits").join(_small(wanted), "id", "left_semi"), f"{name}-bits")
+    held = stored(bits.join(_small(stored(_ends(pairs), f"{name}-candidate-ids")), "id", "left_semi"), f"{name}-bits")
     both = pairs.join(held.withColumnsRenamed({"id": "a", "n": "x", "bits": "p"}), "a").join(held.withColumnsRenamed({"id": "b", "n": "y", "bits": "q"}), "b")
-    return stored(both.where(least_apart(F.col("p"), F.col("q")) <= _ratio(least) * (F.col("x") + F.col("y")) + 1e-9).select("a", "b"), f"{name}-pairs")
+    return both.where(least_apart(F.col("p"), F.col("q")) <= _ratio(least) * (F.col("x") + F.col("y")) + 1e-9).select("a", "b")
+
 
+def _verified(pairs: DataFrame, texts: Texts, width: int, least: float, name: str) -> DataFrame:
+    """The pairs ``a, b`` of ids whose texts resemble each other, stored; nothing else that it takes stays."""
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, least: float, name: str) -> DataFrame:
-    """The pairs ``a, b`` of ids whose texts resemble each other."""
-    both = _with_texts(_possible(pairs.select("a", "b"), texts, least, name), texts, name)
-    return stored(both.where(resemblance(F.col("x"), F.col("y"), width) >= least).select("a", "b"), f"{name}-links")
+    def links() -> DataFrame:
+        possible = settled(lambda: _possible(pairs.select("a", "b"), texts.bits, least, name), f"{name}-pairs")
+        return _with_texts(possible, texts, name).where(resemblance(F.col("x"), F.col("y"), width) >= least).select("a", "b")
+
+    return settled(links, f"{name}-links")
 
 
 def _rooted(texts: DataFrame, links: DataFrame) -> DataFrame:
@@ -336,8 +365,8 @@ def _mixed(rooted: DataFrame) -> DataFrame:
     """``token, id, n, root, crowded`` of the rare shingles that texts of several groups have among theirs; ``crowded`` ones are of more than CROWD texts."""
     keyed = rooted.select("id", "n", "root", F.explode("rare").alias("token"))
     several = keyed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo < hi")
-    several = several.select("token", F.when(F.col("size") > CROWD, F.col("size")).alias("crowded"))
-    return stored(keyed.join(several, "token"), "similar-tokens")
+    several = stored(several.select("token", F.when(F.col("size") > CROWD, F.col("size")).alias("crowded")), "similar-several")  # so that the tokens aren't shuffled for both at once
+    return keyed.join(several, "token")
 
 
 def _best_heads(mixed: DataFrame, least: float) -> DataFrame:
@@ -353,29 +382,41 @@ def _best_heads(mixed: DataFrame, least: float) -> DataFrame:
     return counted.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", "best.b")
 
 
-def _tokens(texts: pa.ChunkedArray, width: int) -> list[np.ndarray]:
-    return [shingle_tokens((x or "").encode().translate(_LOWER).split(), width) for x in texts.to_pylist()]
+def _tokens(texts: pa.ChunkedArray, width: int) -> Iterator[np.ndarray]:
+    return (shingle_tokens((x.as_py() or "").encode().translate(_LOWER).split(), width) for x in texts)
 
 
 def references(sets: list[np.ndarray]) -> list[np.ndarray]:
     """Up to REFERENCES sets of shingles that are central among given ones: what most of those hold that are like the one with the most like it, over and over with the rest."""
-    every, place = np.unique(np.concatenate(sets), return_inverse=True)
-    held = np.zeros((len(sets), len(every)), np.float32)
-    held[np.repeat(np.arange(len(sets)), [len(x) for x in sets]), place] = 1
-    both, sizes = held @ held.T, held.sum(axis=1)
+    ends = np.cumsum([0, *map(len, sets)])
+    every, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    both, sizes = np.zeros((len(sets), len(sets)), np.float32), np.diff(ends).astype(np.float32)
+    np.fill_diagonal(both, sizes)
+    shared = np.flatnonzero(times > 1)
+    order = np.argsort(place, kind="stable")  # sets' numbers, token by token
+    owner, first = np.repeat(np.arange(len(sets)), np.diff(ends))[order], np.concatenate(([0], np.cumsum(times)))
+    for start in range(0, len(shared), REFERENCE_COLUMNS):  # of all tokens at once the matrix would take hundreds of MB
+        some = shared[start : start + REFERENCE_COLUMNS]
+        held = np.zeros((len(sets), len(some)), np.float32)
+        for column, k in enumerate(some.tolist()):
+            held[owner[first[k] : first[k + 1]], column] = 1
+        part = held @ held.T
+        np.fill_diagonal(part, 0)
+        both += part
     like = both >= LIKE_SEED * (sizes[:, None] + sizes[None, :] - both)
     free, out = np.ones(len(sets), bool), []
     while free.any() and len(out) < REFERENCES:
         own = free & like[int((like[:, free].sum(axis=1) * free).argmax())]
         if out and own.sum() < max(2, len(sets) // 32):
             break
-        out.append(every[held[own].sum(axis=0) * 2 > own.sum()])
+        most = np.bincount(np.concatenate([place[ends[i] : ends[i + 1]] for i in np.flatnonzero(own)]), minlength=len(every))
+        out.append(every[most * 2 > own.sum()])
         free &= ~own
     return out
 
 
-def _members(mixed: DataFrame, texts: DataFrame) -> DataFrame:
-    """``id, camp, chunk, text, n, bits``: the texts of crowded buckets, in camps of over CROWD texts and chunks of about CHUNK_BYTES.
+def _members(mixed: DataFrame, texts: Texts) -> DataFrame:
+    """``id, camp, chunk, text``: the texts of crowded buckets, in camps of over CROWD texts and chunks of about CHUNK_BYTES.
 
     A text's camp is the head of most of its crowded buckets, a bucket's head
     the text whose rare shingles are the most crowded ones.
@@ -386,14 +427,14 @@ def _members(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     counted = crowded.join(_small(stored(heads, "similar-crowd-heads")), "token").groupBy("id", "camp").agg(F.count("*").alias("c"))
     members = stored(counted.groupBy("id").agg(F.max(F.struct("c", "camp")).alias("best")).select("id", "best.camp"), "similar-members")
     large = members.groupBy("camp").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("camp")
-    held = stored(texts.join(_small(stored(members.join(large, "camp"), "similar-large-camps")), "id"), "similar-camp-texts")
+    held = texts.of(stored(members.join(large, "camp"), "similar-large-camps"), "similar-camp")
     sizes = held.groupBy("camp").agg(F.count("*").alias("texts"), F.ceil(F.sum(F.octet_length("text") + 64) / CHUNK_BYTES).alias("chunks"))
     held = held.join(_small(stored(sizes, "similar-camp-sizes")), "camp").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
-    return stored(held.select("id", "camp", "text", "n", "bits", "texts", "chunks", "chunk"), "similar-chunks")
+    return held.select("id", "camp", "text", "texts", "chunks", "chunk")
 
 
-def _central_sets(held: DataFrame, width: int) -> DataFrame:
-    """``camp, chunk, ref, tokens, bits``: the references of each camp, from a bounded sample of its texts, once for each chunk."""
+def _central_sets(held: DataFrame, known: DataFrame, width: int) -> DataFrame:
+    """``camp, ref, tokens, bits``: the references of each camp, from a bounded sample of its texts; ``known`` has ``id, n, bits, camp, texts``."""
 
     def chosen(drawn: pa.Table) -> pa.Table:
         drawn = drawn.take(pa.array(np.argsort(drawn.column("id").to_numpy())))
@@ -415,15 +456,21 @@ def _central_sets(held: DataFrame, width: int) -> DataFrame:
         np.fill_diagonal(like, False)
         keep = like.any(axis=1)
         keep[0] |= not keep.any()
+        kept = np.flatnonzero(keep)
+        keep[kept[1:]] = n[kept].cumsum()[1:] <= SAMPLE_TOKENS  # the references are made from no more
         return drawn.select(["id"]).filter(pa.array(keep))
 
     # a text that by its bits is like no other of the sample has no part in a reference
-    drawn = held.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 20)) * F.col("texts") < F.lit(SAMPLE_TEXTS << 20))
+    drawn = known.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 20)) * F.col("texts") < F.lit(SAMPLE_TEXTS << 20))
     wanted = stored(drawn.select("id", "camp", "n", "bits").groupBy("camp").applyInArrow(sociable, "id long"), "similar-sample")
-    drawn = drawn.select("id", "camp", "text").join(_small(wanted), "id", "left_semi")
-    found = stored(drawn.groupBy("camp").applyInArrow(chosen, "camp long, ref int, tokens array<long>, bits array<long>"), "similar-references")
+    drawn = held.select("id", "camp", "text").join(_small(wanted), "id", "left_semi")
+    return drawn.groupBy("camp").applyInArrow(chosen, "camp long, ref int, tokens array<long>, bits array<long>")
+
+
+def _for_chunks(sets: DataFrame, held: DataFrame) -> DataFrame:
+    """References of camps once for each ``chunk``."""
     chunks = held.groupBy("camp").agg(F.max("chunks").alias("chunks")).withColumn("chunk", F.explode(F.expr("sequence(0L, chunks - 1)"))).drop("chunks")
-    return found.join(chunks, "camp")
+    return sets.join(chunks, "camp")
 
 
 def _by_chunk(held: DataFrame, sets: DataFrame, width: int, to: str, told) -> DataFrame:
@@ -432,10 +479,10 @@ def _by_chunk(held: DataFrame, sets: DataFrame, width: int, to: str, told) -> Da
     def chunk(texts: pa.Table, refs: pa.Table) -> pa.Table:
         central = dict(zip(refs.column("ref").to_pylist(), (np.array(x, np.int64) for x in refs.column("tokens").to_pylist())))
         rows = [row for at, own in enumerate(_tokens(texts.column("text"), width)) for row in told(texts, at, own, central)]
-        return pa.Table.from_pylist(rows, schema)
+        return pa.table({f.name: pa.array([row[f.name] for row in rows], f.type) for f in schema})
 
     schema = pa.schema(TOLD[to])
-    held, sets = held.drop("n", "bits", "texts", "chunks"), sets.drop("bits")
+    held, sets = held.drop("texts", "chunks"), sets.drop("bits")
     return held.groupBy("camp", "chunk").cogroup(sets.groupBy("camp", "chunk")).applyInArrow(chunk, ", ".join(f"{f.name} {SQL_TYPES[f.type]}" for f in schema))
 
 
@@ -455,7 +502,7 @@ def _distances(texts: pa.Table, at: int, own: np.ndarray, central: dict[int, np.
 
 def _differences(texts: pa.Table, at: int, own: np.ndarray, central: dict[int, np.ndarray]) -> list[dict]:
     """In which shingles a text differs from the references wanted."""
-    return [{"id": texts.column("id")[at].as_py(), "ref": k, "only": np.setxor1d(own, central[k], assume_unique=True).tolist()} for k in texts.column("wanted")[at].as_py()]
+    return [{"id": texts.column("id")[at].as_py(), "ref": k, "only": np.setxor1d(own, central[k], assume_unique=True)} for k in texts.column("wanted")[at].as_py()]
 
 
 def _ratio(least: float) -> float:
@@ -463,23 +510,23 @@ def _ratio(least: float) -> float:
     return (1 - least) / (1 + least)
 
 
-def _placed(held: DataFrame, sets: DataFrame, width: int, least: float) -> DataFrame:
+def _placed(held: DataFrame, known: DataFrame, sets: DataFrame, width: int, least: float) -> DataFrame:
     """``id, camp, ref, n, d, over, nearest, best``: how far each text of a camp is from each reference, ``over`` what texts alike may differ in.
 
     ``best`` is the least ``over`` of any text at the reference.  Texts that are
     unlike all references are in no camp.
     """
     # texts that by their bits are unlike all references are in no camp, so they aren't moved
-    refs = sets.where("chunk = 0").groupBy("camp").agg(F.collect_list(F.struct(F.size("tokens").alias("of"), "bits")).alias("refs"))
+    refs = sets.groupBy("camp").agg(F.collect_list(F.struct(F.size("tokens").alias("of"), "bits")).alias("refs"))
     may = F.exists("refs", lambda x: least_apart(F.col("bits"), x["bits"]) <= _ratio(LIKE_HEAD) * (F.col("n") + x["of"]))
-    likely = stored(held.select("id", "camp", "n", "bits").join(_small(stored(refs, "similar-reference-bits")), "camp").where(may).select("id"), "similar-likely")
-    far = stored(_by_chunk(held.join(_small(likely), "id", "left_semi"), sets, width, "distances", _distances), "similar-distances")
+    likely = stored(known.select("id", "camp", "n", "bits").join(_small(stored(refs, "similar-reference-bits")), "camp").where(may).select("id"), "similar-likely")
+    far = stored(_by_chunk(held.join(_small(likely), "id", "left_semi"), _for_chunks(sets, held), width, "distances", _distances), "similar-distances")
     each = far.select("id", "camp", "n", F.posexplode(F.arrays_zip("far", "of")).alias("ref", "p"))
     each = each.select("id", "camp", "n", "ref", F.col("p.far").alias("d"), (F.col("p.far") - _ratio(least) * F.col("n")).alias("over"), (F.col("p.far") <= _ratio(LIKE_HEAD) * (F.col("n") + F.col("p.of"))).alias("like"))
     near = each.where("like").groupBy("id").agg(F.min(F.struct("d", "ref"))["ref"].alias("nearest"))
     each = each.join(near, "id").drop("like")
     best = each.groupBy("camp", "ref").agg(F.min(F.struct("over", "id")).alias("best"))
-    return stored(each.join(best, ["camp", "ref"]), "similar-placed")
+    return each.join(best, ["camp", "ref"])
 
 
 def _within_camps(held: DataFrame, sets: DataFrame, placed: DataFrame, roots: DataFrame, width: int, least: float) -> DataFrame:
@@ -507,7 +554,7 @@ def _within_camps(held: DataFrame, sets: DataFrame, placed: DataFrame, roots: Da
     rooted = rooted.withColumn("asked", F.when(F.col("left"), F.least("asking", "asked")).otherwise(F.col("asked"))).where("greatest(asking, asked) > 0")
     rooted = stored(rooted.select("id", "camp", "ref", "root", "n", "left", "d", "asking", "asked"), "similar-askers")
     wanted = rooted.groupBy("id").agg(F.collect_list("ref").alias("wanted"))
-    only = _by_chunk(held.join(_small(stored(wanted, "similar-wanted")), "id"), sets, width, "differences", _differences)
+    only = _by_chunk(held.join(_small(stored(wanted, "similar-wanted")), "id"), _for_chunks(sets, held), width, "differences", _differences)
     each = stored(rooted.join(only, ["id", "ref"]), "similar-differences").withColumn("token", F.explode("only")).drop("only")
     shared = each.groupBy(*at, "token").agg(F.count("*").alias("f"), F.count_if("left").alias("k")).where("f > 1 and k > 0").select(*at, "token", "f")
     own = Window.partitionBy("id", "ref")
@@ -544,8 +591,8 @@ def _apart(mixed: DataFrame, least: float) -> DataFrame:
     return pairs.where(F.col("c") + F.greatest(after("x"), after("y")) >= least / (1 + least) * (F.col("x") + F.col("y")) - 1e-9).select("a", "b")
 
 
-def text_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """``df`` with a ``row`` number, stored, and ``row, key, digest, root`` of each: the same root for all rows of a group of similar texts.
+def text_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
+    """``key, digest, root`` of each row, stored: the same root for all rows of a group of similar texts.
 
     Equal texts are one.  Fingerprints of texts' distinct words are linked as
     ``near_duplicates`` does, through their Golay keys, and each text is verified
@@ -558,43 +605,65 @@ def text_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: i
     text next to each reference joins most of them, and the rest meets on what
     it differs from the references in.  Then every text is verified against all
     texts of other groups with which it shares enough.
+
+    ``df`` is read several times, by digests of its texts, and no copy of it is made: what is
+    expensive or gives other rows each time is better written first.
     """
     short_batches(df.sparkSession)
-    row, own = free_name(df.columns, "__row"), free_name(df.columns, "__own")
-    common = common_tokens(df.select(F.col(text).alias("text")), width)
-    whole = df.withColumn(row, F.monotonically_increasing_id()).withColumn(own, F.struct(F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"), marks(F.col(text), common, width, least).alias("of")))
-    whole = stored(whole, "similar-rows")
-    rows = whole.select(F.col(row).alias("row"), F.col(key).alias("key"), f"{own}.digest", f"{own}.of.fp", f"{own}.of.n", f"{own}.of.rare")
-    classes = stored(rows.groupBy("digest").agg(F.min("row").alias("id"), F.first("fp").alias("fp")), "similar-classes")
-    ids = _small(classes.select("id"))
-    texts = whole.select(F.col(row).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), f"{own}.of.n", f"{own}.of.bits")
-    lists = rows.select(F.col("row").alias("id"), "n", "rare").join(ids, "id", "left_semi")
-
-    prints = components(links(classes.select("fp").distinct()), "a", "b")
+    given = df.select(F.col(key).alias("key"), _digest(F.col(text)).alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return settled(lambda: _groups(given, width, least), "similar-groups")
+
+
+def _digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def _groups(given: DataFrame, width: int, least: float) -> DataFrame:
+    """``key, digest, root`` of the rows ``key, digest, text``."""
+    common = common_tokens(given.select("text"), width)
+
+    marked = given.select("key", "digest", F.monotonically_increasing_id().alias("id"), marks(F.col("text"), common, width, least).alias("of"))
+    marked = stored(marked.select("key", "digest", "id", "of.*"), "similar-marks")
+    classes = marked.groupBy("digest").agg(F.min(F.struct("id", "key")).alias("own"), F.first("fp").alias("fp"), F.count("*").alias("rows"))
+    classes = stored(classes.select("digest", "own.*", "fp", "rows"), "similar-classes")
+    rows = stored(marked.select("key", "digest"), "similar-keys")
+    # of each text the first row's marks; the rare shingles are dropped as soon as they have met
+    own = marked.drop("key", "digest", "fp").join(_small(classes.select("id")), "id", "left_semi")
+    bits = stored(own.select("id", "n", "bits"), "similar-bits")
+    lists = own.select("id", "n", "rare")
+    twice = stored(classes.where("rows > 1").select("digest"), "similar-copied")
+    repeated = bool(rows.join(_small(twice), "digest", "left_semi").groupBy("key", "digest").agg(F.count("*").alias("c")).where("c > 1").head(1))
+    texts = Texts(given, classes.select("id", "key", "digest"), bits, repeated)
+
+    prints = components(settled(lambda: links(classes.select("fp").distinct()), "simhash-links"), "a", "b")
     near = classes.join(prints, F.col("fp") == F.col("node"), "left").select("id", F.coalesce("root", "fp").alias("root"))
     heads = near.groupBy("root").agg(F.min("id").alias("b"), F.count("*").alias("of")).where("of > 1")
     found = _verified(near.join(heads, "root").where("id != b").select(F.col("id").alias("a"), "b"), texts, width, least, "prints")
 
-    mixed = _mixed(_rooted(lists, found))
-    held = _members(mixed, texts)
-    sets = _central_sets(held, width)
-    placed = _placed(held, sets, width, least)
+    mixed = settled(lambda: _mixed(_rooted(lists, found)), "similar-tokens")
+    drop_stored(marked)
+    held = settled(lambda: _members(mixed, texts), "similar-chunks")
+    known = bits.join(_small(held.select("id", "camp", "texts")), "id")
+    sets = settled(lambda: _central_sets(held, known, width), "similar-references")
+    placed = settled(lambda: _placed(held, known, sets, width, least), "similar-placed")
     alike = placed.where((F.col("over") + F.col("best.over") <= 1e-9) & (F.col("id") != F.col("best.id")))
     found = found.union(_verified(alike.select(F.col("id").alias("a"), F.col("best.id").alias("b")).distinct(), texts, width, least, "best"))
     found = found.union(_verified(_best_heads(mixed, least), texts, width, least, "heads"))
     roots = stored(_rooted(classes.select("id"), found), "similar-rooted")
-    found = found.union(_verified(_within_camps(held, sets, placed, roots, width, least), texts, width, least, "camp"))
+    met = settled(lambda: _within_camps(held, sets, placed, roots, width, least), "similar-met")
+    drop_stored(held)
+    found = found.union(_verified(met, texts, width, least, "camp"))
 
     parties = _small(stored(placed.select("id", "camp").distinct(), "similar-parties"))
     mixed = _rooted(mixed.drop("root", "crowded"), found).join(parties, "id", "left").withColumn("party", F.coalesce(-1 - F.col("camp"), "root")).drop("camp")
-    found = found.union(_verified(_apart(mixed, least), texts, width, least, "apart"))
-    groups = stored(_rooted(classes.select("digest", "id"), found), "similar-groups")
-    return whole.drop(own), rows.select("row", "key", "digest").join(groups.select("digest", "root"), "digest")
+    met = settled(lambda: _apart(mixed, least), "similar-apart-met")
+    found = found.union(_verified(met, texts, width, least, "apart"))
+    return rows.join(_rooted(classes.select("digest", "id"), found).select("digest", "root"), "digest")
 
 
 def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
     """``key, digest, component_id`` of every row: groups that texts of at least ``least`` shingle similarity link, by their smallest key."""
-    rows = text_groups(df, key, text, width, least)[1]
+    rows = text_groups(df, key, text, width, least)
     ids = rows.groupBy("root").agg(F.min("key").alias("component_id"))
     return rows.join(ids, "root").select(F.col("key").alias(key), "digest", "component_id")
 
@@ -604,11 +673,35 @@ def first_of_groups(df: DataFrame, key: str = "doc_id", text: str = "text", widt
 
     A key alone never decides: rows that share one, or have none, stay if their texts are of different groups.
     """
-    whole, rows = text_groups(df, key, text, width, least)
-    ends = rows.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "digest", "row")).alias("end"))
-    kept = _small(stored(ends.select("end.row"), "similar-kept"))
-    row = whole.columns[-1]
-    return whole.join(kept, whole[row] == kept["row"], "left_semi").drop(row)
+    rows = text_groups(df, key, text, width, least)
+
+    def others() -> DataFrame:
+        """``__key, __digest, __rest`` of the rows to drop, and of those to keep once (``__rest``), since several have key and digest in common."""
+        ends = rows.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "digest")).alias("end")).select("root", F.col("end.key").alias("k"), F.col("end.digest").alias("d"))
+        each = rows.groupBy("root", "key", "digest").agg(F.count("*").alias("c"))
+        many = rows.groupBy("root").agg(F.count("*").alias("of")).where("of > 1")
+        told = each.join(many, "root", "left_semi").join(ends, "root").withColumn("rest", F.col("key").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d")))
+        return told.where("not rest or c > 1").select(F.col("key").alias("__key"), F.col("digest").alias("__digest"), F.col("rest").alias("__rest"))
+
+    told = settled(others, "similar-others")
+    drop_stored(rows)
+    own = free_name(df.columns, "__own")
+    named = df.withColumn(own, _digest(F.col(text)))
+    same = named[key].eqNullSafe(F.col("__key")) & (named[own] == F.col("__digest"))
+    few = told.count() <= BROADCAST_NAMES
+    if few:
+        single = named.join(F.broadcast(told), same, "left_anti")
+    else:  # texts of rows that are surely kept aren't shuffled
+        spots = stored(key_marks(told, "__key", "__digest"), "similar-other-marks")
+        single = may_hold(named, spots, F.col(key), F.col(own), without=True).union(may_hold(named, spots, F.col(key), F.col(own)).join(told, same, "left_anti"))
+    once = told.where("__rest")
+    if not once.head(1):
+        return single.drop(own)
+    place = free_name(named.columns, "__place")
+    several = named.withColumn(place, F.monotonically_increasing_id())
+    several = several.join(F.broadcast(once) if few else once, several[key].eqNullSafe(F.col("__key")) & (several[own] == F.col("__digest")), "left_semi")
+    first = several.groupBy(several[key], several[own]).agg(F.min_by(F.struct(*(several[c] for c in named.columns)), several[place]).alias("first"))
+    return single.union(first.select("first.*")).drop(own)
 
 
 def hex_print(fp: Column) -> Column:

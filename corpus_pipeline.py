@@ -45,7 +45,7 @@ def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their token ids, and whether these decode to the text's bytes."""
-    rows = bpe.with_bytes(bpe.with_tokens(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    rows = bpe.with_tokens_and_bytes(docs, RANKS, public_tokenizers.PATTERN)
     same = F.col("decoded").eqNullSafe(F.col("text").cast("binary"))
     return rows.select(*COLUMNS, "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), same.alias("decodes"))
 

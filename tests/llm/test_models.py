@@ -3,6 +3,8 @@ import datetime
 import hashlib
 import random
 import re
+import tracemalloc
+import uuid
 from html.parser import HTMLParser
 
 import numpy as np
@@ -11,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from assayframe.llm import html_text, permutation_index, pii, quality, queries, simhash
+from assayframe.llm import graph, html_text, permutation_index, pii, quality, queries, shared, simhash
 
 # Pseudonyms
 
@@ -586,6 +588,59 @@ def test_near_copies_with_null_and_shared_ids(spark):
     assert sorted((r for r in got if r not in twos), key=str) == sorted([(None, one), (1, three), (0, four + " more"), (2, five), (3, "")], key=str)
 
 
+def test_near_dedup_leaves_no_copy_of_the_texts(spark, monkeypatch, tmp_path):
+    """What it writes on the way is dropped, so are shuffle files, and of rows alike in id and text the first stays."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(200)) for _ in range(60)]
+    rows = [(i, t, "en", "s", i) for i, t in enumerate(texts)] + [(0, texts[0], "fr", "s", 1), (7, texts[7] + " more", "en", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    for module in (shared, graph):
+        monkeypatch.setattr(module, "shared_path", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    got = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text, r.lang) for r in got if r.doc_id != 7) == [(i, t, "en") for i, t in enumerate(texts) if i != 7]
+    assert [r.doc_id for r in got].count(7) == 1
+    left = {re.sub("-[0-9a-f]{32}$", "", p.name) for p in tmp_path.iterdir()}
+    assert not {x for x in left if re.search("texts|chunks|marks|differences|candidates", x)}, left
+    assert "similar-others" in left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def dense_references(sets):
+    """As simhash.references, from one matrix of all shingles."""
+    every, place = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.zeros((len(sets), len(every)), np.float32)
+    held[np.repeat(np.arange(len(sets)), [len(x) for x in sets]), place] = 1
+    both, sizes = held @ held.T, held.sum(axis=1)
+    like = both >= simhash.LIKE_SEED * (sizes[:, None] + sizes[None, :] - both)
+    free, out = np.ones(len(sets), bool), []
+    while free.any() and len(out) < simhash.REFERENCES:
+        own = free & like[int((like[:, free].sum(axis=1) * free).argmax())]
+        if out and own.sum() < max(2, len(sets) // 32):
+            break
+        out.append(every[held[own].sum(axis=0) * 2 > own.sum()])
+        free &= ~own
+    return out
+
+
+def test_references_without_a_matrix_of_all_shingles(monkeypatch):
+    rng = np.random.default_rng(6)
+    centres = [rng.choice(1 << 40, 300, replace=False) for _ in range(3)]
+    sets = [np.unique(np.concatenate([rng.choice(centres[i % 3], 260, replace=False), rng.integers(0, 1 << 40, 30)])) for i in range(90)]
+    for some in (sets, sets[:1], [*sets[:40], np.arange(50)], [rng.integers(0, 1 << 40, 20) for _ in range(9)]):
+        some, most = [np.unique(x) for x in some], simhash.REFERENCE_COLUMNS
+        for columns in (7, most):
+            monkeypatch.setattr(simhash, "REFERENCE_COLUMNS", columns)
+            for got, want in zip(simhash.references(some), dense_references(some), strict=True):
+                assert got.tolist() == want.tolist()
+        monkeypatch.setattr(simhash, "REFERENCE_COLUMNS", 4096)
+    tracemalloc.start()
+    apart = [np.arange(i * 2000, (i + 1) * 2000) for i in range(200)]
+    simhash.references([np.sort(np.append(x, 10**9)) for x in apart])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6  # a matrix of all takes 320 MB
+
+
 def test_stages_of_odd_rows(spark, sf_dir):
     """Null and repeated ids, null, empty and very long texts, repeated rows, other columns, and no rows at all, in each stage."""
     long = " ".join(f"word{i}" for i in range(30_000))
