@@ -84,13 +84,14 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
 
 
-def joined_ids(runs: list[bytes], at: np.ndarray, sizes: np.ndarray, end: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All ids that the runs at each place give, one after the other and ``end`` after each text, and how many each text has."""
-    if end is not None:
-        at = np.insert(at, sizes.cumsum(), len(runs))
-        runs, sizes = [*runs, end], sizes + 1
+def joined_ids(runs: list[bytes], at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids that the runs at each place give, one after the other, and how many each text has."""
     lengths = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
-    pool = np.frombuffer(b"".join(runs), np.int32)
+    return placed_ids(np.frombuffer(b"".join(runs), np.int32), lengths, at, sizes)
+
+
+def placed_ids(pool: np.ndarray, lengths: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the run at each place, one after the other, and how many each text has; ``pool`` holds runs of ``lengths`` one after the other."""
     own = lengths[at]
     ends = np.concatenate(([0], own.cumsum()))[np.concatenate(([0], sizes.cumsum()))]
     return pool[spread((lengths.cumsum() - lengths)[at], own)], np.diff(ends)
@@ -279,20 +280,20 @@ def encoder(ranks_path: str, pattern: str) -> Encoder:
     return Encoder(vocabulary(ranks_path), pattern)
 
 
-def slices(array: pa.Array, most_bytes: int = 2_000_000) -> Iterator[list[str | None]]:
+def slices(array: pa.Array, most_bytes: int = 2_000_000) -> Iterator[pa.Array]:
     """The values of a string array in runs of about ``most_bytes``."""
     sizes = pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False).cumsum()
     start, done = 0, 0
     while start < len(array):
         end = max(start + 1, int(np.searchsorted(sizes, done + most_bytes, "right")))
-        yield array.slice(start, end - start).to_pylist()
+        yield array.slice(start, end - start)
         start, done = end, int(sizes[end - 1])
 
 
 def _batch_ids(batch: pa.Array, own: Encoder) -> pa.ListArray:
     parts = []
     gc.disable()  # a walk over all kept words for each few hundred new ones, and no cycles among them
-    for texts in slices(batch):
+    for texts in map(pa.Array.to_pylist, slices(batch)):
         words, firsts, at, sizes = cut_words([x or "" for x in texts])
         values, sizes = joined_ids(own.encode(words, firsts), at, sizes)
         parts.append(id_lists(values, sizes, np.array([x is None for x in texts], bool)))

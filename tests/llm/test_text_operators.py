@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -262,6 +263,38 @@ def test_token_output_against_the_library(spark):
     assert token_output.read(spark, out).count() == 0
 
 
+PIECES = ["foo", "The", "schö", "é", "Привет", "ÿ", "µ", "×", "中文", "12", "٣", "don't", "we'll", "'s", "'", " ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "\r\n", "\u00a0", "\u200b", "\u3000", "\x00", "\x1c", "\x85", ".", "...", "***", "…", "»", "_", "😀", "<|endoftext|>", "<|"]
+
+
+@pytest.mark.parametrize("end", [None, 0])
+def test_token_output_encoder_on_odd_texts(monkeypatch, end):
+    monkeypatch.setattr(token_output, "KEPT", 40)  # generations of kept words pass
+    tokenizer, own, rng = Tokenizer.from_file(TOKENIZER), token_output.LibraryEncoder(TOKENIZER, public_tokenizers.PATTERN), random.Random(13)
+    for n in [0, 1, *[25] * 30]:
+        texts = ["".join(rng.choice(PIECES) + rng.choice(["", " ", "", ".\nIt "]) for _ in range(rng.randint(0, 20))) for _ in range(n)]
+        texts += [" ".join(rng.choice(PIECES[:15]) + rng.choice(["", ",", "***", "…", "»."]) for _ in range(20)) for _ in range(n)]
+        ids, sizes = own.encode(pa.array(["cut off", *texts]).slice(1), end)
+        want = [tokenizer.encode(x, add_special_tokens=False).ids + ([] if end is None else [end]) for x in texts]
+        assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
+
+
+def test_token_output_looks_at_a_word_once_whatever_follows_it():
+    own, rng = token_output.LibraryEncoder(TOKENIZER, public_tokenizers.PATTERN), random.Random(14)
+    stems = list({"".join(rng.choice("abcdeöéß") for _ in range(9)) for _ in range(500)})
+    texts = [" ".join(["It", *(s + mark for s in stems)]) + "\n" + "\n".join(stems) for mark in ("", ".", "***", "&&&", ",")]
+    cut, asked, find, model = [], [], own.find, own.model
+
+    class Model:
+        def tokenize(self, letters):
+            asked.append(letters)
+            return model.tokenize(letters)
+
+    own.find, own.model = lambda x: cut.append(x) or find(x), Model()
+    ids, _ = own.encode(pa.array(texts), None)
+    assert ids.tolist() == [i for x in texts for i in Tokenizer.from_file(TOKENIZER).encode(x, add_special_tokens=False).ids]
+    assert len(asked) < 2.1 * len(stems) + 50 and len(cut) < len(stems) + 50  # with a space before it or a line end, whatever marks follow
+
+
 # SimHash
 
 
