@@ -280,8 +280,8 @@ def encoder(ranks_path: str, pattern: str) -> Encoder:
     return Encoder(vocabulary(ranks_path), pattern)
 
 
-def slices(array: pa.Array, most_bytes: int = 2_000_000) -> Iterator[pa.Array]:
-    """The values of a string array in runs of about ``most_bytes``."""
+def array_slices(array: pa.Array, most_bytes: int = 2_000_000) -> Iterator[pa.Array]:
+    """A string array in runs of about ``most_bytes``."""
     sizes = pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False).cumsum()
     start, done = 0, 0
     while start < len(array):
@@ -290,10 +290,15 @@ def slices(array: pa.Array, most_bytes: int = 2_000_000) -> Iterator[pa.Array]:
         start, done = end, int(sizes[end - 1])
 
 
+def slices(array: pa.Array, most_bytes: int = 2_000_000) -> Iterator[list[str | None]]:
+    """The values of a string array in runs of about ``most_bytes``."""
+    return map(pa.Array.to_pylist, array_slices(array, most_bytes))
+
+
 def _batch_ids(batch: pa.Array, own: Encoder) -> pa.ListArray:
     parts = []
     gc.disable()  # a walk over all kept words for each few hundred new ones, and no cycles among them
-    for texts in map(pa.Array.to_pylist, slices(batch)):
+    for texts in slices(batch):
         words, firsts, at, sizes = cut_words([x or "" for x in texts])
         values, sizes = joined_ids(own.encode(words, firsts), at, sizes)
         parts.append(id_lists(values, sizes, np.array([x is None for x in texts], bool)))

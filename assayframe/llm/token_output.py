@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from assayframe.llm.bpe import KEPT_CHARS, PATTERN, id_lists, placed_ids, slices, spread
+from assayframe.llm.bpe import KEPT_CHARS, PATTERN, array_slices, id_lists, placed_ids, spread
 from assayframe.llm.shared import short_batches
 
 
@@ -248,7 +248,7 @@ def encode(text: Column, path: str, pattern: str, end_id: int | None = None) ->
         own, done = library_encoder(path, pattern), 0
         for batch in batches:
             gc.disable()  # no cycles among the kept words, only a long walk over them
-            parts = [own.encode(texts, end_id) for texts in slices(pc.fill_null(batch, ""), SLICE_BYTES)]
+            parts = [own.encode(texts, end_id) for texts in array_slices(pc.fill_null(batch, ""), SLICE_BYTES)]
             gc.enable()
             sizes = np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
             lists = id_lists(np.concatenate([np.zeros(0, np.int32), *(v for v, _ in parts)]), sizes)
