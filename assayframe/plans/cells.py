@@ -22,8 +22,11 @@ CELLS_SQL = f"""SELECT l_orderkey AS meta_order, l_linenumber AS meta_line, l_pa
 WITH_CELLS = f"WITH cells AS ({CELLS_SQL}), marked AS (SELECT *, meta_aa_changes LIKE 'A%A' AS control FROM cells)"
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cells(spark: SparkSession, sf_dir: str, placed: bool = False) -> DataFrame:
+    """The view; with ``placed`` also the file and row that a cell stands in."""
     line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    place = [F.col("_metadata.file_path").alias("meta_file"), F.col("_metadata.row_index").alias("meta_row")] if placed else []
+    line = line.select("*", *place)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority")
     rows = line.join(orders, line["l_orderkey"] == orders["o_orderkey"])
     return rows.select(
@@ -39,4 +42,5 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("discount"),
         F.col("l_tax").alias("tax"),
+        *(["meta_file", "meta_row"] if placed else []),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assayframe.functions import columns, labels
@@ -16,9 +17,33 @@ def profiles(spark, sf):
     return aggregate.plain(cells(spark, sf), F.lit(False), FEATURES, ["mean"]).withColumnsRenamed({f"{f}_mean": f for f in FEATURES})
 
 
+#: Means nearer than this share of their feature's largest may differ by the order of their sums alone.
+NEAR = 1e-11
+
+
+def per_batch_in_order(spark, sf):
+    """``per_batch``; means that are so near that rounding ranks them are of sums in the table's order, as in its SQL, not in that of a shuffle.
+
+    Only cells of such profiles are put in order, by a window that can spill.
+    """
+    keys = [LABEL, "meta_batch"]
+    rows = tables.written(per_batch(spark, sf), "profiles")
+    most = rows.agg(*(F.max(F.abs(f)).alias(f"most_{f}") for f in FEATURES))
+    place = lambda f, i: F.floor(F.try_divide(F.col(f), F.col(f"most_{f}") * NEAR)) + i
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), place(f, i).alias("place")) for f in FEATURES for i in (0, 1))))
+    long = rows.join(F.broadcast(most)).select(*keys, each.alias("p")).select(*keys, "p.*")  # a row
+    met = long.groupBy("feature", "place").count().where("place is not null and count > 1")
+    near = long.join(met, ["feature", "place"], "left_semi").select(*(F.col(k).alias(f"near_{k}") for k in keys)).distinct()
+    same = lambda prefix: [F.col(k).eqNullSafe(F.col(f"{prefix}_{k}")) for k in keys]
+    upto = Window.partitionBy(*keys).orderBy("meta_file", "meta_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = cells(spark, sf, placed=True).join(near, same("near"), "left_semi").select(*keys, "meta_file", "meta_row", *(F.avg(f).over(upto).alias(f) for f in FEATURES))
+    last = own.groupBy(*keys).agg(*(F.max_by(f, F.struct("meta_file", "meta_row")).alias(f"last_{f}") for f in FEATURES)).withColumnsRenamed({k: f"own_{k}" for k in keys})
+    return rows.join(last, same("own"), "left").select(*keys, "meta_n_cells", *(F.coalesce(f"last_{f}", f).alias(f) for f in FEATURES))
+
+
 def correlation_tests(spark, sf):
     """Both correlations of pairs of features over batches' profiles, their p, and the sides of the identity line."""
-    rows, out = per_batch(spark, sf), None
+    rows, out = tables.written(per_batch_in_order(spark, sf), "in-order"), None
     for x, y in (("quantity", "price"), ("discount", "tax")):
         for metric in ("pearson", "spearman"):
             one = inference.correlation_test(rows, x, y, metric).withColumns({"x": F.lit(x), "metric": F.lit(metric)})
