@@ -9,14 +9,16 @@ learner of one's own once for each (variant, fold) group.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.functions.columns import finite
-from assayframe.operators.pool import auc
+from assayframe.operators.areas import Scored, Scorer, areas, coded, groups, packs, packs_of_scores
 from assayframe.operators.qc import LABEL, min_cells_per_variant, seeded_ranks
 from assayframe.sources.tables import written
 
@@ -96,6 +98,22 @@ def _log_density(value: Column, n: Column, s: Column, q: Column) -> Column:
     return -F.log(variance) / 2 - F.pow(value - mean, 2) / (2 * variance)
 
 
+def _models(rows: DataFrame, features: list[str], k: int, wildtype: str) -> tuple[DataFrame, DataFrame]:
+    """Written statistics of each label and fold, and the models: those of a variant without each fold (``scored_against, model_fold``) beside the wild type's (``w_``)."""
+    stats = written(_statistics(rows, [LABEL, "fold"], features), "statistics")
+    model = _without_fold(stats.where(F.col(LABEL) != wildtype), [LABEL], k, features)
+    base = _without_fold(stats.where(F.col(LABEL) == wildtype).withColumn("all", F.lit(1)), ["all"], k, features).drop("all")
+    base = base.select(F.col("fold").alias("wt_fold"), *(F.col(c).alias(f"w_{c}") for c in base.columns if c != "fold"))
+    both = model.join(F.broadcast(base), F.col("fold") == F.col("wt_fold")).drop("wt_fold").withColumnsRenamed({LABEL: "scored_against", "fold": "model_fold"})
+    return stats, written(both, "models")
+
+
+def _model_blocks(both: DataFrame) -> list[DataFrame]:
+    """Models in blocks of BLOCK_BYTES, those of a variant together."""
+    blocks = max(1, -(-both.count() * len(both.columns) * 8 // BLOCK_BYTES))  # a row a variant and fold, a column three numbers a feature
+    return [both.where(F.pmod(F.xxhash64("scored_against"), F.lit(blocks)) == i) if blocks > 1 else both for i in range(blocks)]
+
+
 def cross_validated(cells: DataFrame, features: list[str], k: int, wildtype: str = "WT", least: int | None = None) -> DataFrame:
     """One out-of-fold probability of being wild type for each cell of a variant and, against each variant, each wild-type cell.
 
@@ -104,16 +122,10 @@ def cross_validated(cells: DataFrame, features: list[str], k: int, wildtype: str
     """
     rows = min_cells_per_variant(cells, least, wildtype).where(F.col(LABEL).isNotNull())
     variants, wild = rows.where(F.col(LABEL) != wildtype), rows.where(F.col(LABEL) == wildtype)
-    model = _without_fold(_statistics(variants, [LABEL, "fold"], features), [LABEL], k, features)
-    base = _without_fold(_statistics(wild.withColumn("all", F.lit(1)), ["all", "fold"], features), ["all"], k, features).drop("all")
-    base = base.select(F.col("fold").alias("wt_fold"), *(F.col(c).alias(f"w_{c}") for c in base.columns if c != "fold"))
-    both = model.join(F.broadcast(base), F.col("fold") == F.col("wt_fold")).drop("wt_fold").withColumnsRenamed({LABEL: "scored_against", "fold": "model_fold"})
+    _, both = _models(rows, features, k, wildtype)
     own = variants.join(both, (F.col(LABEL) == F.col("scored_against")) & (F.col("fold") == F.col("model_fold")))
-    both = written(both, "models")
-    blocks = max(1, -(-both.count() * len(both.columns) * 8 // BLOCK_BYTES))  # a row a variant and fold, a column three numbers a feature
     against = None
-    for i in range(blocks):
-        some = both.where(F.pmod(F.xxhash64("scored_against"), F.lit(blocks)) == i) if blocks > 1 else both
+    for some in _model_blocks(both):
         part = wild.join(F.broadcast(some), F.col("fold") == F.col("model_fold"))
         against = part if against is None else against.unionByName(part)
     scored = own.unionByName(against)
@@ -125,6 +137,66 @@ def cross_validated(cells: DataFrame, features: list[str], k: int, wildtype: str
     return scored.select(*cells.columns, "scored_against", (F.col(LABEL) == wildtype).alias("is_wildtype"), (1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), ratio))))).alias("score"))
 
 
+def _bayes(models: dict[tuple[str, int], np.ndarray], n_features: int, wildtype: str) -> Scorer:
+    """What scores blocks of ``label, fold, barcode, x0, x1, ...`` by models: of each feature half the variance's logarithm, mean and twice the variance of the wild type, then of the variant."""
+    by_fold: dict[int, list[tuple[str, np.ndarray]]] = {}
+    for (variant, fold), model in models.items():
+        by_fold.setdefault(fold, []).append((variant, model))
+
+    def probability(model: np.ndarray, x: list[np.ndarray]) -> np.ndarray:
+        ratio = np.zeros(len(x[0]))
+        for v, (w_log, w_mean, w_twice, log, mean, twice) in zip(x, model):
+            if not np.isnan(w_log):
+                part = (w_log - (v - w_mean) * (v - w_mean) / w_twice) - (log - (v - mean) * (v - mean) / twice)
+                ratio += np.where(np.isnan(v), 0.0, part)
+        return 1 / (1 + np.exp(-np.clip(ratio, -700.0, 700.0)))
+
+    def scored(block: pa.Table) -> Iterator[Scored]:
+        (label, labels), (fold, folds), (barcode, barcodes) = (coded(block, c) for c in ("label", "fold", "barcode"))
+        x = [block.column(f"x{i}").to_numpy() for i in range(n_features)]
+        for own in groups(label, fold):
+            name, f, values = labels[label[own[0]]], folds[fold[own[0]]], [v[own] for v in x]
+            if name == wildtype:
+                for variant, model in by_fold.get(f, ()):
+                    yield variant, f, True, None, probability(model, values), None
+            elif (name, f) in models:
+                score = probability(models[name, f], values)
+                for part in groups(barcode[own]):
+                    yield name, f, False, barcodes[barcode[own[part[0]]]], score[part], None
+
+    return scored
+
+
+def cross_validated_metrics(cells: DataFrame, features: list[str], k: int, wildtype: str = "WT", least: int | None = None) -> DataFrame:
+    """The ``metrics`` of ``cross_validated`` without a row a cell and score: tasks score and pack what they read.
+
+    The cells are read three times (statistics, ranges if more than one, scores),
+    so an expensive plan is better written first.
+    """
+    kept = min_cells_per_variant(cells, least, wildtype).where(F.col(LABEL).isNotNull())  # cells without a fold are in all training parts
+    rows = kept.where("fold is not null").select(F.col(LABEL).alias("label"), F.col("fold").cast("int").alias("fold"), F.when(F.col(LABEL) != wildtype, F.col(BARCODE)).alias("barcode"), *(finite(f).alias(f"x{i}") for i, f in enumerate(features)))
+    counted = kept.select(LABEL, "fold", *features).withColumn("rows", F.lit(1.0))
+    stats, both = _models(counted, [*features, "rows"], k, wildtype)
+    n = f"n{len(features)}"
+    sizes = stats.groupBy((F.col(LABEL) == wildtype).alias("wild"), LABEL).agg(F.sum(n).alias("n")).groupBy("wild").agg(F.max("n").alias("most"), F.sum("n").alias("n")).collect()  # two rows
+    sizes = {r.wild: r for r in sizes}
+    most, total = (sizes[False].most if False in sizes else 0) + (sizes[True].n if True in sizes else 0), sum(r.n for r in sizes.values())
+    numbers = []
+    for i in range(len(features)):
+        for prefix in ("w_", ""):
+            count, mean = F.col(f"{prefix}n{i}"), F.try_divide(f"{prefix}s{i}", f"{prefix}n{i}")
+            variance = F.greatest(F.try_divide(f"{prefix}q{i}", f"{prefix}n{i}") - mean * mean, F.lit(1e-9))
+            usable = (F.col(f"n{i}") >= 2) & (F.col(f"w_n{i}") >= 2)
+            numbers += [F.when(usable & (count > 0), c) for c in (-F.log(variance) / 2, mean, 2 * variance)]
+    out = None
+    for some in _model_blocks(both):
+        found = some.select("scored_against", "model_fold", F.array(*numbers).alias("m")).collect()  # a block of models
+        models = {(r.scored_against, r.model_fold): np.array(r.m, float).reshape(-1, 6) for r in found}
+        part = packs(rows, _bayes(models, len(features), wildtype), most, total)
+        out = part if out is None else out.union(part)
+    return areas(out, LABEL)
+
+
 def grouped(cells: DataFrame, features: list[str], k: int, learn: Callable[[pd.DataFrame, pd.Series, pd.DataFrame], pd.Series], wildtype: str = "WT", schema: str = SCORES) -> DataFrame:
     """``learn(train, is_wildtype, test)`` once for each (variant, fold); a group is a variant's cells and the wild type's, which must fit a task."""
     labels = cells.where(F.col(LABEL) != wildtype).select(F.col(LABEL).alias("scored_against")).distinct()
@@ -186,32 +258,23 @@ def platt(scores: DataFrame, by: list[str], score: str = "score", truth: str = "
 def metrics(scores: DataFrame) -> DataFrame:
     """Per variant: pooled AUROC, its median over barcodes (each against all wild type) and over folds, counts.
 
-    The area counts how far the wild type scores above the variant.
+    The area counts how far the wild type scores above the variant; only finite
+    scores count.  Learners that score where the cells lie have their own way to
+    the same table, without a row a score.
     """
-    truth = F.col("is_wildtype")
-    pooled = auc(scores, "score", truth, ["scored_against"]).select("scored_against", F.col("auc").alias("auroc_pooled"), F.col("n_negative").alias("meta_n_cells"))
-    by_fold = auc(scores, "score", truth, ["scored_against", "fold"]).where(~F.isnan("auc"))
-    by_fold = by_fold.groupBy("scored_against").agg(F.transform(F.array_sort(F.collect_list(F.struct("fold", "auc"))), lambda s: s["auc"]).alias("auroc_folds"), F.median("auc").alias("auroc_median_fold"))
-    # a barcode's area needs only the wild type's distribution at the variant's scores
-    counts = scores.groupBy("scored_against", "score").agg(F.count_if(truth).alias("w"))
-    above = counts.withColumn("w_above", F.sum("w").over(Window.partitionBy("scored_against").orderBy(F.desc("score"))) - F.col("w"))
-    totals = scores.where(truth).groupBy("scored_against").agg(F.count("*").alias("w_all"))
-    cells = scores.where(~truth).select("scored_against", "score", BARCODE).join(above, ["scored_against", "score"]).join(totals, "scored_against")
-    by_barcode = cells.groupBy("scored_against", BARCODE).agg(F.avg((F.col("w_above") + F.col("w") / 2) / F.col("w_all")).alias("auc"))
-    by_barcode = by_barcode.groupBy("scored_against").agg(F.median("auc").alias("auroc_median_barcode"), F.count("*").alias("meta_n_barcodes"))
-    return pooled.join(by_barcode, "scored_against", "left").join(by_fold, "scored_against", "left").withColumnRenamed("scored_against", LABEL)
+    return areas(packs_of_scores(scores, BARCODE), LABEL)
 
 
 RESULTS = f"{LABEL} string, auroc_pooled double, auroc_median_barcode double, auroc_folds array<double>, auroc_median_fold double, meta_n_barcodes long, meta_n_cells long"
 
 
-def result_tables(scores: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The two tables of a run: ``metrics`` by variant in a fixed schema, and a row a scored cell with its metadata.
+def result_tables(scores: DataFrame, found: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two tables of a run: ``metrics`` by variant in a fixed schema (``found``, if made already), and a row a scored cell with its metadata.
 
     Both have their columns even if no variant is left.  A cell's row is told
     apart by ``meta_variant_scored_against``, since the wild type is scored against each.
     """
-    found = metrics(scores)
+    found = metrics(scores) if found is None else found
     fields = [f.rsplit(" ", 1) for f in RESULTS.split(", ")]
     results = found.select(*(F.col(n).cast(t).alias(n) for n, t in fields)).orderBy(LABEL)
     meta = [c for c in scores.columns if c.startswith("meta_")]

@@ -107,6 +107,12 @@ def combat_check(spark, sf):
     return rounded(out.groupBy("meta_batch").agg(F.count("*").alias("n"), *(F.avg(f).alias(f) for f in FEATURES)), *FEATURES, digits=4)
 
 
+def folded(spark, sf):
+    """What scoring needs of the cells, and their folds, written, since it is read several times."""
+    rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)"))
+    return tables.written(rows.select(LABEL, "meta_barcode", "meta_batch", "fold", *FEATURES), "folded")
+
+
 def fold_scores(spark, sf):
     rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)"))
     scored = score.cross_validated(rows, ["quantity", "price"], 3)
@@ -114,8 +120,7 @@ def fold_scores(spark, sf):
 
 
 def fold_metrics(spark, sf):
-    rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)"))
-    out = score.metrics(score.cross_validated(rows, ["quantity", "price"], 3))
+    out = score.cross_validated_metrics(folded(spark, sf), ["quantity", "price"], 3)
     listed = F.array_join(F.transform("auroc_folds", lambda a: F.format_number(a, 4)), ",")
     return rounded(out.withColumn("auroc_folds", listed), "auroc_pooled", "auroc_median_barcode", "auroc_median_fold", digits=4)
 
