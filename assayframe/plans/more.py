@@ -9,7 +9,7 @@ from assayframe.functions import columns, labels
 from assayframe.operators import aggregate, annotate, combat, inference, matrix, normalize, pool, qc, reduce, reproduce, score
 from assayframe.plans.cells import FEATURES, KEYS, WITH_CELLS, cells
 from assayframe.plans.core import _ERFC, _KIND, LABEL, control, rounded
-from assayframe.plans.pooled import per_batch
+from assayframe.plans.pooled import folded, per_batch
 from assayframe.sources import tables
 
 
@@ -138,8 +138,8 @@ def batch_votes(spark, sf):
 
 def run_results(spark, sf):
     """The table of a scoring run: one row a variant in the fixed schema, lists of folds as their number."""
-    rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)"))
-    results, by_cell = score.result_tables(score.cross_validated(rows, ["quantity", "price"], 3))
+    rows, features = folded(spark, sf), ["quantity", "price"]
+    results, by_cell = score.result_tables(score.cross_validated(rows, features, 3), score.cross_validated_metrics(rows, features, 3))
     told = by_cell.groupBy(F.col("meta_variant_scored_against").alias(LABEL)).agg(F.count("*").alias("n_scores"), F.count_distinct("meta_batch").alias("n_batches"))
     return results.select(LABEL, F.size("auroc_folds").alias("n_folds"), "meta_n_barcodes", "meta_n_cells").join(told, LABEL)
 

@@ -65,7 +65,7 @@ def test_one_class_alone_and_none(spark):
     assert np.isnan(r.auroc_pooled) and r.meta_n_cells == 0
 
 
-@pytest.mark.parametrize("name", ["fold_metrics"])
+@pytest.mark.parametrize("name", ["fold_metrics", "run_results"])
 def test_no_row_of_a_score_is_shuffled(spark, sf_dir, name):
     """A score of each wild-type cell against each variant is packed where the cell lies."""
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
