@@ -9,7 +9,7 @@ tell what lies beyond.  Ranges only deal scores out: results don't depend on the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +43,13 @@ def groups(*keys: np.ndarray) -> list[np.ndarray]:
     return np.split(order, starts(*(k[order] for k in keys))[1:]) if len(order) else []
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_ROWS) -> Iterator[pa.Table]:
+    """Batches put together until they hold ``most`` rows."""
     held, rows = [], 0
     for batch in batches:
         held.append(batch)
         rows += batch.num_rows
-        if rows >= BLOCK_ROWS:
+        if rows >= most:
             yield pa.Table.from_batches(held)
             held, rows = [], 0
     if rows:
@@ -116,16 +117,23 @@ def range_bounds(scored: DataFrame, ranges: int) -> dict[str, np.ndarray]:
     return {r.scored_against: np.unique(np.array(r.q, float)) for r in found if r.q}
 
 
-def packs(rows: DataFrame, scorer: Scorer, most: int, total: int) -> DataFrame:
-    """Packed scores of ``total`` rows, of which ``most`` are scored against one variant."""
-    if total < FEW_ROWS:  # as one task may hold, though each is scored against many variants
-        rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
-    ranges = -(-most // RANGE_VALUES)
-    bounds: dict[str, np.ndarray] = {}
-    if ranges > 1:
+def spread(rows: DataFrame, total: int) -> DataFrame:
+    """``rows``, dealt out if there are so few that one task may hold them, though each is scored against many variants."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism) if total < FEW_ROWS else rows
+
+
+def packs(rows: DataFrame, scorer: Scorer, variants: Iterable[str], bounds: dict[str, np.ndarray], most: int, total: int) -> DataFrame:
+    """Packed scores of ``total`` rows, of which ``most`` are scored against one variant.
+
+    ``bounds`` keeps those of variants met before, so that all scores against a
+    variant have the same ranges though they come from several blocks of models.
+    """
+    rows, ranges = spread(rows, total), -(-most // RANGE_VALUES)
+    if ranges > 1 and (new := set(variants) - set(bounds)):
         share = min(1.0, SAMPLED * ranges / most)
-        bounds = range_bounds(rows.sample(share, seed=1).mapInArrow(_sampler(scorer), "scored_against string, score double"), ranges)
-    return rows.mapInArrow(_packer(scorer, bounds), PACKS)
+        found = range_bounds(rows.sample(share, seed=1).mapInArrow(_sampler(scorer), "scored_against string, score double"), ranges)
+        bounds |= {v: found.get(v, np.zeros(0)) for v in new}
+    return rows.mapInArrow(_packer(scorer, dict(bounds)), PACKS)
 
 
 def _scored_rows(block: pa.Table) -> Iterator[Scored]:

@@ -1,8 +1,9 @@
 """Boosted trees that tell each variant's cells from the wild type's, for all variants and folds at once.
 
 Features are cut into bins by quantiles that all models share, and a cell's
-bins are packed into one binary value.  A level of a round's trees is one pass
-over the cells: a task works out the margins of its cells from the trees so
+bins are packed into one binary value.  Cells of one label, fold and bins are the
+same to every model, so they are counted once and stand in one row.  A level of a
+round's trees is one pass over these rows: a task works out their margins from the trees so
 far, sums gradients and curvatures by (model, node, feature, bin), and only
 these sums are shuffled.  A wild-type cell adds to the sums of every model that
 trains on it where it lies; it is never copied to a variant, and is copied only
@@ -26,13 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayframe.functions.columns import finite
-from assayframe.operators.qc import LABEL, min_cells_per_variant
+from assayframe.operators.areas import BLOCK_ROWS, FEW_ROWS, PACKS, Scored, Scorer, areas, blocks, coded, groups, packs, spread
+from assayframe.operators.qc import BARCODE, LABEL, min_cells_per_variant
 from assayframe.sources.tables import written
 
 #: Bins of a feature besides that of missing values, shrinkage, ridge on leaves, least gain and least curvature of a side.
 BINS, RATE, RIDGE, LEAST_GAIN, LEAST_WEIGHT = 32, 0.3, 1.0, 1e-6, 1.0
-#: Sums that a task holds for a block of models.
-BLOCK_BYTES = 64 << 20
+#: Sums that a task holds for a block of models, and bins that it unpacks together, about.
+BLOCK_BYTES, UNPACKED = 64 << 20, 4 << 20
 SUMS = "model int, node int, feature int, bin int, g double, h double"
 SPLIT = "model int, node int, feature int, cut int, missing_left boolean, left double, right double, whole double"
 
@@ -53,7 +55,8 @@ def binned(features: Sequence[str], cuts: np.ndarray) -> Column:
         for i, v in enumerate(values):
             x = v.to_numpy(zero_copy_only=False).astype(float)
             out[:, i] = np.where(np.isfinite(x), np.searchsorted(cuts[i], x) + 1, 0)
-        return pa.array([row.tobytes() for row in out], pa.binary())
+        ends = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
+        return pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(out.tobytes())])
 
     return bins(*(finite(f).cast("double") for f in features))
 
@@ -104,6 +107,14 @@ def best_split(g: np.ndarray, h: np.ndarray) -> tuple[int, int, bool, float, flo
     return (*best[1:], value(total_g, total_h))
 
 
+def _rows_at_once(n_features: int) -> int:
+    return max(1, min(BLOCK_ROWS, UNPACKED // n_features))
+
+
+def _unpacked(bins: pa.ChunkedArray, n_features: int) -> np.ndarray:
+    return np.frombuffer(b"".join(bins.to_pylist()), np.uint8).reshape(-1, n_features).astype(np.int64)
+
+
 def _sums(trees: Trees, models: list[tuple[str, int, float]], n_features: int, bins: int, level: int, round_: int, wildtype: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """What sums gradients and curvatures of the cells of a task for each model, node of a level, feature and bin."""
     by_label: dict[str, list[int]] = {}
@@ -113,22 +124,21 @@ def _sums(trees: Trees, models: list[tuple[str, int, float]], n_features: int, b
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, len(models), 2**level * width))
-        for batch in batches:
-            labels, folds = np.array(batch.column("label").to_pylist(), object), batch.column("fold").to_numpy()
-            packed = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, n_features).astype(np.int64)
-            for label in set(labels.tolist()):
-                of = range(len(models)) if label == wildtype else by_label.get(label, ())
-                rows = np.flatnonzero(labels == label)
-                for m in of:
+        for block in blocks(batches, _rows_at_once(n_features)):
+            (label, labels), folds, counts = coded(block, "label"), block.column("fold").to_numpy(), block.column("n").to_numpy()
+            packed = _unpacked(block.column("bins"), n_features)
+            for rows in groups(label):
+                name = labels[label[rows[0]]]
+                for m in range(len(models)) if name == wildtype else by_label.get(name, ()):
                     own = rows[folds[rows] != models[m][1]]
                     if not len(own):
                         continue
                     x = packed[own]
                     p = 1 / (1 + np.exp(-trees.margin(m, x)))
-                    w = models[m][2] if label == wildtype else 1.0
+                    w = (models[m][2] if name == wildtype else 1.0) * counts[own]
                     node = trees.node(m, round_, x, level) - first
                     place = (node[:, None] * width + np.arange(n_features) * (bins + 1) + x).ravel()
-                    for k, each in enumerate((w * (p - (label == wildtype)), w * p * (1 - p))):
+                    for k, each in enumerate((w * (p - (name == wildtype)), w * p * (1 - p))):
                         total[k, m] += np.bincount(place, np.repeat(each, n_features), total.shape[2])
         m, place = np.nonzero(total[1])
         node, rest = np.divmod(place, width)
@@ -156,7 +166,7 @@ def _splitter(n_features: int, bins: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def fit(rows: DataFrame, models: list[tuple[str, int, float]], n_features: int, rounds: int, depth: int, bins: int = BINS, wildtype: str = "WT") -> Trees:
-    """Trees of a block of models (variant, fold left out, weight of a wild-type cell) on cells ``label, fold, bins``."""
+    """Trees of a block of models (variant, fold left out, weight of a wild-type cell) on ``label, fold, bins`` and ``n``, how many cells have them."""
     trees = Trees(len(models), rounds, depth)
     for r in range(rounds):
         for level in range(depth):
@@ -178,18 +188,66 @@ def boosted(cells: DataFrame, features: Sequence[str], k: int, rounds: int = 20,
     kept = min_cells_per_variant(cells, least, wildtype).where(F.col(LABEL).isNotNull() & F.col("fold").isNotNull())
     names = cells.columns
     rows = written(kept.select(*names, binned(features, quantile_cuts(kept, features, bins)).alias("__bins")), "binned")
-    narrow = rows.select(F.col(LABEL).alias("label"), F.col("fold").cast("int").alias("fold"), F.col("__bins").alias("bins"))
-    counts = {(r.label, r.fold): r["count"] for r in narrow.groupBy("label", "fold").count().collect()}  # a row a variant and fold
+    narrow = rows.groupBy(F.col(LABEL).alias("label"), F.col("fold").cast("int").alias("fold"), F.col("__bins").alias("bins")).agg(F.count("*").alias("n"))
+    out = None
+    for some, trees in _fitted(written(narrow, "counted-bins"), len(features), k, rounds, depth, bins, wildtype):
+        scored = rows.mapInArrow(_scorer(trees, some, len(features), names, wildtype), T.StructType([*kept.schema, *SCORED]))
+        out = scored if out is None else out.union(scored)
+    return out if out is not None else cells.sparkSession.createDataFrame([], T.StructType([*kept.schema, *SCORED]))
+
+
+def _fitted(narrow: DataFrame, n_features: int, k: int, rounds: int, depth: int, bins: int, wildtype: str) -> Iterator[tuple[list[tuple[str, int, float]], Trees]]:
+    """Blocks of models and their trees, on the written rows ``label, fold, bins, n``."""
+    found = narrow.groupBy("label", "fold").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()  # a row a variant and fold
+    counts = {(r.label, r.fold): r.n for r in found}
     size = lambda label, fold: sum(counts.get((label, f), 0) for f in range(k) if f != fold)
     variants = sorted({label for label, _ in counts} - {wildtype})
     models = [(v, f, size(v, f) / size(wildtype, f)) for v in variants for f in range(k) if size(v, f) and size(wildtype, f)]
-    step = max(1, BLOCK_BYTES // (16 * 2 ** (depth - 1) * len(features) * (bins + 1)))
-    out = None
+    step = max(1, BLOCK_BYTES // (16 * 2 ** (depth - 1) * n_features * (bins + 1)))
+    if models and (total := sum(r.rows for r in found)) < FEW_ROWS:
+        narrow = written(spread(narrow, total), "spread")
     for i in range(0, len(models), step):
         some = models[i : i + step]
-        scored = rows.mapInArrow(_scorer(fit(narrow, some, len(features), rounds, depth, bins, wildtype), some, len(features), names, wildtype), T.StructType([*kept.schema, *SCORED]))
-        out = scored if out is None else out.union(scored)
-    return out if out is not None else cells.sparkSession.createDataFrame([], T.StructType([*kept.schema, *SCORED]))
+        yield some, fit(narrow, some, n_features, rounds, depth, bins, wildtype)
+
+
+def _block_scorer(trees: Trees, models: list[tuple[str, int, float]], n_features: int, wildtype: str) -> Scorer:
+    """What scores rows ``label, fold, barcode, bins, n`` by the models that left their fold out."""
+
+    def scored(block: pa.Table) -> Iterator[Scored]:
+        (label, labels), (fold, folds), (barcode, barcodes) = (coded(block, c) for c in ("label", "fold", "barcode"))
+        counts, packed = block.column("n").to_numpy(), _unpacked(block.column("bins"), n_features)
+        by_fold: dict[int, list[int]] = {}
+        for m, (_, f, _) in enumerate(models):
+            by_fold.setdefault(f, []).append(m)
+        for own in groups(label, fold):
+            name, f = labels[label[own[0]]], folds[fold[own[0]]]
+            for m in by_fold.get(f, ()):
+                if name != wildtype and name != models[m][0]:
+                    continue
+                score = 1 / (1 + np.exp(-trees.margin(m, packed[own])))
+                for part in groups(barcode[own]):
+                    yield models[m][0], f, name == wildtype, barcodes[barcode[own[part[0]]]], score[part], counts[own[part]]
+
+    return scored
+
+
+def boosted_metrics(cells: DataFrame, features: Sequence[str], k: int, rounds: int = 20, depth: int = 3, bins: int = BINS, wildtype: str = "WT", least: int | None = None) -> DataFrame:
+    """The ``score.metrics`` of ``boosted`` without a row a cell and score: cells of one label, fold, barcode and bins are scored once.
+
+    The cells are read twice (quantiles, bins), so an expensive plan is better written first.
+    """
+    kept = min_cells_per_variant(cells, least, wildtype).where(F.col(LABEL).isNotNull() & F.col("fold").isNotNull())
+    barcode = F.when(F.col(LABEL) != wildtype, F.col(BARCODE))
+    rows = kept.select(F.col(LABEL).alias("label"), F.col("fold").cast("int").alias("fold"), barcode.alias("barcode"), binned(features, quantile_cuts(kept, features, bins)).alias("bins"))
+    rows = written(rows.groupBy("label", "fold", "barcode", "bins").agg(F.count("*").alias("n")), "counted-bins")
+    sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}  # a row a variant
+    total = sum(sizes.values())
+    most, out, bounds = sizes.pop(wildtype, 0) + max([0, *sizes.values()]), None, {}
+    for some, trees in _fitted(rows, len(features), k, rounds, depth, bins, wildtype):
+        part = packs(rows, _block_scorer(trees, some, len(features), wildtype), {v for v, _, _ in some}, bounds, most, total)
+        out = part if out is None else out.union(part)
+    return areas(out if out is not None else cells.sparkSession.createDataFrame([], PACKS), LABEL)
 
 
 SCORED = T.StructType([T.StructField("scored_against", T.StringType()), T.StructField("is_wildtype", T.BooleanType()), T.StructField("score", T.DoubleType())])

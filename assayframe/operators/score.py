@@ -188,11 +188,11 @@ def cross_validated_metrics(cells: DataFrame, features: list[str], k: int, wildt
             variance = F.greatest(F.try_divide(f"{prefix}q{i}", f"{prefix}n{i}") - mean * mean, F.lit(1e-9))
             usable = (F.col(f"n{i}") >= 2) & (F.col(f"w_n{i}") >= 2)
             numbers += [F.when(usable & (count > 0), c) for c in (-F.log(variance) / 2, mean, 2 * variance)]
-    out = None
+    out, bounds = None, {}
     for some in _model_blocks(both):
         found = some.select("scored_against", "model_fold", F.array(*numbers).alias("m")).collect()  # a block of models
         models = {(r.scored_against, r.model_fold): np.array(r.m, float).reshape(-1, 6) for r in found}
-        part = packs(rows, _bayes(models, len(features), wildtype), most, total)
+        part = packs(rows, _bayes(models, len(features), wildtype), {v for v, _ in models}, bounds, most, total)
         out = part if out is None else out.union(part)
     return areas(out, LABEL)
 

@@ -127,8 +127,7 @@ def fold_metrics(spark, sf):
 
 def boosted_metrics(spark, sf):
     """Areas of each variant by boosted trees, of few rounds."""
-    rows = cells(spark, sf).withColumn("fold", F.expr("CAST((meta_order + meta_line) % 3 AS INT)"))
-    out = score.metrics(boost.boosted(rows, FEATURES, 3, rounds=3, depth=2))
+    out = boost.boosted_metrics(folded(spark, sf), FEATURES, 3, rounds=3, depth=2)
     listed = F.array_join(F.transform("auroc_folds", lambda a: F.format_number(a, 4)), ",")
     return rounded(out.withColumn("auroc_folds", listed), "auroc_pooled", "auroc_median_barcode", "auroc_median_fold", digits=4)
 
